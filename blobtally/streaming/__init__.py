@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The engine this package re-expresses is batch-only: it has no stream source, watermark, window
+or stateful operator, so nothing here is built (no operators are invented beyond it). The batch
+operators take any DataFrame, so a caller who receives object snapshots as a stream can apply
+them per micro-batch with ``writeStream.foreachBatch`` and the ordinary sinks.
+"""

@@ -10,6 +10,7 @@ from blobtally.sources.tables import (
     read_objects,
     read_run_file_status,
     run_sub_path,
+    stat_file_lengths,
 )
 
 __all__ = [
@@ -22,4 +23,5 @@ __all__ = [
     "read_objects",
     "read_run_file_status",
     "run_sub_path",
+    "stat_file_lengths",
 ]

@@ -50,8 +50,9 @@ def list_file_lengths(spark: SparkSession, root: str, strip_scheme: bool = True)
     """File lengths straight from the store (SRC4, listing form).
 
     Uses the ``binaryFile`` source; selecting only path and length prunes the content column,
-    so files are listed, not read. Listing runs distributed once the file count passes
-    ``spark.sql.sources.parallelPartitionDiscovery.threshold``.
+    so files are listed, not read. Spark's file scans skip zero-length files, so an empty blob
+    file is missing here; use ``stat_file_lengths`` when empty files must count. Listing runs
+    distributed once the file count passes ``spark.sql.sources.parallelPartitionDiscovery.threshold``.
     ``strip_scheme`` turns ``file:/x`` or ``hdfs://nn/x`` into ``/x`` to match index paths.
     """
     df = (spark.read.format("binaryFile")
@@ -63,6 +64,52 @@ def list_file_lengths(spark: SparkSession, root: str, strip_scheme: bool = True)
     return df.select(F.col("path").cast("string"), F.col("length").cast("bigint"))
 
 
+def _stat_batches(batches):
+    """Arrow-batch helper: stat each path with pyarrow's filesystem layer (null if missing)."""
+    import pandas as pd
+    from pyarrow import fs as pafs
+
+    cache = {}
+    for pdf in batches:
+        paths = pdf["path"].tolist()
+        lengths = [None] * len(paths)
+        by_fs = {}
+        for i, p in enumerate(paths):
+            if p is None:
+                continue
+            scheme = p.split("://", 1)[0] if "://" in p else ("file" if p.startswith("file:") else "")
+            by_fs.setdefault(scheme, []).append(i)
+        for scheme, idx in by_fs.items():
+            if scheme not in cache:
+                cache[scheme] = (pafs.LocalFileSystem() if scheme in ("", "file")
+                                 else pafs.FileSystem.from_uri(paths[idx[0]])[0])
+            filesystem = cache[scheme]
+            local = []
+            for i in idx:
+                p = paths[i]
+                if scheme == "file":
+                    p = p[len("file:"):].lstrip("/")
+                    p = "/" + p
+                elif scheme:
+                    p = pafs.FileSystem.from_uri(p)[1]
+                local.append(p)
+            for i, info in zip(idx, filesystem.get_file_info(local)):
+                if info.type == pafs.FileType.File:
+                    lengths[i] = info.size
+        yield pd.DataFrame({"path": paths, "length": pd.array(lengths, dtype="Int64")})
+
+
+def stat_file_lengths(paths: DataFrame, path_col: str = "path") -> DataFrame:
+    """File lengths by path lookup (SRC4, lookup form): one stat per path, batched per task.
+
+    Stats only the given paths (e.g. the distinct paths of files that need a length), sees
+    zero-length files (which Spark's file scans skip), and returns a null length for a missing
+    file. Runs distributed with ``mapInPandas``; the filesystem comes from each path's scheme.
+    """
+    return (paths.select(F.col(path_col).cast("string").alias("path"))
+            .mapInPandas(_stat_batches, "path string, length bigint"))
+
+
 def read_file_status(spark: SparkSession, src: Source) -> DataFrame:
     """File status output of the aggregate job, five named columns (SRC5, PRJ7)."""
     return _typed(spark, src, schemas.FILE_STATUS)

@@ -126,37 +126,47 @@ def split_summary(assigned: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n_files"))
 
 
+DEFAULT_CHUNK_BYTES = 64 * 1024 * 1024
+
+
 def plan_relocation(assigned: DataFrame, meta: DataFrame,
-                    key_delimiter: str = schemas.DEFAULT_KEY_DELIMITER) -> DataFrame:
+                    key_delimiter: str = schemas.DEFAULT_KEY_DELIMITER,
+                    chunk_bytes: int = DEFAULT_CHUNK_BYTES) -> DataFrame:
     """CMP3, re-aimed as a plan: where each live blob lands when its split is rewritten.
 
     Blobs (meta rows de-duplicated on file and blob) are laid back to back in each split, in
-    (file_id, start, blob_id) order. The offset is computed in two levels so no window holds
-    more than one split's file list or one file's blobs: per-file totals give each file's
-    offset within its split, then a window within the file gives each blob's offset.
+    (file_id, start, blob_id) order. Offsets come in two levels so that no window partition
+    grows with a hot file: each file's byte range is cut into chunks of ``chunk_bytes``
+    (``start div chunk_bytes``); chunk totals give every chunk's offset in its split (one row
+    per chunk), and a window inside each (file, chunk) gives each blob's offset in its chunk.
+    De-duplication is a partial aggregation, so a blob referenced by millions of objects
+    collapses map-side before the shuffle.
     Returns pack_group, split_id, file_id, blob_id, start, length, new_start.
     """
+    if chunk_bytes <= 0:
+        raise ValueError("chunk_bytes must be positive")
     key = F.col("meatRowKey")
     sep = F.instr(key, key_delimiter)
     blobs = (meta.select(F.substring_index(key, key_delimiter, 1).cast("bigint").alias("file_id"),
                          F.substring(key, sep + F.lit(len(key_delimiter)), F.lit(1 << 30)).alias("blob_id"),
                          "start", "length")
+             .withColumn("chunk", F.call_function("div", F.col("start"), F.lit(chunk_bytes)))
+             .select("file_id", "chunk", "blob_id", "start", "length")
              .distinct())
-    placed = blobs.join(assigned.select("file_id", "pack_group", "split_id"), "file_id")
     before = Window.unboundedPreceding
-    per_file = placed.groupBy("pack_group", "split_id", "file_id").agg(
-        F.coalesce(F.sum("length"), F.lit(0)).alias("file_bytes"))
-    file_offsets = per_file.select(
-        "file_id",
-        F.coalesce(F.sum("file_bytes").over(Window.partitionBy("pack_group", "split_id")
-                                            .orderBy("file_id").rowsBetween(before, -1)),
-                   F.lit(0)).alias("file_offset"))
-    in_file = F.coalesce(F.sum("length").over(Window.partitionBy("file_id").orderBy("start", "blob_id")
-                                              .rowsBetween(before, -1)), F.lit(0))
-    return (placed.withColumn("in_file", in_file)
-            .join(file_offsets, "file_id")
+    in_chunk = blobs.withColumn("in_chunk", F.coalesce(F.sum("length").over(
+        Window.partitionBy("file_id", "chunk").orderBy("start", "blob_id").rowsBetween(before, -1)), F.lit(0)))
+    chunks = (blobs.groupBy("file_id", "chunk")
+              .agg(F.coalesce(F.sum("length"), F.lit(0)).alias("chunk_bytes"))
+              .join(assigned.select("file_id", "pack_group", "split_id"), "file_id"))
+    chunk_offsets = chunks.select(
+        "file_id", "chunk", "pack_group", "split_id",
+        F.coalesce(F.sum("chunk_bytes").over(Window.partitionBy("pack_group", "split_id")
+                                             .orderBy("file_id", "chunk").rowsBetween(before, -1)),
+                   F.lit(0)).alias("chunk_offset"))
+    return (in_chunk.join(chunk_offsets, ["file_id", "chunk"])
             .select("pack_group", "split_id", "file_id", "blob_id", "start", "length",
-                    (F.col("file_offset") + F.col("in_file")).cast("bigint").alias("new_start")))
+                    (F.col("chunk_offset") + F.col("in_chunk")).cast("bigint").alias("new_start")))
 
 
 def mark_deleted(status: DataFrame, predicate: Column | None = None,

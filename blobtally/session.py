@@ -9,7 +9,13 @@ from pyspark.sql import SparkSession
 
 # Settings every job relies on. AQE re-plans joins at runtime (broadcast when a side turns out
 # small, split skewed partitions of N:1 lookups); UTC fixes date formatting of run paths.
+# Broadcast policy: no broadcast from planning-time size *estimates* (an estimate taken before an
+# explode can be off by the fan-out); AQE broadcasts only sides whose shuffle output it has
+# measured to be under the adaptive threshold, and explicit hints are used only for sides with
+# a proven row bound (the hot-key index in operators.joins).
 SESSION_DEFAULTS = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

@@ -89,6 +89,9 @@ def test_relocation_plan_has_no_gap_or_overlap(spark, fx):
     meta = status.file_meta(r, fx.blob_index, st, "archive")
     assigned = compact.plan_splits(st, 4194304, 8)
     plan = compact.plan_relocation(assigned, meta).collect()
+    # Cutting files into many small chunks must give the same plan.
+    small_chunks = compact.plan_relocation(assigned, meta, chunk_bytes=5000).collect()
+    assert sorted(map(tuple, small_chunks)) == sorted(map(tuple, plan))
     by_split = {}
     for row in plan:
         by_split.setdefault((row.pack_group, row.split_id), []).append(row)

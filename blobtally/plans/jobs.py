@@ -22,6 +22,8 @@ from blobtally.plans.layout import run_paths, run_timestamp_of
 from blobtally.sources import tables
 
 DEFAULT_SKEW_ROWS = 1_000_000
+# Surviving files whose ids may be broadcast (8-byte keys: ~16 MB of hash table at 1M files).
+DEFAULT_BROADCAST_FILES = 1_000_000
 
 
 @dataclass
@@ -45,7 +47,8 @@ def run_aggregate(spark: SparkSession, objects, blob_index, file_index, file_len
                   base: str, when: datetime | None = None, *, archive_bucket: str,
                   key_delimiter: str = schemas.DEFAULT_KEY_DELIMITER,
                   sample_fraction: float = 1.0,
-                  skew_rows: int | None = DEFAULT_SKEW_ROWS) -> AggregateResult:
+                  skew_rows: int | None = DEFAULT_SKEW_ROWS,
+                  broadcast_files: int | None = DEFAULT_BROADCAST_FILES) -> AggregateResult:
     """JOB1: object table + indexes -> file status and file meta under the run's folder.
 
     Inputs are paths or DataFrames with the schemas in ``blobtally.schemas`` (the object table
@@ -63,7 +66,8 @@ def run_aggregate(spark: SparkSession, objects, blob_index, file_index, file_len
     counters = dict(obs.get)
 
     written = tables.read_file_status(spark, paths.status)
-    meta = file_meta(refs, blobs, written, archive_bucket, key_delimiter, skew_rows=skew_rows)
+    meta = file_meta(refs, blobs, written, archive_bucket, key_delimiter, skew_rows=skew_rows,
+                     broadcast_files=broadcast_files)
     if sample_fraction < 1.0:
         keep = int(round(sample_fraction * 100))
         meta = meta.withColumn("file_id", F.substring_index("meatRowKey", key_delimiter, 1).cast("bigint")) \

@@ -11,6 +11,7 @@ from blobtally.sources.tables import (
     read_run_file_status,
     run_sub_path,
     stat_file_lengths,
+    write_bucketed,
 )
 
 __all__ = [
@@ -24,4 +25,5 @@ __all__ = [
     "read_run_file_status",
     "run_sub_path",
     "stat_file_lengths",
+    "write_bucketed",
 ]

@@ -120,6 +120,21 @@ def read_file_meta(spark: SparkSession, src: Source) -> DataFrame:
     return _typed(spark, src, schemas.FILE_META)
 
 
+def write_bucketed(df: DataFrame, table: str, key: str, n_buckets: int, path: str | None = None) -> str:
+    """Store an index as a catalog table bucketed and sorted by ``key`` (co-located joins).
+
+    Joins on ``key`` with a side shuffled into ``n_buckets`` partitions (set
+    ``spark.sql.shuffle.partitions`` to ``n_buckets`` for the job) then read the index without
+    shuffling it: for the blob index that removes its shuffle from both the status and the meta
+    step. ``path`` places the data files (an external table); otherwise the warehouse is used.
+    """
+    writer = df.write.mode("overwrite").bucketBy(n_buckets, key).sortBy(key)
+    if path:
+        writer = writer.option("path", path)
+    writer.saveAsTable(table)
+    return table
+
+
 def run_sub_path(base_folder: str, sub_folder: str) -> str:
     """Full path of a run output from the base folder and a sub folder (base must end in '/')."""
     if not base_folder:

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Mapping, Sequence
 
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType
@@ -73,14 +74,18 @@ def sort_cells(df: DataFrame, within_partitions: bool = False) -> DataFrame:
 def with_sort_position(df: DataFrame, order: Sequence[str], name: str = "pos") -> DataFrame:
     """Add the 1-based position of every row in the global order ``order``, distributed.
 
-    The range-partitioned sort is checkpointed (reliably, in the shared checkpoint folder) so
-    both passes below see the same partitions; then per-partition counts (one row per
-    partition) give each partition's offset. No row passes through one task or the driver.
+    The range-partitioned sort is checkpointed (reliably, in the shared checkpoint folder; it is
+    persisted only for the checkpoint's own two passes) so both passes below see the same
+    partitions; per-partition counts (one row per partition) then give each partition's
+    offset. No row passes through one task or the driver.
     """
     from blobtally.session import checkpoint_dir
 
     checkpoint_dir(df.sparkSession)
-    ordered = df.orderBy(*order).checkpoint(eager=True)
+    # Persist first so the eager checkpoint computes the sort once (count + checkpoint write).
+    sorted_df = df.orderBy(*order).persist(StorageLevel.MEMORY_AND_DISK)
+    ordered = sorted_df.checkpoint(eager=True)
+    sorted_df.unpersist()
     tagged = ordered.select("*", F.spark_partition_id().alias("_pid"),
                             F.monotonically_increasing_id().alias("_mid"))
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))

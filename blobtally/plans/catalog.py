@@ -214,7 +214,9 @@ def q_split_summary(spark, sf_dir):
 
 def q_relocation_plan(spark, sf_dir):
     fx = _fx(spark, sf_dir)
-    st = _status(fx)
+    # The status feeds both the split plan and the meta: computed once and written as a table in
+    # the shared checkpoint folder, which cuts the lineage (as the aggregate job does).
+    st = tables.read_file_status(spark, sinks.write_file_status(_status(fx), scratch_path(spark, "file_status")))
     return compact.plan_relocation(compact.plan_splits(st, MAX_BYTES, N_GROUPS), _meta(fx, st),
                                    KEY_DELIMITER)
 

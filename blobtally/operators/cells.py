@@ -98,9 +98,34 @@ def with_sort_position(df: DataFrame, order: Sequence[str], name: str = "pos") -
             .drop("_pid", "_mid", "_off"))
 
 
+# Start-key lists up to this size are searched with one comparison tree (generated code);
+# longer lists use two levels so the expression stays small.
+TREE_MAX_KEYS = 512
+BLOCK_KEYS = 64
+
+
 def add_region(df: DataFrame, start_keys: Sequence[bytes], name: str = "region") -> DataFrame:
-    """PRT1/J4: region index of each cell (greatest start key <= row key, floor 0)."""
-    return df.withColumn(name, region_bucket("row_key", start_keys))
+    """PRT1/J4: region index of each cell (greatest start key <= row key, floor 0).
+
+    Up to ``TREE_MAX_KEYS`` keys: one balanced comparison tree. Beyond: a tree over the first
+    key of every block (at least ``BLOCK_KEYS`` keys per block) finds the block, and a broadcast of the blocks (the key list itself:
+    a size known on the driver) is searched with a bounded array filter inside the block.
+    """
+    keys = [bytes(k) for k in start_keys]
+    if len(keys) <= TREE_MAX_KEYS:
+        return df.withColumn(name, region_bucket("row_key", keys))
+    if any(keys[i] > keys[i + 1] for i in range(len(keys) - 1)):
+        raise ValueError("start keys must be sorted")
+    size = max(BLOCK_KEYS, -(-len(keys) // TREE_MAX_KEYS))  # first level stays within the tree limit
+    heads = keys[::size]
+    blocks = df.sparkSession.createDataFrame(
+        [(i, keys[i * size:(i + 1) * size]) for i in range(len(heads))],
+        "_block INT, _keys ARRAY<BINARY>")
+    in_block = F.size(F.filter(F.col("_keys"), lambda k: k <= F.col("row_key")))
+    return (df.withColumn("_block", region_bucket("row_key", heads).cast("int"))
+            .join(F.broadcast(blocks), "_block")
+            .withColumn(name, F.greatest(F.col("_block") * size + in_block - 1, F.lit(0)))
+            .drop("_block", "_keys"))
 
 
 def partition_by_region(df: DataFrame, start_keys: Sequence[bytes]) -> DataFrame:

@@ -190,3 +190,14 @@ def test_write_cells_roundtrip(spark, tmp_dir):
     c = cells.to_cells(_records(spark), "row_key", "f", {"name": "name"})
     p = cells.write_cells(c, os.path.join(tmp_dir, "cells"))
     assert spark.read.parquet(p).count() == 3
+
+
+def test_add_region_two_level_for_long_key_lists(spark):
+    rnd = random.Random(8)
+    keys = sorted({rnd.randbytes(3) for _ in range(3000)})
+    probes = [rnd.randbytes(rnd.randrange(0, 5)) for _ in range(2000)] + keys[:50] + [b""]
+    df = spark.createDataFrame([(p, i) for i, p in enumerate(probes)], "row_key binary, i int")
+    got = {r.i: r.region for r in cells.add_region(df, keys).collect()}
+    assert len(got) == len(probes)
+    for i, p in enumerate(probes):
+        assert got[i] == max(sum(1 for k in keys if k <= p) - 1, 0)

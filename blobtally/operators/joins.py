@@ -24,16 +24,23 @@ DEFAULT_MAX_HOT_KEYS = 10_000
 
 def find_hot_keys(facts: DataFrame, key: str, skew_rows: int,
                   fraction: float = DEFAULT_SAMPLE_FRACTION,
-                  max_hot_keys: int = DEFAULT_MAX_HOT_KEYS, seed: int = 7) -> list:
+                  max_hot_keys: int = DEFAULT_MAX_HOT_KEYS, seed: int = 7,
+                  presampled: float | None = None) -> list:
     """Keys estimated to hold at least ``skew_rows`` rows, at most ``max_hot_keys`` of them.
 
-    Runs one sampled aggregation; only the (bounded) hot key list reaches the driver.
+    Runs one sampled aggregation; only the (bounded) hot key list reaches the driver. If
+    ``facts`` is already a sample (e.g. built from ``sources.sample_input_files``), pass its
+    fraction as ``presampled`` and no row sampling is added.
     """
     if skew_rows <= 0:
         raise ValueError("skew_rows must be positive")
-    fraction = min(1.0, max(fraction, 0.0))
+    if presampled is not None:
+        fraction = min(1.0, max(presampled, 0.0))
+        sampled = facts.select(key)
+    else:
+        fraction = min(1.0, max(fraction, 0.0))
+        sampled = facts.select(key).sample(False, fraction, seed) if fraction < 1.0 else facts.select(key)
     threshold = max(1, int(skew_rows * fraction))
-    sampled = facts.select(key).sample(False, fraction, seed) if fraction < 1.0 else facts.select(key)
     rows = (sampled.filter(F.col(key).isNotNull())
             .groupBy(key).count()
             .filter(F.col("count") >= threshold)

@@ -107,13 +107,15 @@ def file_status(refs: DataFrame, blob_index: DataFrame, file_index: DataFrame,
 
 def file_meta(refs: DataFrame, blob_index: DataFrame, status: DataFrame, archive_bucket: str,
               key_delimiter: str = schemas.DEFAULT_KEY_DELIMITER,
-              skew_rows: int | None = None, broadcast_files: int | None = None) -> DataFrame:
+              skew_rows: int | None = None, broadcast_files: int | None = None,
+              hot_keys: list | None = None) -> DataFrame:
     """One meta row per live reference of a file whose status survived (PRJ3).
 
     The blob index is first reduced to surviving files (semi join on the per-file status),
     then the live references are looked up in it. With ``broadcast_files``, the surviving file
     ids are counted and, if there are at most that many (a checked bound), broadcast, so the
     index is filtered map-side and shuffled only once (by uri); beyond it, a shuffle join.
+    Hot uris are split off the lookup (``hot_keys`` given, or found with ``skew_rows``).
     """
     live = refs.filter(~is_archived("object_key", archive_bucket)).select("object_key", "uri")
     files = status.select("file_id")
@@ -121,7 +123,7 @@ def file_meta(refs: DataFrame, blob_index: DataFrame, status: DataFrame, archive
         files = F.broadcast(files)
     index = (blob_index.select("uri", "file_id", "blob_id", "start", "length")
              .join(files, "file_id", "left_semi"))
-    joined = lookup_join(live, index, "uri", "inner", skew_rows=skew_rows)
+    joined = lookup_join(live, index, "uri", "inner", skew_rows=skew_rows, hot_keys=hot_keys)
     return joined.select(meta_row_key("file_id", "blob_id", key_delimiter).alias("meatRowKey"),
                          F.col("object_key").alias("objectKey"),
                          F.col("start").cast("bigint").alias("start"),

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from blobtally import schemas
 from blobtally.operators import compact
+from blobtally.operators.joins import find_hot_keys
 from blobtally.operators.refs import blob_sample_key, object_refs
 from blobtally.operators.status import file_meta, file_status
 from blobtally.plans import sinks
@@ -22,6 +23,7 @@ from blobtally.plans.layout import run_paths, run_timestamp_of
 from blobtally.sources import tables
 
 DEFAULT_SKEW_ROWS = 1_000_000
+HOT_KEY_FILE_FRACTION = 0.01
 # Surviving files whose ids may be broadcast (8-byte keys: ~16 MB of hash table at 1M files).
 DEFAULT_BROADCAST_FILES = 1_000_000
 
@@ -52,7 +54,9 @@ def run_aggregate(spark: SparkSession, objects, blob_index, file_index, file_len
     """JOB1: object table + indexes -> file status and file meta under the run's folder.
 
     Inputs are paths or DataFrames with the schemas in ``blobtally.schemas`` (the object table
-    raw, as bytes). ``sample_fraction`` < 1 keeps a reproducible per-blob sample of resolved
+    raw, as bytes). Hot uris (at least ``skew_rows`` references) are split off the meta lookup;
+    with the object table given as a path they are found from a sample of its files.
+    ``sample_fraction`` < 1 keeps a reproducible per-blob sample of resolved
     references (the original always sampled 1 %; here the parameter is honoured, default all).
     Returns exit code 0 with the two paths and the lookup counters (hits, misses).
     """
@@ -66,8 +70,14 @@ def run_aggregate(spark: SparkSession, objects, blob_index, file_index, file_len
     counters = dict(obs.get)
 
     written = tables.read_file_status(spark, paths.status)
+    hot = None
+    if skew_rows and isinstance(objects, str):
+        # Hot uris from a sample of the object table's files: ~1 % of the bytes, not a full pass.
+        files, ratio = tables.sample_input_files(spark, objects, schemas.RAW_OBJECTS, HOT_KEY_FILE_FRACTION)
+        hot = find_hot_keys(object_refs(tables.read_objects(spark, files)), "uri", skew_rows,
+                            presampled=ratio)
     meta = file_meta(refs, blobs, written, archive_bucket, key_delimiter, skew_rows=skew_rows,
-                     broadcast_files=broadcast_files)
+                     broadcast_files=broadcast_files, hot_keys=hot)
     if sample_fraction < 1.0:
         keep = int(round(sample_fraction * 100))
         meta = meta.withColumn("file_id", F.substring_index("meatRowKey", key_delimiter, 1).cast("bigint")) \

@@ -10,6 +10,7 @@ from blobtally.sources.tables import (
     read_objects,
     read_run_file_status,
     run_sub_path,
+    sample_input_files,
     stat_file_lengths,
     write_bucketed,
 )
@@ -24,6 +25,7 @@ __all__ = [
     "read_objects",
     "read_run_file_status",
     "run_sub_path",
+    "sample_input_files",
     "stat_file_lengths",
     "write_bucketed",
 ]

@@ -13,7 +13,7 @@ from pyspark.sql.types import StructType
 
 from blobtally import schemas
 
-Source = str | DataFrame
+Source = str | list | tuple | DataFrame
 
 
 def _typed(spark: SparkSession, src: Source, schema: StructType) -> DataFrame:
@@ -21,6 +21,8 @@ def _typed(spark: SparkSession, src: Source, schema: StructType) -> DataFrame:
         df = src
     elif isinstance(src, str):
         df = spark.read.schema(schema).parquet(src)
+    elif isinstance(src, (list, tuple)) and src and all(isinstance(p, str) for p in src):
+        df = spark.read.schema(schema).parquet(*src)
     else:
         raise TypeError(f"expected a path or a DataFrame, got {type(src).__name__}")
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
@@ -120,6 +122,26 @@ def read_file_meta(spark: SparkSession, src: Source) -> DataFrame:
     return _typed(spark, src, schemas.FILE_META)
 
 
+def sample_input_files(spark: SparkSession, path: str, schema: StructType, fraction: float,
+                       seed: int = 0) -> tuple[list[str], float]:
+    """A reproducible sample of a table's data files and the fraction of files it keeps.
+
+    Row sampling reads every row before it drops any; sampling whole files reads only about
+    ``fraction`` of the bytes, which is what makes a statistics pass (hot-key detection) cheap
+    on a very large table. Files are chosen by a hash of their name; at least one is kept.
+    """
+    import zlib
+
+    files = sorted(spark.read.schema(schema).parquet(path).inputFiles())
+    if not files:
+        return [], 1.0
+    scale = 1_000_000
+    keep = [f for f in files if zlib.crc32(f"{seed}:{f}".encode()) % scale < fraction * scale]
+    if not keep:
+        keep = [min(files, key=lambda f: zlib.crc32(f"{seed}:{f}".encode()))]
+    return keep, len(keep) / len(files)
+
+
 def write_bucketed(df: DataFrame, table: str, key: str, n_buckets: int, path: str | None = None) -> str:
     """Store an index as a catalog table bucketed and sorted by ``key`` (co-located joins).
 

@@ -146,3 +146,18 @@ def test_flatten_meta_is_clustered_by_file(spark, fx):
     rows = flat.collect()
     order = [(int(x.meatRowKey.split("_")[0]), x.start, x.meatRowKey) for x in rows]
     assert order == sorted(order)
+
+
+def test_hot_keys_from_file_sample(spark, tmp_dir):
+    from blobtally import schemas as sc
+    from blobtally.sources import read_objects, sample_input_files
+
+    rows = [(f"photos/{i}".encode(), (b"hot," + f"u{i}".encode()), (8).to_bytes(8, "big")) for i in range(4000)]
+    path = tmp_dir + "/objects"
+    spark.createDataFrame(rows, sc.RAW_OBJECTS).repartition(20).write.parquet(path)
+    files, ratio = sample_input_files(spark, path, sc.RAW_OBJECTS, 0.2, seed=1)
+    assert 0 < len(files) < 20 and abs(ratio - len(files) / 20) < 1e-9
+    again, _ = sample_input_files(spark, path, sc.RAW_OBJECTS, 0.2, seed=1)
+    assert again == files
+    hot = joins.find_hot_keys(refs.object_refs(read_objects(spark, files)), "uri", 1000, presampled=ratio)
+    assert hot == ["hot"]

@@ -47,17 +47,25 @@ def meta_row_key(file_id: ColumnOrName, blob_id: ColumnOrName, delimiter: str) -
     return F.concat(_col(file_id).cast("string"), F.lit(delimiter), _col(blob_id))
 
 
+INT_MIN, INT_MAX = -(1 << 31), (1 << 31) - 1
+
+
 def empty_percent(length: ColumnOrName, remain: ColumnOrName) -> Column:
     """Integer percent of a file that is no longer referenced, truncated toward zero.
 
-    A zero-length file gives -1. Negative results (more referenced than stored) are kept.
+    A zero-length file gives -1. Negative results (more referenced than stored) are kept. The
+    arithmetic is exact (DECIMAL(38,0), so ``(length - remain) * 100`` cannot overflow), and a
+    percent outside the INT range saturates at its bound instead of wrapping or failing.
     """
-    n = _col(length)
-    r = _col(remain)
-    # SQL `div` truncates toward zero like the JVM's long division; the zero guard comes first
-    # because CASE evaluates only the chosen branch.
-    percent = F.call_function("div", (n - r) * F.lit(100), n)
-    return F.when(n == 0, F.lit(-1)).otherwise(percent).cast("int")
+    n = _col(length).cast("decimal(38,0)")
+    x = (n - _col(remain).cast("decimal(38,0)")) * F.lit(100)
+    # SQL `div` truncates toward zero like the JVM's long division; CASE evaluates only the
+    # chosen branch, so the zero and saturation guards come first.
+    return (F.when(n == 0, F.lit(-1))
+            .when(x <= n * F.lit(INT_MIN), F.lit(INT_MIN))
+            .when(x >= n * F.lit(INT_MAX + 1), F.lit(INT_MAX))
+            .otherwise(F.call_function("div", x, n))
+            .cast("int"))
 
 
 def run_day(ts: ColumnOrName) -> Column:

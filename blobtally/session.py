@@ -46,6 +46,23 @@ def get_session(master: str | None = None, app: str = "blobtally",
     return spark
 
 
+def scale_conf(shuffle_bytes: int, partition_bytes: int = 256 * 1024 * 1024,
+               min_partitions: int = 200, max_partitions: int = 100_000) -> dict:
+    """Settings for a run that shuffles about ``shuffle_bytes``: partitions of ~``partition_bytes``.
+
+    Shuffle partitions are sized so each reducer holds one partition's worth (AQE coalesces
+    smaller ones at runtime and splits skewed ones); input splits and AQE's advisory size use
+    the same target. When the blob index is stored bucketed, use its bucket count instead.
+    """
+    n = max(min_partitions, min(max_partitions, -(-int(shuffle_bytes) // int(partition_bytes))))
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+    }
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 

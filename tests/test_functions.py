@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from blobtally.functions import (
     bytes_to_long,
@@ -94,4 +93,12 @@ def test_region_bucket_matches_linear_count(spark):
     got = _one(spark, region_bucket("k", keys), "k binary", [(p,) for p in probes])
     want = [max(sum(1 for k in keys if k <= p) - 1, 0) for p in probes]
     assert got == want
-    assert F is not None
+
+
+def test_scale_conf():
+    from blobtally.session import scale_conf
+
+    conf = scale_conf(100 * (1 << 40))  # 100 TiB shuffled
+    assert conf["spark.sql.shuffle.partitions"] == "100000"  # 409,600 wanted, capped
+    assert scale_conf(1 << 30)["spark.sql.shuffle.partitions"] == "200"  # floor
+    assert scale_conf(10 * (1 << 40))["spark.sql.shuffle.partitions"] == "40960"

@@ -161,3 +161,12 @@ def test_hot_keys_from_file_sample(spark, tmp_dir):
     assert again == files
     hot = joins.find_hot_keys(refs.object_refs(read_objects(spark, files)), "uri", 1000, presampled=ratio)
     assert hot == ["hot"]
+
+
+def test_remain_size_saturates_below_the_sentinel(spark):
+    big = (1 << 62)
+    objects = [("photos/a", "h", 1), ("photos/b", "h", 1), ("photos/c", "h", 1), ("photos/d", "s", 1)]
+    blobs = [("h", 1, "a", 0, big), ("s", 2, "a", 0, 10)]
+    r = refs.object_refs(raw(spark, objects))
+    got = {x.file_id: x.remain_size for x in status.file_totals(r, index(spark, blobs), "archive").collect()}
+    assert got == {1: schemas.LONG_MAX - 1, 2: 10}

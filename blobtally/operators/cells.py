@@ -159,6 +159,34 @@ def bulk_load_cells(df: DataFrame, start_keys: Sequence[bytes], staging: str,
     return staging
 
 
+def write_cells_with(df: DataFrame, open_writer: Callable[[], object]) -> int:
+    """SNK8 with an external store: every task opens one writer, hands it Arrow batches of
+    cells, and closes it; returns the number of cells written.
+
+    ``open_writer()`` runs on the executors and returns an object with ``write(batch)`` (a
+    ``pyarrow.RecordBatch`` of row_key, family, qualifier, value) and ``close()``. Batches keep
+    the per-row Python work out of Spark; a failed task is retried with a fresh writer, so the
+    store's puts should be idempotent (a cell put twice holds the same value).
+    """
+    import pyarrow as pa
+
+    def run(batches):
+        writer = open_writer()
+        n = 0
+        try:
+            for batch in batches:
+                if batch.num_rows:
+                    writer.write(batch)
+                    n += batch.num_rows
+        finally:
+            writer.close()
+        yield pa.RecordBatch.from_pydict({"n": [n]})
+
+    cells = df.select(*[F.col(f.name).cast(f.dataType) for f in schemas.CELLS.fields])
+    total = cells.mapInArrow(run, "n BIGINT").agg(F.sum("n")).first()[0]
+    return int(total or 0)
+
+
 def write_cells(df: DataFrame, path: str) -> str:
     """SNK8: persist cells (the replacement for per-record write calls)."""
     df.select(*[F.col(f.name).cast(f.dataType) for f in schemas.CELLS.fields]) \

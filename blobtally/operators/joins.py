@@ -72,3 +72,17 @@ def lookup_join(facts: DataFrame, index: DataFrame, key: str, how: str = "inner"
     hot_part = facts.filter(is_hot).join(F.broadcast(hot_index), key, how)
     cold_part = facts.filter(~is_hot | F.col(key).isNull()).join(index, key, how)
     return hot_part.unionByName(cold_part)
+
+
+def assert_unique(index: DataFrame, key: str, show: int = 5) -> DataFrame:
+    """Fail if ``key`` is not unique in ``index`` (a lookup index must return at most one row).
+
+    One partial+final aggregation; at most ``show`` offending keys reach the driver. Returns
+    ``index`` unchanged so it can sit inside a chain. Nothing is de-duplicated silently.
+    """
+    dupes = (index.groupBy(key).count().filter(F.col("count") > 1)
+             .limit(show).collect())
+    if dupes:
+        sample = ", ".join(f"{r[0]!r} x{r[1]}" for r in dupes)
+        raise ValueError(f"{key} is not unique in the index: {sample}")
+    return index

@@ -170,3 +170,12 @@ def test_remain_size_saturates_below_the_sentinel(spark):
     r = refs.object_refs(raw(spark, objects))
     got = {x.file_id: x.remain_size for x in status.file_totals(r, index(spark, blobs), "archive").collect()}
     assert got == {1: schemas.LONG_MAX - 1, 2: 10}
+
+
+def test_assert_unique(spark, fx):
+    import pytest
+
+    assert joins.assert_unique(fx.blob_index, "uri") is fx.blob_index
+    dup = index(spark, [("u1", 1, "a", 0, 1), ("u1", 2, "b", 0, 1), ("u2", 1, "c", 0, 1)])
+    with pytest.raises(ValueError, match="u1"):
+        joins.assert_unique(dup, "uri")

@@ -4,8 +4,9 @@ Reads testdata at $BENCH_SF_DIR (default /root/testdata/sf0.1) on local[$BENCH_C
 The store tables (objects as raw bytes, blob index, file index, file lengths, key-value
 records) are derived from testdata once and written as Parquet to a fresh scratch folder, so
 the timed queries read Parquet exactly as they would read the store (scan pruning and
-pushdown included); the blob index is stored bucketed by uri, the recommended layout. Each query runs once to warm up and three times timed; the median is
-reported (the warm-up round runs over all queries before any timed round). Results are
+pushdown included); the blob index is stored bucketed by uri, the recommended layout. Each
+query runs once to warm up and three times timed; the median is reported (the warm-up round
+runs over all queries before any timed round). Results are
 consumed by the ``noop`` sink: fully computed, nothing collected.
 
 Prints one JSON line: {"metric", "value" (sum of medians), "unit", "queries", "sf", ...}.

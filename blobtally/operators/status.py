@@ -120,7 +120,7 @@ def file_status(refs: DataFrame, blob_index: DataFrame, file_index: DataFrame,
 def file_meta(refs: DataFrame, blob_index: DataFrame, status: DataFrame, archive_bucket: str,
               key_delimiter: str = schemas.DEFAULT_KEY_DELIMITER,
               skew_rows: int | None = None, broadcast_files: int | None = None,
-              hot_keys: list | None = None) -> DataFrame:
+              hot_keys: list | None = None, n_files: int | None = None) -> DataFrame:
     """One meta row per live reference of a file whose status survived (PRJ3).
 
     The blob index is first reduced to surviving files (semi join on the per-file status),
@@ -128,10 +128,11 @@ def file_meta(refs: DataFrame, blob_index: DataFrame, status: DataFrame, archive
     ids are counted and, if there are at most that many (a checked bound), broadcast, so the
     index is filtered map-side and shuffled only once (by uri); beyond it, a shuffle join.
     Hot uris are split off the lookup (``hot_keys`` given, or found with ``skew_rows``).
+    ``n_files`` passes a known row count of ``status`` so it is not counted again.
     """
     live = refs.filter(~is_archived("object_key", archive_bucket)).select("object_key", "uri")
     files = status.select("file_id")
-    if broadcast_files is not None and files.count() <= broadcast_files:
+    if broadcast_files is not None and (n_files if n_files is not None else files.count()) <= broadcast_files:
         files = F.broadcast(files)
     index = (blob_index.select("uri", "file_id", "blob_id", "start", "length")
              .join(files, "file_id", "left_semi"))

@@ -76,14 +76,15 @@ def run_aggregate(spark: SparkSession, objects, blob_index, file_index, file_len
         files, ratio = tables.sample_input_files(spark, objects, schemas.RAW_OBJECTS, HOT_KEY_FILE_FRACTION)
         hot = find_hot_keys(object_refs(tables.read_objects(spark, files)), "uri", skew_rows,
                             presampled=ratio)
+    n_files = written.count()
     meta = file_meta(refs, blobs, written, archive_bucket, key_delimiter, skew_rows=skew_rows,
-                     broadcast_files=broadcast_files, hot_keys=hot)
+                     broadcast_files=broadcast_files, hot_keys=hot, n_files=n_files)
     if sample_fraction < 1.0:
         keep = int(round(sample_fraction * 100))
         meta = meta.withColumn("file_id", F.substring_index("meatRowKey", key_delimiter, 1).cast("bigint")) \
             .filter(F.pmod(blob_sample_key(), F.lit(100)) < keep)
     sinks.write_file_meta(meta, paths.meta)
-    counters["files"] = written.count()
+    counters["files"] = n_files
     return AggregateResult(0, paths.status, paths.meta, counters)
 
 

@@ -49,3 +49,35 @@ def test_bucketed_blob_index_is_not_shuffled(spark, fx, tmp_dir):
     unbucketed = _plan(status.file_totals(r, fx.blob_index, "archive"))
     assert unbucketed.count("Exchange hashpartitioning(uri") == 2
     assert totals.count() == status.file_totals(r, fx.blob_index, "archive").count()
+
+
+def test_split_fold_reads_sorted_exact_partitions(spark, fx):
+    from blobtally.operators import compact
+
+    st = status.file_status(refs.object_refs(fx.objects_raw), fx.blob_index, fx.file_index,
+                            fx.file_lengths, "archive")
+    plan = _plan(compact.plan_splits(st, 4194304, 8))
+    lines = [ln.strip(" :+-") for ln in plan.splitlines()]
+    i = next(k for k, ln in enumerate(lines) if ln.startswith("MapInPandas"))
+    # Directly below the fold: the in-partition sort, then the exact id -> partition exchange.
+    assert lines[i + 1].startswith("Sort [pack_group") and "file_id" in lines[i + 1]
+    assert "shufflepartitionidpassthrough" in lines[i + 2]
+
+
+def test_meta_with_bucketed_index_shuffles_only_references(spark, fx, tmp_dir):
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    write_bucketed(fx.blob_index, "blob_index_bucketed_meta", "uri", n, os.path.join(tmp_dir, "bi"))
+    p = _store(fx, tmp_dir)
+    r = refs.object_refs(tables.read_objects(spark, p["objects_raw"]))
+    idx = tables.read_blob_index(spark, spark.table("blob_index_bucketed_meta"))
+    st_path = os.path.join(tmp_dir, "status")
+    status.file_status(r, idx, tables.read_file_index(spark, p["file_index"]),
+                       tables.read_file_lengths(spark, p["file_lengths"]), "archive").write.parquet(st_path)
+    st = tables.read_file_status(spark, st_path)
+    meta = status.file_meta(r, idx, st, "archive", broadcast_files=1_000_000)
+    plan = _plan(meta)
+    assert "Bucketed: true" in plan
+    assert plan.count("Exchange hashpartitioning(uri") == 1     # the references only
+    assert "BroadcastExchange" in plan                            # the checked file-id set
+    assert "Exchange hashpartitioning(file_id" not in plan
+    assert meta.count() == status.file_meta(r, fx.blob_index, st, "archive").count()

@@ -42,17 +42,22 @@ def object_refs(raw: DataFrame) -> DataFrame:
     return explode_refs(decode_objects(valid_objects(raw)))
 
 
-def resolve_refs(refs: DataFrame, blob_index: DataFrame, skew_rows: int | None = None) -> DataFrame:
-    """References that resolve in the blob index, with their blob's file, id, start and length."""
+def resolve_refs(refs: DataFrame, blob_index: DataFrame, skew_rows: int | None = None,
+                 hot_keys: list | None = None) -> DataFrame:
+    """References that resolve in the blob index, with their blob's file, id, start and length.
+
+    Hot uris (``hot_keys``, or found with ``skew_rows``) are split off the shuffle join.
+    """
     out = lookup_join(refs, blob_index.select("uri", "file_id", "blob_id", "start", "length"),
-                      "uri", "inner", skew_rows=skew_rows)
+                      "uri", "inner", skew_rows=skew_rows, hot_keys=hot_keys)
     return out.select("object_key", "uri", "size", "file_id", "blob_id", "start", "length")
 
 
-def unresolved_refs(refs: DataFrame, blob_index: DataFrame, skew_rows: int | None = None) -> DataFrame:
+def unresolved_refs(refs: DataFrame, blob_index: DataFrame, skew_rows: int | None = None,
+                    hot_keys: list | None = None) -> DataFrame:
     """References whose uri is not in the blob index."""
-    return lookup_join(refs, blob_index.select("uri"), "uri", "left_anti", skew_rows=skew_rows) \
-        .select("object_key", "uri", "size")
+    return lookup_join(refs, blob_index.select("uri"), "uri", "left_anti", skew_rows=skew_rows,
+                       hot_keys=hot_keys).select("object_key", "uri", "size")
 
 
 def refs_per_uri(refs: DataFrame, archived: Column | None = None) -> DataFrame:

@@ -66,8 +66,10 @@ def scale_conf(shuffle_bytes: int, partition_bytes: int = 256 * 1024 * 1024,
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
-    Uses the folder the cluster names in ``spark.checkpoint.dir``. Only when nothing is set
-    (local tests) a fresh temporary folder is created and registered.
+    Uses the folder the cluster names in ``spark.checkpoint.dir`` (or one already set on the
+    context). Only a local-mode session (tests, benches) without one gets a fresh temporary
+    folder; on a cluster a machine-local folder would not survive an executor loss, so an
+    unset folder is an error there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -75,6 +77,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS or an "
+                               "object store) for checkpoints and intermediate tables")
         configured = tempfile.mkdtemp(prefix="blobtally-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

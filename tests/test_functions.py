@@ -58,9 +58,9 @@ def test_run_timestamp_golden(spark):
 def test_run_paths_layout():
     from datetime import datetime, timezone
 
-    p = run_paths("hdfs://c/fds/", datetime(2017, 9, 17, 15, 18, 34, tzinfo=timezone.utc))
-    assert p.status == "hdfs://c/fds/aggregator/2017-09-17/1505661514000/file_status"
-    assert p.meta == "hdfs://c/fds/aggregator/2017-09-17/1505661514000/file_meta"
+    p = run_paths("hdfs://c/blobstore/", datetime(2017, 9, 17, 15, 18, 34, tzinfo=timezone.utc))
+    assert p.status == "hdfs://c/blobstore/aggregator/2017-09-17/1505661514000/file_status"
+    assert p.meta == "hdfs://c/blobstore/aggregator/2017-09-17/1505661514000/file_meta"
     assert p.status != p.meta
     with pytest.raises(ValueError):
         run_paths("")

@@ -15,8 +15,12 @@ def _col(c: ColumnOrName) -> Column:
 
 
 def decode_utf8(c: ColumnOrName) -> Column:
-    """Bytes -> UTF-8 string."""
-    return F.decode(_col(c), "UTF-8")
+    """Bytes -> UTF-8 string; malformed sequences become U+FFFD instead of failing the job.
+
+    (``decode(b, 'UTF-8')`` raises on malformed input in Spark 4; a single bad object key must
+    not stop a run over the whole table, and a JVM byte-to-string conversion also replaces.)
+    """
+    return F.make_valid_utf8(_col(c).cast("string"))
 
 
 def bytes_to_long(c: ColumnOrName) -> Column:

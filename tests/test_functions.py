@@ -30,6 +30,9 @@ def test_bytes_to_long_short_array_fails(spark):
 
 def test_decode_utf8(spark):
     assert _one(spark, decode_utf8("b"), "b binary", [("ü/κ".encode(),)]) == ["ü/κ"]
+    bad = [b"\xff\xfeab", b"\xe2\x82", b"a\xed\xa0\x80b", None]
+    assert _one(spark, decode_utf8("b"), "b binary", [(v,) for v in bad]) == \
+        [None if v is None else v.decode("utf-8", "replace") for v in bad]
 
 
 def test_is_archived_needs_slash(spark):

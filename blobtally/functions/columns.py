@@ -24,18 +24,19 @@ def decode_utf8(c: ColumnOrName) -> Column:
 
 
 def bytes_to_long(c: ColumnOrName) -> Column:
-    """8 bytes, big-endian, signed -> BIGINT.
+    """Big-endian signed 64-bit value of the first 8 bytes -> BIGINT.
 
-    Null and empty inputs give null (they are filtered out before decoding anyway); any other
-    length fails the query, as a short array fails the original decoder.
+    Null and empty inputs give null (they are filtered out before decoding anyway). Longer
+    arrays are read from their first 8 bytes and shorter ones fail the query, as in the
+    original decoder (a truncated size cell is corrupt data, not something to skip silently).
     """
     b = _col(c)
     # conv to base -10 reads the hex digits as an unsigned 64-bit value and prints it signed.
-    value = F.conv(F.hex(b), 16, -10).cast("bigint")
+    value = F.conv(F.hex(F.substring(b, 1, 8)), 16, -10).cast("bigint")
     return (
         F.when(b.isNull() | (F.length(b) == 0), F.lit(None).cast("bigint"))
-        .when(F.length(b) == 8, value)
-        .otherwise(F.raise_error(F.lit("size cell is not an 8-byte long")).cast("bigint"))
+        .when(F.length(b) >= 8, value)
+        .otherwise(F.raise_error(F.lit("size cell is shorter than an 8-byte long")).cast("bigint"))
     )
 
 

@@ -18,9 +18,11 @@ def _one(spark, expr, schema, rows):
 
 def test_bytes_to_long_big_endian_signed(spark):
     rows = [(bytes.fromhex("0000000000000400"),), (bytes.fromhex("FFFFFFFFFFFFFFFE"),),
-            (bytes(8),), (None,), (b"",), (bytes.fromhex("7FFFFFFFFFFFFFFF"),)]
+            (bytes(8),), (None,), (b"",), (bytes.fromhex("7FFFFFFFFFFFFFFF"),),
+            (bytes.fromhex("0000000000000400FFFF"),)]
     got = _one(spark, bytes_to_long("b"), "b binary", rows)
-    assert got == [1024, -2, 0, None, None, 9223372036854775807]
+    # A longer array is read from its first 8 bytes.
+    assert got == [1024, -2, 0, None, None, 9223372036854775807, 1024]
 
 
 def test_bytes_to_long_short_array_fails(spark):

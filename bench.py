@@ -24,7 +24,6 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import functions as F  # noqa: E402
 
 from blobtally import schemas  # noqa: E402
 from blobtally.operators import cells, compact, refs, status  # noqa: E402

@@ -101,3 +101,16 @@ def test_status_roundtrip_keeps_names_and_types(spark, fx, tmp_dir):
     assert [(f.name, f.dataType.simpleString()) for f in back.schema.fields] == \
         [("file_id", "bigint"), ("emptyPercent", "int"), ("remainSize", "bigint"), ("path", "string"),
          ("deleted", "boolean")]
+
+
+def test_catalog_runs_lists_every_run(spark, tmp_dir):
+    base = tmp_dir.rstrip("/") + "/"
+    df = spark.createDataFrame([(1, 0, 0, "/a", False)], schemas.FILE_STATUS)
+    for ts, day in [(1505661514000, "2017-09-17"), (1505747914000, "2017-09-18")]:
+        for kind in ["file_status", "file_meta"]:
+            df.write.parquet(f"{base}aggregator/{day}/{ts}/{kind}")
+    df.write.parquet(f"{base}aggregator/2017-09-18/latest/file_status")  # not a run folder
+    runs = {(r.day, r.run_ts, r.kind) for r in catalog_runs(spark, base).collect()}
+    assert runs == {("2017-09-17", 1505661514000, "file_status"), ("2017-09-17", 1505661514000, "file_meta"),
+                    ("2017-09-18", 1505747914000, "file_status"), ("2017-09-18", 1505747914000, "file_meta"),
+                    ("2017-09-18", None, "file_status")}

@@ -179,3 +179,18 @@ def test_assert_unique(spark, fx):
     dup = index(spark, [("u1", 1, "a", 0, 1), ("u1", 2, "b", 0, 1), ("u2", 1, "c", 0, 1)])
     with pytest.raises(ValueError, match="u1"):
         joins.assert_unique(dup, "uri")
+
+
+def test_file_meta_with_a_hot_uri_equals_plain_lookup(spark):
+    # One uri referenced by a third of all objects.
+    objects = [(f"photos/{i}", "hot" if i % 3 == 0 else f"u{i % 40}", 1) for i in range(900)]
+    blobs = [("hot", 1, "h", 0, 10)] + [(f"u{j}", 2 + j % 5, f"b{j}", j * 10, 10) for j in range(40)]
+    r = refs.object_refs(raw(spark, objects))
+    idx = index(spark, blobs)
+    st = spark.createDataFrame([(f, 0, 0, f"/f{f}", False) for f in range(1, 7)], schemas.FILE_STATUS)
+    assert joins.find_hot_keys(r, "uri", skew_rows=200, fraction=1.0) == ["hot"]
+    plain = sorted(map(tuple, status.file_meta(r, idx, st, "archive").collect()))
+    split = sorted(map(tuple, status.file_meta(r, idx, st, "archive", hot_keys=["hot"]).collect()))
+    found = sorted(map(tuple, status.file_meta(r, idx, st, "archive", skew_rows=200).collect()))
+    assert plain == split == found
+    assert sum(1 for m in plain if m[0] == "1_h") == 300

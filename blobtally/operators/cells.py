@@ -89,6 +89,7 @@ def with_sort_position(df: DataFrame, order: Sequence[str], name: str = "pos") -
     tagged = ordered.select("*", F.spark_partition_id().alias("_pid"),
                             F.monotonically_increasing_id().alias("_mid"))
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    # One row per partition: the only unpartitioned window here, bounded by the partition count.
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(
         Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
     # monotonically_increasing_id = (partition index << 33) + row index within the partition.

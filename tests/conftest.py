@@ -13,7 +13,9 @@ SF_SMALL = "/root/testdata/sf0.001"
 def spark():
     from blobtally.session import checkpoint_dir, get_session
 
-    s = get_session("local[4]", app="blobtally-tests", shuffle_partitions=8)
+    warehouse = tempfile.mkdtemp(prefix="blobtally-warehouse-")
+    s = get_session("local[4]", app="blobtally-tests", shuffle_partitions=8,
+                    extra={"spark.sql.warehouse.dir": warehouse})
     checkpoint_dir(s)
     yield s
     s.stop()

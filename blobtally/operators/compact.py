@@ -107,14 +107,12 @@ def _merge_tails(assigned: DataFrame, max_bytes: int, n_groups: int) -> DataFram
              .select("pack_group", "split_id"))
     tail_files = assigned.join(tails, ["pack_group", "split_id"], "left_semi")
     kept = assigned.join(tails, ["pack_group", "split_id"], "left_anti")
-    # Tails hold less than max_bytes each, n_groups of them: one sequential pass, in group order.
-    ordered = tail_files.select("file_id", "remainSize",
-                                (F.col("pack_group").cast("bigint") * F.lit(1 << 40) + F.col("file_id"))
-                                .alias("_order"))
-    merged = (ordered.repartitionById(1, F.lit(0))
-              .sortWithinPartitions("_order")
-              .withColumn("pack_group", F.lit(n_groups).cast("int"))
-              .select("file_id", "pack_group", "remainSize")
+    # Tails hold less than max_bytes each, n_groups of them: one sequential pass, in group order
+    # (sorted by the original group and file before the group is relabelled).
+    merged = (tail_files.select("file_id", "remainSize", F.col("pack_group").alias("_group"))
+              .repartitionById(1, F.lit(0))
+              .sortWithinPartitions("_group", "file_id")
+              .select("file_id", F.lit(n_groups).cast("int").alias("pack_group"), "remainSize")
               .mapInPandas(_fold(max_bytes), ASSIGNMENT_DDL))
     return kept.unionByName(merged)
 
@@ -150,7 +148,9 @@ def plan_relocation(assigned: DataFrame, meta: DataFrame,
     blobs = (meta.select(F.substring_index(key, key_delimiter, 1).cast("bigint").alias("file_id"),
                          F.substring(key, sep + F.lit(len(key_delimiter)), F.lit(1 << 30)).alias("blob_id"),
                          "start", "length")
-             .withColumn("chunk", F.call_function("div", F.col("start"), F.lit(chunk_bytes)))
+             # A blob without a start sorts first (as NULLS FIRST would) in chunk -1.
+             .withColumn("chunk", F.coalesce(F.call_function("div", F.col("start"), F.lit(chunk_bytes)),
+                                             F.lit(-1).cast("bigint")))
              .select("file_id", "chunk", "blob_id", "start", "length")
              .distinct())
     before = Window.unboundedPreceding
@@ -172,10 +172,11 @@ def plan_relocation(assigned: DataFrame, meta: DataFrame,
 def mark_deleted(status: DataFrame, predicate: Column | None = None,
                  min_empty_percent: int | None = None) -> DataFrame:
     """CMP4, re-aimed as marking: set ``deleted`` where ``predicate`` (or emptyPercent >=
-    ``min_empty_percent``) holds. Removes nothing."""
+    ``min_empty_percent``) holds; files already marked stay marked. Removes nothing."""
     if predicate is None:
         if min_empty_percent is None:
             raise ValueError("give a predicate or min_empty_percent")
         predicate = F.col("emptyPercent") >= F.lit(min_empty_percent)
     return status.select("file_id", "emptyPercent", "remainSize", "path",
-                         F.coalesce(predicate, F.lit(False)).alias("deleted"))
+                         (F.coalesce(F.col("deleted"), F.lit(False))
+                          | F.coalesce(predicate, F.lit(False))).alias("deleted"))

@@ -58,16 +58,19 @@ def file_totals(refs: DataFrame, blob_index: DataFrame, archive_bucket: str,
     # Long arithmetic that reports overflow as null (a blob referenced billions of times can
     # exceed 2^63 bytes in bag semantics); an overflowing file saturates just below the
     # all-archived sentinel, so LONG_MAX keeps meaning "all archived".
+    # A null length counts as 0 bytes; only a null product of non-null inputs, or a null sum
+    # over at least one non-null product, is an overflow.
     live_bytes = F.try_multiply(F.col("n_live"), F.col("length"))
     overflowed = (live_bytes.isNull() & F.col("length").isNotNull()).cast("int")
     totals = resolved.groupBy("file_id").agg(
         F.sum("n_refs").cast("bigint").alias("n_refs"),
         F.sum("n_live").cast("bigint").alias("n_live"),
         F.try_sum(live_bytes).alias("_live_bytes"),
+        F.count(live_bytes).alias("_summed"),
         F.max(overflowed).alias("_overflow"))
     saturated = F.lit(schemas.LONG_MAX - 1)
     remain = (F.when(F.col("_overflow") == 1, saturated)
-              .when(F.col("_live_bytes").isNull() & (F.col("n_live") > 0), saturated)
+              .when(F.col("_live_bytes").isNull() & (F.col("_summed") > 0), saturated)
               .otherwise(F.coalesce(F.col("_live_bytes"), F.lit(0))))
     totals = totals.select("file_id", "n_refs", "n_live",
                            F.least(remain, saturated).cast("bigint").alias("remain_size"),

@@ -90,11 +90,13 @@ def run_aggregate(spark: SparkSession, objects, blob_index, file_index, file_len
 
 def run_compact(spark: SparkSession, base_folder: str, status_sub_path: str, out_path: str, *,
                 max_bytes: int, n_groups: int | None = None, meta_sub_path: str | None = None,
-                include_archived: bool = True, merge_tails: bool = False) -> CompactResult:
+                include_archived: bool = True, merge_tails: bool = False,
+                key_delimiter: str = schemas.DEFAULT_KEY_DELIMITER) -> CompactResult:
     """JOB2: a run's file status -> split plan (and, given the meta, a relocation plan).
 
     The status path is base folder + sub path; its run timestamp must parse from the path.
-    Writes ``<out_path>/splits`` and optionally ``<out_path>/relocation``.
+    Writes ``<out_path>/splits`` and optionally ``<out_path>/relocation``. ``key_delimiter``
+    must be the one the aggregate run wrote into the meta row keys.
     """
     status_path = tables.run_sub_path(base_folder, status_sub_path)
     run_ts = run_timestamp_of(status_path)
@@ -109,7 +111,8 @@ def run_compact(spark: SparkSession, base_folder: str, status_sub_path: str, out
     relocation_path = None
     if meta_sub_path:
         meta = tables.read_file_meta(spark, tables.run_sub_path(base_folder, meta_sub_path))
-        plan = compact.plan_relocation(spark.read.schema(schemas.SPLIT_ASSIGNMENT).parquet(splits_path), meta)
+        plan = compact.plan_relocation(spark.read.schema(schemas.SPLIT_ASSIGNMENT).parquet(splits_path), meta,
+                                       key_delimiter)
         relocation_path = f"{out}/relocation"
         plan.write.mode("overwrite").parquet(relocation_path)
     return CompactResult(0, run_ts, splits_path, relocation_path, counters)

@@ -8,7 +8,7 @@ a base folder as a DataFrame (distributed listing), using the column forms in
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,13 +32,15 @@ def _check_base(base: str) -> None:
 
 
 def run_paths(base: str, when: datetime | None = None) -> RunPaths:
-    """Paths of the run started at ``when`` (default: now); the day is taken in UTC."""
+    """Paths of the run started at ``when`` (default: now); the day is taken in UTC.
+
+    A naive ``when`` is local time, as everywhere in Python; millis are truncated, not rounded,
+    so the day and the millis always name the same instant.
+    """
     _check_base(base)
-    when = when or datetime.now(timezone.utc)
-    if when.tzinfo is None:
-        when = when.replace(tzinfo=timezone.utc)
-    millis = int(round(when.timestamp() * 1000))
-    day = when.astimezone(timezone.utc).strftime("%Y-%m-%d")
+    when = (when or datetime.now(timezone.utc)).astimezone(timezone.utc)
+    millis = (when - datetime(1970, 1, 1, tzinfo=timezone.utc)) // timedelta(milliseconds=1)
+    day = when.strftime("%Y-%m-%d")
     run_dir = f"{base}aggregator/{day}/{millis}"
     return RunPaths(day, millis, f"{run_dir}/file_status", f"{run_dir}/file_meta")
 

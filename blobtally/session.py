@@ -23,6 +23,8 @@ SESSION_DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Checkpoint files of DataFrames that are no longer referenced are removed by the cleaner.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

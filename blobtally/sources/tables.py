@@ -131,8 +131,10 @@ def sample_input_files(spark: SparkSession, path: str, schema: StructType, fract
     on a very large table. Files are chosen by a hash of their name; at least one is kept.
     """
     import zlib
+    from urllib.parse import unquote
 
-    files = sorted(spark.read.schema(schema).parquet(path).inputFiles())
+    # inputFiles() gives URIs (a space is "%20"); paths handed back to a reader are plain.
+    files = sorted(unquote(f) for f in spark.read.schema(schema).parquet(path).inputFiles())
     if not files:
         return [], 1.0
     scale = 1_000_000

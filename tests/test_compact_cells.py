@@ -235,3 +235,25 @@ def test_write_cells_with_external_writer(spark, tmp_dir):
     written = [r for f in glob.glob(os.path.join(tmp_dir, "*.arrow")) for r in pq.read_table(f).to_pylist()]
     assert sorted((r["row_key"], r["qualifier"]) for r in written) == \
         sorted((bytes(r.row_key), bytes(r.qualifier)) for r in c.collect())
+
+
+def test_merge_tails_orders_large_file_ids_by_group(spark):
+    sizes = [(2, 100), (1 << 41, 100), (1, 100), (3, 10), (9223372036854775001, 5)]
+    got = {r.file_id: (r.pack_group, r.split_id) for r in
+           compact.plan_splits(status_df(spark, sizes), 250, 2, merge_tails=True).collect()}
+    # Group 0 tail (2, 2^41), then group 1 tail (1, 3, 9223372036854775001): 300 closes at file 1.
+    assert got == {2: (2, 0), 1 << 41: (2, 0), 1: (2, 0), 3: (2, 1), 9223372036854775001: (2, 1)}
+
+
+def test_mark_deleted_keeps_existing_marks(spark):
+    st = spark.createDataFrame([(1, 50, 5, "/a", True), (2, 95, 5, "/b", False)], schemas.FILE_STATUS)
+    got = {r.file_id: r.deleted for r in compact.mark_deleted(st, min_empty_percent=90).collect()}
+    assert got == {1: True, 2: True}
+
+
+def test_relocation_keeps_blobs_without_start(spark):
+    meta = spark.createDataFrame([("7_a", "o1", None, 5), ("7_b", "o2", 0, 10), ("7_c", "o3", 10, 3)],
+                                 schemas.FILE_META)
+    assigned = spark.createDataFrame([(7, 0, 0, 18)], schemas.SPLIT_ASSIGNMENT)
+    got = sorted((r.blob_id, r.new_start) for r in compact.plan_relocation(assigned, meta).collect())
+    assert got == [("a", 0), ("b", 5), ("c", 15)]

@@ -114,3 +114,34 @@ def test_catalog_runs_lists_every_run(spark, tmp_dir):
     assert runs == {("2017-09-17", 1505661514000, "file_status"), ("2017-09-17", 1505661514000, "file_meta"),
                     ("2017-09-18", 1505747914000, "file_status"), ("2017-09-18", 1505747914000, "file_meta"),
                     ("2017-09-18", None, "file_status")}
+
+
+def test_sample_input_files_with_a_space_in_the_path(spark, tmp_dir):
+    from blobtally.sources import read_objects, sample_input_files
+
+    path = os.path.join(tmp_dir, "obj table")
+    spark.createDataFrame([(b"k", b"u", (1).to_bytes(8, "big"))], schemas.RAW_OBJECTS).write.parquet(path)
+    files, ratio = sample_input_files(spark, path, schemas.RAW_OBJECTS, 1.0)
+    assert ratio == 1.0 and read_objects(spark, files).count() == 1
+
+
+def test_custom_key_delimiter_through_both_jobs(spark, fx, tmp_dir):
+    inputs = _write_inputs(fx, tmp_dir)
+    base = tmp_dir.rstrip("/") + "/"
+    res = jobs.run_aggregate(spark, inputs["objects_raw"], inputs["blob_index"], inputs["file_index"],
+                             inputs["file_lengths"], base, WHEN, archive_bucket="archive", key_delimiter="#")
+    sub = res.status_path[len(base):]
+    comp = jobs.run_compact(spark, base, sub, os.path.join(tmp_dir, "plan"), max_bytes=4194304, n_groups=8,
+                            meta_sub_path=res.meta_path[len(base):], key_delimiter="#")
+    reloc = spark.read.parquet(comp.relocation_path)
+    assert reloc.count() == spark.read.parquet(res.meta_path).select("meatRowKey").distinct().count()
+
+
+def test_run_paths_naive_and_truncation():
+    from blobtally.plans.layout import run_paths
+
+    aware = datetime(2017, 9, 17, 23, 59, 59, 999600, tzinfo=timezone.utc)
+    p = run_paths("/b/", aware)
+    assert (p.day, p.millis) == ("2017-09-17", 1505692799999)
+    naive = datetime(2017, 9, 17, 12, 0, 0)
+    assert run_paths("/b/", naive).millis == run_paths("/b/", naive.astimezone(timezone.utc)).millis

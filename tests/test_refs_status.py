@@ -194,3 +194,10 @@ def test_file_meta_with_a_hot_uri_equals_plain_lookup(spark):
     found = sorted(map(tuple, status.file_meta(r, idx, st, "archive", skew_rows=200).collect()))
     assert plain == split == found
     assert sum(1 for m in plain if m[0] == "1_h") == 300
+
+
+def test_null_length_is_zero_bytes_not_overflow(spark):
+    r = refs.object_refs(raw(spark, [("photos/1", "u1", 1), ("archive/2", "u2", 1)]))
+    idx = index(spark, [("u1", 7, "a", 0, None), ("u2", 7, "b", 0, 50)])
+    got = {x.file_id: x.remain_size for x in status.file_totals(r, idx, "archive").collect()}
+    assert got == {7: 0}

@@ -12,7 +12,7 @@ from blobtally.operators.cells import (
     write_cells_with,
 )
 from blobtally.operators.compact import mark_deleted, plan_relocation, plan_splits, split_summary
-from blobtally.operators.joins import assert_unique, find_hot_keys, lookup_join
+from blobtally.operators.joins import assert_unique, find_hot_key_counts, find_hot_keys, lookup_join
 from blobtally.operators.refs import (
     decode_objects,
     explode_refs,
@@ -45,7 +45,7 @@ __all__ = [
     "add_region", "bulk_load_cells", "flat_map_cells", "partition_by_region", "sort_cells",
     "to_cells", "with_sort_position", "write_cells", "write_cells_with",
     "mark_deleted", "plan_relocation", "plan_splits", "split_summary",
-    "assert_unique", "find_hot_keys", "lookup_join",
+    "assert_unique", "find_hot_key_counts", "find_hot_keys", "lookup_join",
     "decode_objects", "explode_refs", "flatten_refs", "lookup_counters", "nest_refs", "object_refs",
     "observe_lookups", "ref_count", "refs_per_uri", "resolve_refs", "sample_refs", "unresolved_refs",
     "valid_objects",

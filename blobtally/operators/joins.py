@@ -2,35 +2,41 @@
 
 The reference resolves every reference with one point lookup; here that is a join of a large
 fact table (references) with an index that is unique on the key (blob uri). Catalyst plans a
-sort-merge join, AQE turns it into a broadcast join when the index side is small at runtime,
-and AQE's skew handling splits oversized shuffle partitions of the fact side.
-
-On top of that, ``lookup_join`` can split hot keys explicitly: keys holding at least
-``skew_rows`` fact rows are found from a sample, checked against ``max_hot_keys`` (so the set is
-provably small), and joined against a broadcast of only their index rows; all other keys take
-the shuffle join. A key with a third of all rows then spreads over every fact partition instead
-of landing in one reducer. Hot-key detection only chooses the strategy: results are identical
-whichever keys are deemed hot.
+sort-merge join, AQE turns it into a broadcast join when the index side is measured small, and
+AQE's skew handling splits oversized shuffle partitions of the fact side.
+
+On top of that, ``lookup_join`` salts hot keys explicitly, in one pass over the facts: a key
+estimated to hold ``n`` fact rows gets ``S = ceil(n / skew_rows)`` salts; each fact row of it
+takes salt ``xxhash64(row) mod S`` (deterministic, so a retried task routes rows the same way),
+its index row is replicated ``S`` times, and the join runs on (key, salt). A key with a third of
+all rows then spreads over ``S`` reducers. The salt table has at most ``max_hot_keys`` rows and
+the index grows by at most ``sum(S)`` ~ rows / ``skew_rows`` rows: both bounded. Hot-key
+detection only chooses the strategy; the result is the same whichever keys are salted.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 DEFAULT_SAMPLE_FRACTION = 0.01
 DEFAULT_MAX_HOT_KEYS = 10_000
+DEFAULT_SALTS = 64
+MAX_SALTS = 100_000
 
 
-def find_hot_keys(facts: DataFrame, key: str, skew_rows: int,
-                  fraction: float = DEFAULT_SAMPLE_FRACTION,
-                  max_hot_keys: int = DEFAULT_MAX_HOT_KEYS, seed: int = 7,
-                  presampled: float | None = None) -> list:
-    """Keys estimated to hold at least ``skew_rows`` rows, at most ``max_hot_keys`` of them.
+def find_hot_key_counts(facts: DataFrame, key: str, skew_rows: int,
+                        fraction: float = DEFAULT_SAMPLE_FRACTION,
+                        max_hot_keys: int = DEFAULT_MAX_HOT_KEYS, seed: int = 7,
+                        presampled: float | None = None) -> dict:
+    """Keys estimated to hold at least ``skew_rows`` rows -> estimated row count.
 
-    Runs one sampled aggregation; only the (bounded) hot key list reaches the driver. If
-    ``facts`` is already a sample (e.g. built from ``sources.sample_input_files``), pass its
-    fraction as ``presampled`` and no row sampling is added.
+    Runs one sampled aggregation; at most ``max_hot_keys`` keys reach the driver. If ``facts``
+    is already a sample (e.g. built from ``sources.sample_input_files``), pass its fraction as
+    ``presampled`` and no row sampling is added.
     """
     if skew_rows <= 0:
         raise ValueError("skew_rows must be positive")
@@ -47,31 +53,57 @@ def find_hot_keys(facts: DataFrame, key: str, skew_rows: int,
             .orderBy(F.col("count").desc())
             .limit(max_hot_keys)
             .collect())
-    return [r[0] for r in rows]
+    return {r[0]: int(r[1] / fraction) if fraction > 0 else r[1] for r in rows}
+
+
+def find_hot_keys(facts: DataFrame, key: str, skew_rows: int,
+                  fraction: float = DEFAULT_SAMPLE_FRACTION,
+                  max_hot_keys: int = DEFAULT_MAX_HOT_KEYS, seed: int = 7,
+                  presampled: float | None = None) -> list:
+    """The keys of ``find_hot_key_counts``, most frequent first."""
+    return list(find_hot_key_counts(facts, key, skew_rows, fraction, max_hot_keys, seed, presampled))
+
+
+def _salt_counts(hot_keys, skew_rows: int | None) -> dict:
+    if isinstance(hot_keys, dict):
+        per = skew_rows or 1
+        return {k: min(MAX_SALTS, max(2, math.ceil(n / per))) for k, n in hot_keys.items()}
+    return {k: DEFAULT_SALTS for k in hot_keys}
 
 
 def lookup_join(facts: DataFrame, index: DataFrame, key: str, how: str = "inner",
-                skew_rows: int | None = None, hot_keys: list | None = None,
+                skew_rows: int | None = None, hot_keys: list | dict | None = None,
                 max_hot_keys: int = DEFAULT_MAX_HOT_KEYS) -> DataFrame:
     """Join ``facts`` with ``index`` (unique on ``key``) using ``how`` in inner/left/left_anti/left_semi.
 
-    With ``skew_rows`` (or an explicit ``hot_keys`` list) hot keys are split off as described in
-    the module docstring.
+    Hot keys come from ``hot_keys`` (a list, salted ``DEFAULT_SALTS`` ways, or a dict of
+    estimated row counts) or are found with ``skew_rows``; they are salted as described in the
+    module docstring. Without hot keys this is the plain join.
     """
     if how not in ("inner", "left", "left_outer", "left_anti", "left_semi"):
         raise ValueError(f"unsupported lookup join type {how!r}")
     if hot_keys is None and skew_rows is not None:
-        hot_keys = find_hot_keys(facts, key, skew_rows, max_hot_keys=max_hot_keys)
+        hot_keys = find_hot_key_counts(facts, key, skew_rows, max_hot_keys=max_hot_keys)
     if not hot_keys:
         return facts.join(index, key, how)
     if len(hot_keys) > max_hot_keys:
         raise ValueError(f"{len(hot_keys)} hot keys exceed the broadcast bound {max_hot_keys}")
-    is_hot = F.col(key).isin(hot_keys)
-    # The index is unique on key, so this side has at most len(hot_keys) rows: a proven bound.
-    hot_index = index.filter(is_hot)
-    hot_part = facts.filter(is_hot).join(F.broadcast(hot_index), key, how)
-    cold_part = facts.filter(~is_hot | F.col(key).isNull()).join(index, key, how)
-    return hot_part.unionByName(cold_part)
+    salts = _salt_counts(hot_keys, skew_rows)
+    key_type = facts.schema[key].dataType
+    table = facts.sparkSession.createDataFrame(
+        list(salts.items()), StructType([StructField(key, key_type, False), StructField("_n", IntegerType(), False)]))
+    # At most max_hot_keys rows: a proven bound, so broadcasting it to both sides is safe.
+    table = F.broadcast(table)
+    fact_cols = facts.columns
+    salted_facts = (facts.join(table, key, "left")
+                    .withColumn("_salt", F.when(F.col("_n").isNull(), F.lit(0))
+                                .otherwise(F.pmod(F.xxhash64(*fact_cols), F.col("_n")).cast("int")))
+                    .drop("_n"))
+    salted_index = (index.join(table, key, "left")
+                    .withColumn("_salt", F.explode(F.when(F.col("_n").isNull(), F.array(F.lit(0)))
+                                                   .otherwise(F.sequence(F.lit(0), F.col("_n") - 1))))
+                    .drop("_n"))
+    return salted_facts.join(salted_index, [key, "_salt"], how).drop("_salt")
 
 
 def assert_unique(index: DataFrame, key: str, show: int = 5) -> DataFrame:

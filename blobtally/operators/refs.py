@@ -43,7 +43,7 @@ def object_refs(raw: DataFrame) -> DataFrame:
 
 
 def resolve_refs(refs: DataFrame, blob_index: DataFrame, skew_rows: int | None = None,
-                 hot_keys: list | None = None) -> DataFrame:
+                 hot_keys: list | dict | None = None) -> DataFrame:
     """References that resolve in the blob index, with their blob's file, id, start and length.
 
     Hot uris (``hot_keys``, or found with ``skew_rows``) are split off the shuffle join.
@@ -54,7 +54,7 @@ def resolve_refs(refs: DataFrame, blob_index: DataFrame, skew_rows: int | None =
 
 
 def unresolved_refs(refs: DataFrame, blob_index: DataFrame, skew_rows: int | None = None,
-                    hot_keys: list | None = None) -> DataFrame:
+                    hot_keys: list | dict | None = None) -> DataFrame:
     """References whose uri is not in the blob index."""
     return lookup_join(refs, blob_index.select("uri"), "uri", "left_anti", skew_rows=skew_rows,
                        hot_keys=hot_keys).select("object_key", "uri", "size")

@@ -123,7 +123,7 @@ def file_status(refs: DataFrame, blob_index: DataFrame, file_index: DataFrame,
 def file_meta(refs: DataFrame, blob_index: DataFrame, status: DataFrame, archive_bucket: str,
               key_delimiter: str = schemas.DEFAULT_KEY_DELIMITER,
               skew_rows: int | None = None, broadcast_files: int | None = None,
-              hot_keys: list | None = None, n_files: int | None = None) -> DataFrame:
+              hot_keys: list | dict | None = None, n_files: int | None = None) -> DataFrame:
     """One meta row per live reference of a file whose status survived (PRJ3).
 
     The blob index is first reduced to surviving files (semi join on the per-file status),

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from blobtally import schemas
 from blobtally.operators import compact
-from blobtally.operators.joins import find_hot_keys
+from blobtally.operators.joins import find_hot_key_counts
 from blobtally.operators.refs import blob_sample_key, object_refs
 from blobtally.operators.status import file_meta, file_status
 from blobtally.plans import sinks
@@ -74,8 +74,8 @@ def run_aggregate(spark: SparkSession, objects, blob_index, file_index, file_len
     if skew_rows and isinstance(objects, str):
         # Hot uris from a sample of the object table's files: ~1 % of the bytes, not a full pass.
         files, ratio = tables.sample_input_files(spark, objects, schemas.RAW_OBJECTS, HOT_KEY_FILE_FRACTION)
-        hot = find_hot_keys(object_refs(tables.read_objects(spark, files)), "uri", skew_rows,
-                            presampled=ratio)
+        hot = find_hot_key_counts(object_refs(tables.read_objects(spark, files)), "uri", skew_rows,
+                                  presampled=ratio)
     n_files = written.count()
     meta = file_meta(refs, blobs, written, archive_bucket, key_delimiter, skew_rows=skew_rows,
                      broadcast_files=broadcast_files, hot_keys=hot, n_files=n_files)

@@ -81,3 +81,15 @@ def test_meta_with_bucketed_index_shuffles_only_references(spark, fx, tmp_dir):
     assert "BroadcastExchange" in plan                            # the checked file-id set
     assert "Exchange hashpartitioning(file_id" not in plan
     assert meta.count() == status.file_meta(r, fx.blob_index, st, "archive").count()
+
+
+def test_salted_lookup_scans_the_facts_once(spark, fx, tmp_dir):
+    from blobtally.operators import joins
+
+    p = _store(fx, tmp_dir)
+    r = refs.object_refs(tables.read_objects(spark, p["objects_raw"]))
+    hot = {row.uri: 5_000_000 for row in r.select("uri").distinct().limit(3).collect()}
+    plan = _plan(joins.lookup_join(r, tables.read_blob_index(spark, p["blob_index"]), "uri",
+                                   skew_rows=1_000_000, hot_keys=hot))
+    assert plan.count("objects_raw") == 1        # one scan of the object table
+    assert "_salt" in plan

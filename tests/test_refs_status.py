@@ -57,8 +57,18 @@ def test_lookup_join_hot_key_split_equals_plain_join(spark):
         plain = sorted(tuple(r) for r in facts.join(idx, "uri", how).collect())
         split = sorted(tuple(r) for r in joins.lookup_join(facts, idx, "uri", how, hot_keys=hot).collect())
         assert plain == split, how
-    plan = joins.lookup_join(facts, idx, "uri", "inner", hot_keys=hot)._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan
+    counts = joins.find_hot_key_counts(facts, "uri", skew_rows=100, fraction=1.0)
+    assert counts == {"hot": 1000}
+    for how in ["inner", "left", "left_anti", "left_semi"]:
+        plain = sorted(tuple(r) for r in facts.join(idx, "uri", how).collect())
+        salted = sorted(tuple(r) for r in joins.lookup_join(facts, idx, "uri", how, skew_rows=100,
+                                                            hot_keys=counts).collect())
+        assert plain == salted, how
+    plan = joins.lookup_join(facts, idx, "uri", "inner", hot_keys=counts, skew_rows=100) \
+        ._jdf.queryExecution().executedPlan().toString()
+    # One pass over the facts: the hot key is joined on (uri, salt), 10 salts for ~1000 rows.
+    assert "_salt" in plan and "BroadcastHashJoin" in plan
+    assert joins._salt_counts(counts, 100) == {"hot": 10}
 
 
 def test_sample_refs(spark):

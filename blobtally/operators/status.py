@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from blobtally import schemas
 from blobtally.functions.columns import empty_percent, is_archived, meta_row_key
 from blobtally.operators.joins import lookup_join
-from blobtally.operators.refs import blob_sample_key, observe_lookups, refs_per_uri
+from blobtally.operators.refs import blob_sample_filter, observe_lookups, refs_per_uri
 
 
 def archived_flag(objects: DataFrame, archive_bucket: str) -> DataFrame:
@@ -33,8 +33,8 @@ def live_refs(resolved: DataFrame, archive_bucket: str) -> DataFrame:
 def _uri_totals(refs: DataFrame, blob_index: DataFrame, archive_bucket: str,
                 observe: bool = False):
     per_uri = refs_per_uri(refs, is_archived("object_key", archive_bucket))
-    # start is only read when sampling; otherwise column pruning drops it from the scan.
-    index = blob_index.select("uri", "file_id", "length", "start")
+    # blob_id is only read when sampling; otherwise column pruning drops it from the scan.
+    index = blob_index.select("uri", "file_id", "length", "blob_id")
     if not observe:
         return per_uri.join(index, "uri"), None
     joined, obs = observe_lookups(per_uri.join(index, "uri", "left"), weight="n_refs")
@@ -51,10 +51,9 @@ def file_totals(refs: DataFrame, blob_index: DataFrame, archive_bucket: str,
     """
     resolved, obs = _uri_totals(refs, blob_index, archive_bucket, observe)
     if sample_fraction < 1.0:
-        # Keyed on the blob, so all references to one blob are kept or dropped together and the
-        # per-uri pre-aggregation stays valid.
-        keep = int(round(sample_fraction * 100))
-        resolved = resolved.filter(F.pmod(blob_sample_key(), F.lit(100)) < keep)
+        # Per blob, so all references to one blob are kept or dropped together and the per-uri
+        # pre-aggregation stays valid.
+        resolved = resolved.filter(blob_sample_filter(sample_fraction))
     # Long arithmetic that reports overflow as null (a blob referenced billions of times can
     # exceed 2^63 bytes in bag semantics); an overflowing file saturates just below the
     # all-archived sentinel, so LONG_MAX keeps meaning "all archived".
@@ -123,7 +122,8 @@ def file_status(refs: DataFrame, blob_index: DataFrame, file_index: DataFrame,
 def file_meta(refs: DataFrame, blob_index: DataFrame, status: DataFrame, archive_bucket: str,
               key_delimiter: str = schemas.DEFAULT_KEY_DELIMITER,
               skew_rows: int | None = None, broadcast_files: int | None = None,
-              hot_keys: list | dict | None = None, n_files: int | None = None) -> DataFrame:
+              hot_keys: list | dict | None = None, n_files: int | None = None,
+              sample_fraction: float = 1.0) -> DataFrame:
     """One meta row per live reference of a file whose status survived (PRJ3).
 
     The blob index is first reduced to surviving files (semi join on the per-file status),
@@ -132,6 +132,7 @@ def file_meta(refs: DataFrame, blob_index: DataFrame, status: DataFrame, archive
     index is filtered map-side and shuffled only once (by uri); beyond it, a shuffle join.
     Hot uris are split off the lookup (``hot_keys`` given, or found with ``skew_rows``).
     ``n_files`` passes a known row count of ``status`` so it is not counted again.
+    ``sample_fraction`` < 1 keeps the same per-blob sample as ``file_totals``.
     """
     live = refs.filter(~is_archived("object_key", archive_bucket)).select("object_key", "uri")
     files = status.select("file_id")
@@ -140,6 +141,8 @@ def file_meta(refs: DataFrame, blob_index: DataFrame, status: DataFrame, archive
     index = (blob_index.select("uri", "file_id", "blob_id", "start", "length")
              .join(files, "file_id", "left_semi"))
     joined = lookup_join(live, index, "uri", "inner", skew_rows=skew_rows, hot_keys=hot_keys)
+    if sample_fraction < 1.0:
+        joined = joined.filter(blob_sample_filter(sample_fraction))
     return joined.select(meta_row_key("file_id", "blob_id", key_delimiter).alias("meatRowKey"),
                          F.col("object_key").alias("objectKey"),
                          F.col("start").cast("bigint").alias("start"),

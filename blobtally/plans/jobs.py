@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from blobtally import schemas
 from blobtally.operators import compact
 from blobtally.operators.joins import find_hot_key_counts
-from blobtally.operators.refs import blob_sample_key, object_refs
+from blobtally.operators.refs import object_refs
 from blobtally.operators.status import file_meta, file_status
 from blobtally.plans import sinks
 from blobtally.plans.layout import run_paths, run_timestamp_of
@@ -78,11 +78,8 @@ def run_aggregate(spark: SparkSession, objects, blob_index, file_index, file_len
                                   presampled=ratio)
     n_files = written.count()
     meta = file_meta(refs, blobs, written, archive_bucket, key_delimiter, skew_rows=skew_rows,
-                     broadcast_files=broadcast_files, hot_keys=hot, n_files=n_files)
-    if sample_fraction < 1.0:
-        keep = int(round(sample_fraction * 100))
-        meta = meta.withColumn("file_id", F.substring_index("meatRowKey", key_delimiter, 1).cast("bigint")) \
-            .filter(F.pmod(blob_sample_key(), F.lit(100)) < keep)
+                     broadcast_files=broadcast_files, hot_keys=hot, n_files=n_files,
+                     sample_fraction=sample_fraction)
     sinks.write_file_meta(meta, paths.meta)
     counters["files"] = n_files
     return AggregateResult(0, paths.status, paths.meta, counters)

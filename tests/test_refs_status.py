@@ -211,3 +211,16 @@ def test_null_length_is_zero_bytes_not_overflow(spark):
     idx = index(spark, [("u1", 7, "a", 0, None), ("u2", 7, "b", 0, 50)])
     got = {x.file_id: x.remain_size for x in status.file_totals(r, idx, "archive").collect()}
     assert got == {7: 0}
+
+
+def test_sampling_granularity_is_checked(spark):
+    import pytest
+
+    df = spark.range(0, 10).withColumnRenamed("id", "file_id").withColumn("start", F.lit(0))
+    with pytest.raises(ValueError):
+        refs.sample_refs(df, 0.001, key=refs.blob_sample_key())
+    with pytest.raises(ValueError):
+        refs.blob_sample_filter(0.00001)
+    blobs = spark.range(0, 20000).select(F.col("id").alias("file_id"), F.lit("b").alias("blob_id"))
+    kept = blobs.filter(refs.blob_sample_filter(0.1)).count()
+    assert 1600 < kept < 2400

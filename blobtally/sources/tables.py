@@ -67,7 +67,14 @@ def list_file_lengths(spark: SparkSession, root: str, strip_scheme: bool = True)
 
 
 def _stat_batches(batches):
-    """Arrow-batch helper: stat each path with pyarrow's filesystem layer (null if missing)."""
+    """Arrow-batch helper: stat each path with pyarrow's filesystem layer (null if missing).
+
+    One filesystem client per (scheme, authority) per task; paths are split with urlparse, so
+    no client is built per path. HDFS-style paths keep only the path part; object stores keep
+    the bucket in front, as pyarrow expects.
+    """
+    from urllib.parse import urlparse
+
     import pandas as pd
     from pyarrow import fs as pafs
 
@@ -75,27 +82,23 @@ def _stat_batches(batches):
     for pdf in batches:
         paths = pdf["path"].tolist()
         lengths = [None] * len(paths)
-        by_fs = {}
+        groups = {}
         for i, p in enumerate(paths):
             if p is None:
                 continue
-            scheme = p.split("://", 1)[0] if "://" in p else ("file" if p.startswith("file:") else "")
-            by_fs.setdefault(scheme, []).append(i)
-        for scheme, idx in by_fs.items():
-            if scheme not in cache:
-                cache[scheme] = (pafs.LocalFileSystem() if scheme in ("", "file")
-                                 else pafs.FileSystem.from_uri(paths[idx[0]])[0])
-            filesystem = cache[scheme]
-            local = []
-            for i in idx:
-                p = paths[i]
-                if scheme == "file":
-                    p = p[len("file:"):].lstrip("/")
-                    p = "/" + p
-                elif scheme:
-                    p = pafs.FileSystem.from_uri(p)[1]
-                local.append(p)
-            for i, info in zip(idx, filesystem.get_file_info(local)):
+            u = urlparse(p)
+            if u.scheme in ("", "file"):
+                groups.setdefault(("file", ""), []).append((i, u.path if u.scheme else p))
+            elif u.scheme in ("hdfs", "viewfs"):
+                groups.setdefault((u.scheme, u.netloc), []).append((i, u.path))
+            else:
+                groups.setdefault((u.scheme, u.netloc), []).append((i, u.netloc + u.path))
+        for (scheme, netloc), items in groups.items():
+            if (scheme, netloc) not in cache:
+                cache[(scheme, netloc)] = (pafs.LocalFileSystem() if scheme == "file"
+                                           else pafs.FileSystem.from_uri(f"{scheme}://{netloc}/")[0])
+            infos = cache[(scheme, netloc)].get_file_info([local for _, local in items])
+            for (i, _), info in zip(items, infos):
                 if info.type == pafs.FileType.File:
                     lengths[i] = info.size
         yield pd.DataFrame({"path": paths, "length": pd.array(lengths, dtype="Int64")})

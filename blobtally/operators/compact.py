@@ -16,10 +16,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from blobtally import schemas
+from blobtally.session import checkpoint_dir
 
 ASSIGNMENT_DDL = "file_id BIGINT, pack_group INT, split_id INT, remainSize BIGINT"
 DEFAULT_FILES_PER_GROUP = 200_000
@@ -91,7 +93,13 @@ def plan_splits(status: DataFrame, max_bytes: int, n_groups: int | None = None,
     assigned = _pack(files, max_bytes, n_groups)
     if not merge_tails:
         return assigned
-    return _merge_tails(assigned, max_bytes, n_groups)
+    # The tail merge reads the assignment three times: fold once, keep it as a reliable
+    # checkpoint in the shared folder (persisted only while the checkpoint is written).
+    checkpoint_dir(status.sparkSession)
+    cached = assigned.persist(StorageLevel.MEMORY_AND_DISK)
+    stable = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return _merge_tails(stable, max_bytes, n_groups)
 
 
 def _saturating_sum(c: Column) -> Column:

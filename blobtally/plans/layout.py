@@ -10,6 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime, timedelta, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,11 +62,17 @@ def catalog_runs(spark: SparkSession, base: str) -> DataFrame:
     each folder's run timestamp with the column form of ``run_timestamp``.
     """
     _check_base(base)
-    files = (spark.read.format("binaryFile")
-             .option("recursiveFileLookup", "true")
-             .option("pathGlobFilter", "*.parquet")
-             .load(base + "aggregator")
-             .select("path"))
+    try:
+        files = (spark.read.format("binaryFile")
+                 .option("recursiveFileLookup", "true")
+                 .option("pathGlobFilter", "*.parquet")
+                 .load(base + "aggregator")
+                 .select("path"))
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        # No run written yet: an empty catalogue.
+        files = spark.createDataFrame([], "path string")
     out_dir = F.regexp_extract("path", r"^(.*)/[^/]+$", 1)
     return (files.select(out_dir.alias("out_dir"))
             .groupBy("out_dir").agg(F.count(F.lit(1)).alias("n_files"))

@@ -145,3 +145,8 @@ def test_run_paths_naive_and_truncation():
     assert (p.day, p.millis) == ("2017-09-17", 1505692799999)
     naive = datetime(2017, 9, 17, 12, 0, 0)
     assert run_paths("/b/", naive).millis == run_paths("/b/", naive.astimezone(timezone.utc)).millis
+
+
+def test_catalog_runs_of_an_empty_base(spark, tmp_dir):
+    runs = catalog_runs(spark, tmp_dir.rstrip("/") + "/nothing-here/")
+    assert runs.columns == ["run_dir", "kind", "day", "run_ts", "n_files"] and runs.count() == 0

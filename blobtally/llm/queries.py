@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blobtally.llm import quality_rules as rules
+from blobtally.llm import simhash_vptree as simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,7 +19,13 @@ def op2_distribution_divergence(spark, sf_dir):
                       "base_failed", "kept", "class_distance", "word_distance")
 
 
+def op10_vantage_point_trees(spark, sf_dir):
+    out = simhash.simhash_groups(_table(spark, sf_dir, "documents").select("doc_id", "text"), carry=["doc_id"])
+    return out.select("doc_id", "fingerprint", "component_id")
+
+
 QUERIES = {
     "op2_distribution_divergence": op2_distribution_divergence,
+    "op10_vantage_point_trees": op10_vantage_point_trees,
 }
 ORACLE_SQL: dict[str, str] = {}

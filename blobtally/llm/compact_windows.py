@@ -93,12 +93,13 @@ def _windows(width: int):
                         (c - starts[doc]) * 64 + f, ((c - l) << 32) + (r - c)))
         key, uid, at, reach = (np.concatenate(z) for z in zip(*got))
         # Rows of one key within the block point to the first of them here, and only that one
-        # takes part in the shuffle by key: a frequent passage arrives once for each block.
+        # takes part in the shuffle by key (with what its document has of that key besides): a
+        # frequent passage arrives once for each block.
         order = np.lexsort((at, uid, key))
         key, uid, at, reach = key[order], uid[order], at[order], reach[order]
         edges = runs(key)
         first = np.repeat(edges[:-1], np.diff(edges))
-        rest = first != np.arange(len(key))
+        rest = uid[first] != uid
         slot = np.where(rest, mix64((uid ^ at).view(np.uint64)).view(np.int64), key)
         mask = ~rest
         cols = [pa.array(slot), pa.array(uid), pa.array(at), pa.array(reach)]
@@ -155,7 +156,12 @@ def _pair_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (uid, rep_uid, at): passages on which enough hash functions agree."""
+    """Rows sorted by (uid, at): passages on which enough hash functions agree.
+
+    Two windows of different functions support each other if some subsequence of the document
+    lies in both; if they point to the same source, the same must hold there. Near copies of
+    near copies have several sources, which is why the support may come from another one.
+    """
     names = ["uid", "lo", "hi", "rep_uid", "rep_lo", "rep_hi"]
 
     def complete(t: np.ndarray) -> pa.RecordBatch:
@@ -165,19 +171,29 @@ def _regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for a, s in ((at, reach), (rep_at, rep_reach)):
             c = a // 64
             ends.append((c, c - (s >> 32), c + (s & 0xFFFFFFFF)))
-        found = []
-        for step in range(1, min(2 * N_HASHES, len(uid) - 1) + 1):
-            i, j = slice(None, -step), slice(step, None)
-            ok = (uid[i] == uid[j]) & (rep[i] == rep[j]) & (f[i] != f[j])
-            box = []
-            for c, l, r in ends:
+        # Whoever overlaps stands near in this order, in which each function comes in turn.
+        found = [np.zeros((6, 0), np.int64)]
+        votes = [np.zeros((3, 0), np.int64)]
+        row = np.arange(len(uid))
+        for step in range(1, min(4 * N_HASHES, len(uid) - 1) + 1):
+            i, j = row[:-step], row[step:]
+            ok = (uid[i] == uid[j]) & (f[i] != f[j])
+            same = rep[i] == rep[j]
+            boxes = []
+            for n, (c, l, r) in enumerate(ends):
                 lo, hi = np.maximum(l[i], l[j]), np.minimum(r[i], r[j])
-                ok &= (lo <= np.minimum(c[i], c[j])) & (np.maximum(c[i], c[j]) <= hi)
-                box += [lo, hi]
-            found.append(np.stack([uid[i], box[0], box[1], rep[i], box[2], box[3]])[:, ok])
-        if not found:
-            found = [np.zeros((6, 0), np.int64)]
-        z = np.concatenate(found, axis=1)
+                over = (lo <= np.minimum(c[i], c[j])) & (np.maximum(c[i], c[j]) <= hi)
+                ok &= over | ~same if n else over
+                boxes.append((lo, hi))
+            for one, other in ((i, j), (j, i)):
+                votes.append(np.stack([one, f[other], one])[:, ok])
+                _, l, r = ends[1]
+                found.append(np.stack([uid[one], *boxes[0], rep[one], np.where(same, boxes[1][0], l[one]),
+                                       np.where(same, boxes[1][1], r[one])])[:, ok])
+        z, votes = np.concatenate(found, axis=1), np.concatenate(votes, axis=1)
+        # A window counts if it and the functions that support it are enough.
+        support = np.bincount(np.unique(votes[0] * 64 + votes[1]) // 64, minlength=len(uid)) + 1
+        z = z[:, support[votes[2]] >= MIN_HASHES]
         z = z[:, np.lexsort((z[1], z[3], z[0]))]
         if z.shape[1]:  # overlapping candidates of a pair become one
             new = np.ones(z.shape[1], bool)
@@ -195,15 +211,15 @@ def _regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not batch.num_rows:
             continue
         t = np.stack([batch.column(i).to_numpy() for i in range(6)])
-        if held and (held[0][0, 0], held[0][3, 0]) != (t[0, -1], t[3, -1]) or not held:
+        if not held or held[0][0, 0] != t[0, -1]:
             t = np.concatenate([*held, t], axis=1)
-            changed = np.flatnonzero((t[0][1:] != t[0][:-1]) | (t[3][1:] != t[3][:-1]))
+            changed = np.flatnonzero(t[0][1:] != t[0][:-1])
             cut = changed[-1] + 1 if len(changed) else 0
             if cut:
                 yield complete(t[:, :cut])
             held = [t[:, cut:]]
         else:
-            held.append(t)  # still the same pair of documents
+            held.append(t)  # still the same document
     if held:
         yield complete(np.concatenate(held, axis=1))
 
@@ -233,6 +249,8 @@ def verified(a: list[bytes], b: list[bytes]) -> Iterator[tuple[int, int, int, in
         mine = np.unique(xa[s:e])
         best = None
         for u, v in spans(np.isin(xb, mine), gap):
+            if v - u < need:
+                continue
             other = np.unique(xb[u:v])
             both = len(np.intersect1d(mine, other, assume_unique=True))
             j = both / (len(mine) + len(other) - both)
@@ -299,7 +317,7 @@ def _passages(base: DataFrame) -> DataFrame:
                          F.lit(1.0).alias("similarity"))
 
     pairs = pairs.join(small_side(copies.select("uid"), n_copies), "uid", "left_anti")
-    regions = pairs.repartition("uid", "rep_uid").sortWithinPartitions("uid", "rep_uid", "at") \
+    regions = pairs.repartition("uid").sortWithinPartitions("uid", "at") \
         .mapInArrow(_regions, "uid long, lo long, hi long, rep_uid long, rep_lo long, rep_hi long")
     regions = materialise(regions.withColumn("rid", F.monotonically_increasing_id()), "passage_candidates")
 

@@ -151,3 +151,10 @@ def quality_rules(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
              "class_distance", "word_distance", "base_failed"]
     return out.select(*[F.col("__row")[c].alias(c) for c in carry if c not in [*added, "kept"]],
                       *added, kept.alias("kept"))
+
+
+def keep_good(docs: DataFrame) -> DataFrame:
+    """The documents that the rules keep, with the columns they came with."""
+    held = docs.select(F.struct(*docs.columns).alias("doc"), "text", "lang")
+    kept = quality_rules(held, carry=["doc"]).where("kept")
+    return kept.select(*[F.col("doc")[c].alias(c) for c in docs.columns])

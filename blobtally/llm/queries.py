@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from blobtally.llm import bestfit_packing as packing
+from blobtally.llm import compact_windows as passages
 from blobtally.llm import quality_rules as rules
 from blobtally.llm import simhash_vptree as simhash
+from blobtally.llm import temperature_mixing as mixing
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,8 +27,23 @@ def op10_vantage_point_trees(spark, sf_dir):
     return out.select("doc_id", "fingerprint", "component_id")
 
 
+def op3_compact_windows(spark, sf_dir):
+    return passages.repeated_passages(_table(spark, sf_dir, "documents"))
+
+
+def op4_conflict_best_fit(spark, sf_dir):
+    return packing.pack(_table(spark, sf_dir, "documents"))
+
+
+def op5_temperature_mixing(spark, sf_dir):
+    return mixing.mixture(_table(spark, sf_dir, "documents"), carry=["doc_id", "source"])
+
+
 QUERIES = {
     "op2_distribution_divergence": op2_distribution_divergence,
+    "op3_compact_windows": op3_compact_windows,
+    "op4_conflict_best_fit": op4_conflict_best_fit,
+    "op5_temperature_mixing": op5_temperature_mixing,
     "op10_vantage_point_trees": op10_vantage_point_trees,
 }
 ORACLE_SQL: dict[str, str] = {}

@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from blobtally.llm import bestfit_packing as packing
 from blobtally.llm import compact_windows as passages
+from blobtally.llm import label_sharding as sharding
 from blobtally.llm import quality_rules as rules
 from blobtally.llm import simhash_vptree as simhash
 from blobtally.llm import temperature_mixing as mixing
+from blobtally.llm import text_density as density
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,11 +41,21 @@ def op5_temperature_mixing(spark, sf_dir):
     return mixing.mixture(_table(spark, sf_dir, "documents"), carry=["doc_id", "source"])
 
 
+def op6_text_density(spark, sf_dir):
+    return density.extract(_table(spark, sf_dir, "pages"))
+
+
+def op7_label_propagation(spark, sf_dir):
+    return sharding.shard_documents(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_distribution_divergence": op2_distribution_divergence,
     "op3_compact_windows": op3_compact_windows,
     "op4_conflict_best_fit": op4_conflict_best_fit,
     "op5_temperature_mixing": op5_temperature_mixing,
+    "op6_text_density": op6_text_density,
+    "op7_label_propagation": op7_label_propagation,
     "op10_vantage_point_trees": op10_vantage_point_trees,
 }
 ORACLE_SQL: dict[str, str] = {}

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from blobtally.llm import bestfit_packing as packing
 from blobtally.llm import compact_windows as passages
 from blobtally.llm import label_sharding as sharding
+from blobtally.llm import pivot_index as pivots
 from blobtally.llm import quality_rules as rules
 from blobtally.llm import simhash_vptree as simhash
 from blobtally.llm import temperature_mixing as mixing
@@ -18,6 +19,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_pivot_permutation(spark, sf_dir):
+    return pivots.near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def op2_distribution_divergence(spark, sf_dir):
     out = rules.quality_rules(_table(spark, sf_dir, "documents"), carry=["doc_id"])
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -50,6 +55,7 @@ def op7_label_propagation(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_pivot_permutation": op1_pivot_permutation,
     "op2_distribution_divergence": op2_distribution_divergence,
     "op3_compact_windows": op3_compact_windows,
     "op4_conflict_best_fit": op4_conflict_best_fit,

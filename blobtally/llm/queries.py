@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from blobtally.llm import bayes_quality as bayes
 from blobtally.llm import bestfit_packing as packing
 from blobtally.llm import compact_windows as passages
 from blobtally.llm import label_sharding as sharding
@@ -54,6 +55,10 @@ def op7_label_propagation(spark, sf_dir):
     return sharding.shard_documents(_table(spark, sf_dir, "documents"))
 
 
+def op9_empirical_bayes(spark, sf_dir):
+    return bayes.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_pivot_permutation": op1_pivot_permutation,
     "op2_distribution_divergence": op2_distribution_divergence,
@@ -62,6 +67,7 @@ QUERIES = {
     "op5_temperature_mixing": op5_temperature_mixing,
     "op6_text_density": op6_text_density,
     "op7_label_propagation": op7_label_propagation,
+    "op9_empirical_bayes": op9_empirical_bayes,
     "op10_vantage_point_trees": op10_vantage_point_trees,
 }
 ORACLE_SQL: dict[str, str] = {}

@@ -12,6 +12,7 @@ from blobtally.llm import label_sharding as sharding
 from blobtally.llm import pivot_index as pivots
 from blobtally.llm import quality_rules as rules
 from blobtally.llm import simhash_vptree as simhash
+from blobtally.llm import suffix_merge as suffixes
 from blobtally.llm import temperature_mixing as mixing
 from blobtally.llm import text_density as density
 
@@ -55,6 +56,10 @@ def op7_label_propagation(spark, sf_dir):
     return sharding.shard_documents(_table(spark, sf_dir, "documents"))
 
 
+def op8_prefix_merge_sort(spark, sf_dir):
+    return suffixes.remove_repeats(_table(spark, sf_dir, "documents"))
+
+
 def op9_empirical_bayes(spark, sf_dir):
     return bayes.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -67,6 +72,7 @@ QUERIES = {
     "op5_temperature_mixing": op5_temperature_mixing,
     "op6_text_density": op6_text_density,
     "op7_label_propagation": op7_label_propagation,
+    "op8_prefix_merge_sort": op8_prefix_merge_sort,
     "op9_empirical_bayes": op9_empirical_bayes,
     "op10_vantage_point_trees": op10_vantage_point_trees,
 }

@@ -15,7 +15,7 @@ from blobtally.session import scratch_path
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]"
 #: A side of a join is broadcast only below this many rows, which are counted first.
-BROADCAST_ROWS = 500_000
+BROADCAST_ROWS = 300_000
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

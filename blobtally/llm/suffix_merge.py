@@ -357,7 +357,22 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     one = rows.join(small_side(first, first.count()), "uid", "left").where("copied is null or is_first")
     spans = repeated_spans(one.select("uid", "text"))
     spans = spans.groupBy("uid").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
-    spans = materialise(spans, "spans")
+
+    @F.pandas_udf("array<struct<start: long, stop: long>>")
+    def united(column: pd.Series) -> pd.Series:
+        out = []
+        for ss in column:
+            one_: list[list[int]] = []
+            for s, e in sorted((x["start"], x["stop"]) for x in ss):
+                if one_ and s <= one_[-1][1]:
+                    one_[-1][1] = max(one_[-1][1], e)
+                else:
+                    one_.append([s, e])
+            out.append([{"start": s, "stop": e} for s, e in one_])
+        return pd.Series(out, dtype=object)
+
+    spans = materialise(spans.select("uid", united("spans").alias("spans")), "spans")
+    n, n_spans = spans.agg(F.count(F.lit(1)), F.sum(F.size("spans"))).first()
 
     @F.pandas_udf("n_removed long, n_spans long, kept_sha256 string")
     def cut(text: pd.Series, spans_: pd.Series, copied: pd.Series) -> pd.DataFrame:
@@ -367,21 +382,14 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
                 ss = [{"start": 0, "stop": len(t)}]
             here = gone = n = 0
             kept = hashlib.sha256()
-            ends = -1
-            for s, e in sorted((x["start"], x["stop"]) for x in (ss if ss is not None else ())):
-                if s > ends:
-                    n += 1
-                if s > here:
-                    kept.update(t[here:s])
-                if e > here:
-                    gone += e - max(s, here)
-                    here = e
-                ends = max(ends, e)
+            for x in ss if ss is not None else ():
+                kept.update(t[here:x["start"]])
+                here, n, gone = x["stop"], n + 1, gone + x["stop"] - x["start"]
             kept.update(t[here:])
             out.append((gone, n, kept.hexdigest()))
         return pd.DataFrame(out, columns=["n_removed", "n_spans", "kept_sha256"])
 
-    out = rows.join(small_side(spans, spans.count()), "uid", "left")
+    out = rows.join(small_side(spans, max(n, (n_spans or 0) // 4)), "uid", "left")
     out = out.select("doc_id", F.length("text").cast("long").alias("n_bytes"),
                      cut("text", "spans", F.coalesce("copied", F.lit(False))).alias("c"))
     return out.select("doc_id", "n_bytes", "c.n_removed", "c.n_spans", "c.kept_sha256")

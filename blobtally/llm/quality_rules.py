@@ -1,9 +1,9 @@
 """Quality rules by distribution divergence, with DataFrame functions only.
 
 A document's character classes and its most common short words are two histograms. Each is
-compared with the reference of the document's language, which is the sum over all documents of
-that language, by the Jensen-Shannon distance (base 2, so 0 to 1). Base rules on length and
-repetition come first.
+compared with the reference of the document's language, which is the mean over all documents of
+that language (so one long document weighs no more than another), by the Jensen-Shannon distance
+(base 2, so 0 to 1). Base rules on length and repetition come first.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ SHORT, N_COMMON = 4, 24
 MAX_CLASS_DISTANCE, MAX_WORD_DISTANCE = 0.28, 0.42
 #: Below these lengths a histogram is too thin to be compared, and its test is passed.
 MIN_CLASS_CHARS, MIN_COMMON_WORDS = 200, 50
-#: A language with fewer words than this in the whole corpus is compared with the sum of all.
+#: A language with fewer words than this in the whole corpus is compared with the mean of all.
 MIN_REFERENCE_WORDS = 2000
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 
@@ -48,7 +48,7 @@ def _distance(p: Column, q: Column) -> Column:
 
 
 def _common_words(docs: DataFrame) -> DataFrame:
-    """(lang, common array<string>): the most frequent short words, by count and then word."""
+    """(lang, common array<string>): the most frequent short words, ties by the word."""
     short = docs.select("lang", F.explode(spaced_words(spaced(F.coalesce("text", F.lit(""))))).alias("word")) \
         .where(F.length("word") <= SHORT)
     n = short.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
@@ -103,8 +103,10 @@ def _histograms(df: DataFrame) -> DataFrame:
         .drop("__w", "__odd", "__space", "__c", "__s", "__k")
 
 
-def _sum_arrays(column: str, n: int) -> Column:
-    return F.array(*[F.sum(F.coalesce(F.get(column, F.lit(i)), F.lit(0.0))) for i in range(n)])
+def _sum_shares(column: str, n: int) -> Column:
+    """Sum of the histograms, each scaled to one; those too thin to be compared count with zero."""
+    size = F.aggregate(column, F.lit(0.0), lambda s, x: s + x)
+    return F.array(*[F.sum(F.when(size > 0, F.coalesce(F.get(column, F.lit(i)), F.lit(0.0)) / size).otherwise(0.0)) for i in range(n)])
 
 
 def quality_rules(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
@@ -114,8 +116,8 @@ def quality_rules(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
     word_distance (double, null if not compared), base_failed, kept (boolean). ``docs`` needs
     ``text`` and ``lang``; a carried column with an added column's name is replaced.
 
-    Null or empty text: zero counts, base_failed. Null lang: compared with the sum of all
-    languages, as is a language with too few words. Ties among common words go by the word.
+    Null or empty text: zero counts, base_failed. Null lang: compared with the mean of
+    all languages, as is a language with too few words. Ties among common words go by the word.
     Repeated rows are scored each on their own. An empty table gives an empty result.
     """
     carry = docs.columns if carry is None else carry
@@ -125,15 +127,18 @@ def quality_rules(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
     counted = _histograms(base_columns(counted)).drop("text", "__common")
     scored = materialise(counted, "quality_profile")
 
-    sums = [F.sum("n_words").alias("n"), _sum_arrays("__classes", 6).alias("ref_classes"),
-            _sum_arrays("__seen", N_COMMON).alias("ref_top"), F.max(F.size("__seen")).alias("width"),
-            F.sum(F.element_at("__seen", -1)).alias("ref_rest")]
-    per = scored.groupBy("lang").agg(*sums)
-    every = scored.agg(_sum_arrays("__classes", 6).alias("all_classes"))
+    size = F.aggregate("__classes", F.lit(0.0), lambda s, x: s + x)
+    thick = scored.select("lang", "n_words", F.when(size >= MIN_CLASS_CHARS, F.col("__classes")).alias("__classes"),
+                          F.size("__seen").alias("width"), F.when(F.col("n_words") >= MIN_COMMON_WORDS, F.concat(
+                              F.slice("__seen", F.lit(1), F.size("__seen") - 1), F.array_repeat(F.lit(0.0), N_COMMON + 1 - F.size("__seen")),
+                              F.slice("__seen", F.lit(-1), F.lit(1)))).alias("__seen"))
+    per = thick.groupBy("lang").agg(F.sum("n_words").alias("n"), F.max("width").alias("width"),
+                                    _sum_shares("__classes", 6).alias("ref_classes"), _sum_shares("__seen", N_COMMON + 1).alias("ref_seen"))
+    every = thick.agg(_sum_shares("__classes", 6))
     # One row for each language that has text enough; __seen of a language has one width.
     ref = per.where(F.col("lang").isNotNull() & (F.col("n") >= MIN_REFERENCE_WORDS)).select(
-        "lang", "ref_classes", F.concat(F.slice("ref_top", F.lit(1), F.col("width") - 1),
-                                        F.array("ref_rest")).alias("ref_seen"))
+        "lang", "ref_classes", F.concat(F.slice("ref_seen", F.lit(1), F.col("width") - 1),
+                                        F.slice("ref_seen", F.lit(-1), F.lit(1))).alias("ref_seen"))
     ref = materialise(ref, "quality_reference")
     whole = every.first()[0]
     out = scored.join(small_side(ref, ref.count()), "lang", "left")

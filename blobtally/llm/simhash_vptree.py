@@ -201,6 +201,19 @@ def links(distinct: DataFrame, n: int, bits: int = MAX_BITS) -> DataFrame:
         .mapInArrow(_search(bits), "a long, b long")
 
 
+def _grouped(docs: DataFrame, bits: int, shingle: int, carry: list[str]) -> DataFrame:
+    """(row, id, fp, component, component_id); the component is one of the group's fingerprints."""
+    rows = materialise(docs.select(F.struct(*[docs[c] for c in carry]).alias("row"), docs["doc_id"].alias("id"),
+                                   fingerprints("text", shingle).alias("fp")), "fingerprints")
+    nodes = materialise(rows.groupBy("fp").agg(F.min("id").alias("least")), "fingerprint_nodes")
+    comp = components(links(nodes, nodes.count(), bits))
+    rooted = nodes.join(comp.withColumnRenamed("node", "fp"), "fp", "left") \
+        .select("fp", "least", F.coalesce("component", "fp").alias("component"))
+    rooted = materialise(rooted, "fingerprint_roots")
+    least = rooted.groupBy("component").agg(F.min("least").alias("component_id"))
+    return rows.join(rooted.join(least, "component").select("fp", "component", "component_id"), "fp")
+
+
 def simhash_groups(docs: DataFrame, bits: int = MAX_BITS, shingle: int = SHINGLE,
                    carry: list[str] | None = None) -> DataFrame:
     """Group documents whose fingerprints are linked by steps of at most ``bits`` bits.
@@ -212,16 +225,7 @@ def simhash_groups(docs: DataFrame, bits: int = MAX_BITS, shingle: int = SHINGLE
     fingerprints are one node, so copies cost one row each and no pairs.
     """
     carry = docs.columns if carry is None else carry
-    rows = materialise(docs.select(F.struct(*[docs[c] for c in carry]).alias("row"), docs["doc_id"].alias("id"),
-                                   fingerprints("text", shingle).alias("fp")), "fingerprints")
-    nodes = materialise(rows.groupBy("fp").agg(F.min("id").alias("least")), "fingerprint_nodes")
-    comp = components(links(nodes, nodes.count(), bits))
-    rooted = nodes.join(comp.withColumnRenamed("node", "fp"), "fp", "left") \
-        .select("fp", "least", F.coalesce("component", "fp").alias("component"))
-    rooted = materialise(rooted, "fingerprint_roots")
-    least = rooted.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = rooted.join(least, "component").select("fp", "component_id")
-    return rows.join(named, "fp") \
+    return _grouped(docs, bits, shingle, carry) \
         .select(*[F.col("row")[c].alias(c) for c in carry if c not in ("fingerprint", "component_id")],
                 F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
@@ -231,10 +235,7 @@ def keep_one(docs: DataFrame, bits: int = MAX_BITS, shingle: int = SHINGLE) -> D
 
     A group of rows that all have a null doc_id keeps one of its rows.
     """
-    grouped = simhash_groups(docs.select(F.struct(*docs.columns).alias("doc"), "doc_id", "text"), bits, shingle,
-                             carry=["doc", "doc_id"])
-    first = grouped.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    # Of rows that share the id, one stays; groups without an id are told apart by fingerprint.
-    key = F.when(F.col("doc_id").isNull(), F.col("fingerprint"))
-    one = first.withColumn("none", key).dropDuplicates(["doc_id", "none"])
-    return one.select(*[F.col("doc")[c].alias(c) for c in docs.columns])
+    out = _grouped(docs, bits, shingle, docs.columns)
+    # Rows that share the least id are equal in what the group is about: one stays.
+    one = out.where(F.col("id").eqNullSafe(F.col("component_id"))).dropDuplicates(["component"])
+    return one.select(*[F.col("row")[c].alias(c) for c in docs.columns])

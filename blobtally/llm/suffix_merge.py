@@ -314,12 +314,12 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     spark = texts.sparkSession
     found = texts.mapInArrow(_find_anchors, "uid long, at long, gram long")
     found = materialise(found, "anchors")
-    often = found.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram")
+    # Written, so that the join below has both sides dealt for it and splits a frequent gram.
+    often = materialise(found.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram"), "grams")
     kept = found.join(often, "gram", "left_semi").select("uid", "at", "gram")
     kept = materialise(kept.groupBy("uid").agg(F.sort_array(F.collect_list("at")).alias("positions")), "kept_anchors")
-    n, total = kept.agg(F.count(F.lit(1)), F.sum(F.size("positions"))).first()
-    joined = texts.join(small_side(kept, n, 200_000 if (total or 0) < 5_000_000 else 0), "uid") \
-        .select("uid", "positions", "text")
+    total = kept.agg(F.sum(F.size("positions"))).first()[0]
+    joined = texts.join(kept.hint("merge"), "uid").select("uid", "positions", "text")
     n_ranges = max(1, -(-(total or 0) // RANGE_SIZE))
     # Splitters are heads of sampled suffixes: a bounded sample, which decides only where the
     # ranges are cut. Suffixes that share the head stay together.

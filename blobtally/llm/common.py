@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blobtally.session import scratch_path
@@ -18,6 +19,28 @@ SPACE = r"[\x20\x09-\x0D]"
 BROADCAST_ROWS = 300_000
 
 
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def collect_tables() -> Iterator[list[str]]:
+    """The paths of the tables that ``materialise`` writes inside the block."""
+    tables: list[str] = []
+    _scopes.append(tables)
+    try:
+        yield tables
+    finally:
+        _scopes.remove(tables)
+
+
+def drop_tables(spark: SparkSession, paths: list[str]) -> None:
+    """Remove tables that ``materialise`` wrote and nothing reads any more."""
+    jvm = spark.sparkContext._jvm
+    for path in paths:
+        at = jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back.
 
@@ -25,6 +48,8 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     tasks that were running and nothing before them.
     """
     path = scratch_path(df.sparkSession, name)
+    for tables in _scopes:
+        tables.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -188,7 +213,8 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 
     now = edges.where(F.col("a") != F.col("b")) \
         .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    now = materialise(now, "edges")
+    with collect_tables() as old:
+        now = materialise(now, "edges")
     seen = state(now)
     for _ in range(max_rounds if seen[0] else 0):
         both = now.select("a", "b").union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -197,8 +223,11 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         small = least(large)
         small = small.select(F.col("b").alias("a"), F.col("low").alias("b")) \
             .union(small.select("a", F.col("low").alias("b"))).where(F.col("a") != F.col("b")).distinct()
-        now = materialise(small, "edges")
+        with collect_tables() as new:
+            now = materialise(small, "edges")
         was, seen = seen, state(now)
+        drop_tables(edges.sparkSession, old)
+        old = new
         if was == seen:
             break
     else:

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from blobtally.llm.common import Forest, by_key, components, materialise
+from blobtally.llm.common import Forest, by_key, components, materialise, small_side
 
 SHINGLE, MAX_BITS, SEED = 4, 4, 42
 #: Fingerprints aimed at in a shard, and the largest sample a tree is built from.
@@ -201,17 +201,21 @@ def links(distinct: DataFrame, n: int, bits: int = MAX_BITS) -> DataFrame:
         .mapInArrow(_search(bits), "a long, b long")
 
 
-def _grouped(docs: DataFrame, bits: int, shingle: int, carry: list[str]) -> DataFrame:
-    """(row, id, fp, component, component_id); the component is one of the group's fingerprints."""
-    rows = materialise(docs.select(F.struct(*[docs[c] for c in carry]).alias("row"), docs["doc_id"].alias("id"),
-                                   fingerprints("text", shingle).alias("fp")), "fingerprints")
+def _grouped(docs: DataFrame, bits: int, shingle: int, carry: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Written rows (row, id, number, fp), and (fp, component, component_id).
+
+    The component is one of the group's fingerprints, the component_id its least id.
+    """
+    rows = materialise(docs.select(
+        F.struct(*[docs[c] for c in carry]).alias("row"), docs["doc_id"].alias("id"),
+        F.monotonically_increasing_id().alias("number"), fingerprints("text", shingle).alias("fp")), "fingerprints")
     nodes = materialise(rows.groupBy("fp").agg(F.min("id").alias("least")), "fingerprint_nodes")
     comp = components(links(nodes, nodes.count(), bits))
     rooted = nodes.join(comp.withColumnRenamed("node", "fp"), "fp", "left") \
         .select("fp", "least", F.coalesce("component", "fp").alias("component"))
     rooted = materialise(rooted, "fingerprint_roots")
     least = rooted.groupBy("component").agg(F.min("least").alias("component_id"))
-    return rows.join(rooted.join(least, "component").select("fp", "component", "component_id"), "fp")
+    return rows, rooted.join(least, "component").select("fp", "component", "component_id")
 
 
 def simhash_groups(docs: DataFrame, bits: int = MAX_BITS, shingle: int = SHINGLE,
@@ -225,7 +229,8 @@ def simhash_groups(docs: DataFrame, bits: int = MAX_BITS, shingle: int = SHINGLE
     fingerprints are one node, so copies cost one row each and no pairs.
     """
     carry = docs.columns if carry is None else carry
-    return _grouped(docs, bits, shingle, carry) \
+    rows, groups = _grouped(docs, bits, shingle, carry)
+    return rows.join(groups, "fp") \
         .select(*[F.col("row")[c].alias(c) for c in carry if c not in ("fingerprint", "component_id")],
                 F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
@@ -235,7 +240,8 @@ def keep_one(docs: DataFrame, bits: int = MAX_BITS, shingle: int = SHINGLE) -> D
 
     A group of rows that all have a null doc_id keeps one of its rows.
     """
-    out = _grouped(docs, bits, shingle, docs.columns)
-    # Rows that share the least id are equal in what the group is about: one stays.
-    one = out.where(F.col("id").eqNullSafe(F.col("component_id"))).dropDuplicates(["component"])
+    rows, groups = _grouped(docs, bits, shingle, docs.columns)
+    named = rows.select("id", "number", "fp").join(groups, "fp").where(F.col("id").eqNullSafe(F.col("component_id")))
+    kept = materialise(named.groupBy("component").agg(F.min("number").alias("number")).select("number"), "kept_documents")
+    one = rows.join(small_side(kept, kept.count()), "number", "left_semi")
     return one.select(*[F.col("row")[c].alias(c) for c in docs.columns])

@@ -7,38 +7,39 @@ that earlier documents have go, sources are mixed to their weights, and what is
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from blobtally.llm import bestfit_packing, compact_windows, quality_rules, simhash_vptree, temperature_mixing
-from blobtally.llm.common import materialise
-
-
-def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return quality_rules.keep_good(docs)
-
-
-def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash_vptree.keep_one(docs)
-
+from blobtally.llm.common import collect_tables, drop_tables, materialise
 
-def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return compact_windows.drop_repeats(docs)
+#: Intermediate tables of the stage that ran last, for each application.
+_last: dict[str, list[str]] = {}
 
 
-def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return temperature_mixing.mix(docs)
+def _stage(operator: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """A stage that first removes the intermediate tables of the one before.
 
+    By the time a stage is called its predecessor's result is written, so nothing reads them.
+    """
+    def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        app = spark.sparkContext.applicationId
+        drop_tables(spark, _last.pop(app, []))
+        with collect_tables() as tables:
+            out = operator(docs)
+        _last[app] = tables
+        return out
 
-def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return bestfit_packing.pack(docs)
+    return stage
 
 
 STAGES = [
-    ("quality_rules", quality),
-    ("simhash_near_dedup", near_duplicates),
-    ("substring_dedup", repeated_passages),
-    ("source_mixing", mixing),
-    ("best_fit_packing", packing),
+    ("quality_rules", _stage(quality_rules.keep_good)),
+    ("simhash_near_dedup", _stage(simhash_vptree.keep_one)),
+    ("substring_dedup", _stage(compact_windows.drop_repeats)),
+    ("source_mixing", _stage(temperature_mixing.mix)),
+    ("best_fit_packing", _stage(bestfit_packing.pack)),
 ]
 
 #: Hash functions, trees and bins have no SQL form; the stages are tested against brute force.

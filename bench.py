@@ -36,7 +36,7 @@ from blobtally.sources.fixtures import (  # noqa: E402
     CELL_FAMILY,
     KEY_DELIMITER,
     MAX_BYTES,
-    N_GROUPS,
+    FILES_PER_GROUP,
     START_KEYS,
     Fixtures,
 )
@@ -106,9 +106,9 @@ def bench_queries(store):
     return {
         "file_status": lambda: store.status(),
         "file_meta": lambda: store.meta(),
-        "split_assignment": lambda: compact.plan_splits(store.status(), MAX_BYTES, N_GROUPS),
+        "split_assignment": lambda: compact.plan_splits(store.status(), MAX_BYTES, FILES_PER_GROUP),
         "relocation_plan": lambda: (lambda st: compact.plan_relocation(
-            compact.plan_splits(st, MAX_BYTES, N_GROUPS), store.meta(st), KEY_DELIMITER))(
+            compact.plan_splits(st, MAX_BYTES, FILES_PER_GROUP), store.meta(st), KEY_DELIMITER))(
                 store.written_status()),
         "region_bucket": lambda: cells.add_region(
             cells.to_cells(spark.read.parquet(store.paths["cell_source"]), "row_key", CELL_FAMILY,

@@ -8,7 +8,6 @@ Everything is a Spark DataFrame plan:
 * ``operators`` - reference resolution, per-file status and meta, split packing, relocation,
                   key-value cells.
 * ``plans``     - the two jobs (aggregate, compact), sinks, and the query catalogue.
-* ``streaming`` - intentionally empty: the reference has no streaming operator.
 """
 
 from blobtally.session import checkpoint_dir, get_session

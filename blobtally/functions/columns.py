@@ -60,15 +60,15 @@ def empty_percent(length: ColumnOrName, remain: ColumnOrName) -> Column:
 
     A zero-length file gives -1. Negative results (more referenced than stored) are kept. The
     arithmetic is exact (DECIMAL(38,0), so ``(length - remain) * 100`` cannot overflow), and a
-    percent outside the INT range saturates at its bound instead of wrapping or failing.
+    percent outside the INT range fails the run instead of wrapping.
     """
     n = _col(length).cast("decimal(38,0)")
     x = (n - _col(remain).cast("decimal(38,0)")) * F.lit(100)
     # SQL `div` truncates toward zero like the JVM's long division; CASE evaluates only the
-    # chosen branch, so the zero and saturation guards come first.
+    # chosen branch, so the guards come first.
     return (F.when(n == 0, F.lit(-1))
-            .when(x <= n * F.lit(INT_MIN), F.lit(INT_MIN))
-            .when(x >= n * F.lit(INT_MAX + 1), F.lit(INT_MAX))
+            .when((x <= n * F.lit(INT_MIN - 1)) | (x >= n * F.lit(INT_MAX + 1)),
+                  F.raise_error(F.concat(F.lit("empty percent out of range for length "), n.cast("string"))).cast("decimal(38,0)"))
             .otherwise(F.call_function("div", x, n))
             .cast("int"))
 
@@ -118,14 +118,15 @@ def region_bucket(row_key: ColumnOrName, start_keys: Sequence[bytes]) -> Column:
     """Index of the greatest region start key <= row_key, floor 0 (byte-wise unsigned order).
 
     Compiled into a balanced tree of comparisons, so each row costs log2(#keys) byte compares
-    and the whole expression stays in generated code. ``start_keys`` must be sorted.
+    and the whole expression stays in generated code. ``start_keys`` must be sorted. A null key
+    has no region.
     """
     keys = [bytes(k) for k in start_keys]
     if any(keys[i] > keys[i + 1] for i in range(len(keys) - 1)):
         raise ValueError("start keys must be sorted")
     k = _col(row_key)
     if not keys:
-        return F.lit(0)
+        return F.when(k.isNotNull(), F.lit(0))
 
     # Bucket = (number of keys <= row_key) - 1, floored at 0.
     def tree(lo: int, hi: int) -> Column:
@@ -135,4 +136,4 @@ def region_bucket(row_key: ColumnOrName, start_keys: Sequence[bytes]) -> Column:
         mid = (lo + hi) // 2
         return F.when(k < F.lit(keys[mid]), tree(lo, mid)).otherwise(tree(mid + 1, hi))
 
-    return tree(0, len(keys))
+    return F.when(k.isNotNull(), tree(0, len(keys)))

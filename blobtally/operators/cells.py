@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -52,15 +52,19 @@ def flat_map_cells(df: DataFrame,
                    fn: Callable[[dict], Iterable[tuple[bytes, bytes, bytes, bytes]]]) -> DataFrame:
     """Cells from an arbitrary Python function of one record (UDF1, the general form).
 
-    Runs per Arrow batch with ``mapInPandas``; prefer ``to_cells`` when the mapping is a plain
-    unpivot, which stays in the JVM.
+    Runs per Arrow batch, whose values reach ``fn`` as Python objects (integers stay integers,
+    nulls are None); cells with a null value are dropped. Prefer ``to_cells`` when the mapping is
+    a plain unpivot, which stays in the JVM.
     """
+    names = CELL_ORDER + ["value"]
+
     def run(batches):
-        for pdf in batches:
-            out = [cell for rec in pdf.to_dict("records") for cell in fn(rec)]
-            yield pd.DataFrame(out, columns=CELL_ORDER + ["value"])
+        for batch in batches:
+            out = [cell for rec in batch.to_pylist() for cell in fn(rec) if cell[3] is not None]
+            columns = zip(*out) if out else [[]] * len(names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in columns], names=names)
 
-    return df.mapInPandas(run, CELLS_DDL).filter(F.col("value").isNotNull())
+    return df.mapInArrow(run, CELLS_DDL).filter(F.col("value").isNotNull())
 
 
 def sort_cells(df: DataFrame, within_partitions: bool = False) -> DataFrame:
@@ -124,8 +128,9 @@ def add_region(df: DataFrame, start_keys: Sequence[bytes], name: str = "region")
         "_block INT, _keys ARRAY<BINARY>")
     in_block = F.size(F.filter(F.col("_keys"), lambda k: k <= F.col("row_key")))
     return (df.withColumn("_block", region_bucket("row_key", heads).cast("int"))
-            .join(F.broadcast(blocks), "_block")
-            .withColumn(name, F.greatest(F.col("_block") * size + in_block - 1, F.lit(0)))
+            .join(F.broadcast(blocks), "_block", "left")
+            .withColumn(name, F.when(F.col("row_key").isNotNull(),
+                                     F.greatest(F.col("_block") * size + in_block - 1, F.lit(0))))
             .drop("_block", "_keys"))
 
 

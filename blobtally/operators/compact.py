@@ -2,16 +2,15 @@
 
 Split packing (CMP1) is a sequential fold: a file joins the open split; once the split's total
 reaches ``max_bytes`` it closes (so a split may exceed the cap by its last file). A running sum
-that resets is not a window function, so the fold runs in Python, but streaming: files are
-routed to partition ``pack_group`` exactly (``repartitionById``), sorted by (pack_group, file_id)
-inside the partition, and ``mapInPandas`` carries a three-integer state across Arrow batches.
-No group is ever held in memory, and a lost task recomputes the same splits (the order is
-total and the assignment to partitions is exact).
+that resets is not a window function, so the fold runs in Python, but streaming: files are dealt
+by ``pack_group``, a range of file ids of fixed width, sorted by (pack_group, file_id) inside the
+partition, and ``mapInPandas`` carries a three-integer state across Arrow batches. No group is
+ever held in memory, a group has a bounded number of files, a file that is added changes its own
+group alone, and a lost task recomputes the same splits (the order is total).
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,8 +22,10 @@ from pyspark.sql import functions as F
 from blobtally import schemas
 from blobtally.session import checkpoint_dir
 
-ASSIGNMENT_DDL = "file_id BIGINT, pack_group INT, split_id INT, remainSize BIGINT"
+ASSIGNMENT_DDL = "file_id BIGINT, pack_group BIGINT, split_id INT, remainSize BIGINT"
 DEFAULT_FILES_PER_GROUP = 200_000
+# Groups whose open splits are merged by one task.
+DEFAULT_GROUPS_PER_TAIL = 1_000
 
 
 def _fold(max_bytes: int):
@@ -54,43 +55,46 @@ def _fold(max_bytes: int):
                     split += 1
                     current = 0
             yield pd.DataFrame({"file_id": pdf["file_id"].to_numpy(dtype=np.int64),
-                                "pack_group": groups.astype(np.int32),
+                                "pack_group": groups.astype(np.int64),
                                 "split_id": split_ids,
                                 "remainSize": remain.astype(np.int64)})
 
     return fold
 
 
-def _pack(files: DataFrame, max_bytes: int, n_partitions: int) -> DataFrame:
-    routed = files.repartitionById(n_partitions, F.col("pack_group"))
-    return (routed.sortWithinPartitions("pack_group", "file_id")
-            .mapInPandas(_fold(max_bytes), ASSIGNMENT_DDL))
+def _pack(files: DataFrame, max_bytes: int) -> DataFrame:
+    return (files.repartition("pack_group").sortWithinPartitions("pack_group", "_order", "file_id")
+            .select("pack_group", "file_id", "remainSize").mapInPandas(_fold(max_bytes), ASSIGNMENT_DDL))
 
 
-def plan_splits(status: DataFrame, max_bytes: int, n_groups: int | None = None,
+def _range_of(ids: Column, width: int) -> Column:
+    """Floor of ``ids / width`` in exact integer arithmetic."""
+    return F.call_function("div", ids - F.pmod(ids, F.lit(width)), F.lit(width))
+
+
+def plan_splits(status: DataFrame, max_bytes: int, files_per_group: int = DEFAULT_FILES_PER_GROUP,
                 include_archived: bool = True, merge_tails: bool = False,
-                files_per_group: int = DEFAULT_FILES_PER_GROUP) -> DataFrame:
+                groups_per_tail: int = DEFAULT_GROUPS_PER_TAIL) -> DataFrame:
     """Assign every file of a file-status table to a split.
 
-    Files go to ``pack_group = file_id mod n_groups`` and are packed in file_id order within
-    their group. ``n_groups=None`` sizes groups to about ``files_per_group`` files each (one
-    count over the status table). ``include_archived=False`` leaves out all-archived files
-    (remainSize = LONG_MAX). ``merge_tails=True`` then re-packs the open last split of every
-    group, in group order, into one extra group numbered ``n_groups`` (CMP2).
+    Files go to ``pack_group = floor(file_id / files_per_group)`` and are packed in file_id
+    order within their group; neither depends on how many files there are.
+    ``include_archived=False`` leaves out all-archived files (remainSize = LONG_MAX).
+    ``merge_tails=True`` then re-packs the open last splits of every ``groups_per_tail``
+    neighbouring groups, in group order, into one group with a negative number:
+    ``-1 - floor(pack_group / groups_per_tail)`` (CMP2). A null remainSize fails the run.
 
     Returns file_id, pack_group, split_id, remainSize.
     """
-    if max_bytes <= 0:
-        raise ValueError("max_bytes must be positive")
-    files = status.select(F.col("file_id").cast("bigint"), F.col("remainSize").cast("bigint"))
+    if max_bytes <= 0 or files_per_group <= 0 or groups_per_tail <= 0:
+        raise ValueError("max_bytes, files_per_group and groups_per_tail must be positive")
+    remain = F.coalesce(F.col("remainSize").cast("bigint"), F.raise_error(F.concat(
+        F.lit("no remainSize for file "), F.col("file_id").cast("string"))).cast("bigint"))
+    files = status.select(F.col("file_id").cast("bigint"), remain.alias("remainSize"))
     if not include_archived:
         files = files.filter(F.col("remainSize") != F.lit(schemas.ARCHIVED_REMAIN_SIZE))
-    if n_groups is None:
-        n_groups = max(1, math.ceil(files.count() / max(1, files_per_group)))
-    if n_groups <= 0:
-        raise ValueError("n_groups must be positive")
-    files = files.withColumn("pack_group", F.pmod(F.col("file_id"), F.lit(n_groups)).cast("int"))
-    assigned = _pack(files, max_bytes, n_groups)
+    files = files.withColumn("pack_group", _range_of(F.col("file_id"), files_per_group)).withColumn("_order", F.lit(0))
+    assigned = _pack(files, max_bytes)
     if not merge_tails:
         return assigned
     # The tail merge reads the assignment three times: fold once, keep it as a reliable
@@ -99,14 +103,14 @@ def plan_splits(status: DataFrame, max_bytes: int, n_groups: int | None = None,
     cached = assigned.persist(StorageLevel.MEMORY_AND_DISK)
     stable = cached.checkpoint(eager=True)
     cached.unpersist()
-    return _merge_tails(stable, max_bytes, n_groups)
+    return _merge_tails(stable, max_bytes, groups_per_tail)
 
 
 def _saturating_sum(c: Column) -> Column:
     return F.least(F.sum(c.cast("decimal(38,0)")), F.lit(schemas.LONG_MAX).cast("decimal(38,0)")).cast("bigint")
 
 
-def _merge_tails(assigned: DataFrame, max_bytes: int, n_groups: int) -> DataFrame:
+def _merge_tails(assigned: DataFrame, max_bytes: int, groups_per_tail: int) -> DataFrame:
     sizes = split_summary(assigned)
     last = sizes.groupBy("pack_group").agg(F.max("split_id").alias("split_id"))
     # The open split of a group is its last one, unless that one already reached the cap.
@@ -115,14 +119,9 @@ def _merge_tails(assigned: DataFrame, max_bytes: int, n_groups: int) -> DataFram
              .select("pack_group", "split_id"))
     tail_files = assigned.join(tails, ["pack_group", "split_id"], "left_semi")
     kept = assigned.join(tails, ["pack_group", "split_id"], "left_anti")
-    # Tails hold less than max_bytes each, n_groups of them: one sequential pass, in group order
-    # (sorted by the original group and file before the group is relabelled).
-    merged = (tail_files.select("file_id", "remainSize", F.col("pack_group").alias("_group"))
-              .repartitionById(1, F.lit(0))
-              .sortWithinPartitions("_group", "file_id")
-              .select("file_id", F.lit(n_groups).cast("int").alias("pack_group"), "remainSize")
-              .mapInPandas(_fold(max_bytes), ASSIGNMENT_DDL))
-    return kept.unionByName(merged)
+    merged = tail_files.select("file_id", "remainSize", F.col("pack_group").alias("_order"),
+                               (-1 - _range_of(F.col("pack_group"), groups_per_tail)).alias("pack_group"))
+    return kept.unionByName(_pack(merged, max_bytes))
 
 
 def split_summary(assigned: DataFrame) -> DataFrame:

@@ -66,8 +66,9 @@ def find_hot_keys(facts: DataFrame, key: str, skew_rows: int,
 
 def _salt_counts(hot_keys, skew_rows: int | None) -> dict:
     if isinstance(hot_keys, dict):
-        per = skew_rows or 1
-        return {k: min(MAX_SALTS, max(2, math.ceil(n / per))) for k, n in hot_keys.items()}
+        if not skew_rows:
+            raise ValueError("row counts of hot keys need skew_rows to become salts")
+        return {k: min(MAX_SALTS, max(2, math.ceil(n / skew_rows))) for k, n in hot_keys.items()}
     return {k: DEFAULT_SALTS for k in hot_keys}
 
 
@@ -106,6 +107,19 @@ def lookup_join(facts: DataFrame, index: DataFrame, key: str, how: str = "inner"
     return salted_facts.join(salted_index, [key, "_salt"], how).drop("_salt")
 
 
+def unique_rows(index: DataFrame, key: str) -> DataFrame:
+    """``index`` with a check inside the plan that ``key`` is unique: a repeat fails the run.
+
+    One aggregation by the key, which the join that follows needs the rows dealt by anyway (and
+    which a table bucketed by the key needs no shuffle for).
+    """
+    others = [c for c in index.columns if c != key]
+    counted = index.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"), *[F.any_value(c).alias(c) for c in others])
+    repeated = F.raise_error(F.concat(F.lit(f"{key} is not unique in the index: "), F.col(key).cast("string")))
+    return counted.filter(F.when(F.col("_rows") > 1, repeated.cast("boolean")).otherwise(F.lit(True))) \
+        .select(*index.columns)
+
+
 def assert_unique(index: DataFrame, key: str, show: int = 5) -> DataFrame:
     """Fail if ``key`` is not unique in ``index`` (a lookup index must return at most one row).
 

@@ -118,27 +118,24 @@ def sample_refs(df: DataFrame, fraction: float = 1.0, seed: int | None = None,
         return df
     if key is None:
         return df.sample(False, fraction, seed)
-    keep = int(round(fraction * modulus))
-    if fraction > 0 and keep == 0:
-        raise ValueError(f"sample fraction {fraction} is below the 1/{modulus} granularity")
+    keep = round(fraction * modulus)
+    if abs(fraction * modulus - keep) > 1e-9 * modulus:
+        raise ValueError(f"sample fraction {fraction} is no multiple of 1/{modulus}; give another modulus")
     return df.filter(F.pmod(key, F.lit(modulus)) < keep)
 
 
-BLOB_SAMPLE_MODULUS = 10_000
-
-
 def blob_sample_filter(fraction: float, file_id: str = "file_id", blob_id: str = "blob_id") -> Column:
     """Reproducible per-blob sample predicate: keeps a blob iff its hash falls in ``fraction``.
 
     Hashing (file_id, blob_id) makes the sample uniform whatever the file layout, and every
     reference to one blob is kept or dropped together, in the status and the meta alike.
-    Granularity is 1 / ``BLOB_SAMPLE_MODULUS``; a smaller non-zero fraction is an error rather
-    than a silently empty run.
+    The hash is compared as a 63-bit integer, so any fraction is honoured.
     """
-    keep = int(round(fraction * BLOB_SAMPLE_MODULUS))
-    if fraction > 0 and keep == 0:
-        raise ValueError(f"sample fraction {fraction} is below the 1/{BLOB_SAMPLE_MODULUS} granularity")
-    return F.pmod(F.xxhash64(F.col(file_id), F.col(blob_id)), F.lit(BLOB_SAMPLE_MODULUS)) < keep
+    if not 0.0 <= fraction <= 1.0:
+        raise ValueError("fraction must be within [0, 1]")
+    if fraction == 1.0:
+        return F.lit(True)
+    return F.shiftrightunsigned(F.xxhash64(F.col(file_id), F.col(blob_id)), 1) < F.lit(int(fraction * (1 << 63)))
 
 
 def blob_sample_key(file_id: str = "file_id", start: str = "start") -> Column:

@@ -55,8 +55,7 @@ def file_totals(refs: DataFrame, blob_index: DataFrame, archive_bucket: str,
         # pre-aggregation stays valid.
         resolved = resolved.filter(blob_sample_filter(sample_fraction))
     # Long arithmetic that reports overflow as null (a blob referenced billions of times can
-    # exceed 2^63 bytes in bag semantics); an overflowing file saturates just below the
-    # all-archived sentinel, so LONG_MAX keeps meaning "all archived".
+    # exceed 2^63 bytes in bag semantics); an overflowing file fails the run.
     # A null length counts as 0 bytes; only a null product of non-null inputs, or a null sum
     # over at least one non-null product, is an overflow.
     live_bytes = F.try_multiply(F.col("n_live"), F.col("length"))
@@ -67,12 +66,12 @@ def file_totals(refs: DataFrame, blob_index: DataFrame, archive_bucket: str,
         F.try_sum(live_bytes).alias("_live_bytes"),
         F.count(live_bytes).alias("_summed"),
         F.max(overflowed).alias("_overflow"))
-    saturated = F.lit(schemas.LONG_MAX - 1)
-    remain = (F.when(F.col("_overflow") == 1, saturated)
-              .when(F.col("_live_bytes").isNull() & (F.col("_summed") > 0), saturated)
-              .otherwise(F.coalesce(F.col("_live_bytes"), F.lit(0))))
-    totals = totals.select("file_id", "n_refs", "n_live",
-                           F.least(remain, saturated).cast("bigint").alias("remain_size"),
+    overflow = (F.col("_overflow") == 1) | (F.col("_live_bytes").isNull() & (F.col("_summed") > 0)) \
+        | (F.col("_live_bytes") == schemas.ARCHIVED_REMAIN_SIZE)
+    remain = F.when(overflow, F.raise_error(F.concat(
+        F.lit("remaining bytes exceed 2^63 in file "), F.col("file_id").cast("string"))).cast("bigint")) \
+        .otherwise(F.coalesce(F.col("_live_bytes"), F.lit(0)))
+    totals = totals.select("file_id", "n_refs", "n_live", remain.cast("bigint").alias("remain_size"),
                            (F.col("n_live") == 0).alias("all_archived"))
     return (totals, obs) if observe else totals
 

@@ -28,7 +28,8 @@ from blobtally.sources.fixtures import (
     CELL_FAMILY,
     KEY_DELIMITER,
     MAX_BYTES,
-    N_GROUPS,
+    FILES_PER_GROUP,
+    GROUPS_PER_TAIL,
     START_KEYS,
     Fixtures,
 )
@@ -37,8 +38,6 @@ from blobtally.sources.fixtures import (
 SAMPLE_FRACTION = 0.01
 DELETE_MIN_EMPTY_PERCENT = 90
 RUN_BASE = "/data/blobstore/"
-# A key with this many references is split off the shuffle join (see operators.joins).
-SKEW_ROWS = 1_000_000
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -52,7 +51,7 @@ def _refs(fx: Fixtures) -> DataFrame:
 
 
 def _resolved(fx: Fixtures) -> DataFrame:
-    return refs.resolve_refs(_refs(fx), fx.blob_index, skew_rows=SKEW_ROWS)
+    return refs.resolve_refs(_refs(fx), fx.blob_index)
 
 
 def _status(fx: Fixtures) -> DataFrame:
@@ -61,8 +60,7 @@ def _status(fx: Fixtures) -> DataFrame:
 
 def _meta(fx: Fixtures, file_status: DataFrame | None = None) -> DataFrame:
     st = file_status if file_status is not None else _status(fx)
-    return status.file_meta(_refs(fx), fx.blob_index, st, ARCHIVE_BUCKET, KEY_DELIMITER,
-                            skew_rows=SKEW_ROWS)
+    return status.file_meta(_refs(fx), fx.blob_index, st, ARCHIVE_BUCKET, KEY_DELIMITER)
 
 
 def _hex_cells(df: DataFrame) -> list:
@@ -76,7 +74,7 @@ def _cells(fx: Fixtures) -> DataFrame:
 
 
 def _assignment(fx: Fixtures) -> DataFrame:
-    return compact.plan_splits(_status(fx), MAX_BYTES, N_GROUPS)
+    return compact.plan_splits(_status(fx), MAX_BYTES, FILES_PER_GROUP)
 
 
 def _run_paths(fx: Fixtures) -> DataFrame:
@@ -114,7 +112,7 @@ def q_resolve_refs(spark, sf_dir):
 
 def q_unresolved_refs(spark, sf_dir):
     fx = _fx(spark, sf_dir)
-    return refs.unresolved_refs(_refs(fx), fx.blob_index, skew_rows=SKEW_ROWS)
+    return refs.unresolved_refs(_refs(fx), fx.blob_index)
 
 
 def q_lookup_counters(spark, sf_dir):
@@ -208,6 +206,25 @@ def q_split_assignment(spark, sf_dir):
     return _assignment(_fx(spark, sf_dir)).select("file_id", "pack_group", "split_id")
 
 
+def q_merged_tails(spark, sf_dir):
+    merged = compact.plan_splits(_status(_fx(spark, sf_dir)), MAX_BYTES, FILES_PER_GROUP, merge_tails=True,
+                                 groups_per_tail=GROUPS_PER_TAIL)
+    return merged.select("file_id", "pack_group", "split_id")
+
+
+def q_custom_cells(spark, sf_dir):
+    # A function of the record, over integers beyond 2^53 with nulls between them.
+    customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    number = F.when(F.col("c_custkey") % 7 != 0, F.col("c_custkey") + F.lit(9007199254740993))
+
+    def cells(record: dict):
+        value = None if record["number"] is None else str(record["number"]).encode()
+        yield f"{record['c_custkey']:09d}".encode(), b"f", b"number", value
+
+    out = cell_ops.flat_map_cells(customer.select("c_custkey", number.alias("number")), cells)
+    return out.select(F.hex("row_key").alias("row_key_hex"), F.hex("value").alias("value_hex"))
+
+
 def q_split_summary(spark, sf_dir):
     return compact.split_summary(_assignment(_fx(spark, sf_dir)))
 
@@ -217,7 +234,7 @@ def q_relocation_plan(spark, sf_dir):
     # The status feeds both the split plan and the meta: computed once and written as a table in
     # the shared checkpoint folder, which cuts the lineage (as the aggregate job does).
     st = tables.read_file_status(spark, sinks.write_file_status(_status(fx), scratch_path(spark, "file_status")))
-    return compact.plan_relocation(compact.plan_splits(st, MAX_BYTES, N_GROUPS), _meta(fx, st),
+    return compact.plan_relocation(compact.plan_splits(st, MAX_BYTES, FILES_PER_GROUP), _meta(fx, st),
                                    KEY_DELIMITER)
 
 
@@ -266,6 +283,8 @@ QUERIES: dict[str, Query] = {
     "run_catalog": q_run_catalog,
     "split_assignment": q_split_assignment,
     "split_summary": q_split_summary,
+    "merged_tails": q_merged_tails,
+    "custom_cells": q_custom_cells,
     "relocation_plan": q_relocation_plan,
     "marked_deleted": q_marked_deleted,
     "cells": q_cells,

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from blobtally import schemas
 from blobtally.operators import compact
-from blobtally.operators.joins import find_hot_key_counts
+from blobtally.operators.joins import find_hot_key_counts, unique_rows
 from blobtally.operators.refs import object_refs
 from blobtally.operators.status import file_meta, file_status
 from blobtally.plans import sinks
@@ -63,8 +63,10 @@ def run_aggregate(spark: SparkSession, objects, blob_index, file_index, file_len
     paths = run_paths(base, when)
     refs = object_refs(tables.read_objects(spark, objects))
     blobs = tables.read_blob_index(spark, blob_index)
-    status, obs = file_status(refs, blobs, tables.read_file_index(spark, file_index),
-                              tables.read_file_lengths(spark, file_lengths), archive_bucket,
+    # A repeated key in a lookup source would multiply references, so it fails the run.
+    status, obs = file_status(refs, unique_rows(blobs, "uri"),
+                              unique_rows(tables.read_file_index(spark, file_index), "file_id"),
+                              unique_rows(tables.read_file_lengths(spark, file_lengths), "path"), archive_bucket,
                               sample_fraction=sample_fraction, observe=True)
     sinks.write_file_status(status, paths.status)
     counters = dict(obs.get)
@@ -86,7 +88,7 @@ def run_aggregate(spark: SparkSession, objects, blob_index, file_index, file_len
 
 
 def run_compact(spark: SparkSession, base_folder: str, status_sub_path: str, out_path: str, *,
-                max_bytes: int, n_groups: int | None = None, meta_sub_path: str | None = None,
+                max_bytes: int, files_per_group: int = compact.DEFAULT_FILES_PER_GROUP, meta_sub_path: str | None = None,
                 include_archived: bool = True, merge_tails: bool = False,
                 key_delimiter: str = schemas.DEFAULT_KEY_DELIMITER) -> CompactResult:
     """JOB2: a run's file status -> split plan (and, given the meta, a relocation plan).
@@ -100,7 +102,7 @@ def run_compact(spark: SparkSession, base_folder: str, status_sub_path: str, out
     obs = Observation("compact_input")
     status: DataFrame = tables.read_file_status(spark, status_path) \
         .observe(obs, F.count(F.lit(1)).alias("input_rows"))
-    assigned = compact.plan_splits(status, max_bytes, n_groups, include_archived=include_archived,
+    assigned = compact.plan_splits(status, max_bytes, files_per_group, include_archived=include_archived,
                                    merge_tails=merge_tails)
     out = out_path.rstrip("/")
     splits_path = sinks.write_split_assignment(assigned, f"{out}/splits")

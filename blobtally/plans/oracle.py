@@ -6,7 +6,7 @@ The driver registers only the base tables, so every text carries the fixture der
 
 from __future__ import annotations
 
-from blobtally.sources.fixtures import MAX_BYTES, N_GROUPS
+from blobtally.sources.fixtures import FILES_PER_GROUP, GROUPS_PER_TAIL, MAX_BYTES
 
 LONG_MAX = "9223372036854775807"
 
@@ -76,8 +76,8 @@ ox_meta AS (
 # Sequential split packing per pack group, as a recursive CTE (saturating sum, close at cap).
 SPLIT_CTES = f"""
 ox_order AS (
-  SELECT file_id, CAST(file_id % {N_GROUPS} AS INTEGER) AS g, "remainSize" AS remain,
-         row_number() OVER (PARTITION BY file_id % {N_GROUPS} ORDER BY file_id) AS rn
+  SELECT file_id, CAST(file_id // {FILES_PER_GROUP} AS BIGINT) AS g, "remainSize" AS remain,
+         row_number() OVER (PARTITION BY file_id // {FILES_PER_GROUP} ORDER BY file_id) AS rn
   FROM ox_status),
 ox_pack AS (
   SELECT g, rn, file_id, remain, 0 AS split_id, remain AS cur FROM ox_order WHERE rn = 1
@@ -88,6 +88,25 @@ ox_pack AS (
               ELSE CAST(least(CAST(p.cur AS HUGEINT) + o.remain, {LONG_MAX}) AS BIGINT) END
   FROM ox_pack p JOIN ox_order o ON o.g = p.g AND o.rn = p.rn + 1)"""
 
+# The open last splits of every GROUPS_PER_TAIL groups, packed again in group order.
+TAIL_CTES = f"""
+ox_tails AS (
+  SELECT g, split_id FROM (
+    SELECT g, split_id, sum(CAST(remain AS HUGEINT)) AS size, max(split_id) OVER (PARTITION BY g) AS last
+    FROM ox_pack GROUP BY g, split_id) WHERE split_id = last AND size < {MAX_BYTES}),
+ox_tail_order AS (
+  SELECT p.file_id, -1 - CAST(p.g // {GROUPS_PER_TAIL} AS BIGINT) AS g, p.remain,
+         row_number() OVER (PARTITION BY p.g // {GROUPS_PER_TAIL} ORDER BY p.g, p.file_id) AS rn
+  FROM ox_pack p JOIN ox_tails t ON t.g = p.g AND t.split_id = p.split_id),
+ox_tail_pack AS (
+  SELECT g, rn, file_id, remain, 0 AS split_id, remain AS cur FROM ox_tail_order WHERE rn = 1
+  UNION ALL
+  SELECT o.g, o.rn, o.file_id, o.remain,
+         CASE WHEN p.cur >= {MAX_BYTES} THEN p.split_id + 1 ELSE p.split_id END,
+         CASE WHEN p.cur >= {MAX_BYTES} THEN o.remain
+              ELSE CAST(least(CAST(p.cur AS HUGEINT) + o.remain, {LONG_MAX}) AS BIGINT) END
+  FROM ox_tail_pack p JOIN ox_tail_order o ON o.g = p.g AND o.rn = p.rn + 1)"""
+
 CELL_CTES = """
 ox_cells AS (
   SELECT encode(lpad(CAST(c_custkey AS VARCHAR), 9, '0')) AS rk, encode('f') AS fam, encode('name') AS qual,
@@ -163,6 +182,15 @@ ORACLE_SQL: dict[str, str] = {
         f"SELECT g AS pack_group, CAST(split_id AS INTEGER) AS split_id,"
         f" CAST(least(sum(CAST(remain AS HUGEINT)), {LONG_MAX}) AS BIGINT) AS size, count(*) AS n_files"
         f" FROM ox_pack GROUP BY g, split_id", SPLIT_CTES, recursive=True),
+    "merged_tails": _with(
+        "SELECT p.file_id, p.g AS pack_group, CAST(p.split_id AS INTEGER) AS split_id FROM ox_pack p"
+        " WHERE NOT EXISTS (SELECT 1 FROM ox_tails t WHERE t.g = p.g AND t.split_id = p.split_id)"
+        " UNION ALL SELECT file_id, g, CAST(split_id AS INTEGER) FROM ox_tail_pack",
+        SPLIT_CTES, TAIL_CTES, recursive=True),
+    "custom_cells": _with(
+        "SELECT hex(encode(lpad(CAST(c_custkey AS VARCHAR), 9, '0'))) AS row_key_hex,"
+        " hex(encode(CAST(c_custkey + 9007199254740993 AS VARCHAR))) AS value_hex"
+        " FROM customer WHERE c_custkey % 7 <> 0"),
     "relocation_plan": _with(
         "SELECT p.g AS pack_group, CAST(p.split_id AS INTEGER) AS split_id, m.file_id, m.blob_id, m.start, m.length,"
         " CAST(coalesce(sum(m.length) OVER (PARTITION BY p.g, p.split_id ORDER BY m.file_id, m.start, m.blob_id"

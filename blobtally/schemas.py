@@ -29,20 +29,6 @@ RAW_OBJECTS = StructType([
     StructField("size", BinaryType(), True),
 ])
 
-# Decoded object table: uri is a comma separated list of blob uris.
-OBJECTS = StructType([
-    StructField("object_key", StringType(), False),
-    StructField("uri", StringType(), True),
-    StructField("size", LongType(), True),
-])
-
-# One row per (object, blob uri) reference.
-REFS = StructType([
-    StructField("object_key", StringType(), False),
-    StructField("uri", StringType(), False),
-    StructField("size", LongType(), False),
-])
-
 # Blob index, unique on uri.
 BLOB_INDEX = StructType([
     StructField("uri", StringType(), False),
@@ -90,7 +76,7 @@ CELLS = StructType([
 # Output of split packing: one row per file.
 SPLIT_ASSIGNMENT = StructType([
     StructField("file_id", LongType(), False),
-    StructField("pack_group", IntegerType(), False),
+    StructField("pack_group", LongType(), False),
     StructField("split_id", IntegerType(), False),
     StructField("remainSize", LongType(), False),
 ])

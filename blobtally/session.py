@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -49,14 +51,14 @@ def get_session(master: str | None = None, app: str = "blobtally",
 
 
 def scale_conf(shuffle_bytes: int, partition_bytes: int = 256 * 1024 * 1024,
-               min_partitions: int = 200, max_partitions: int = 100_000) -> dict:
+               min_partitions: int = 200) -> dict:
     """Settings for a run that shuffles about ``shuffle_bytes``: partitions of ~``partition_bytes``.
 
     Shuffle partitions are sized so each reducer holds one partition's worth (AQE coalesces
     smaller ones at runtime and splits skewed ones); input splits and AQE's advisory size use
     the same target. When the blob index is stored bucketed, use its bucket count instead.
     """
-    n = max(min_partitions, min(max_partitions, -(-int(shuffle_bytes) // int(partition_bytes))))
+    n = max(min_partitions, -(-int(shuffle_bytes) // int(partition_bytes)))
     return {
         "spark.sql.shuffle.partitions": str(n),
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),
@@ -87,9 +89,27 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+_scratch: dict[str, list[str]] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub folder of the shared checkpoint folder for written intermediate tables."""
-    import uuid
+    """A fresh sub folder of the shared checkpoint folder for written intermediate tables.
 
+    The folder is removed when the Python process ends while the application still runs.
+    """
     base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    if not _scratch:
+        atexit.register(_drop_scratch)
+    _scratch.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def _drop_scratch() -> None:
+    spark = SparkSession.getActiveSession()
+    if spark is None or spark.sparkContext._jsc is None:
+        return
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in _scratch.pop(spark.sparkContext.applicationId, []):
+        at = jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(conf).delete(at, True)

@@ -155,7 +155,8 @@ def write_bucketed(df: DataFrame, table: str, key: str, n_buckets: int, path: st
     shuffling it: for the blob index that removes its shuffle from both the status and the meta
     step. ``path`` places the data files (an external table); otherwise the warehouse is used.
     """
-    writer = df.write.mode("overwrite").bucketBy(n_buckets, key).sortBy(key)
+    # Dealt by the key first: otherwise each write task would open a file for every bucket.
+    writer = df.repartition(n_buckets, key).write.mode("overwrite").bucketBy(n_buckets, key).sortBy(key)
     if path:
         writer = writer.option("path", path)
     writer.saveAsTable(table)

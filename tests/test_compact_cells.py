@@ -33,61 +33,73 @@ def test_plan_splits_edges(spark):
     # One group: 60+40 reaches the cap exactly and closes; a file over the cap sits alone;
     # the all-archived sentinel closes its split instead of wrapping negative.
     sizes = [(1, 60), (2, 40), (3, 250), (4, 10), (5, M), (6, 5), (7, 0)]
-    got = {r.file_id: r.split_id for r in compact.plan_splits(status_df(spark, sizes), CAP, 1).collect()}
+    got = {r.file_id: r.split_id for r in compact.plan_splits(status_df(spark, sizes), CAP, 1000).collect()}
     assert got == {1: 0, 2: 0, 3: 1, 4: 2, 5: 2, 6: 3, 7: 3}
     summary = {(r.split_id): (r.size, r.n_files) for r in
-               compact.split_summary(compact.plan_splits(status_df(spark, sizes), CAP, 1)).collect()}
+               compact.split_summary(compact.plan_splits(status_df(spark, sizes), CAP, 1000)).collect()}
     assert summary == {0: (100, 2), 1: (250, 1), 2: (M, 2), 3: (5, 2)}
     no_archived = compact.plan_splits(status_df(spark, sizes), CAP, 1, include_archived=False)
     assert 5 not in {r.file_id for r in no_archived.collect()}
 
 
 def test_plan_splits_empty_input(spark):
-    assert compact.plan_splits(status_df(spark, [(1, 5)]).limit(0), CAP, 4).count() == 0
+    assert compact.plan_splits(status_df(spark, [(1, 5)]).limit(0), CAP).count() == 0
 
 
 def test_plan_splits_matches_sequential_fold_per_group(spark):
     rnd = random.Random(11)
     sizes = [(fid, rnd.choice([0, 1, 7, 30, 60, 99, 100, 130, M])) for fid in rnd.sample(range(10_000), 700)]
-    got = {r.file_id: (r.pack_group, r.split_id) for r in
-           compact.plan_splits(status_df(spark, sizes), CAP, 5).collect()}
+    assigned = compact.plan_splits(status_df(spark, sizes), CAP, 2000)
+    got = {r.file_id: (r.pack_group, r.split_id) for r in assigned.collect()}
     assert len(got) == len(sizes)                       # every file lands in exactly one split
     for g in range(5):
-        group = sorted((fid, s) for fid, s in sizes if fid % 5 == g)
+        group = sorted((fid, s) for fid, s in sizes if fid // 2000 == g)
         want = sequential_fold(group, CAP)
-        assert {fid: got[fid][1] for fid, _ in group} == want
+        assert {fid: got[fid] for fid, _ in group} == {fid: (g, s) for fid, s in want.items()}
     # Every split but the last of its group reaches the cap.
-    summ = compact.split_summary(compact.plan_splits(status_df(spark, sizes), CAP, 5))
+    summ = compact.split_summary(assigned)
     last = summ.groupBy("pack_group").agg(F.max("split_id").alias("last"))
     short = summ.join(last, "pack_group").filter((F.col("split_id") < F.col("last")) & (F.col("size") < CAP))
     assert short.count() == 0
 
 
-def test_plan_splits_auto_groups(spark):
-    sizes = [(i, 10) for i in range(50)]
-    out = compact.plan_splits(status_df(spark, sizes), CAP, None, files_per_group=20).collect()
-    assert {r.pack_group for r in out} == {0, 1, 2}
+def test_a_new_file_changes_its_own_group_alone(spark):
+    sizes = [(i, 30) for i in range(0, 4000, 8)]  # strided ids spread over the groups
+    before = {r.file_id: (r.pack_group, r.split_id) for r in compact.plan_splits(status_df(spark, sizes), CAP, 400).collect()}
+    assert {g for g, _ in before.values()} == set(range(10))
+    more = compact.plan_splits(status_df(spark, sizes + [(1201, 30), (9000, 30)]), CAP, 400).collect()
+    after = {r.file_id: (r.pack_group, r.split_id) for r in more}
+    assert {f: v for f, v in after.items() if v[0] not in (3, 22)} == {f: v for f, v in before.items() if v[0] != 3}
+
+
+def test_negative_ids_and_null_sizes(spark):
+    import pytest
+    got = {r.file_id: r.pack_group for r in compact.plan_splits(status_df(spark, [(-1, 5), (-10, 5), (-11, 5), (9, 5)]), CAP, 10).collect()}
+    assert got == {-1: -1, -10: -1, -11: -2, 9: 0}
+    missing = spark.createDataFrame([(1, None)], "file_id bigint, remainSize bigint")
+    with pytest.raises(Exception, match="no remainSize for file 1"):
+        compact.plan_splits(missing, CAP).collect()
 
 
 def test_merge_tails_repacks_open_splits_in_group_order(spark):
-    sizes = [(0, 70), (2, 50), (1, 30), (3, 20), (5, 90), (4, 40)]  # groups by fid % 2
-    merged = compact.plan_splits(status_df(spark, sizes), CAP, 2, merge_tails=True).collect()
+    sizes = [(0, 70), (1, 50), (2, 40), (10, 30), (11, 20), (12, 90)]  # groups of ten ids
+    merged = compact.plan_splits(status_df(spark, sizes), CAP, 10, merge_tails=True).collect()
     got = {r.file_id: (r.pack_group, r.split_id) for r in merged}
-    # Group 0: 0,2,4 -> 70+50 closes (split 0); 40 open tail. Group 1: 1,3,5 -> 30+20+90 closes.
-    # Only group 0 has an open tail (file 4), re-packed into the merged group 2.
-    assert got == {0: (0, 0), 2: (0, 0), 1: (1, 0), 3: (1, 0), 5: (1, 0), 4: (2, 0)}
-    sizes2 = [(0, 10), (1, 20), (2, 30), (3, 50)]
+    # Group 0: 70+50 closes (split 0); 40 open tail. Group 1: 30+20+90 closes. Only group 0 has
+    # an open tail (file 2), packed again into the tail group -1.
+    assert got == {0: (0, 0), 1: (0, 0), 10: (1, 0), 11: (1, 0), 12: (1, 0), 2: (-1, 0)}
+    sizes2 = [(0, 10), (1, 30), (10, 20), (11, 50), (20, 5), (30, 0)]
     got2 = {r.file_id: (r.pack_group, r.split_id) for r in
-            compact.plan_splits(status_df(spark, sizes2), CAP, 2, merge_tails=True).collect()}
-    # Both tails open: group 0 files (0, 2) then group 1 files (1, 3): 10+30+20+50 closes at 3.
-    assert got2 == {0: (2, 0), 2: (2, 0), 1: (2, 0), 3: (2, 0)}
+            compact.plan_splits(status_df(spark, sizes2), CAP, 10, merge_tails=True, groups_per_tail=2).collect()}
+    # All tails are open: two groups each share a tail group, 10+30+20+50 closes at file 11.
+    assert got2 == {0: (-1, 0), 1: (-1, 0), 10: (-1, 0), 11: (-1, 0), 20: (-2, 0), 30: (-2, 0)}
 
 
 def test_relocation_plan_has_no_gap_or_overlap(spark, fx):
     r = refs.object_refs(fx.objects_raw)
     st = status.file_status(r, fx.blob_index, fx.file_index, fx.file_lengths, "archive")
     meta = status.file_meta(r, fx.blob_index, st, "archive")
-    assigned = compact.plan_splits(st, 4194304, 8)
+    assigned = compact.plan_splits(st, 4194304, 16)
     plan = compact.plan_relocation(assigned, meta).collect()
     # Cutting files into many small chunks must give the same plan.
     small_chunks = compact.plan_relocation(assigned, meta, chunk_bytes=5000).collect()
@@ -238,11 +250,12 @@ def test_write_cells_with_external_writer(spark, tmp_dir):
 
 
 def test_merge_tails_orders_large_file_ids_by_group(spark):
-    sizes = [(2, 100), (1 << 41, 100), (1, 100), (3, 10), (9223372036854775001, 5)]
+    n = 1 << 41
+    sizes = [(2, 100), (1, 100), (n, 100), (n + 1, 10), (9223372036854775001, 5)]
     got = {r.file_id: (r.pack_group, r.split_id) for r in
-           compact.plan_splits(status_df(spark, sizes), 250, 2, merge_tails=True).collect()}
-    # Group 0 tail (2, 2^41), then group 1 tail (1, 3, 9223372036854775001): 300 closes at file 1.
-    assert got == {2: (2, 0), 1 << 41: (2, 0), 1: (2, 0), 3: (2, 1), 9223372036854775001: (2, 1)}
+           compact.plan_splits(status_df(spark, sizes), 250, n, merge_tails=True, groups_per_tail=1 << 40).collect()}
+    # Group 0 tail (1, 2), then group 1 (n, n + 1): 300 closes at file n; the last file is open.
+    assert got == {1: (-1, 0), 2: (-1, 0), n: (-1, 0), n + 1: (-1, 1), 9223372036854775001: (-1, 1)}
 
 
 def test_mark_deleted_keeps_existing_marks(spark):
@@ -257,3 +270,29 @@ def test_relocation_keeps_blobs_without_start(spark):
     assigned = spark.createDataFrame([(7, 0, 0, 18)], schemas.SPLIT_ASSIGNMENT)
     got = sorted((r.blob_id, r.new_start) for r in compact.plan_relocation(assigned, meta).collect())
     assert got == [("a", 0), ("b", 5), ("c", 15)]
+
+
+def test_custom_cells_keep_integers_and_nulls(spark):
+    df = spark.createDataFrame([(1, 9007199254740993), (2, None), (3, 5)], "id bigint, n bigint")
+
+    def cells_of(r):
+        yield str(r["id"]).encode(), b"f", b"n", None if r["n"] is None else str(r["n"]).encode()
+
+    got = {bytes(r.row_key): bytes(r.value) for r in cell_ops_flat(df, cells_of).collect()}
+    assert got == {b"1": b"9007199254740993", b"3": b"5"}
+
+
+def cell_ops_flat(df, fn):
+    from blobtally.operators import cells
+
+    return cells.flat_map_cells(df, fn)
+
+
+def test_null_row_key_has_no_region(spark):
+    from blobtally.operators import cells
+
+    df = spark.createDataFrame([(None,), (b"\x01\x00",)], "row_key binary")
+    for n in (3, 512, 513, 2000):
+        keys = [bytes([i // 256, i % 256]) for i in range(n)]
+        got = [r.region for r in cells.add_region(df, keys).collect()]
+        assert sorted(got, key=lambda x: (x is not None, x)) == [None, min(256, n - 1)]

@@ -104,6 +104,6 @@ def test_scale_conf():
     from blobtally.session import scale_conf
 
     conf = scale_conf(100 * (1 << 40))  # 100 TiB shuffled
-    assert conf["spark.sql.shuffle.partitions"] == "100000"  # 409,600 wanted, capped
+    assert conf["spark.sql.shuffle.partitions"] == "409600"
     assert scale_conf(1 << 30)["spark.sql.shuffle.partitions"] == "200"  # floor
     assert scale_conf(10 * (1 << 40))["spark.sql.shuffle.partitions"] == "40960"

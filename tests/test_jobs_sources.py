@@ -42,7 +42,7 @@ def test_aggregate_then_compact(spark, fx, tmp_dir):
     assert res.counters["files"] == st.count()
 
     comp = jobs.run_compact(spark, base, "aggregator/2017-09-17/1505661514000/file_status",
-                            os.path.join(tmp_dir, "plan"), max_bytes=4194304, n_groups=8,
+                            os.path.join(tmp_dir, "plan"), max_bytes=4194304, files_per_group=16,
                             meta_sub_path="aggregator/2017-09-17/1505661514000/file_meta")
     assert comp.run_ts == 1505661514000
     assert comp.counters["input_rows"] == st.count()
@@ -131,7 +131,7 @@ def test_custom_key_delimiter_through_both_jobs(spark, fx, tmp_dir):
     res = jobs.run_aggregate(spark, inputs["objects_raw"], inputs["blob_index"], inputs["file_index"],
                              inputs["file_lengths"], base, WHEN, archive_bucket="archive", key_delimiter="#")
     sub = res.status_path[len(base):]
-    comp = jobs.run_compact(spark, base, sub, os.path.join(tmp_dir, "plan"), max_bytes=4194304, n_groups=8,
+    comp = jobs.run_compact(spark, base, sub, os.path.join(tmp_dir, "plan"), max_bytes=4194304, files_per_group=16,
                             meta_sub_path=res.meta_path[len(base):], key_delimiter="#")
     reloc = spark.read.parquet(comp.relocation_path)
     assert reloc.count() == spark.read.parquet(res.meta_path).select("meatRowKey").distinct().count()

@@ -173,13 +173,24 @@ def test_hot_keys_from_file_sample(spark, tmp_dir):
     assert hot == ["hot"]
 
 
-def test_remain_size_saturates_below_the_sentinel(spark):
+def test_remain_size_beyond_long_fails(spark):
+    import pytest
+
     big = (1 << 62)
     objects = [("photos/a", "h", 1), ("photos/b", "h", 1), ("photos/c", "h", 1), ("photos/d", "s", 1)]
-    blobs = [("h", 1, "a", 0, big), ("s", 2, "a", 0, 10)]
     r = refs.object_refs(raw(spark, objects))
-    got = {x.file_id: x.remain_size for x in status.file_totals(r, index(spark, blobs), "archive").collect()}
-    assert got == {1: schemas.LONG_MAX - 1, 2: 10}
+    with pytest.raises(Exception, match="remaining bytes exceed"):
+        status.file_totals(r, index(spark, [("h", 1, "a", 0, big), ("s", 2, "a", 0, 10)]), "archive").collect()
+
+
+def test_repeated_lookup_keys_fail_the_run(spark, fx):
+    import pytest
+
+    once = joins.unique_rows(fx.blob_index, "uri")
+    assert sorted(map(tuple, once.collect())) == sorted(map(tuple, fx.blob_index.select(*once.columns).collect()))
+    for df, key in ((fx.blob_index, "uri"), (fx.file_index, "file_id"), (fx.file_lengths, "path")):
+        with pytest.raises(Exception, match="is not unique in the index"):
+            joins.unique_rows(df.union(df.limit(1)), key).agg(F.count("*")).collect()
 
 
 def test_assert_unique(spark, fx):
@@ -220,7 +231,11 @@ def test_sampling_granularity_is_checked(spark):
     with pytest.raises(ValueError):
         refs.sample_refs(df, 0.001, key=refs.blob_sample_key())
     with pytest.raises(ValueError):
-        refs.blob_sample_filter(0.00001)
+        refs.sample_refs(df, 0.996, key=refs.blob_sample_key())
+    with pytest.raises(ValueError):
+        refs.blob_sample_filter(1.5)
     blobs = spark.range(0, 20000).select(F.col("id").alias("file_id"), F.lit("b").alias("blob_id"))
     kept = blobs.filter(refs.blob_sample_filter(0.1)).count()
     assert 1600 < kept < 2400
+    near_all = blobs.filter(refs.blob_sample_filter(0.9999)).count()
+    assert 19_980 < near_all < 20_000

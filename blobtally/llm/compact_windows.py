@@ -325,7 +325,9 @@ def _passages(base: DataFrame) -> DataFrame:
                     F.struct(F.col("rep_uid").alias("uid"), F.lit(1).alias("side"),
                              F.col("rep_lo").alias("s"), F.col("rep_hi").alias("e")))
     needs = regions.select("rid", F.inline(sides))
-    texts = base.join(small_side(needs, 2 * regions.count()), "uid")
+    # Always dealt by the document: the same plan at every size, and a document that many need is
+    # split by the skew handling of the join.
+    texts = base.join(needs.hint("merge"), "uid")
     cut = texts.select("rid", "side", F.array_join(F.slice(
         words(F.lower("text")), (F.col("s") + 1).cast("int"), (F.col("e") - F.col("s") + SHINGLE).cast("int")), " ").alias("part"))
     both = cut.groupBy("rid").agg(F.max(F.when(F.col("side") == 0, F.col("part"))).alias("a"),

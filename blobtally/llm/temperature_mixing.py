@@ -22,7 +22,7 @@ TARGET_FLATTENING = 0.5
 MAX_REPEATS = 4.0
 N_BLOCKS = 100
 #: Rows aimed at in a bucket of a permutation; prefix sums run inside buckets and over them.
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 4_000
 _STEPS, _POINTS = 10, 15  # each step halves the interval four times
 
 

@@ -26,9 +26,9 @@ from blobtally.llm.common import by_key, materialise, mix64, small_side, window_
 
 LENGTH, GRAM = 200, 32
 #: Suffixes in a run of a task (a 16-bit count), and aimed at in a range of the merge.
-RUN_SIZE, RANGE_SIZE = 40_000, 40_000
+RUN_SIZE, RANGE_SIZE = 20_000, 20_000
 MAX_SPLITTER_SAMPLE = 20_000
-_CHUNK = 1 << 20
+_CHUNK = 1 << 18
 _REACH = LENGTH - GRAM  # how far left of its anchor a string may begin
 
 

@@ -2,10 +2,12 @@
 
 from blobtally.functions.columns import (
     bytes_to_long,
+    cell_label,
     decode_utf8,
     empty_percent,
     is_archived,
     meta_row_key,
+    millis_instant,
     ntz_epoch_millis,
     region_bucket,
     run_day,
@@ -16,10 +18,12 @@ from blobtally.functions.columns import (
 
 __all__ = [
     "bytes_to_long",
+    "cell_label",
     "decode_utf8",
     "empty_percent",
     "is_archived",
     "meta_row_key",
+    "millis_instant",
     "ntz_epoch_millis",
     "region_bucket",
     "run_day",

@@ -114,6 +114,16 @@ def run_timestamp(path: ColumnOrName) -> Column:
     return F.try_element_at(parts, F.lit(-2)).try_cast("bigint")
 
 
+def millis_instant(millis: ColumnOrName) -> Column:
+    """The instant (TIMESTAMP) of an epoch in milliseconds, such as a run timestamp; null stays null."""
+    return F.timestamp_millis(_col(millis))
+
+
+def cell_label(row_key: ColumnOrName, family: ColumnOrName, qualifier: ColumnOrName) -> Column:
+    """Readable name of a cell: ``row:family:qualifier``, each part decoded as UTF-8; null if one is null."""
+    return F.concat(decode_utf8(row_key), F.lit(":"), decode_utf8(family), F.lit(":"), decode_utf8(qualifier))
+
+
 def region_bucket(row_key: ColumnOrName, start_keys: Sequence[bytes]) -> Column:
     """Index of the greatest region start key <= row_key, floor 0 (byte-wise unsigned order).
 

@@ -33,11 +33,13 @@ from blobtally.operators.status import (
     file_lengths_join,
     file_meta,
     file_meta_lists,
+    file_outcomes,
     file_paths,
     file_status,
     file_totals,
     flatten_meta,
     live_refs,
+    outcome_counts,
     status_columns,
 )
 
@@ -49,6 +51,6 @@ __all__ = [
     "decode_objects", "explode_refs", "flatten_refs", "lookup_counters", "nest_refs", "object_refs",
     "observe_lookups", "ref_count", "refs_per_uri", "resolve_refs", "sample_refs", "unresolved_refs",
     "valid_objects",
-    "archived_flag", "file_lengths_join", "file_meta", "file_meta_lists", "file_paths", "file_status",
-    "file_totals", "flatten_meta", "live_refs", "status_columns",
+    "archived_flag", "file_lengths_join", "file_meta", "file_meta_lists", "file_outcomes", "file_paths",
+    "file_status", "file_totals", "flatten_meta", "live_refs", "outcome_counts", "status_columns",
 ]

@@ -11,13 +11,14 @@ Plan of ``file_status`` (one Catalyst plan, three shuffles on small-to-large key
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from blobtally import schemas
 from blobtally.functions.columns import empty_percent, is_archived, meta_row_key
 from blobtally.operators.joins import lookup_join
 from blobtally.operators.refs import blob_sample_filter, observe_lookups, refs_per_uri
+from blobtally.sources.tables import with_stat_lengths
 
 
 def archived_flag(objects: DataFrame, archive_bucket: str) -> DataFrame:
@@ -91,6 +92,42 @@ def file_lengths_join(with_paths: DataFrame, file_lengths: DataFrame) -> DataFra
             .filter(F.col("all_archived") | F.col("length").isNotNull()))
 
 
+#: What becomes of a file with references, in the order in which the checks apply.
+KEPT, NO_ENTRY, NO_PATH, NO_LENGTH = "kept", "no_entry", "no_path", "no_length"
+
+
+def file_outcomes(totals: DataFrame, file_index: DataFrame, file_lengths: DataFrame | None = None,
+                  stat_tasks: int | None = None) -> DataFrame:
+    """Totals with path, length and ``outcome``: kept, or why a file gets no status row.
+
+    ``no_entry``: not in the file index; ``no_path``: its entry has no path; ``no_length``: not all
+    archived and no stored length (a null length counts as none). With ``file_lengths=None`` the
+    paths of files that need a length are looked up in the store itself, by ``stat_tasks`` tasks
+    (default: the number of shuffle partitions).
+    """
+    entry = file_index.select("file_id", "path", F.lit(True).alias("_entry"))
+    found = totals.join(entry, "file_id", "left")
+    if file_lengths is None:
+        # Dealt again with a fixed count: a stat waits for the store, so few large tasks are slow.
+        tasks = stat_tasks or int(totals.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        asked = found.withColumn("_asked", F.col("path").isNotNull() & ~F.col("all_archived"))
+        sized = with_stat_lengths(asked.repartition(tasks, "file_id"), wanted="_asked").drop("_asked")
+    else:
+        # Files without a path get a key of their own that no path equals, so they do not meet in one task.
+        at = F.coalesce("path", F.concat(F.lit("\0"), F.col("file_id").cast("string")))
+        sized = (found.withColumn("_at", at)
+                 .join(file_lengths.select(F.col("path").alias("_at"), "length"), "_at", "left").drop("_at"))
+    outcome = (F.when(F.col("_entry").isNull(), F.lit(NO_ENTRY)).when(F.col("path").isNull(), F.lit(NO_PATH))
+               .when(~F.col("all_archived") & F.col("length").isNull(), F.lit(NO_LENGTH)).otherwise(F.lit(KEPT)))
+    return sized.withColumn("outcome", outcome).drop("_entry")
+
+
+def outcome_counts(outcomes: DataFrame) -> DataFrame:
+    """One row per outcome that occurs: its number of files and of references."""
+    return outcomes.groupBy("outcome").agg(F.count(F.lit(1)).alias("n_files"),
+                                           F.sum("n_refs").cast("bigint").alias("n_refs"))
+
+
 def status_columns(df: DataFrame) -> DataFrame:
     """AGG4: the five stored columns of file status."""
     archived = F.col("all_archived")
@@ -105,17 +142,25 @@ def status_columns(df: DataFrame) -> DataFrame:
 
 
 def file_status(refs: DataFrame, blob_index: DataFrame, file_index: DataFrame,
-                file_lengths: DataFrame, archive_bucket: str, sample_fraction: float = 1.0,
+                file_lengths: DataFrame | None, archive_bucket: str, sample_fraction: float = 1.0,
                 observe: bool = False):
     """File status of every blob file that has references, an index path and (unless all
-    archived) a stored length. Columns: file_id, emptyPercent, remainSize, path, deleted."""
-    totals = file_totals(refs, blob_index, archive_bucket, observe=observe,
-                         sample_fraction=sample_fraction)
-    obs = None
-    if observe:
-        totals, obs = totals
-    status = status_columns(file_lengths_join(file_paths(totals, file_index), file_lengths))
-    return (status, obs) if observe else status
+    archived) a stored length. Columns: file_id, emptyPercent, remainSize, path, deleted.
+
+    With ``file_lengths=None`` lengths are looked up in the store (``file_outcomes``). With
+    ``observe=True`` returns ``(frame, [Observation, ...])``: lookup hits and misses, and the
+    number of files by outcome (``files``, ``files_no_entry``, ``files_no_path``, ``files_no_length``).
+    """
+    if not observe and file_lengths is not None:
+        totals = file_totals(refs, blob_index, archive_bucket, sample_fraction=sample_fraction)
+        return status_columns(file_lengths_join(file_paths(totals, file_index), file_lengths))
+    totals, lookups = file_totals(refs, blob_index, archive_bucket, observe=True, sample_fraction=sample_fraction)
+    files = Observation("files")
+    counted = {KEPT: "files", NO_ENTRY: "files_no_entry", NO_PATH: "files_no_path", NO_LENGTH: "files_no_length"}
+    outcomes = file_outcomes(totals, file_index, file_lengths) \
+        .observe(files, *[F.count_if(F.col("outcome") == o).alias(name) for o, name in counted.items()])
+    status = status_columns(outcomes.filter(F.col("outcome") == KEPT))
+    return (status, [lookups, files]) if observe else status
 
 
 def file_meta(refs: DataFrame, blob_index: DataFrame, status: DataFrame, archive_bucket: str,

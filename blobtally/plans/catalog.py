@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blobtally.functions.columns import (
+    cell_label,
+    millis_instant,
     ntz_epoch_millis,
     run_day,
     run_file_meta_path,
@@ -157,6 +159,12 @@ def q_file_lengths(spark, sf_dir):
         .select("file_id", "path", "length", "all_archived")
 
 
+def q_file_outcomes(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    totals = status.file_totals(_refs(fx), fx.blob_index, ARCHIVE_BUCKET)
+    return status.outcome_counts(status.file_outcomes(totals, fx.file_index, fx.file_lengths))
+
+
 def q_file_status(spark, sf_dir):
     return _status(_fx(spark, sf_dir))
 
@@ -247,6 +255,17 @@ def q_cells(spark, sf_dir):
     return c.select(*_hex_cells(c), F.hex("value").alias("value_hex"))
 
 
+def q_cell_labels(spark, sf_dir):
+    return _cells(_fx(spark, sf_dir)).select(cell_label("row_key", "family", "qualifier").alias("label"))
+
+
+def q_run_instants(spark, sf_dir):
+    # Path -> epoch millis -> instant, shown as UTC wall clock whatever the session's zone.
+    instant = millis_instant(run_timestamp("status_path"))
+    utc = F.convert_timezone(None, F.lit("UTC"), instant.cast("timestamp_ntz"))
+    return _run_paths(_fx(spark, sf_dir)).select("o_orderkey", F.date_format(utc, "yyyy-MM-dd HH:mm:ss.SSS").alias("run_at"))
+
+
 def q_sorted_cells(spark, sf_dir):
     c = cell_ops.with_sort_position(_cells(_fx(spark, sf_dir)), cell_ops.CELL_ORDER)
     return c.select("pos", *_hex_cells(c))
@@ -272,6 +291,7 @@ QUERIES: dict[str, Query] = {
     "file_totals": q_file_totals,
     "file_paths": q_file_paths,
     "file_lengths": q_file_lengths,
+    "file_outcomes": q_file_outcomes,
     "file_status": q_file_status,
     "file_meta": q_file_meta,
     "file_meta_lists": q_file_meta_lists,
@@ -281,6 +301,7 @@ QUERIES: dict[str, Query] = {
     "status_row_count": q_status_row_count,
     "run_path_columns": q_run_path_columns,
     "run_catalog": q_run_catalog,
+    "run_instants": q_run_instants,
     "split_assignment": q_split_assignment,
     "split_summary": q_split_summary,
     "merged_tails": q_merged_tails,
@@ -288,6 +309,7 @@ QUERIES: dict[str, Query] = {
     "relocation_plan": q_relocation_plan,
     "marked_deleted": q_marked_deleted,
     "cells": q_cells,
+    "cell_labels": q_cell_labels,
     "sorted_cells": q_sorted_cells,
     "region_bucket": q_region_bucket,
 }

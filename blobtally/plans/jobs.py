@@ -58,18 +58,21 @@ def run_aggregate(spark: SparkSession, objects, blob_index, file_index, file_len
     with the object table given as a path they are found from a sample of its files.
     ``sample_fraction`` < 1 keeps a reproducible per-blob sample of resolved
     references (the original always sampled 1 %; here the parameter is honoured, default all).
-    Returns exit code 0 with the two paths and the lookup counters (hits, misses).
+    ``file_lengths=None`` looks the lengths up in the store, for files that are not all archived;
+    paths without scheme belong to the configured default filesystem.
+    Returns exit code 0 with the two paths, the lookup counters (hits, misses), the number of
+    files written and of files left out (files_no_entry, files_no_path, files_no_length).
     """
     paths = run_paths(base, when)
     refs = object_refs(tables.read_objects(spark, objects))
     blobs = tables.read_blob_index(spark, blob_index)
     # A repeated key in a lookup source would multiply references, so it fails the run.
-    status, obs = file_status(refs, unique_rows(blobs, "uri"),
-                              unique_rows(tables.read_file_index(spark, file_index), "file_id"),
-                              unique_rows(tables.read_file_lengths(spark, file_lengths), "path"), archive_bucket,
-                              sample_fraction=sample_fraction, observe=True)
+    lengths = None if file_lengths is None else unique_rows(tables.read_file_lengths(spark, file_lengths), "path")
+    status, observed = file_status(refs, unique_rows(blobs, "uri"),
+                                   unique_rows(tables.read_file_index(spark, file_index), "file_id"), lengths,
+                                   archive_bucket, sample_fraction=sample_fraction, observe=True)
     sinks.write_file_status(status, paths.status)
-    counters = dict(obs.get)
+    counters = {name: n for obs in observed for name, n in obs.get.items()}
 
     written = tables.read_file_status(spark, paths.status)
     hot = None
@@ -78,12 +81,10 @@ def run_aggregate(spark: SparkSession, objects, blob_index, file_index, file_len
         files, ratio = tables.sample_input_files(spark, objects, schemas.RAW_OBJECTS, HOT_KEY_FILE_FRACTION)
         hot = find_hot_key_counts(object_refs(tables.read_objects(spark, files)), "uri", skew_rows,
                                   presampled=ratio)
-    n_files = written.count()
     meta = file_meta(refs, blobs, written, archive_bucket, key_delimiter, skew_rows=skew_rows,
-                     broadcast_files=broadcast_files, hot_keys=hot, n_files=n_files,
+                     broadcast_files=broadcast_files, hot_keys=hot, n_files=counters["files"],
                      sample_fraction=sample_fraction)
     sinks.write_file_meta(meta, paths.meta)
-    counters["files"] = n_files
     return AggregateResult(0, paths.status, paths.meta, counters)
 
 

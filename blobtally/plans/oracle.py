@@ -157,6 +157,12 @@ ORACLE_SQL: dict[str, str] = {
     "file_totals": _with("SELECT file_id, n_refs, n_live, remain_size, all_archived FROM ox_totals"),
     "file_paths": _with("SELECT file_id, path, n_refs, n_live, remain_size, all_archived FROM ox_paths"),
     "file_lengths": _with("SELECT file_id, path, length, all_archived FROM ox_lengths"),
+    "file_outcomes": _with(
+        "SELECT CASE WHEN f.file_id IS NULL THEN 'no_entry' WHEN f.path IS NULL THEN 'no_path'"
+        " WHEN NOT t.all_archived AND l.length IS NULL THEN 'no_length' ELSE 'kept' END AS outcome,"
+        " count(*) AS n_files, CAST(sum(t.n_refs) AS BIGINT) AS n_refs"
+        " FROM ox_totals t LEFT JOIN fx_file_index f ON f.file_id = t.file_id"
+        " LEFT JOIN fx_file_lengths l ON l.path = f.path GROUP BY 1"),
     "file_status": _with('SELECT file_id, "emptyPercent", "remainSize", path, deleted FROM ox_status'),
     "file_meta": _with('SELECT "meatRowKey", "objectKey", start, length FROM ox_meta'),
     "file_meta_lists": _with(
@@ -203,6 +209,11 @@ ORACLE_SQL: dict[str, str] = {
     "cells": _with(
         "SELECT hex(rk) AS row_key_hex, hex(fam) AS family_hex, hex(qual) AS qualifier_hex,"
         " hex(val) AS value_hex FROM ox_cells", CELL_CTES),
+    "cell_labels": _with(
+        "SELECT concat(decode(rk), ':', decode(fam), ':', decode(qual)) AS label FROM ox_cells", CELL_CTES),
+    "run_instants": _with(
+        "SELECT o_orderkey, strftime(make_timestamp(CAST(split_part(status_path, '/', 6) AS BIGINT) * 1000),"
+        " '%Y-%m-%d %H:%M:%S.%g') AS run_at FROM ox_run_paths", RUN_CTES),
     "sorted_cells": _with(
         "SELECT row_number() OVER (ORDER BY rk, fam, qual) AS pos, hex(rk) AS row_key_hex,"
         " hex(fam) AS family_hex, hex(qual) AS qualifier_hex FROM ox_cells", CELL_CTES),

@@ -12,6 +12,7 @@ from blobtally.sources.tables import (
     run_sub_path,
     sample_input_files,
     stat_file_lengths,
+    with_stat_lengths,
     write_bucketed,
 )
 

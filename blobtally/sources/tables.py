@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from blobtally import schemas
 
@@ -53,8 +53,9 @@ def list_file_lengths(spark: SparkSession, root: str, strip_scheme: bool = True)
 
     Uses the ``binaryFile`` source; selecting only path and length prunes the content column,
     so files are listed, not read. Spark's file scans skip zero-length files, so an empty blob
-    file is missing here; use ``stat_file_lengths`` when empty files must count. Listing runs
-    distributed once the file count passes ``spark.sql.sources.parallelPartitionDiscovery.threshold``.
+    file is missing here; use ``stat_file_lengths`` when empty files must count. The listing itself
+    is spread over tasks, but the driver's file index holds one entry per file: for stores of many
+    millions of files use ``with_stat_lengths``, which keeps nothing on the driver.
     ``strip_scheme`` turns ``file:/x`` or ``hdfs://nn/x`` into ``/x`` to match index paths.
     """
     df = (spark.read.format("binaryFile")
@@ -66,53 +67,82 @@ def list_file_lengths(spark: SparkSession, root: str, strip_scheme: bool = True)
     return df.select(F.col("path").cast("string"), F.col("length").cast("bigint"))
 
 
-def _stat_batches(batches):
-    """Arrow-batch helper: stat each path with pyarrow's filesystem layer (null if missing).
+def _stat_lengths(default_fs: str):
+    """Function of a list of paths -> their lengths (null where there is no such file).
 
-    One filesystem client per (scheme, authority) per task; paths are split with urlparse, so
-    no client is built per path. HDFS-style paths keep only the path part; object stores keep
-    the bucket in front, as pyarrow expects.
+    A path without scheme belongs to ``default_fs``. One filesystem client per (scheme, authority)
+    per task. HDFS-style paths keep only the path part; object stores keep the bucket in front, as
+    pyarrow expects. A filesystem that cannot be reached fails the task. Nested in a function, so
+    that it is shipped by value and the executors need pyarrow only.
     """
-    from urllib.parse import urlparse
+    def lengths_of(paths: list, clients: dict) -> list:
+        from urllib.parse import urlparse
 
-    import pandas as pd
-    from pyarrow import fs as pafs
+        from pyarrow import fs as pafs
 
-    cache = {}
-    for pdf in batches:
-        paths = pdf["path"].tolist()
+        home = urlparse(default_fs)
         lengths = [None] * len(paths)
         groups = {}
         for i, p in enumerate(paths):
             if p is None:
                 continue
             u = urlparse(p)
-            if u.scheme in ("", "file"):
-                groups.setdefault(("file", ""), []).append((i, u.path if u.scheme else p))
-            elif u.scheme in ("hdfs", "viewfs"):
-                groups.setdefault((u.scheme, u.netloc), []).append((i, u.path))
-            else:
-                groups.setdefault((u.scheme, u.netloc), []).append((i, u.netloc + u.path))
+            # Without a scheme the whole text is the path ('#' and '?' are ordinary characters there).
+            scheme, netloc, path = (u.scheme, u.netloc, u.path) if u.scheme else (home.scheme, home.netloc, p)
+            if scheme in ("", "file"):
+                scheme, netloc = "file", ""
+            elif scheme not in ("hdfs", "viewfs"):
+                path = netloc + path
+            groups.setdefault((scheme, netloc), []).append((i, path))
         for (scheme, netloc), items in groups.items():
-            if (scheme, netloc) not in cache:
-                cache[(scheme, netloc)] = (pafs.LocalFileSystem() if scheme == "file"
-                                           else pafs.FileSystem.from_uri(f"{scheme}://{netloc}/")[0])
-            infos = cache[(scheme, netloc)].get_file_info([local for _, local in items])
+            if (scheme, netloc) not in clients:
+                uri = f"{'s3' if scheme in ('s3a', 's3n') else scheme}://{netloc}/"
+                clients[scheme, netloc] = pafs.LocalFileSystem() if scheme == "file" else pafs.FileSystem.from_uri(uri)[0]
+            infos = clients[scheme, netloc].get_file_info([path for _, path in items])
             for (i, _), info in zip(items, infos):
                 if info.type == pafs.FileType.File:
                     lengths[i] = info.size
-        yield pd.DataFrame({"path": paths, "length": pd.array(lengths, dtype="Int64")})
+        return lengths
 
+    return lengths_of
 
-def stat_file_lengths(paths: DataFrame, path_col: str = "path") -> DataFrame:
-    """File lengths by path lookup (SRC4, lookup form): one stat per path, batched per task.
 
-    Stats only the given paths (e.g. the distinct paths of files that need a length), sees
-    zero-length files (which Spark's file scans skip), and returns a null length for a missing
-    file. Runs distributed with ``mapInPandas``; the filesystem comes from each path's scheme.
+def default_filesystem(spark: SparkSession) -> str:
+    """The configured default filesystem (``fs.defaultFS``), which paths without scheme belong to."""
+    return spark._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
+
+
+def with_stat_lengths(files: DataFrame, path_col: str = "path", wanted: str | None = None,
+                      default_fs: str | None = None) -> DataFrame:
+    """``files`` with a ``length`` column: one stat per row with a path, batched per task (SRC4).
+
+    Rows whose boolean column ``wanted`` is not true are not looked up. A missing file gets a null
+    length, an empty one 0. Rows pass through Arrow unchanged, so there is no join back. Paths
+    without scheme belong to ``default_fs`` (by default the session's ``fs.defaultFS``).
+    """
+    lengths_of = _stat_lengths(default_fs or default_filesystem(files.sparkSession))
+
+    def stat(batches):
+        import pyarrow as pa
+
+        clients: dict = {}
+        for batch in batches:
+            paths = batch.column(path_col).to_pylist()
+            if wanted is not None:
+                paths = [p if w else None for p, w in zip(paths, batch.column(wanted).to_pylist())]
+            sizes = pa.array(lengths_of(paths, clients), pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, sizes], [*batch.schema.names, "length"])
+
+    return files.mapInArrow(stat, StructType([*files.schema.fields, StructField("length", LongType())]))
+
+
+def stat_file_lengths(paths: DataFrame, path_col: str = "path", default_fs: str | None = None) -> DataFrame:
+    """File lengths by path lookup (SRC4, lookup form): path, length for exactly the given paths.
+
+    Sees zero-length files (which Spark's file scans skip) and returns a null length for a
+    missing file; see ``with_stat_lengths``.
     """
-    return (paths.select(F.col(path_col).cast("string").alias("path"))
-            .mapInPandas(_stat_batches, "path string, length bigint"))
+    return with_stat_lengths(paths.select(F.col(path_col).cast("string").alias("path")), default_fs=default_fs)
 
 
 def read_file_status(spark: SparkSession, src: Source) -> DataFrame:

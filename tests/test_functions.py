@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from blobtally.functions import (
     bytes_to_long,
@@ -107,3 +108,12 @@ def test_scale_conf():
     assert conf["spark.sql.shuffle.partitions"] == "409600"
     assert scale_conf(1 << 30)["spark.sql.shuffle.partitions"] == "200"  # floor
     assert scale_conf(10 * (1 << 40))["spark.sql.shuffle.partitions"] == "40960"
+
+
+def test_cell_label_and_millis_instant(spark):
+    from blobtally.functions import cell_label, millis_instant
+
+    df = spark.createDataFrame([(b"r1", b"f", b"q", 1505661514000), (b"r\xff", b"", b"q:2", None), (None, b"f", b"q", -1)],
+                               "r binary, f binary, q binary, ms bigint")
+    got = [tuple(x) for x in df.select(cell_label("r", "f", "q"), F.unix_millis(millis_instant("ms"))).collect()]
+    assert got == [("r1:f:q", 1505661514000), ("r\ufffd::q:2", None), (None, -1)]

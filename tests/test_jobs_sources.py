@@ -150,3 +150,60 @@ def test_run_paths_naive_and_truncation():
 def test_catalog_runs_of_an_empty_base(spark, tmp_dir):
     runs = catalog_runs(spark, tmp_dir.rstrip("/") + "/nothing-here/")
     assert runs.columns == ["run_dir", "kind", "day", "run_ts", "n_files"] and runs.count() == 0
+
+
+def _store_of_files(spark, root):
+    """Five blob files: one stored, one empty, one gone, one without entry, one without path; one archived and gone."""
+    store = os.path.join(root, "store")
+    os.makedirs(store)
+    for name, size in [("f1", 1000), ("f2", 0)]:
+        with open(os.path.join(store, name), "wb") as fh:
+            fh.write(b"x" * size)
+    objects = [(f"photos/{i}", f"u{i}") for i in range(1, 6)] + [("archive/6", "u6")]
+    raw = spark.createDataFrame([(k.encode(), u.encode(), (7).to_bytes(8, "big")) for k, u in objects],
+                                schemas.RAW_OBJECTS)
+    blobs = spark.createDataFrame([(f"u{i}", i, f"b{i}", 0, 100) for i in range(1, 7)], schemas.BLOB_INDEX)
+    index = spark.createDataFrame([(i, None if i == 5 else f"{store}/f{i}") for i in (1, 2, 3, 5, 6)], schemas.FILE_INDEX)
+    return raw, blobs, index
+
+
+def test_aggregate_looks_lengths_up_in_the_store(spark, tmp_dir):
+    raw, blobs, index = _store_of_files(spark, tmp_dir)
+    res = jobs.run_aggregate(spark, raw, blobs, index, None, tmp_dir.rstrip("/") + "/", WHEN, archive_bucket="archive")
+    got = {r.file_id: (r.emptyPercent, r.remainSize) for r in read_file_status(spark, res.status_path).collect()}
+    # The archived file needs no length, so it stays although it is gone.
+    assert got == {1: (90, 100), 2: (-1, 100), 6: (schemas.ARCHIVED_EMPTY_PERCENT, schemas.LONG_MAX)}
+    assert res.counters == {"hits": 6, "misses": 0, "files": 3, "files_no_entry": 1, "files_no_path": 1,
+                            "files_no_length": 1}
+
+
+def test_aggregate_counts_dropped_files_with_a_length_table(spark, tmp_dir):
+    raw, blobs, index = _store_of_files(spark, tmp_dir)
+    lengths = index.filter("file_id <= 2").selectExpr("path", "1000L AS length")
+    res = jobs.run_aggregate(spark, raw, blobs, index, lengths, tmp_dir.rstrip("/") + "/", WHEN,
+                             archive_bucket="archive")
+    assert {k: v for k, v in res.counters.items() if k.startswith("files")} == \
+        {"files": 3, "files_no_entry": 1, "files_no_path": 1, "files_no_length": 1}
+
+
+def test_paths_without_scheme_belong_to_the_default_filesystem(spark, tmp_dir):
+    import pytest
+
+    here = os.path.join(tmp_dir, "a#b?c")
+    with open(here, "wb") as fh:
+        fh.write(b"xyz")
+    paths = spark.createDataFrame([(here,), (None,)], "path string")
+    assert {r.path: r.length for r in stat_file_lengths(paths, default_fs="file:///").collect()} == {here: 3, None: None}
+    # A local file of that name is no answer where the default filesystem is another one.
+    with pytest.raises(Exception):
+        stat_file_lengths(paths, default_fs="nosuchfs://nn:8020").collect()
+
+
+def test_stat_passes_rows_through_unchanged(spark):
+    from blobtally.sources import with_stat_lengths
+
+    rows = [(9007199254740993, None, True), (None, "/no/such/file", True), (1, "/etc/hostname", False)]
+    df = spark.createDataFrame(rows, "n bigint, path string, ask boolean")
+    got = sorted(map(tuple, with_stat_lengths(df, wanted="ask").collect()), key=str)
+    assert got == sorted([(*r, None) for r in rows], key=str)
+    assert with_stat_lengths(df.limit(0)).count() == 0

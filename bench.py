@@ -98,7 +98,7 @@ class Store:
 
     def meta(self, st=None):
         return status.file_meta(self.refs(), self.blobs(), st if st is not None else self.status(),
-                                ARCHIVE_BUCKET, KEY_DELIMITER, hot_keys=self.hot_keys())
+                                ARCHIVE_BUCKET, KEY_DELIMITER, skew_rows=SKEW_ROWS, hot_keys=self.hot_keys())
 
 
 def bench_queries(store):

@@ -170,21 +170,25 @@ def file_meta(refs: DataFrame, blob_index: DataFrame, status: DataFrame, archive
               sample_fraction: float = 1.0) -> DataFrame:
     """One meta row per live reference of a file whose status survived (PRJ3).
 
-    The blob index is first reduced to surviving files (semi join on the per-file status),
-    then the live references are looked up in it. With ``broadcast_files``, the surviving file
-    ids are counted and, if there are at most that many (a checked bound), broadcast, so the
-    index is filtered map-side and shuffled only once (by uri); beyond it, a shuffle join.
+    The live references are looked up in the blob index by uri and rows of other files go. With
+    ``broadcast_files``, the surviving file ids are counted and, if there are at most that many (a
+    checked bound), broadcast, so the index is filtered map-side before the lookup. Beyond it the
+    meta rows are joined with the file ids after the lookup: a bucketed index is then read in place
+    at every size, and the one shuffle by file_id moves meta rows. The result is the same.
     Hot uris are split off the lookup (``hot_keys`` given, or found with ``skew_rows``).
     ``n_files`` passes a known row count of ``status`` so it is not counted again.
     ``sample_fraction`` < 1 keeps the same per-blob sample as ``file_totals``.
     """
     live = refs.filter(~is_archived("object_key", archive_bucket)).select("object_key", "uri")
     files = status.select("file_id")
-    if broadcast_files is not None and (n_files if n_files is not None else files.count()) <= broadcast_files:
-        files = F.broadcast(files)
-    index = (blob_index.select("uri", "file_id", "blob_id", "start", "length")
-             .join(files, "file_id", "left_semi"))
+    index = blob_index.select("uri", "file_id", "blob_id", "start", "length")
+    few = broadcast_files is not None and (n_files if n_files is not None else files.count()) <= broadcast_files
+    if few:
+        index = index.join(F.broadcast(files), "file_id", "left_semi")
     joined = lookup_join(live, index, "uri", "inner", skew_rows=skew_rows, hot_keys=hot_keys)
+    if not few:
+        # An inner join with distinct ids: the optimizer would push a semi join below the lookup.
+        joined = joined.join(files.distinct(), "file_id")
     if sample_fraction < 1.0:
         joined = joined.filter(blob_sample_filter(sample_fraction))
     return joined.select(meta_row_key("file_id", "blob_id", key_delimiter).alias("meatRowKey"),

@@ -83,6 +83,26 @@ def test_meta_with_bucketed_index_shuffles_only_references(spark, fx, tmp_dir):
     assert meta.count() == status.file_meta(r, fx.blob_index, st, "archive").count()
 
 
+def test_meta_beyond_the_broadcast_bound_leaves_the_bucketed_index_in_place(spark, fx, tmp_dir):
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    write_bucketed(fx.blob_index, "blob_index_bucketed_far", "uri", n, os.path.join(tmp_dir, "bi"))
+    p = _store(fx, tmp_dir)
+    r = refs.object_refs(tables.read_objects(spark, p["objects_raw"]))
+    idx = tables.read_blob_index(spark, spark.table("blob_index_bucketed_far"))
+    st_path = os.path.join(tmp_dir, "status")
+    status.file_status(r, idx, tables.read_file_index(spark, p["file_index"]),
+                       tables.read_file_lengths(spark, p["file_lengths"]), "archive").write.parquet(st_path)
+    st = tables.read_file_status(spark, st_path)
+    # Status rows that repeat (two runs read together) must not multiply the meta rows.
+    far = status.file_meta(r, idx, st.unionByName(st), "archive", broadcast_files=0)
+    plan = _plan(status.file_meta(r, idx, st, "archive", broadcast_files=0))
+    assert "Bucketed: true" in plan and "BroadcastExchange" not in plan
+    assert plan.count("Exchange hashpartitioning(uri") == 1       # the references only
+    assert plan.count("Exchange hashpartitioning(file_id") == 2   # meta rows, file ids
+    near = status.file_meta(r, idx, st, "archive", broadcast_files=1_000_000)
+    assert far.exceptAll(near).count() == 0 and near.exceptAll(far).count() == 0
+
+
 def test_salted_lookup_scans_the_facts_once(spark, fx, tmp_dir):
     from blobtally.operators import joins
 

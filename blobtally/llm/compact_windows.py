@@ -228,7 +228,8 @@ def verified(a: list[bytes], b: list[bytes]) -> Iterator[tuple[int, int, int, in
     """Passages (start, end, start in b, end in b, similarity) of ``a`` that ``b`` has too.
 
     Ends are exclusive word positions. Matched shingles that stand close together make a
-    passage; if that is not similar enough, its unbroken parts are tried.
+    passage; if that is not similar enough, it is cut where its partner is, on both sides in turn,
+    and each pair of parts is compared; last, its unbroken parts are tried.
     """
     if a == b:
         if len(a) >= MIN_WORDS:
@@ -258,6 +259,32 @@ def verified(a: list[bytes], b: list[bytes]) -> Iterator[tuple[int, int, int, in
                 best = (u, v, j)
         return best
 
+    def aligned(s: int, e: int) -> dict[tuple[int, int], tuple[int, int, float]]:
+        """Parts of a span that are similar enough to a part of the other side, with the best one."""
+        out: dict[tuple[int, int], tuple[int, int, float]] = {}
+        todo, seen = [(s, e, 0, len(xb))], set()
+        while todo:
+            s, e, u, v = todo.pop()
+            for p, q in spans(np.isin(xa[s:e], xb[u:v]), MAX_GAP):
+                if q - p < need:
+                    continue
+                mine = xa[s + p:s + q]
+                for y, z in spans(np.isin(xb[u:v], mine), MAX_GAP):
+                    pair = (s + p, s + q, u + y, u + z)
+                    if z - y < need:
+                        continue
+                    if pair != (s, e, u, v):
+                        if pair not in seen:
+                            seen.add(pair)
+                            todo.append(pair)
+                        continue
+                    one, other = np.unique(mine), np.unique(xb[u:v])
+                    both = len(np.intersect1d(one, other, assume_unique=True))
+                    j = both / (len(one) + len(other) - both)
+                    if j >= MIN_SIMILARITY and ((s, e) not in out or j > out[s, e][2]):
+                        out[s, e] = (u, v, j)
+        return out
+
     for s, e in spans(hit, MAX_GAP):
         if e - s < need:
             continue
@@ -265,8 +292,11 @@ def verified(a: list[bytes], b: list[bytes]) -> Iterator[tuple[int, int, int, in
         if best and best[2] >= MIN_SIMILARITY:
             yield s, e + SHINGLE - 1, best[0], best[1] + SHINGLE - 1, best[2]
             continue
+        parts = aligned(s, e)
+        for (p, q), (u, v, j) in sorted(parts.items()):
+            yield p, q + SHINGLE - 1, u, v + SHINGLE - 1, j
         for p, q in spans(hit[s:e], 1):
-            if q - p >= need:
+            if q - p >= need and not any(u <= s + p and s + q <= v for u, v in parts):
                 best = partner(s + p, s + q, 1)
                 if best and best[2] >= MIN_SIMILARITY:
                     yield s + p, s + q + SHINGLE - 1, best[0], best[1] + SHINGLE - 1, best[2]

@@ -152,6 +152,19 @@ def test_repeated_passages(make_docs, prose):
     assert cw.repeated_passages(docs.limit(0)).count() == 0 and cw.drop_repeats(docs.limit(0)).count() == 0
 
 
+def edited(words, step):
+    return [f"edit{i}" if i % step == step // 2 else w for i, w in enumerate(words)]
+
+
+def test_verified_cuts_both_sides(prose):
+    x, y, more = prose(1, 200).split(), prose(2, 200).split(), prose(3, 8).split()
+    a, b = edited(x + y, 45), x + more + y
+    for one, other in ((a, b), (b, a)):  # words left out, and words put in
+        got = list(cw.verified([w.encode() for w in one], [w.encode() for w in other]))
+        assert sum(e - s for s, e, *_ in got) > 380 and len(got) == 2
+        assert all(j >= 0.8 for *_, j in got)
+
+
 def test_loser_tree_against_sort():
     import random
     rng = random.Random(3)

@@ -7,6 +7,8 @@ all of them. Only ranges as long as the shortest passage count, about 2n/T of n
 Windows with equal minima are paired with the first of their kind, pairs of windows of several
 hash functions that overlap in both documents (the interval join) give candidate passages, and
 these are verified on their words: five-word shingles, Jaccard similarity of 0.8 or more.
+The first of a kind may share no more than a shingle. Minima that lie in no verified passage are
+therefore grouped again, by the shingles around them and by each run of 50 words over them.
 """
 
 from __future__ import annotations
@@ -30,6 +32,9 @@ SHINGLE, MIN_WORDS, MIN_SIMILARITY = 5, 50, 0.8
 N_HASHES, MIN_HASHES = 5, 2
 #: Matched shingles further apart than this belong to different passages.
 MAX_GAP = 10
+#: Runs of shingles (before the minimum, length) that group open windows again, besides those of
+#: the length of the shortest passage; lengths are powers of two.
+_CONTEXTS = ((0, 8), (7, 8), (8, 16))
 _BLOCK_WORDS = 200_000
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                  0xA0761D6478BD642F], np.uint64)
@@ -74,8 +79,24 @@ def compact_windows(x: np.ndarray, barrier: np.ndarray, seed: np.uint64, width:
     return v[inner][wide], c[wide], l[wide], r[wide]
 
 
+def _folded(key: np.ndarray, uid: np.ndarray, at: np.ndarray, reach: np.ndarray, names: list[str]) -> pa.RecordBatch:
+    """Rows of one key within a block point to the first of them here, and only that one takes
+    part in the shuffle by key (with what its document has of that key besides): a frequent
+    passage arrives once for each block. Such rows are dealt at random and keep their key."""
+    order = np.lexsort((at, uid, key))
+    key, uid, at, reach = key[order], uid[order], at[order], reach[order]
+    edges = runs(key)
+    first = np.repeat(edges[:-1], np.diff(edges))
+    rest = uid[first] != uid
+    slot = np.where(rest, mix64((uid ^ at).view(np.uint64)).view(np.int64), key)
+    cols = [pa.array(slot), pa.array(uid), pa.array(at), pa.array(reach)]
+    cols += [pa.array(z[first], mask=~rest) for z in (uid, at, reach)]
+    cols += [pa.array(key, mask=~rest)]
+    return pa.RecordBatch.from_arrays(cols, names=names)
+
+
 def _windows(width: int):
-    names = ["slot", "uid", "at", "reach", "rep_uid", "rep_at", "rep_reach"]
+    names = ["slot", "uid", "at", "reach", "rep_uid", "rep_at", "rep_reach", "key"]
 
     def block(ids: list[int], parts: list[np.ndarray]) -> pa.RecordBatch:
         gap = np.zeros(1, np.uint64)
@@ -92,19 +113,7 @@ def _windows(width: int):
             got.append((key.view(np.int64), np.asarray(ids, np.int64)[doc],
                         (c - starts[doc]) * 64 + f, ((c - l) << 32) + (r - c)))
         key, uid, at, reach = (np.concatenate(z) for z in zip(*got))
-        # Rows of one key within the block point to the first of them here, and only that one
-        # takes part in the shuffle by key (with what its document has of that key besides): a
-        # frequent passage arrives once for each block.
-        order = np.lexsort((at, uid, key))
-        key, uid, at, reach = key[order], uid[order], at[order], reach[order]
-        edges = runs(key)
-        first = np.repeat(edges[:-1], np.diff(edges))
-        rest = uid[first] != uid
-        slot = np.where(rest, mix64((uid ^ at).view(np.uint64)).view(np.int64), key)
-        mask = ~rest
-        cols = [pa.array(slot), pa.array(uid), pa.array(at), pa.array(reach)]
-        cols += [pa.array(z[first], mask=mask) for z in (uid, at, reach)]
-        return pa.RecordBatch.from_arrays(cols, names=names)
+        return _folded(key, uid, at, reach, names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids: list[int] = []
@@ -127,7 +136,8 @@ def _windows(width: int):
     return run
 
 
-_PAIR = "uid long, at long, reach long, rep_uid long, rep_at long, rep_reach long"
+_ROW = "slot long, uid long, at long, reach long, rep_uid long, rep_at long, rep_reach long, key long"
+_PAIR = "uid long, at long, reach long, rep_uid long, rep_at long, rep_reach long, key long"
 
 
 def _pair_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,9 +160,66 @@ def _pair_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if last > 0 or head is None:
             head = (slot[last], uid[last], at[last], reach[last])
         cols = [np.where(known, r, m) for r, m in zip(rep, mine)]
+        cols.append(np.where(known, batch.column(7).fill_null(0).to_numpy(), slot))
         keep = cols[0] != uid
         yield pa.RecordBatch.from_arrays([pa.array(z[keep]) for z in (uid, at, reach, *cols)],
-                                         names=["uid", "at", "reach", "rep_uid", "rep_at", "rep_reach"])
+                                         names=["uid", "at", "reach", "rep_uid", "rep_at", "rep_reach", "key"])
+
+
+def _run_hashes(x: np.ndarray, lengths: set[int], width: int) -> dict[int, np.ndarray]:
+    """Hashes of all runs of the lengths given (powers of two) and of ``width`` shingles."""
+    out, h, n = {}, mix64(x + _ODD[1]), 1
+    while n * 2 <= width:
+        h = mix64(h[:-n] * _ODD[0] + h[n:]) if len(h) > n else h[:0]
+        n *= 2
+        if n in lengths:
+            out[n] = h
+    more = width - n
+    out[width] = mix64(h[:len(h) - more] * _ODD[2] + h[more:]) if more else h
+    return out
+
+
+def _open_rows(width: int):
+    """Rows (uid, windows (at, reach), text) to rows keyed by the runs of shingles around the
+    minima; ``at`` and ``reach`` become the first and the last shingle of the window."""
+    names = ["slot", "uid", "at", "reach", "rep_uid", "rep_at", "rep_reach", "key"]
+
+    def keyed(uid: int, at: np.ndarray, reach: np.ndarray, text: bytes) -> np.ndarray:
+        x = shingle_hashes(text.lower().split())
+        runs_ = _run_hashes(x, {n for _, n in _CONTEXTS}, width)
+        c, f = at // 64, (at % 64).astype(np.uint64)
+        l, r = c - (reach >> 32), c + (reach & 0xFFFFFFFF)
+        got = []
+        for kind, (before, n) in enumerate(_CONTEXTS):
+            s = c - before
+            ok = (s >= l) & (s + n - 1 <= r)
+            k = mix64(runs_[n][s[ok]] ^ _SEEDS[8 + kind] ^ mix64(f[ok]))
+            got.append(np.stack([k.view(np.int64), l[ok], r[ok]]))
+        # Every run of the shortest length over a minimum. A run has one minimum under each function,
+        # and equal runs have it at the same place, so one function brings them all.
+        c, l, r = c[f == 0], l[f == 0], r[f == 0]
+        lo, hi = np.maximum(l, c - width + 1), np.minimum(c, r - width + 1)
+        n = hi - lo + 1
+        s = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        got.append(np.stack([runs_[width][s].view(np.int64), np.repeat(l, n), np.repeat(r, n)]))
+        key, l, r = np.concatenate(got, axis=1)
+        return np.stack([key, np.full(len(key), uid), l, r])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        size = 0
+        for batch in batches:
+            for uid, windows, text in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+                at, reach = (windows.values.field(i).to_numpy() for i in (0, 1))
+                held.append(keyed(uid, at, reach, text.as_py()))
+                size += held[-1].shape[1]
+                if size >= _BLOCK_WORDS:
+                    yield _folded(*np.concatenate(held, axis=1), names)
+                    held, size = [], 0
+        if held:
+            yield _folded(*np.concatenate(held, axis=1), names)
+
+    return run
 
 
 def _regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -328,10 +395,9 @@ def _with_uid(docs: DataFrame) -> DataFrame:
 def _passages(base: DataFrame) -> DataFrame:
     """Verified passages between rows of ``base(uid, text)``, a written table."""
     width = MIN_WORDS - SHINGLE + 1
-    schema = "slot long, uid long, at long, reach long, rep_uid long, rep_at long, rep_reach long"
     raw = base.where(F.col("text").isNotNull()).select("uid", F.col("text").cast("binary"))
-    pairs = raw.mapInArrow(_windows(width), schema).repartition("slot") \
-        .sortWithinPartitions("slot", "uid", "at").mapInArrow(_pair_up, _PAIR)
+    windows = raw.mapInArrow(_windows(width), _ROW)
+    pairs = windows.repartition("slot").sortWithinPartitions("slot", "uid", "at").mapInArrow(_pair_up, _PAIR)
 
     # Of equal texts the least uid stands for all; whole copies are reported from here.
     copies = base.where(F.col("text").isNotNull()).groupBy(F.md5("text").alias("digest")) \
@@ -346,9 +412,50 @@ def _passages(base: DataFrame) -> DataFrame:
                          F.lit(0).cast("long").alias("source_start"), F.col("n").alias("source_end"),
                          F.lit(1.0).alias("similarity"))
 
-    pairs = pairs.join(small_side(copies.select("uid"), n_copies), "uid", "left_anti")
-    regions = pairs.repartition("uid").sortWithinPartitions("uid", "at") \
+    copied = small_side(copies.select("uid"), n_copies)
+    pairs = materialise(pairs.join(copied, "uid", "left_anti"), "window_pairs")
+    regions = pairs.drop("key").repartition("uid").sortWithinPartitions("uid", "at") \
         .mapInArrow(_regions, "uid long, lo long, hi long, rep_uid long, rep_lo long, rep_hi long")
+    found = materialise(_checked(base, regions), "passages_of_first")
+
+    # Windows whose minimum lies in no passage found: all that have their hash, the firsts and
+    # those in passages too, are grouped again by what stands around it.
+    inside = found.select(F.col("uid").alias("in_uid"), "start_word", "end_word")
+    c = F.expr("at div 64")
+    still = pairs.join(inside, (F.col("uid") == F.col("in_uid")) & (c >= F.col("start_word"))
+                       & (c + SHINGLE <= F.col("end_word")), "left_anti")
+    still = materialise(still.select("key").distinct(), "open_keys")
+    n_open = still.count()
+    if n_open:
+        again = windows.withColumn("key", F.coalesce("key", "slot")).select("key", "uid", "at", "reach")
+        again = again.join(small_side(still, n_open), "key", "left_semi").join(copied, "uid", "left_anti")
+        again = materialise(again.groupBy("uid").agg(F.collect_set(F.struct("at", "reach")).alias("windows")), "open_windows")
+        n_windows = again.agg(F.sum(F.size("windows"))).first()[0] or 0
+        rows = raw.join(small_side(again, n_windows), "uid").select("uid", "windows", "text").mapInArrow(_open_rows(width), _ROW)
+        pairs = rows.repartition("slot").sortWithinPartitions("slot", "uid", "at").mapInArrow(_pair_up, _PAIR)
+        regions = pairs.groupBy("uid", "rep_uid").agg(
+            F.min("at").alias("lo"), F.max("reach").alias("hi"),
+            F.min("rep_at").alias("rep_lo"), F.max("rep_reach").alias("rep_hi"))
+        more = _checked(base, regions.select("uid", "lo", "hi", "rep_uid", "rep_lo", "rep_hi"))
+        found = _widest(materialise(found.union(more), "passages_of_all"))
+    return materialise(whole.union(found).distinct(), "passages")
+
+
+def _widest(found: DataFrame) -> DataFrame:
+    """Of passages of one pair of documents, those that lie in no longer one, each once."""
+    source = F.struct("similarity", "source_start", "source_end")
+    one = found.groupBy("uid", "rep_uid", "start_word", "end_word").agg(F.max(source).alias("m")) \
+        .select("uid", "rep_uid", "start_word", "end_word", "m.source_start", "m.source_end", "m.similarity")
+    wide = found.select(F.col("uid").alias("w_uid"), F.col("rep_uid").alias("w_rep"),
+                        F.col("start_word").alias("w_start"), F.col("end_word").alias("w_end"))
+    inside = (F.col("uid") == F.col("w_uid")) & (F.col("rep_uid") == F.col("w_rep")) \
+        & (F.col("start_word") >= F.col("w_start")) & (F.col("end_word") <= F.col("w_end")) \
+        & (F.col("end_word") - F.col("start_word") < F.col("w_end") - F.col("w_start"))
+    return one.join(wide, inside, "left_anti")
+
+
+def _checked(base: DataFrame, regions: DataFrame) -> DataFrame:
+    """Verified passages in candidate ``regions(uid, lo, hi, rep_uid, rep_lo, rep_hi)``."""
     regions = materialise(regions.withColumn("rid", F.monotonically_increasing_id()), "passage_candidates")
 
     sides = F.array(F.struct(F.col("uid"), F.lit(0).alias("side"), F.col("lo").alias("s"), F.col("hi").alias("e")),
@@ -363,9 +470,8 @@ def _passages(base: DataFrame) -> DataFrame:
     both = cut.groupBy("rid").agg(F.max(F.when(F.col("side") == 0, F.col("part"))).alias("a"),
                                   F.max(F.when(F.col("side") == 1, F.col("part"))).alias("b"))
     ready = regions.join(both, "rid").select("uid", "lo", "rep_uid", "rep_lo", F.col("a").cast("binary"), F.col("b").cast("binary"))
-    found = ready.mapInArrow(_verify, "uid long, rep_uid long, start_word long, end_word long, "
+    return ready.mapInArrow(_verify, "uid long, rep_uid long, start_word long, end_word long, "
                                       "source_start long, source_end long, similarity double")
-    return materialise(whole.union(found).distinct(), "passages")
 
 
 def repeated_passages(docs: DataFrame) -> DataFrame:

@@ -152,6 +152,31 @@ def test_repeated_passages(make_docs, prose):
     assert cw.repeated_passages(docs.limit(0)).count() == 0 and cw.drop_repeats(docs.limit(0)).count() == 0
 
 
+def least(words, f):
+    """Position and hash of the least shingle under a function."""
+    h = cw.mix64(cw.shingle_hashes([w.encode() for w in words]) ^ cw._SEEDS[f]) | np.uint64(1)
+    return int(np.argmin(h)), h.min()
+
+
+def test_repeat_behind_a_first_holder_of_its_shingles(make_docs, prose):
+    def line_of(words):
+        return words[15:35]
+
+    def all_in_line(words):
+        return all(15 <= least(words, f)[0] <= 30 for f in range(cw.N_HASHES))
+
+    # A passage of 50 words of which all minima lie in a line of 20, and a document that has the
+    # line alone, as the minima of its windows too.
+    shared = next(w for w in (prose(1000 + i, 50).split() for i in range(5000)) if all_in_line(w))
+    first = next(w for w in (prose(9000 + i, 15).split() + line_of(shared) + prose(19000 + i, 15).split()
+                             for i in range(5000)) if all_in_line(w))
+    rows = [(1, " ".join(first))] + [(i, f"{prose(60 + i, 80)} {' '.join(shared)} {prose(80 + i, 80)}") for i in (2, 3, 4)]
+    out = cw.repeated_passages(make_docs(rows)).collect()
+    got = {(r["doc_id"], r["source_doc_id"]): r for r in out}
+    assert len(got) == len(out) and set(got) == {(3, 2), (4, 2)}
+    assert all((r["start_word"], r["end_word"], r["similarity"]) == (80, 130, 1.0) for r in out)
+
+
 def edited(words, step):
     return [f"edit{i}" if i % step == step // 2 else w for i, w in enumerate(words)]
 

@@ -24,6 +24,7 @@ SKIPPED = RAW | {"head", "nav", "header", "footer", "aside", "form", "button", "
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i",
           "ins", "kbd", "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt",
           "u", "var", "wbr"}
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 CLOSES_P = {"address", "article", "aside", "blockquote", "details", "div", "dl", "fieldset", "figcaption", "figure",
             "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "main", "menu", "nav", "ol", "p",
             "pre", "section", "table", "ul"}
@@ -189,14 +190,21 @@ def main_text(page: str | None) -> str:
         if x.total > best.total:
             best = x
         todo += [k for k in x.kids if isinstance(k, Node) and not k.skip]
-    # A node that holds the best one and nearly all text beside it is the article as a whole.
+    # The least density on the path is the threshold. Where the page marks its article, that is
+    # taken; else the nodes around the best one, without those parts of them below the threshold.
     threshold, up = best.density, best
     while up is not None:
         threshold = min(threshold, up.density)
         up = up.parent
-    top = best
+    top, marked = best, best
+    while marked is not None and marked.tag not in ("article", "main"):
+        marked = marked.parent
     while top.parent is not None and top.tag not in ("article", "main") and top.parent.tag in ("article", "main", "section", "div") \
-            and not top.parent.skip and top.parent.density >= threshold:
+            and not top.parent.skip:
+        if marked is None:  # what stands beside the best node must be dense enough by itself
+            for k in top.parent.kids:
+                if isinstance(k, Node) and k is not top and k.tag not in INLINE and k.tag not in HEADINGS:
+                    k.skip = k.skip or k.density < threshold
         top = top.parent
     return " ".join(_blocks(top, threshold))
 

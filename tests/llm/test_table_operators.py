@@ -149,6 +149,15 @@ def test_extract_takes_the_article_of_every_page(spark, sf_dir):
         assert r["text"] == re.sub(r"\s+", " ", html.unescape(re.sub(r"<[^>]*>", " ", inside))).strip()
 
 
+def test_unmarked_sidebars_go(prose):
+    paragraphs = [prose(i, 60) for i in range(8)]
+    body = "".join(f"<p>{x}</p>" for x in paragraphs[:5])
+    rest = "".join(f"<p>{x}</p>" for x in paragraphs[5:])
+    side = "".join(f"<p>Tip {i}</p><p>Buy now</p>" for i in range(6))
+    page = f"<html><body><div><div><h1>Title</h1><div>{body}</div><div>{rest}</div><div>{side}</div></div><div>{side}</div></div></body></html>"
+    assert td.main_text(page) == " ".join(["Title", *paragraphs])
+
+
 def test_sharding(make_docs, prose, monkeypatch):
     monkeypatch.setattr(ls, "_PIECE_ROWS", 30)
     rows = ODD + [(100 + i, prose(i // 4 if i < 200 else 1000, 12)) for i in range(400)]

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe", "svg", "math", "object"}
 SKIPPED = RAW | {"head", "nav", "header", "footer", "aside", "form", "button", "select", "option", "label", "input",
-                 "dialog", "menu", "figure", "audio", "video", "canvas"}
+                 "dialog", "menu", "audio", "video", "canvas"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i",
           "ins", "kbd", "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt",
           "u", "var", "wbr"}
@@ -30,7 +30,9 @@ CLOSES_P = {"address", "article", "aside", "blockquote", "details", "div", "dl",
             "pre", "section", "table", "ul"}
 CLOSES_SELF = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"),
                "th": ("tr", "table"), "option": ("select",)}
-# Words of class, id and role names that mark what is no part of an article.
+# Words of class, id and role names of what is often no part of an article. Inside
+# one they count only for elements that hold others, and only if density or link share says so too.
+HOLDERS = {"div", "ul", "ol", "dl", "table", "center", "details", "fieldset"}
 NOTICE = {"ad", "ads", "advert", "advertisement", "adverts", "banner", "breadcrumb", "breadcrumbs", "comment",
           "comments", "consent", "contentinfo", "cookie", "cookies", "disqus", "footer", "gdpr", "masthead", "menu",
           "modal", "nav", "navbar", "navigation", "newsletter", "notice", "pagination", "popup", "promo",
@@ -47,25 +49,23 @@ _SPACE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "kids", "skip", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("tag", "parent", "kids", "skip", "notice", "chars", "tags", "link_chars", "link_tags", "density", "total")
 
-    def __init__(self, tag: str, parent: "Node | None", skip: bool):
-        self.tag, self.parent, self.skip = tag, parent, skip
+    def __init__(self, tag: str, parent: "Node | None", skip: bool, notice: bool = False):
+        self.tag, self.parent, self.skip, self.notice = tag, parent, skip, notice
         self.kids: list = []  # nodes and strings, in page order
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
 
 
 def _unwanted(tag: str, attrs: str) -> bool:
-    if tag in SKIPPED:
-        return True
-    if attrs and tag not in ("html", "body", "article", "main"):
-        if _HIDDEN.search(attrs):
-            return True
-        for _, value in _NAME.findall(attrs):
-            if any(w.lower() in NOTICE for w in _SPLIT.split(value.strip("\"'"))):
-                return True
-    return False
+    return tag in SKIPPED or bool(attrs and tag not in ("html", "body", "article", "main") and _HIDDEN.search(attrs))
+
+
+def _named_notice(tag: str, attrs: str) -> bool:
+    return bool(attrs) and tag not in ("html", "body", "article", "main") and any(
+        w.lower() in NOTICE for _, value in _NAME.findall(attrs)
+        for w in _SPLIT.split(value.strip("\"'")))
 
 
 def parse(page: str) -> Node:
@@ -110,7 +110,7 @@ def parse(page: str) -> Node:
                 up = up.parent
             if up.tag == tag and up.parent is not None:
                 at = up.parent
-        node = Node(tag, at, _unwanted(tag, attrs))
+        node = Node(tag, at, _unwanted(tag, attrs), _named_notice(tag, attrs))
         at.kids.append(node)
         if tag in VOID or attrs.endswith("/") and tag not in ("p", "div", "a"):
             continue
@@ -131,6 +131,7 @@ def _measure(root: Node) -> None:
         order.append((node, link))
         todo += [(k, link) for k in node.kids if isinstance(k, Node) and not k.skip]
     for node, link in reversed(order):
+        node.chars = node.tags = node.link_chars = node.link_tags = 0
         for k in node.kids:
             if isinstance(k, str):
                 c = len(_SPACE.sub(" ", html.unescape(k)).strip())
@@ -178,11 +179,8 @@ def _blocks(node: Node, threshold: float) -> list[str]:
     return [t for t in (_SPACE.sub(" ", html.unescape("".join(b))).strip() for b in out) if t]
 
 
-def main_text(page: str | None) -> str:
-    """Main text of one page: its blocks in page order, joined by one space. Empty for null."""
-    if not page:
-        return ""
-    root = parse(page)
+def _select(root: Node) -> tuple[Node, float]:
+    """The node with the largest density sum, and the least density on its path."""
     _measure(root)
     best, todo = root, [root]
     while todo:
@@ -190,12 +188,44 @@ def main_text(page: str | None) -> str:
         if x.total > best.total:
             best = x
         todo += [k for k in x.kids if isinstance(k, Node) and not k.skip]
+    return best, _least_density(best)
+
+
+def _least_density(node: Node) -> float:
+    """The least density on the path from the root to a node."""
+    least = node.density
+    while node.parent is not None:
+        node = node.parent
+        least = min(least, node.density)
+    return least
+
+
+def _holds(node: Node, inner: Node) -> bool:
+    while inner is not None and inner is not node:
+        inner = inner.parent
+    return inner is node
+
+
+def main_text(page: str | None) -> str:
+    """Main text of one page: its blocks in page order, joined by one space. Empty for null."""
+    if not page:
+        return ""
+    root = parse(page)
+    notices, todo = [], [(root, ())]
+    while todo:
+        x, above = todo.pop()
+        if x.tag in ("article", "main"):  # what holds the article is no notice
+            for up in above:
+                up.notice = False
+        if x.notice:
+            notices.append(x)
+            above = (*above, x)
+        todo += [(k, above) for k in x.kids if isinstance(k, Node) and not k.skip]
+    for x in notices:
+        x.skip = x.notice
+    best, threshold = _select(root)
     # The least density on the path is the threshold. Where the page marks its article, that is
     # taken; else the nodes around the best one, without those parts of them below the threshold.
-    threshold, up = best.density, best
-    while up is not None:
-        threshold = min(threshold, up.density)
-        up = up.parent
     top, marked = best, best
     while marked is not None and marked.tag not in ("article", "main"):
         marked = marked.parent
@@ -206,6 +236,15 @@ def main_text(page: str | None) -> str:
                 if isinstance(k, Node) and k is not top and k.tag not in INLINE and k.tag not in HEADINGS:
                     k.skip = k.skip or k.density < threshold
         top = top.parent
+    # Inside the article a name alone does not count.
+    inside = [x for x in notices if x.notice and _holds(top if marked else best, x)]
+    if inside:
+        for x in inside:
+            x.skip = False
+        _measure(root)
+        threshold = _least_density(best)
+        for x in inside:
+            x.skip = x.tag in HOLDERS and (x.density < threshold or x.link_chars > 0.5 * x.chars)
     return " ".join(_blocks(top, threshold))
 
 

@@ -158,6 +158,18 @@ def test_unmarked_sidebars_go(prose):
     assert td.main_text(page) == " ".join(["Title", *paragraphs])
 
 
+def test_article_keeps_figures_and_slugs(prose):
+    text = [prose(20 + i, 60) for i in range(6)]
+    page = f"""<html><body><article><h1 id="social-history">Social history</h1><p>{text[0]}</p>
+        <figure><table><tr><td>Cell one</td></tr></table><figcaption>Caption</figcaption></figure>
+        <figure><blockquote><p>{text[1]}</p></blockquote></figure>
+        <section id="related-work"><h2>Related work</h2><p class="share-price">{text[2]}</p></section>
+        <div class="widget-theory"><p>{text[3]}</p><p>{text[4]}</p></div>
+        <div class="share social"><a href="a">One</a> <a href="b">Two</a></div><p>{text[5]}</p></article></body></html>"""
+    assert td.main_text(page) == " ".join(["Social history", text[0], "Cell one", "Caption", text[1], "Related work",
+                                           text[2], text[3], text[4], text[5]])
+
+
 def test_sharding(make_docs, prose, monkeypatch):
     monkeypatch.setattr(ls, "_PIECE_ROWS", 30)
     rows = ODD + [(100 + i, prose(i // 4 if i < 200 else 1000, 12)) for i in range(400)]

@@ -9,6 +9,7 @@ from blobtally.llm import bayes_quality as bayes
 from blobtally.llm import bestfit_packing as packing
 from blobtally.llm import compact_windows as passages
 from blobtally.llm import label_sharding as sharding
+from blobtally.llm import order_minhash as order
 from blobtally.llm import pivot_index as pivots
 from blobtally.llm import quality_rules as rules
 from blobtally.llm import simhash_vptree as simhash
@@ -64,6 +65,10 @@ def op9_empirical_bayes(spark, sf_dir):
     return bayes.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op11_order_minhash(spark, sf_dir):
+    return order.edited_fingerprints(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_pivot_permutation": op1_pivot_permutation,
     "op2_distribution_divergence": op2_distribution_divergence,
@@ -75,5 +80,6 @@ QUERIES = {
     "op8_prefix_merge_sort": op8_prefix_merge_sort,
     "op9_empirical_bayes": op9_empirical_bayes,
     "op10_vantage_point_trees": op10_vantage_point_trees,
+    "op11_order_minhash": op11_order_minhash,
 }
 ORACLE_SQL: dict[str, str] = {}

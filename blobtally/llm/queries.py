@@ -11,6 +11,7 @@ from blobtally.llm import compact_windows as passages
 from blobtally.llm import label_sharding as sharding
 from blobtally.llm import order_minhash as order
 from blobtally.llm import pivot_index as pivots
+from blobtally.llm import polar_whitening as polar
 from blobtally.llm import quality_rules as rules
 from blobtally.llm import simhash_vptree as simhash
 from blobtally.llm import suffix_merge as suffixes
@@ -69,6 +70,10 @@ def op11_order_minhash(spark, sf_dir):
     return order.edited_fingerprints(_table(spark, sf_dir, "documents"))
 
 
+def op13_polarisation_covariance(spark, sf_dir):
+    return polar.whiten(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_pivot_permutation": op1_pivot_permutation,
     "op2_distribution_divergence": op2_distribution_divergence,
@@ -81,5 +86,6 @@ QUERIES = {
     "op9_empirical_bayes": op9_empirical_bayes,
     "op10_vantage_point_trees": op10_vantage_point_trees,
     "op11_order_minhash": op11_order_minhash,
+    "op13_polarisation_covariance": op13_polarisation_covariance,
 }
 ORACLE_SQL: dict[str, str] = {}

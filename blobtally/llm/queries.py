@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from blobtally.llm import bayes_quality as bayes
 from blobtally.llm import bestfit_packing as packing
 from blobtally.llm import compact_windows as passages
+from blobtally.llm import conversation_repair as repair
 from blobtally.llm import label_sharding as sharding
 from blobtally.llm import order_minhash as order
 from blobtally.llm import pivot_index as pivots
@@ -70,6 +71,10 @@ def op11_order_minhash(spark, sf_dir):
     return order.edited_fingerprints(_table(spark, sf_dir, "documents"))
 
 
+def op12_grammar_compressed_dp(spark, sf_dir):
+    return repair.repair(_table(spark, sf_dir, "conversations"))
+
+
 def op13_polarisation_covariance(spark, sf_dir):
     return polar.whiten(_table(spark, sf_dir, "embeddings"))
 
@@ -86,6 +91,7 @@ QUERIES = {
     "op9_empirical_bayes": op9_empirical_bayes,
     "op10_vantage_point_trees": op10_vantage_point_trees,
     "op11_order_minhash": op11_order_minhash,
+    "op12_grammar_compressed_dp": op12_grammar_compressed_dp,
     "op13_polarisation_covariance": op13_polarisation_covariance,
 }
 ORACLE_SQL: dict[str, str] = {}

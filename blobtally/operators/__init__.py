@@ -7,11 +7,11 @@ from blobtally.operators.cells import (
     partition_by_region,
     sort_cells,
     to_cells,
-    with_sort_position,
     write_cells,
     write_cells_with,
 )
 from blobtally.operators.compact import mark_deleted, plan_relocation, plan_splits, split_summary
+from blobtally.operators.ordered import as_of_join, with_sort_position
 from blobtally.operators.joins import assert_unique, find_hot_key_counts, find_hot_keys, lookup_join
 from blobtally.operators.refs import (
     decode_objects,
@@ -44,7 +44,7 @@ from blobtally.operators.status import (
 )
 
 __all__ = [
-    "add_region", "bulk_load_cells", "flat_map_cells", "partition_by_region", "sort_cells",
+    "add_region", "as_of_join", "bulk_load_cells", "flat_map_cells", "partition_by_region", "sort_cells",
     "to_cells", "with_sort_position", "write_cells", "write_cells_with",
     "mark_deleted", "plan_relocation", "plan_splits", "split_summary",
     "assert_unique", "find_hot_key_counts", "find_hot_keys", "lookup_join",

@@ -9,13 +9,13 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Mapping, Sequence
 
 import pyarrow as pa
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType
 
 from blobtally import schemas
 from blobtally.functions.columns import region_bucket
+from blobtally.operators.ordered import as_of_join, with_sort_position
 
 CELL_ORDER = ["row_key", "family", "qualifier"]
 CELLS_DDL = "row_key BINARY, family BINARY, qualifier BINARY, value BINARY"
@@ -75,79 +75,44 @@ def sort_cells(df: DataFrame, within_partitions: bool = False) -> DataFrame:
     return df.orderBy(*CELL_ORDER)
 
 
-def with_sort_position(df: DataFrame, order: Sequence[str], name: str = "pos") -> DataFrame:
-    """Add the 1-based position of every row in the global order ``order``, distributed.
+#: Start keys that may be given as a list: they become literals of one comparison tree in generated code.
+MAX_LISTED_KEYS = 4096
 
-    The range-partitioned sort is checkpointed (reliably, in the shared checkpoint folder; it is
-    persisted only for the checkpoint's own two passes) so both passes below see the same
-    partitions; per-partition counts (one row per partition) then give each partition's
-    offset. No row passes through one task or the driver.
-    """
-    from blobtally.session import checkpoint_dir
-
-    checkpoint_dir(df.sparkSession)
-    # Persist first so the eager checkpoint computes the sort once (count + checkpoint write).
-    sorted_df = df.orderBy(*order).persist(StorageLevel.MEMORY_AND_DISK)
-    ordered = sorted_df.checkpoint(eager=True)
-    sorted_df.unpersist()
-    tagged = ordered.select("*", F.spark_partition_id().alias("_pid"),
-                            F.monotonically_increasing_id().alias("_mid"))
-    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    # One row per partition: the only unpartitioned window here, bounded by the partition count.
-    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(
-        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    # monotonically_increasing_id = (partition index << 33) + row index within the partition.
-    local = F.col("_mid") - F.shiftleft(F.col("_pid").cast("bigint"), 33)
-    return (tagged.join(F.broadcast(offsets), "_pid")
-            .withColumn(name, (F.col("_off") + local + 1).cast("bigint"))
-            .drop("_pid", "_mid", "_off"))
-
-
-# Start-key lists up to this size are searched with one comparison tree (generated code);
-# longer lists use two levels so the expression stays small.
-TREE_MAX_KEYS = 512
-BLOCK_KEYS = 64
-
-
-def add_region(df: DataFrame, start_keys: Sequence[bytes], name: str = "region") -> DataFrame:
-    """PRT1/J4: region index of each cell (greatest start key <= row key, floor 0).
-
-    Up to ``TREE_MAX_KEYS`` keys: one balanced comparison tree. Beyond: a tree over the first
-    key of every block (at least ``BLOCK_KEYS`` keys per block) finds the block, and a broadcast of the blocks (the key list itself:
-    a size known on the driver) is searched with a bounded array filter inside the block.
+
+def add_region(df: DataFrame, start_keys: Sequence[bytes] | DataFrame, name: str = "region") -> DataFrame:
+    """PRT1/J4: region index of each cell (greatest start key <= row key, floor 0; null key: null).
+
+    A sorted list of keys is part of the program: a balanced comparison tree, no shuffle. A table of keys
+    (a column ``start_key``, in any order and of any size, null keys ignored) is ranked by a distributed
+    sort and joined as of the row key; the region is then the rank of the start key. Without
+    start keys everything is in region 0.
     """
+    if isinstance(start_keys, DataFrame):
+        keys = start_keys.select(F.col("start_key").cast("binary").alias("start_key")).where(F.col("start_key").isNotNull())
+        ranked = with_sort_position(keys, ["start_key"], "_rank")
+        found = as_of_join(df, ranked, "row_key", "start_key", ["_rank"])
+        region = F.when(F.col("row_key").isNotNull(), F.greatest(F.coalesce("_rank", F.lit(1)) - 1, F.lit(0)))
+        return found.withColumn(name, region.cast("bigint")).drop("_rank")
     keys = [bytes(k) for k in start_keys]
-    if len(keys) <= TREE_MAX_KEYS:
-        return df.withColumn(name, region_bucket("row_key", keys))
-    if any(keys[i] > keys[i + 1] for i in range(len(keys) - 1)):
-        raise ValueError("start keys must be sorted")
-    size = max(BLOCK_KEYS, -(-len(keys) // TREE_MAX_KEYS))  # first level stays within the tree limit
-    heads = keys[::size]
-    blocks = df.sparkSession.createDataFrame(
-        [(i, keys[i * size:(i + 1) * size]) for i in range(len(heads))],
-        "_block INT, _keys ARRAY<BINARY>")
-    in_block = F.size(F.filter(F.col("_keys"), lambda k: k <= F.col("row_key")))
-    return (df.withColumn("_block", region_bucket("row_key", heads).cast("int"))
-            .join(F.broadcast(blocks), "_block", "left")
-            .withColumn(name, F.when(F.col("row_key").isNotNull(),
-                                     F.greatest(F.col("_block") * size + in_block - 1, F.lit(0))))
-            .drop("_block", "_keys"))
-
-
-def partition_by_region(df: DataFrame, start_keys: Sequence[bytes]) -> DataFrame:
+    if len(keys) > MAX_LISTED_KEYS:
+        raise ValueError(f"{len(keys)} start keys in a list; give a table with a column start_key")
+    return df.withColumn(name, region_bucket("row_key", keys))
+
+
+def partition_by_region(df: DataFrame, start_keys: Sequence[bytes] | DataFrame) -> DataFrame:
     """One Spark partition per region, exactly (partition i = region i), sorted inside.
 
     The original partitioner's contract. A region with a large share of the cells makes one
     large partition; ``bulk_load_cells`` splits such regions.
     """
-    n = max(1, len(start_keys))
+    n = max(1, start_keys.count() if isinstance(start_keys, DataFrame) else len(start_keys))
     return (add_region(df, start_keys, "_region")
             .repartitionById(n, F.col("_region"))
             .sortWithinPartitions(*CELL_ORDER)
             .drop("_region"))
 
 
-def bulk_load_cells(df: DataFrame, start_keys: Sequence[bytes], staging: str,
+def bulk_load_cells(df: DataFrame, start_keys: Sequence[bytes] | DataFrame, staging: str,
                     num_files: int | None = None) -> str:
     """SNK9: write cells as sorted files, each inside one region, under ``staging/region=<i>``.
 

@@ -7,7 +7,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on. AQE re-plans joins at runtime (broadcast when a side turns out
 # small, split skewed partitions of N:1 lookups); UTC fixes date formatting of run paths.
@@ -105,6 +105,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder and read it back: every executor can read the copy,
+    so a lost one costs the tasks that were running and nothing before them."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _drop_scratch() -> None:
     spark = SparkSession.getActiveSession()
     if spark is None or spark.sparkContext._jsc is None:

@@ -204,17 +204,6 @@ def test_write_cells_roundtrip(spark, tmp_dir):
     assert spark.read.parquet(p).count() == 3
 
 
-def test_add_region_two_level_for_long_key_lists(spark):
-    rnd = random.Random(8)
-    keys = sorted({rnd.randbytes(3) for _ in range(3000)})
-    probes = [rnd.randbytes(rnd.randrange(0, 5)) for _ in range(2000)] + keys[:50] + [b""]
-    df = spark.createDataFrame([(p, i) for i, p in enumerate(probes)], "row_key binary, i int")
-    got = {r.i: r.region for r in cells.add_region(df, keys).collect()}
-    assert len(got) == len(probes)
-    for i, p in enumerate(probes):
-        assert got[i] == max(sum(1 for k in keys if k <= p) - 1, 0)
-
-
 def test_write_cells_with_external_writer(spark, tmp_dir):
     root = tmp_dir
 
@@ -289,10 +278,14 @@ def cell_ops_flat(df, fn):
 
 
 def test_null_row_key_has_no_region(spark):
-    from blobtally.operators import cells
+    import pytest
 
     df = spark.createDataFrame([(None,), (b"\x01\x00",)], "row_key binary")
-    for n in (3, 512, 513, 2000):
+    for n in (0, 3, 512, 513, 2000):
         keys = [bytes([i // 256, i % 256]) for i in range(n)]
-        got = [r.region for r in cells.add_region(df, keys).collect()]
-        assert sorted(got, key=lambda x: (x is not None, x)) == [None, min(256, n - 1)]
+        table = spark.createDataFrame([(k,) for k in keys], "start_key binary")
+        for given in (keys, table):
+            got = [r.region for r in cells.add_region(df, given).collect()]
+            assert sorted(got, key=lambda x: (x is not None, x)) == [None, max(min(256, n - 1), 0)]
+    with pytest.raises(ValueError, match="start_key"):
+        cells.add_region(df, [b""] * 5000)

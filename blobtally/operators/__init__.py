@@ -10,7 +10,8 @@ from blobtally.operators.cells import (
     write_cells,
     write_cells_with,
 )
-from blobtally.operators.compact import mark_deleted, plan_relocation, plan_splits, split_summary
+from blobtally.operators.compact import apply_to_splits, mark_deleted, plan_relocation, plan_splits, split_summary
+from blobtally.operators.table_splits import plan_table_splits
 from blobtally.operators.ordered import as_of_join, with_sort_position
 from blobtally.operators.joins import assert_unique, find_hot_key_counts, find_hot_keys, lookup_join
 from blobtally.operators.refs import (
@@ -46,7 +47,7 @@ from blobtally.operators.status import (
 __all__ = [
     "add_region", "as_of_join", "bulk_load_cells", "flat_map_cells", "partition_by_region", "sort_cells",
     "to_cells", "with_sort_position", "write_cells", "write_cells_with",
-    "mark_deleted", "plan_relocation", "plan_splits", "split_summary",
+    "apply_to_splits", "mark_deleted", "plan_relocation", "plan_splits", "plan_table_splits", "split_summary",
     "assert_unique", "find_hot_key_counts", "find_hot_keys", "lookup_join",
     "decode_objects", "explode_refs", "flatten_refs", "lookup_counters", "nest_refs", "object_refs",
     "observe_lookups", "ref_count", "refs_per_uri", "resolve_refs", "sample_refs", "unresolved_refs",

@@ -16,6 +16,7 @@ from pyspark.sql.types import BinaryType, StringType
 from blobtally import schemas
 from blobtally.functions.columns import region_bucket
 from blobtally.operators.ordered import as_of_join, with_sort_position
+from blobtally.sources.cell_store import DirectoryCellStore, put_cells
 
 CELL_ORDER = ["row_key", "family", "qualifier"]
 CELLS_DDL = "row_key BINARY, family BINARY, qualifier BINARY, value BINARY"
@@ -114,19 +115,20 @@ def partition_by_region(df: DataFrame, start_keys: Sequence[bytes] | DataFrame)
 
 def bulk_load_cells(df: DataFrame, start_keys: Sequence[bytes] | DataFrame, staging: str,
                     num_files: int | None = None) -> str:
-    """SNK9: write cells as sorted files, each inside one region, under ``staging/region=<i>``.
+    """SNK9: write cells as sorted files, each inside one region, with a manifest of their key ranges.
 
     Range partitioning on (region, row, family, qualifier) gives every task a contiguous key
     range, so a hot region is split over several tasks and files instead of one; each file is
-    sorted and lies within one region, which is what a bulk load needs.
+    sorted and lies within one region, which is what a bulk load needs. The tasks report the first and last
+    key of their files; nothing is published unless the ranges are disjoint. Replaces an earlier load
+    of ``staging``; read it back with ``sources.read_cell_store`` and ``read_manifest``.
     """
     with_region = add_region(df, start_keys)
     order = ["region", *CELL_ORDER]
     ranged = (with_region.repartitionByRange(num_files, *order) if num_files
               else with_region.repartitionByRange(*order))
-    (ranged.sortWithinPartitions(*order)
-     .select("region", *CELL_ORDER, "value")
-     .write.mode("overwrite").partitionBy("region").parquet(staging))
+    cells = ranged.sortWithinPartitions(*order).select(F.col("region").cast("bigint").alias("region"), *CELL_ORDER, "value")
+    put_cells(cells, DirectoryCellStore(staging, disjoint=True, replace=True))
     return staging
 
 

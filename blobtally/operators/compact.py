@@ -11,16 +11,20 @@ group alone, and a lost task recomputes the same splits (the order is total).
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from blobtally import schemas
-from blobtally.session import checkpoint_dir
+from blobtally.session import materialise
 
 ASSIGNMENT_DDL = "file_id BIGINT, pack_group BIGINT, split_id INT, remainSize BIGINT"
 DEFAULT_FILES_PER_GROUP = 200_000
@@ -97,13 +101,8 @@ def plan_splits(status: DataFrame, max_bytes: int, files_per_group: int = DEFAUL
     assigned = _pack(files, max_bytes)
     if not merge_tails:
         return assigned
-    # The tail merge reads the assignment three times: fold once, keep it as a reliable
-    # checkpoint in the shared folder (persisted only while the checkpoint is written).
-    checkpoint_dir(status.sparkSession)
-    cached = assigned.persist(StorageLevel.MEMORY_AND_DISK)
-    stable = cached.checkpoint(eager=True)
-    cached.unpersist()
-    return _merge_tails(stable, max_bytes, groups_per_tail)
+    # The tail merge reads the assignment three times: fold once and write it to the shared folder.
+    return _merge_tails(materialise(assigned, "splits"), max_bytes, groups_per_tail)
 
 
 def _saturating_sum(c: Column) -> Column:
@@ -176,6 +175,49 @@ def plan_relocation(assigned: DataFrame, meta: DataFrame,
                     (F.col("chunk_offset") + F.col("in_chunk")).cast("bigint").alias("new_start")))
 
 
+def apply_to_splits(plan: DataFrame, hook: Callable[[dict, Iterator[pa.RecordBatch]], dict], result_ddl: str,
+                    split_columns: Sequence[str] = ("pack_group", "split_id")) -> DataFrame:
+    """UDF4: one result of a user function for each split of a relocation plan.
+
+    ``hook(split, batches)`` gets the split's key columns and its blobs in the order of the new file
+    (new_start; blobs of no length by file and id), as Arrow batches that are cut at the split's end: it
+    streams, so a split may be larger than memory. It returns a dict with the columns of
+    ``result_ddl``, and need not read its batches to the end. The result is the key columns and these. A
+    split is one task's work, as its blobs go to one new file; a split is retried as a whole.
+    """
+    keys = list(split_columns)
+    schema = StructType([f for f in plan.schema.fields if f.name in keys] + StructType.fromDDL(result_ddl).fields)
+    order = [*keys, "new_start", "file_id", "start", "blob_id"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def cuts() -> Iterator[tuple[tuple, pa.RecordBatch]]:
+            for batch in batches:
+                values = [batch.column(k).to_numpy(zero_copy_only=False) for k in keys]
+                edge = np.zeros(max(batch.num_rows - 1, 0), bool)
+                for v in values:
+                    edge |= v[1:] != v[:-1]
+                at = [0, *(np.flatnonzero(edge) + 1).tolist(), batch.num_rows]
+                for a, b in zip(at, at[1:]):
+                    if a < b:
+                        yield tuple(batch.column(k)[a].as_py() for k in keys), batch.slice(a, b - a)
+
+        done = []
+        for key, group in groupby(cuts(), key=itemgetter(0)):
+            split = dict(zip(keys, key))
+            blobs = (batch for _, batch in group)
+            done.append({**split, **hook(split, blobs)})
+            for _ in blobs:
+                pass
+            if len(done) >= 1000:
+                yield pa.RecordBatch.from_pylist(done, schema=arrow)
+                done = []
+        if done:
+            yield pa.RecordBatch.from_pylist(done, schema=arrow)
+
+    arrow = to_arrow_schema(schema)
+    return plan.repartition(*keys).sortWithinPartitions(*order).mapInArrow(run, schema)
+
+
 def mark_deleted(status: DataFrame, predicate: Column | None = None,
                  min_empty_percent: int | None = None) -> DataFrame:
     """CMP4, re-aimed as marking: set ``deleted`` where ``predicate`` (or emptyPercent >=

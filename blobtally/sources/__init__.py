@@ -1,5 +1,6 @@
 """Sources: typed readers of the store's tables and the job outputs, plus derived fixtures."""
 
+from blobtally.sources.cell_store import DirectoryCellStore, put_cells, read_cell_store, read_manifest
 from blobtally.sources.tables import (
     list_file_lengths,
     read_blob_index,
@@ -17,6 +18,10 @@ from blobtally.sources.tables import (
 )
 
 __all__ = [
+    "DirectoryCellStore",
+    "put_cells",
+    "read_cell_store",
+    "read_manifest",
     "list_file_lengths",
     "read_blob_index",
     "read_file_index",

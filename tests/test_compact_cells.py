@@ -3,12 +3,14 @@
 import glob
 import os
 import random
+import shutil
 
 import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from blobtally import schemas
 from blobtally.operators import cells, compact, refs, status
+from blobtally.sources import read_cell_store, read_manifest
 
 CAP = 100
 M = schemas.LONG_MAX
@@ -179,9 +181,10 @@ def test_bulk_load_files_sorted_and_inside_one_region(spark, tmp_dir):
     c = cells.to_cells(spark.createDataFrame(rows, "row_key binary, name string"), "row_key", "f", {"name": "name"})
     keys = [b"", b"\x40", b"\x80", b"\xc0"]
     out = cells.bulk_load_cells(c, keys, os.path.join(tmp_dir, "staging"), num_files=8)
+    manifest = {r.file: r for r in read_manifest(spark, out).collect()}
     total = 0
     hot_files = 0
-    for region_dir in glob.glob(os.path.join(out, "region=*")):
+    for region_dir in glob.glob(os.path.join(out, "data", "region=*")):
         region = int(region_dir.rsplit("=", 1)[1])
         lo = keys[region]
         hi = keys[region + 1] if region + 1 < len(keys) else None
@@ -191,11 +194,20 @@ def test_bulk_load_files_sorted_and_inside_one_region(spark, tmp_dir):
         for f in files:
             t = pq.read_table(f).to_pydict()
             ks = list(zip(t["row_key"], t["family"], t["qualifier"]))
+            entry = manifest[os.path.basename(f)]
+            assert (entry.region, entry.n_cells) == (region, len(ks))
+            assert tuple(bytes(entry[f"first_{c}"]) for c in cells.CELL_ORDER) == ks[0]
+            assert tuple(bytes(entry[f"last_{c}"]) for c in cells.CELL_ORDER) == ks[-1]
             assert ks == sorted(ks)
             assert all(k[0] >= lo and (hi is None or k[0] < hi) for k in ks)
             total += len(ks)
     assert total == 3000
     assert hot_files > 1  # the hot region is split over several files
+    # Files without a manifest entry (an attempt that was not accepted) are not read; a new load replaces the old one.
+    shutil.copy(f, os.path.join(os.path.dirname(f), "stray.parquet"))
+    assert read_cell_store(spark, out).count() == 3000
+    cells.bulk_load_cells(c.limit(10), keys, out)
+    assert read_cell_store(spark, out).count() == 10
 
 
 def test_write_cells_roundtrip(spark, tmp_dir):

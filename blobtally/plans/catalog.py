@@ -21,15 +21,16 @@ from blobtally.functions.columns import (
     run_timestamp,
 )
 from blobtally.operators import cells as cell_ops
-from blobtally.operators import compact, refs, status
+from blobtally.operators import compact, refs, status, table_splits
 from blobtally.plans import sinks
 from blobtally.session import scratch_path
-from blobtally.sources import tables
+from blobtally.sources import DirectoryCellStore, put_cells, read_cell_store, read_manifest, tables
 from blobtally.sources.fixtures import (
     ARCHIVE_BUCKET,
     CELL_FAMILY,
     KEY_DELIMITER,
     MAX_BYTES,
+    FILES_PER_BLOCK,
     FILES_PER_GROUP,
     GROUPS_PER_TAIL,
     START_KEYS,
@@ -276,6 +277,67 @@ def q_region_bucket(spark, sf_dir):
     return c.select(*_hex_cells(c), "region")
 
 
+def _start_keys(fx: Fixtures) -> DataFrame:
+    """Start keys as a table: one for every supplier, over the customers' row keys."""
+    key = F.col("s_suppkey") * 13
+    return fx.table("supplier").select(F.encode(F.lpad(key.cast("string"), 9, "0"), "UTF-8").alias("start_key"))
+
+
+def q_region_table(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    c = cell_ops.add_region(_cells(fx), _start_keys(fx))
+    return c.select(*_hex_cells(c), "region")
+
+
+def q_table_splits(spark, sf_dir):
+    return table_splits.plan_table_splits(_status(_fx(spark, sf_dir)), MAX_BYTES, FILES_PER_BLOCK).select("file_id", "split_id")
+
+
+def _check_split(split: dict, batches) -> dict:
+    """Hook over a split's blobs in order: their number and bytes, holes and overlaps in the new file,
+    and a sum that changes with their order."""
+    n, at, holes, ordered, last = 0, 0, 0, 0, None
+    for batch in batches:
+        for start, length, blob in zip(*(batch.column(c).to_pylist() for c in ("new_start", "length", "blob_id"))):
+            n += 1
+            holes += start != at
+            at = start + (length or 0)
+            ordered += n * (length or 0)
+            last = blob
+    return {"n_blobs": n, "new_bytes": at, "holes": holes, "ordered_sum": ordered, "last_blob": last}
+
+
+def q_split_checks(spark, sf_dir):
+    return compact.apply_to_splits(q_relocation_plan(spark, sf_dir), _check_split,
+                                   "n_blobs bigint, new_bytes bigint, holes bigint, ordered_sum bigint, last_blob string")
+
+
+def _order_cells(fx: Fixtures) -> DataFrame:
+    orders = fx.table("orders").select(F.encode(F.lpad(F.col("o_orderkey").cast("string"), 10, "0"), "UTF-8").alias("row_key"),
+                                       F.col("o_orderstatus").alias("status"), F.col("o_custkey").alias("customer"))
+    return cell_ops.to_cells(orders, "row_key", "o", {"status": "status", "customer": "customer"})
+
+
+def q_put_cells(spark, sf_dir):
+    # Written by calls on a store, read back from what it published.
+    path = scratch_path(spark, "cell_store")
+    put_cells(_order_cells(_fx(spark, sf_dir)), DirectoryCellStore(path))
+    c = read_cell_store(spark, path)
+    return c.select(*_hex_cells(c), F.hex("value").alias("value_hex"))
+
+
+def q_bulk_load(spark, sf_dir):
+    # Files read back: what each region holds, and whether every file keeps to its manifest entry.
+    fx = _fx(spark, sf_dir)
+    path = cell_ops.bulk_load_cells(_cells(fx), _start_keys(fx), scratch_path(spark, "bulk"), num_files=7)
+    kept = read_manifest(spark, path).select("file", "n_cells", "first_row_key", "last_row_key")
+    files = read_cell_store(spark, path).groupBy("region", "file").agg(
+        F.count(F.lit(1)).alias("n"), F.min("row_key").alias("low"), F.max("row_key").alias("high"))
+    wrong = F.count_if((F.col("n") != F.col("n_cells")) | (F.col("low") != F.col("first_row_key")) | (F.col("high") != F.col("last_row_key")))
+    return files.join(kept, "file").groupBy(F.col("region").cast("bigint").alias("region")).agg(
+        F.sum("n").cast("bigint").alias("n_cells"), F.hex(F.min("low")).alias("first_hex"), F.hex(F.max("high")).alias("last_hex"), wrong.alias("wrong_entries"))
+
+
 QUERIES: dict[str, Query] = {
     "object_scan": q_object_scan,
     "valid_objects": q_valid_objects,
@@ -312,4 +374,9 @@ QUERIES: dict[str, Query] = {
     "cell_labels": q_cell_labels,
     "sorted_cells": q_sorted_cells,
     "region_bucket": q_region_bucket,
+    "region_table": q_region_table,
+    "table_splits": q_table_splits,
+    "split_checks": q_split_checks,
+    "put_cells": q_put_cells,
+    "bulk_load": q_bulk_load,
 }

@@ -107,6 +107,16 @@ ox_tail_pack AS (
               ELSE CAST(least(CAST(p.cur AS HUGEINT) + o.remain, {LONG_MAX}) AS BIGINT) END
   FROM ox_tail_pack p JOIN ox_tail_order o ON o.g = p.g AND o.rn = p.rn + 1)"""
 
+# One fold over the whole table.
+TABLE_SPLIT_CTES = f"""
+ox_all AS (SELECT file_id, "remainSize" AS remain, row_number() OVER (ORDER BY file_id) AS rn FROM ox_status),
+ox_fold AS (
+  SELECT rn, file_id, 0 AS split_id, CAST(remain AS HUGEINT) AS cur FROM ox_all WHERE rn = 1
+  UNION ALL
+  SELECT o.rn, o.file_id, CASE WHEN p.cur >= {MAX_BYTES} THEN p.split_id + 1 ELSE p.split_id END,
+         CASE WHEN p.cur >= {MAX_BYTES} THEN o.remain ELSE p.cur + o.remain END
+  FROM ox_fold p JOIN ox_all o ON o.rn = p.rn + 1)"""
+
 CELL_CTES = """
 ox_cells AS (
   SELECT encode(lpad(CAST(c_custkey AS VARCHAR), 9, '0')) AS rk, encode('f') AS fam, encode('name') AS qual,
@@ -115,6 +125,14 @@ ox_cells AS (
   SELECT encode(lpad(CAST(c_custkey AS VARCHAR), 9, '0')), encode('f'), encode('segment'),
          encode(c_mktsegment) FROM customer WHERE c_mktsegment IS NOT NULL)"""
 
+START_KEY_CTES = """
+ox_starts AS (
+  SELECT encode(lpad(CAST(s_suppkey * 13 AS VARCHAR), 9, '0')) AS start_key,
+         row_number() OVER (ORDER BY s_suppkey) - 1 AS rank FROM supplier),
+ox_regions AS (
+  SELECT c.rk, c.fam, c.qual, c.val, CAST(coalesce(s.rank, 0) AS BIGINT) AS region
+  FROM ox_cells c ASOF LEFT JOIN ox_starts s ON c.rk >= s.start_key)"""
+
 RUN_BASE = "/data/blobstore/"
 RUN_CTES = f"""
 ox_runs AS (
@@ -221,4 +239,23 @@ ORACLE_SQL: dict[str, str] = {
         "SELECT hex(rk) AS row_key_hex, hex(fam) AS family_hex, hex(qual) AS qualifier_hex,"
         " CAST(CASE WHEN rk >= encode('000001200') THEN 3 WHEN rk >= encode('000000700') THEN 2"
         " WHEN rk >= encode('000000300') THEN 1 ELSE 0 END AS INTEGER) AS region FROM ox_cells", CELL_CTES),
+    "region_table": _with(
+        "SELECT hex(rk) AS row_key_hex, hex(fam) AS family_hex, hex(qual) AS qualifier_hex, region FROM ox_regions",
+        CELL_CTES, START_KEY_CTES),
+    "table_splits": _with("SELECT file_id, CAST(split_id AS BIGINT) AS split_id FROM ox_fold", TABLE_SPLIT_CTES, recursive=True),
+    "put_cells": _with(
+        "SELECT hex(encode(lpad(CAST(o_orderkey AS VARCHAR), 10, '0'))) AS row_key_hex, hex(encode('o')) AS family_hex,"
+        " hex(encode(q)) AS qualifier_hex, hex(encode(v)) AS value_hex FROM ("
+        "SELECT o_orderkey, 'status' AS q, CAST(o_orderstatus AS VARCHAR) AS v FROM orders"
+        " UNION ALL SELECT o_orderkey, 'customer', CAST(o_custkey AS VARCHAR) FROM orders) x WHERE v IS NOT NULL"),
+    "bulk_load": _with(
+        "SELECT region, count(*) AS n_cells, hex(min(rk)) AS first_hex, hex(max(rk)) AS last_hex,"
+        " CAST(0 AS BIGINT) AS wrong_entries FROM ox_regions GROUP BY region", CELL_CTES, START_KEY_CTES),
 }
+
+# The relocation plan again, summed up by split in the order of the new file.
+ORACLE_SQL["split_checks"] = ORACLE_SQL["relocation_plan"].replace("SELECT p.g AS pack_group", "SELECT pack_group, split_id,"
+    " count(*) AS n_blobs, CAST(sum(length) AS BIGINT) AS new_bytes, CAST(0 AS BIGINT) AS holes,"
+    " CAST(sum(n * length) AS BIGINT) AS ordered_sum, max_by(blob_id, n) AS last_blob FROM ("
+    "SELECT *, row_number() OVER (PARTITION BY pack_group, split_id ORDER BY new_start, file_id, start, blob_id) AS n FROM ("
+    "SELECT p.g AS pack_group", 1) + ") r) s GROUP BY pack_group, split_id"

@@ -26,6 +26,7 @@ ARCHIVE_BUCKET = "archive"
 KEY_DELIMITER = "_"
 MAX_BYTES = 4194304
 FILES_PER_GROUP, GROUPS_PER_TAIL = 16, 4
+FILES_PER_BLOCK = 50
 # Region start keys of the key-value fixture (sorted; the empty key opens the first region).
 START_KEYS = [b"", b"000000300", b"000000700", b"000001200"]
 CELL_FAMILY = "f"

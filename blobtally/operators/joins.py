@@ -5,116 +5,78 @@ fact table (references) with an index that is unique on the key (blob uri). Cata
 sort-merge join, AQE turns it into a broadcast join when the index side is measured small, and
 AQE's skew handling splits oversized shuffle partitions of the fact side.
 
-On top of that, ``lookup_join`` salts hot keys explicitly, in one pass over the facts: a key
-estimated to hold ``n`` fact rows gets ``S = ceil(n / skew_rows)`` salts; each fact row of it
-takes salt ``xxhash64(row) mod S`` (deterministic, so a retried task routes rows the same way),
-its index row is replicated ``S`` times, and the join runs on (key, salt). A key with a third of
-all rows then spreads over ``S`` reducers. The salt table has at most ``max_hot_keys`` rows and
-the index grows by at most ``sum(S)`` ~ rows / ``skew_rows`` rows: both bounded. Hot-key
-detection only chooses the strategy; the result is the same whichever keys are salted.
+Hot keys leave that join: their index rows, one for each key, are broadcast to the fact rows
+that name them, which are then not shuffled at all; the rest is joined as before, and an
+index bucketed by the key stays where it is. Hot keys come from a mergeable heavy-hitter sketch over
+the facts, which another pass (the job's status pass) can fill on the way. The sketch returns
+at most ``HOT_KEYS`` keys, and surely every key with more than 1/``HOT_KEYS`` of the rows: that bounds both
+the broadcast and what a key outside it can hold. Which keys are hot never changes the result.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import StructField, StructType
+
+#: Keys returned by the sketch, and keys it tracks: a key with more than 3.5 / TRACKED_KEYS of the rows is
+#: never lost, and no more than HOT_KEYS keys can have more than 1 / HOT_KEYS of them.
+HOT_KEYS, TRACKED_KEYS = 4096, 16_384
+
+
+def hot_key_sketch(key: str) -> Column:
+    """Aggregate: the most frequent keys with their estimated row counts, most frequent first."""
+    return F.expr(f"approx_top_k({key}, {HOT_KEYS}, {TRACKED_KEYS})")
+
 
-DEFAULT_SAMPLE_FRACTION = 0.01
-DEFAULT_MAX_HOT_KEYS = 10_000
-DEFAULT_SALTS = 64
-MAX_SALTS = 100_000
+def hot_keys_of(sketch: list, skew_rows: int, scale: float = 1.0) -> list:
+    """The keys of a sketch that hold at least ``skew_rows`` rows, where it saw one row in ``scale``."""
+    return [item for item, n in sketch or [] if item is not None and n * scale >= skew_rows]
 
 
-def find_hot_key_counts(facts: DataFrame, key: str, skew_rows: int,
-                        fraction: float = DEFAULT_SAMPLE_FRACTION,
-                        max_hot_keys: int = DEFAULT_MAX_HOT_KEYS, seed: int = 7,
-                        presampled: float | None = None) -> dict:
-    """Keys estimated to hold at least ``skew_rows`` rows -> estimated row count.
+def find_hot_keys(facts: DataFrame, key: str, skew_rows: int, presampled: float = 1.0) -> list:
+    """Keys estimated to hold at least ``skew_rows`` rows, most frequent first, in one aggregation.
 
-    Runs one sampled aggregation; at most ``max_hot_keys`` keys reach the driver. If ``facts``
-    is already a sample (e.g. built from ``sources.sample_input_files``), pass its fraction as
-    ``presampled`` and no row sampling is added.
+    ``presampled`` is the share of the rows that ``facts`` holds (e.g. from ``sources.sample_input_files``).
     """
-    if skew_rows <= 0:
-        raise ValueError("skew_rows must be positive")
-    if presampled is not None:
-        fraction = min(1.0, max(presampled, 0.0))
-        sampled = facts.select(key)
-    else:
-        fraction = min(1.0, max(fraction, 0.0))
-        sampled = facts.select(key).sample(False, fraction, seed) if fraction < 1.0 else facts.select(key)
-    threshold = max(1, int(skew_rows * fraction))
-    rows = (sampled.filter(F.col(key).isNotNull())
-            .groupBy(key).count()
-            .filter(F.col("count") >= threshold)
-            .orderBy(F.col("count").desc())
-            .limit(max_hot_keys)
-            .collect())
-    return {r[0]: int(r[1] / fraction) if fraction > 0 else r[1] for r in rows}
-
-
-def find_hot_keys(facts: DataFrame, key: str, skew_rows: int,
-                  fraction: float = DEFAULT_SAMPLE_FRACTION,
-                  max_hot_keys: int = DEFAULT_MAX_HOT_KEYS, seed: int = 7,
-                  presampled: float | None = None) -> list:
-    """The keys of ``find_hot_key_counts``, most frequent first."""
-    return list(find_hot_key_counts(facts, key, skew_rows, fraction, max_hot_keys, seed, presampled))
-
-
-def _salt_counts(hot_keys, skew_rows: int | None) -> dict:
-    if isinstance(hot_keys, dict):
-        if not skew_rows:
-            raise ValueError("row counts of hot keys need skew_rows to become salts")
-        return {k: min(MAX_SALTS, max(2, math.ceil(n / skew_rows))) for k, n in hot_keys.items()}
-    return {k: DEFAULT_SALTS for k in hot_keys}
+    if skew_rows <= 0 or not 0 < presampled <= 1:
+        raise ValueError("skew_rows must be positive and presampled within (0, 1]")
+    return hot_keys_of(facts.agg(hot_key_sketch(key).alias("top")).first()["top"], skew_rows, 1 / presampled)
 
 
 def lookup_join(facts: DataFrame, index: DataFrame, key: str, how: str = "inner",
-                skew_rows: int | None = None, hot_keys: list | dict | None = None,
-                max_hot_keys: int = DEFAULT_MAX_HOT_KEYS) -> DataFrame:
+                skew_rows: int | None = None, hot_keys: list | None = None) -> DataFrame:
     """Join ``facts`` with ``index`` (unique on ``key``) using ``how`` in inner/left/left_anti/left_semi.
 
-    Hot keys come from ``hot_keys`` (a list, salted ``DEFAULT_SALTS`` ways, or a dict of
-    estimated row counts) or are found with ``skew_rows``; they are salted as described in the
-    module docstring. Without hot keys this is the plain join.
+    Hot keys are given, or found with ``skew_rows`` (one more pass over the facts); without any this is
+    the plain join. More than ``HOT_KEYS`` given keys are an error.
     """
     if how not in ("inner", "left", "left_outer", "left_anti", "left_semi"):
         raise ValueError(f"unsupported lookup join type {how!r}")
     if hot_keys is None and skew_rows is not None:
-        hot_keys = find_hot_key_counts(facts, key, skew_rows, max_hot_keys=max_hot_keys)
+        hot_keys = find_hot_keys(facts, key, skew_rows)
+    hot_keys = [k for k in dict.fromkeys(hot_keys or []) if k is not None]
     if not hot_keys:
         return facts.join(index, key, how)
-    if len(hot_keys) > max_hot_keys:
-        raise ValueError(f"{len(hot_keys)} hot keys exceed the broadcast bound {max_hot_keys}")
-    salts = _salt_counts(hot_keys, skew_rows)
-    key_type = facts.schema[key].dataType
-    table = facts.sparkSession.createDataFrame(
-        list(salts.items()), StructType([StructField(key, key_type, False), StructField("_n", IntegerType(), False)]))
-    # At most max_hot_keys rows: a proven bound, so broadcasting it to both sides is safe.
-    table = F.broadcast(table)
-    fact_cols = facts.columns
-    salted_facts = (facts.join(table, key, "left")
-                    .withColumn("_salt", F.when(F.col("_n").isNull(), F.lit(0))
-                                .otherwise(F.pmod(F.xxhash64(*fact_cols), F.col("_n")).cast("int")))
-                    .drop("_n"))
-    salted_index = (index.join(table, key, "left")
-                    .withColumn("_salt", F.explode(F.when(F.col("_n").isNull(), F.array(F.lit(0)))
-                                                   .otherwise(F.sequence(F.lit(0), F.col("_n") - 1))))
-                    .drop("_n"))
-    return salted_facts.join(salted_index, [key, "_salt"], how).drop("_salt")
+    if len(hot_keys) > HOT_KEYS:
+        raise ValueError(f"{len(hot_keys)} hot keys exceed the bound of the broadcast, {HOT_KEYS}")
+    schema = StructType([StructField(key, facts.schema[key].dataType, False)])
+    keys = F.broadcast(facts.sparkSession.createDataFrame([(k,) for k in hot_keys], schema))
+    hot_index = index.join(keys, key, "left_semi")  # at most one row for each hot key
+    hot = facts.join(keys, key, "left_semi").join(F.broadcast(hot_index), key, how)
+    cold = facts.join(keys, key, "left_anti").join(index, key, how)
+    return hot.unionByName(cold)
 
 
 def unique_rows(index: DataFrame, key: str) -> DataFrame:
     """``index`` with a check inside the plan that ``key`` is unique: a repeat fails the run.
 
     One aggregation by the key, which the join that follows needs the rows dealt by anyway (and
-    which a table bucketed by the key needs no shuffle for).
+    which a table bucketed by the key needs no shuffle for). Rows with a null key are left out.
     """
     others = [c for c in index.columns if c != key]
-    counted = index.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"), *[F.any_value(c).alias(c) for c in others])
+    # Rows with a null key match nothing, so they are no repeats of each other.
+    counted = index.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"), *[F.any_value(c).alias(c) for c in others])
     repeated = F.raise_error(F.concat(F.lit(f"{key} is not unique in the index: "), F.col(key).cast("string")))
     return counted.filter(F.when(F.col("_rows") > 1, repeated.cast("boolean")).otherwise(F.lit(True))) \
         .select(*index.columns)
@@ -126,7 +88,7 @@ def assert_unique(index: DataFrame, key: str, show: int = 5) -> DataFrame:
     One partial+final aggregation; at most ``show`` offending keys reach the driver. Returns
     ``index`` unchanged so it can sit inside a chain. Nothing is de-duplicated silently.
     """
-    dupes = (index.groupBy(key).count().filter(F.col("count") > 1)
+    dupes = (index.where(F.col(key).isNotNull()).groupBy(key).count().filter(F.col("count") > 1)
              .limit(show).collect())
     if dupes:
         sample = ", ".join(f"{r[0]!r} x{r[1]}" for r in dupes)

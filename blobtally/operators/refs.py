@@ -27,23 +27,43 @@ def decode_objects(raw: DataFrame) -> DataFrame:
                       bytes_to_long("size").alias("size"))
 
 
-def explode_refs(objects: DataFrame) -> DataFrame:
+def explode_refs(objects: DataFrame, numbered: bool = False) -> DataFrame:
     """One row per (object, uri token); drop empty tokens and zero sizes.
 
-    Tokens are not trimmed, and negative sizes pass, as in the original job.
+    Tokens are not trimmed, and negative sizes pass, as in the original job. ``numbered`` adds ``ref_no``,
+    the token's place in its object's list from 0, which tells the references of an object apart.
     """
-    return (objects
-            .select("object_key", F.explode(F.split("uri", ",")).alias("uri"), "size")
-            .filter((F.col("uri") != "") & (F.col("size") != 0)))
+    tokens = F.split("uri", ",")
+    token = [F.posexplode(tokens).alias("ref_no", "uri")] if numbered else [F.explode(tokens).alias("uri")]
+    return objects.select("object_key", *token, "size").filter((F.col("uri") != "") & (F.col("size") != 0))
 
 
-def object_refs(raw: DataFrame) -> DataFrame:
+def object_refs(raw: DataFrame, numbered: bool = False) -> DataFrame:
     """Raw object rows -> references, the whole narrow front of the aggregate job."""
-    return explode_refs(decode_objects(valid_objects(raw)))
+    return explode_refs(decode_objects(valid_objects(raw)), numbered)
+
+
+def mark_sample(refs: DataFrame, fraction: float, digest: Column | None = None) -> DataFrame:
+    """SMP1: add ``kept``, a sample of single references (object, place in its list, uri) by their hash.
+
+    Any fraction, without a shuffle; the mark depends on the reference alone, so the status and the
+    meta of a run keep the same ones, and so does a retried task. References must be ``numbered``.
+    ``digest`` replaces the hash by a uniform lower-case hex string (e.g. an md5), for other
+    engines to reproduce.
+    """
+    if not 0.0 <= fraction <= 1.0:
+        raise ValueError("fraction must be within [0, 1]")
+    if fraction == 1.0:
+        return refs.withColumn("kept", F.lit(True))
+    if digest is not None:
+        kept = digest < F.lit(f"{int(fraction * 16 ** 32):032x}")
+    else:
+        kept = F.shiftrightunsigned(F.xxhash64("object_key", "ref_no", "uri"), 1) < F.lit(int(fraction * (1 << 63)))
+    return refs.withColumn("kept", kept)
 
 
 def resolve_refs(refs: DataFrame, blob_index: DataFrame, skew_rows: int | None = None,
-                 hot_keys: list | dict | None = None) -> DataFrame:
+                 hot_keys: list | None = None) -> DataFrame:
     """References that resolve in the blob index, with their blob's file, id, start and length.
 
     Hot uris (``hot_keys``, or found with ``skew_rows``) are split off the shuffle join.
@@ -54,7 +74,7 @@ def resolve_refs(refs: DataFrame, blob_index: DataFrame, skew_rows: int | None =
 
 
 def unresolved_refs(refs: DataFrame, blob_index: DataFrame, skew_rows: int | None = None,
-                    hot_keys: list | dict | None = None) -> DataFrame:
+                    hot_keys: list | None = None) -> DataFrame:
     """References whose uri is not in the blob index."""
     return lookup_join(refs, blob_index.select("uri"), "uri", "left_anti", skew_rows=skew_rows,
                        hot_keys=hot_keys).select("object_key", "uri", "size")
@@ -63,12 +83,18 @@ def unresolved_refs(refs: DataFrame, blob_index: DataFrame, skew_rows: int | Non
 def refs_per_uri(refs: DataFrame, archived: Column | None = None) -> DataFrame:
     """Pre-aggregate references per uri: n_refs and, if ``archived`` is given, n_live.
 
+    References with a mark ``kept`` (``mark_sample``) are thinned here, before the map-side count: n_live
+    counts the kept ones, and n_kept (archived ones included) is added; n_refs still counts all.
+
     Partial aggregation runs map-side, so a uri referenced by a third of all objects leaves each
     map task as a single row: hot keys are collapsed before any shuffle or join.
     """
     aggs = [F.count(F.lit(1)).alias("n_refs")]
+    kept = F.col("kept") if "kept" in refs.columns else F.lit(True)
+    if "kept" in refs.columns:
+        aggs.append(F.count_if(kept).alias("n_kept"))
     if archived is not None:
-        aggs.append(F.count_if(~archived).alias("n_live"))
+        aggs.append(F.count_if(kept & ~archived).alias("n_live"))
     return refs.groupBy("uri").agg(*aggs)
 
 

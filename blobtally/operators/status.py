@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from blobtally import schemas
 from blobtally.functions.columns import empty_percent, is_archived, meta_row_key
-from blobtally.operators.joins import lookup_join
+from blobtally.operators.joins import hot_key_sketch, lookup_join
+from blobtally.operators.ordered import with_sort_position
 from blobtally.operators.refs import blob_sample_filter, observe_lookups, refs_per_uri
 from blobtally.sources.tables import with_stat_lengths
 
@@ -48,9 +49,12 @@ def file_totals(refs: DataFrame, blob_index: DataFrame, archive_bucket: str,
 
     Bag semantics: every reference counts, so a blob listed twice counts twice.
     With ``observe=True`` returns ``(frame, Observation)`` carrying lookup hits and misses.
-    ``sample_fraction`` < 1 keeps a reproducible per-blob sample of the resolved references.
+    ``sample_fraction`` < 1 keeps a reproducible per-blob sample of the resolved references; references
+    with a mark ``kept`` (``refs.mark_sample``) are sampled singly. Hits and misses count all.
     """
     resolved, obs = _uri_totals(refs, blob_index, archive_bucket, observe)
+    if "n_kept" in resolved.columns:
+        resolved = resolved.filter(F.col("n_kept") > 0).withColumn("n_refs", F.col("n_kept"))
     if sample_fraction < 1.0:
         # Per blob, so all references to one blob are kept or dropped together and the per-uri
         # pre-aggregation stays valid.
@@ -143,30 +147,36 @@ def status_columns(df: DataFrame) -> DataFrame:
 
 def file_status(refs: DataFrame, blob_index: DataFrame, file_index: DataFrame,
                 file_lengths: DataFrame | None, archive_bucket: str, sample_fraction: float = 1.0,
-                observe: bool = False):
+                observe: bool = False, sketch_hot_keys: bool = False):
     """File status of every blob file that has references, an index path and (unless all
     archived) a stored length. Columns: file_id, emptyPercent, remainSize, path, deleted.
 
     With ``file_lengths=None`` lengths are looked up in the store (``file_outcomes``). With
     ``observe=True`` returns ``(frame, [Observation, ...])``: lookup hits and misses, and the
     number of files by outcome (``files``, ``files_no_entry``, ``files_no_path``, ``files_no_length``).
+    ``sketch_hot_keys`` adds an Observation whose ``hot_keys`` is the heavy-hitter sketch of the uris,
+    filled in the same pass.
     """
     if not observe and file_lengths is not None:
         totals = file_totals(refs, blob_index, archive_bucket, sample_fraction=sample_fraction)
         return status_columns(file_lengths_join(file_paths(totals, file_index), file_lengths))
+    sketch = []
+    if sketch_hot_keys:
+        sketch = [Observation("hot_keys")]
+        refs = refs.observe(sketch[0], hot_key_sketch("uri").alias("hot_keys"))
     totals, lookups = file_totals(refs, blob_index, archive_bucket, observe=True, sample_fraction=sample_fraction)
     files = Observation("files")
     counted = {KEPT: "files", NO_ENTRY: "files_no_entry", NO_PATH: "files_no_path", NO_LENGTH: "files_no_length"}
     outcomes = file_outcomes(totals, file_index, file_lengths) \
         .observe(files, *[F.count_if(F.col("outcome") == o).alias(name) for o, name in counted.items()])
     status = status_columns(outcomes.filter(F.col("outcome") == KEPT))
-    return (status, [lookups, files]) if observe else status
+    return (status, [lookups, files, *sketch]) if observe else status
 
 
 def file_meta(refs: DataFrame, blob_index: DataFrame, status: DataFrame, archive_bucket: str,
               key_delimiter: str = schemas.DEFAULT_KEY_DELIMITER,
               skew_rows: int | None = None, broadcast_files: int | None = None,
-              hot_keys: list | dict | None = None, n_files: int | None = None,
+              hot_keys: list | None = None, n_files: int | None = None,
               sample_fraction: float = 1.0) -> DataFrame:
     """One meta row per live reference of a file whose status survived (PRJ3).
 
@@ -175,10 +185,13 @@ def file_meta(refs: DataFrame, blob_index: DataFrame, status: DataFrame, archive
     checked bound), broadcast, so the index is filtered map-side before the lookup. Beyond it the
     meta rows are joined with the file ids after the lookup: a bucketed index is then read in place
     at every size, and the one shuffle by file_id moves meta rows. The result is the same.
-    Hot uris are split off the lookup (``hot_keys`` given, or found with ``skew_rows``).
+    Hot uris leave the shuffle join (``hot_keys`` given, or found with ``skew_rows``). Of references with a
+    mark ``kept`` only the kept ones count.
     ``n_files`` passes a known row count of ``status`` so it is not counted again.
     ``sample_fraction`` < 1 keeps the same per-blob sample as ``file_totals``.
     """
+    if "kept" in refs.columns:
+        refs = refs.filter("kept")
     live = refs.filter(~is_archived("object_key", archive_bucket)).select("object_key", "uri")
     files = status.select("file_id")
     index = blob_index.select("uri", "file_id", "blob_id", "start", "length")
@@ -203,8 +216,8 @@ def meta_file_id(meta: DataFrame, key_delimiter: str = schemas.DEFAULT_KEY_DELIM
 
 
 def file_meta_lists(meta: DataFrame, key_delimiter: str = schemas.DEFAULT_KEY_DELIMITER) -> DataFrame:
-    """AGG5 without materialising lists: per file, the count, total length and key range of its
-    meta rows (a file's list, summarised with streaming aggregates; no group is collected)."""
+    """AGG5 summarised: per file, the count, total length and key range of its meta rows, by
+    streaming aggregates; no group is collected. ``meta_lists`` gives the lists themselves."""
     return (meta.withColumn("file_id", meta_file_id(meta, key_delimiter))
             .groupBy("file_id")
             .agg(F.count(F.lit(1)).alias("n_meta"),
@@ -213,9 +226,37 @@ def file_meta_lists(meta: DataFrame, key_delimiter: str = schemas.DEFAULT_KEY_DE
                  F.max("meatRowKey").alias("last_key")))
 
 
+DEFAULT_LIST_ROWS = 10_000
+
+
+def meta_lists(meta: DataFrame, max_rows: int = DEFAULT_LIST_ROWS,
+               key_delimiter: str = schemas.DEFAULT_KEY_DELIMITER) -> DataFrame:
+    """AGG5: every file's meta rows as numbered lists of at most ``max_rows`` rows each.
+
+    Rows are numbered in file order (start, key, object, length) by a distributed sort, so a file of any
+    size is spread over tasks, and no list is longer than ``max_rows``. Returns file_id,
+    list_no (from 0), rows: an array of the meta columns in order.
+    """
+    if max_rows <= 0:
+        raise ValueError("max_rows must be positive")
+    keyed = meta.select(meta_file_id(meta, key_delimiter).alias("file_id"), *schemas.META_COLUMNS)
+    placed = with_sort_position(keyed, ["file_id", "start", "meatRowKey", "objectKey", "length"], "_pos")
+    first = placed.groupBy("file_id").agg(F.min("_pos").alias("_first"))
+    place = F.col("_pos") - F.col("_first")
+    numbered = placed.join(first, "file_id").withColumn("list_no", F.call_function("div", place, F.lit(max_rows)))
+    rows = F.sort_array(F.collect_list(F.struct("_pos", F.struct(*schemas.META_COLUMNS).alias("row"))))
+    return numbered.groupBy("file_id", "list_no").agg(F.transform(rows, lambda x: x["row"]).alias("rows"))
+
+
+def flatten_lists(lists: DataFrame) -> DataFrame:
+    """PRJ5: numbered lists -> one meta row for each entry, with file_id, list_no and its place in the list."""
+    return lists.select("file_id", "list_no", F.posexplode("rows").alias("place", "row")) \
+        .select("file_id", "list_no", "place", "row.*")
+
+
 def flatten_meta(meta: DataFrame, key_delimiter: str = schemas.DEFAULT_KEY_DELIMITER,
                  num_partitions: int | None = None) -> DataFrame:
-    """PRJ5: meta rows laid out file by file, each file's rows contiguous and ordered by start.
+    """Meta rows laid out file by file, each file's rows contiguous and ordered by start.
 
     Range partitioning on (file, start) keeps a global order, so one very large file spreads
     over several consecutive partitions instead of one task.

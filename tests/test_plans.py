@@ -3,6 +3,8 @@ the aggregation spine, co-located joins with a bucketed index."""
 
 import os
 
+from pyspark.sql import functions as F
+
 from blobtally.operators import refs, status
 from blobtally.sources import tables, write_bucketed
 
@@ -103,13 +105,27 @@ def test_meta_beyond_the_broadcast_bound_leaves_the_bucketed_index_in_place(spar
     assert far.exceptAll(near).count() == 0 and near.exceptAll(far).count() == 0
 
 
-def test_salted_lookup_scans_the_facts_once(spark, fx, tmp_dir):
+def test_hot_keys_leave_a_bucketed_index_in_place(spark, fx, tmp_dir):
     from blobtally.operators import joins
 
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    write_bucketed(fx.blob_index, "blob_index_bucketed_hot", "uri", n, os.path.join(tmp_dir, "bi"))
     p = _store(fx, tmp_dir)
     r = refs.object_refs(tables.read_objects(spark, p["objects_raw"]))
-    hot = {row.uri: 5_000_000 for row in r.select("uri").distinct().limit(3).collect()}
-    plan = _plan(joins.lookup_join(r, tables.read_blob_index(spark, p["blob_index"]), "uri",
-                                   skew_rows=1_000_000, hot_keys=hot))
-    assert plan.count("objects_raw") == 1        # one scan of the object table
-    assert "_salt" in plan
+    idx = tables.read_blob_index(spark, spark.table("blob_index_bucketed_hot"))
+    hot = [row.uri for row in r.select("uri").distinct().limit(3).collect()]
+    plan = _plan(joins.lookup_join(r, idx, "uri", hot_keys=hot))
+    # The cold references are the only thing that moves; hot index rows are broadcast.
+    assert plan.count("Exchange hashpartitioning(uri") == 1 and "SortMergeJoin" in plan
+    assert plan.count("BroadcastHashJoin") >= 2 and "_salt" not in plan
+
+
+def test_the_status_pass_fills_the_sketch(spark, fx):
+    r = refs.object_refs(fx.objects_raw)
+    twice = r.unionByName(r.select("object_key", F.lit("1-1").alias("uri"), "size"))
+    st, observed = status.file_status(twice, fx.blob_index, fx.file_index, fx.file_lengths, "archive", observe=True, sketch_hot_keys=True)
+    st.count()
+    from blobtally.operators import joins
+
+    found = {k: v for obs in observed for k, v in obs.get.items()}
+    assert joins.hot_keys_of(found["hot_keys"], 1000) == ["1-1"] and found["hits"] > 0

@@ -47,28 +47,30 @@ def test_lookup_counters_add_up(spark):
 
 
 def test_lookup_join_hot_key_split_equals_plain_join(spark):
+    import pytest
+
     facts = spark.range(0, 3000).select(
-        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), (F.col("id") % 50).cast("string")))
-        .alias("uri"), F.col("id"))
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 100 == 1, F.lit(None))
+        .otherwise(F.concat(F.lit("k"), (F.col("id") % 50).cast("string"))).alias("uri"), F.col("id"))
     idx = spark.createDataFrame([("hot", 1)] + [(f"k{i}", i) for i in range(0, 50, 2)], "uri string, file_id long")
-    hot = joins.find_hot_keys(facts, "uri", skew_rows=500, fraction=1.0)
-    assert hot == ["hot"]
-    for how in ["inner", "left", "left_anti", "left_semi"]:
-        plain = sorted(tuple(r) for r in facts.join(idx, "uri", how).collect())
-        split = sorted(tuple(r) for r in joins.lookup_join(facts, idx, "uri", how, hot_keys=hot).collect())
-        assert plain == split, how
-    counts = joins.find_hot_key_counts(facts, "uri", skew_rows=100, fraction=1.0)
-    assert counts == {"hot": 1000}
-    for how in ["inner", "left", "left_anti", "left_semi"]:
-        plain = sorted(tuple(r) for r in facts.join(idx, "uri", how).collect())
-        salted = sorted(tuple(r) for r in joins.lookup_join(facts, idx, "uri", how, skew_rows=100,
-                                                            hot_keys=counts).collect())
-        assert plain == salted, how
-    plan = joins.lookup_join(facts, idx, "uri", "inner", hot_keys=counts, skew_rows=100) \
-        ._jdf.queryExecution().executedPlan().toString()
-    # One pass over the facts: the hot key is joined on (uri, salt), 10 salts for ~1000 rows.
-    assert "_salt" in plan and "BroadcastHashJoin" in plan
-    assert joins._salt_counts(counts, 100) == {"hot": 10}
+    assert joins.find_hot_keys(facts, "uri", skew_rows=500) == ["hot"]
+    assert set(joins.find_hot_keys(facts, "uri", skew_rows=38)) == {"hot"} | {f"k{i}" for i in range(50) if i != 1}
+    for hot in (["hot"], ["hot", "k7", "nobody", None, "hot"], [f"k{i}" for i in range(50)] + ["hot"]):
+        for how in ["inner", "left", "left_anti", "left_semi"]:
+            plain = sorted(map(tuple, facts.join(idx, "uri", how).collect()), key=str)
+            split = sorted(map(tuple, joins.lookup_join(facts, idx, "uri", how, hot_keys=hot).collect()), key=str)
+            assert plain == split, how
+    found = joins.lookup_join(facts, idx, "uri", skew_rows=500)
+    assert found.count() == facts.join(idx, "uri").count()
+    with pytest.raises(ValueError, match="bound"):
+        joins.lookup_join(facts, idx, "uri", hot_keys=[str(i) for i in range(joins.HOT_KEYS + 1)])
+
+
+def test_the_sketch_keeps_every_heavy_key(spark):
+    """Many light keys beside heavy ones, over several partitions: no heavy key is lost."""
+    facts = spark.range(0, 200_000, numPartitions=8).select(
+        F.when(F.col("id") % 4 == 0, F.concat(F.lit("h"), (F.col("id") % 40).cast("string"))).otherwise(F.col("id").cast("string")).alias("uri"))
+    assert sorted(joins.find_hot_keys(facts, "uri", skew_rows=4000)) == sorted(f"h{i}" for i in range(0, 40, 4))
 
 
 def test_sample_refs(spark):
@@ -193,6 +195,53 @@ def test_repeated_lookup_keys_fail_the_run(spark, fx):
             joins.unique_rows(df.union(df.limit(1)), key).agg(F.count("*")).collect()
 
 
+def test_null_keys_are_no_repeats(spark):
+    idx = spark.createDataFrame([(None, "a"), (None, "b"), (1, "c")], "file_id bigint, path string")
+    assert [tuple(r) for r in joins.unique_rows(idx, "file_id").collect()] == [(1, "c")]
+    assert joins.assert_unique(idx, "file_id") is idx
+
+
+def test_reference_sample(spark):
+    import pytest
+
+    r = refs.object_refs(raw(spark, [(f"photos/{i}", "u1,u1,u2", 1) for i in range(3000)]), numbered=True)
+    for f in (0.0, 0.001, 0.25, 1 / 3):
+        marked = refs.mark_sample(r, f)
+        n = marked.filter("kept").count()
+        assert abs(n - 9000 * f) <= 4 * (9000 * f * (1 - f)) ** 0.5 + 1e-9
+        by_md5 = refs.mark_sample(r, f, F.md5(F.concat_ws("|", "object_key", "ref_no", "uri"))).filter("kept").count()
+        assert abs(by_md5 - 9000 * f) <= 4 * (9000 * f * (1 - f)) ** 0.5 + 1e-9
+    assert refs.mark_sample(r, 1.0).filter("kept").count() == 9000
+    with pytest.raises(ValueError):
+        refs.mark_sample(r, 1.5)
+    # The two references of an object to one blob are sampled apart; status and meta keep the same ones.
+    marked = refs.mark_sample(r, 0.3)
+    idx = index(spark, [("u1", 1, "a", 0, 10), ("u2", 2, "b", 10, 10)])
+    totals = {x.file_id: (x.n_refs, x.n_live, x.remain_size) for x in status.file_totals(marked, idx, "archive").collect()}
+    kept = marked.filter("kept").groupBy("uri").count().collect()
+    want = {1 if x.uri == "u1" else 2: (x["count"], x["count"], 10 * x["count"]) for x in kept}
+    assert totals == want
+    one = marked.filter("kept").filter("uri = 'u1'").groupBy("object_key").count().filter("count = 1").count()
+    assert one > 0
+    st = spark.createDataFrame([(1, 0, 0, "/a", False), (2, 0, 0, "/b", False)], schemas.FILE_STATUS)
+    meta = status.file_meta(marked, idx, st, "archive").groupBy("meatRowKey").count().collect()
+    assert {int(m.meatRowKey[0]): m["count"] for m in meta} == {k: v[0] for k, v in want.items()}
+
+
+def test_meta_lists_are_bounded_and_flatten_back(spark):
+    rows = [(f"1_b{i:04d}", f"o{i % 3}", i * 10, 10) for i in range(250)] + [("2_x", "o", None, 1), ("2_x", "o", None, 1), ("3_y", "o", 0, 1)]
+    meta = spark.createDataFrame(rows, schemas.FILE_META).repartition(5)
+    lists = status.meta_lists(meta, max_rows=100)
+    got = {(x.file_id, x.list_no): x.rows for x in lists.collect()}
+    assert {k: len(v) for k, v in got.items()} == {(1, 0): 100, (1, 1): 100, (1, 2): 50, (2, 0): 2, (3, 0): 1}
+    assert [tuple(x) for k in ((1, 0), (1, 1), (1, 2)) for x in got[k]] == rows[:250]
+    flat = status.flatten_lists(lists)
+    assert flat.columns == ["file_id", "list_no", "place", *schemas.META_COLUMNS]
+    assert sorted(map(tuple, flat.select(*schemas.META_COLUMNS).collect()), key=str) == sorted(rows, key=str)
+    assert {(x.file_id, x.list_no, x.place) for x in flat.collect()} == {(*k, i) for k, v in got.items() for i in range(len(v))}
+    assert status.meta_lists(meta.limit(0)).count() == 0
+
+
 def test_assert_unique(spark, fx):
     import pytest
 
@@ -209,7 +258,7 @@ def test_file_meta_with_a_hot_uri_equals_plain_lookup(spark):
     r = refs.object_refs(raw(spark, objects))
     idx = index(spark, blobs)
     st = spark.createDataFrame([(f, 0, 0, f"/f{f}", False) for f in range(1, 7)], schemas.FILE_STATUS)
-    assert joins.find_hot_keys(r, "uri", skew_rows=200, fraction=1.0) == ["hot"]
+    assert joins.find_hot_keys(r, "uri", skew_rows=200) == ["hot"]
     plain = sorted(map(tuple, status.file_meta(r, idx, st, "archive").collect()))
     split = sorted(map(tuple, status.file_meta(r, idx, st, "archive", hot_keys=["hot"]).collect()))
     found = sorted(map(tuple, status.file_meta(r, idx, st, "archive", skew_rows=200).collect()))

@@ -27,7 +27,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from blobtally import schemas  # noqa: E402
 from blobtally.operators import cells, compact, refs, status  # noqa: E402
-from blobtally.operators.joins import find_hot_key_counts  # noqa: E402
+from blobtally.operators.joins import find_hot_keys  # noqa: E402
 from blobtally.plans import jobs, sinks  # noqa: E402
 from blobtally.session import get_session  # noqa: E402
 from blobtally.sources import tables, write_bucketed  # noqa: E402
@@ -90,15 +90,13 @@ class Store:
         return tables.read_file_status(self.spark, sinks.write_file_status(self.status(), path))
 
     def hot_keys(self):
-        """Hot uris from a sample of the object table's files (as the aggregate job does)."""
-        files, ratio = tables.sample_input_files(self.spark, self.paths["objects_raw"], schemas.RAW_OBJECTS,
-                                                 jobs.HOT_KEY_FILE_FRACTION)
-        return find_hot_key_counts(refs.object_refs(tables.read_objects(self.spark, files)), "uri", SKEW_ROWS,
-                                   presampled=ratio)
+        """Hot uris from a sample of the object table's files (the aggregate job sketches them in its status pass)."""
+        files, ratio = tables.sample_input_files(self.spark, self.paths["objects_raw"], schemas.RAW_OBJECTS, 0.01)
+        return find_hot_keys(refs.object_refs(tables.read_objects(self.spark, files)), "uri", SKEW_ROWS, presampled=ratio)
 
     def meta(self, st=None):
         return status.file_meta(self.refs(), self.blobs(), st if st is not None else self.status(),
-                                ARCHIVE_BUCKET, KEY_DELIMITER, skew_rows=SKEW_ROWS, hot_keys=self.hot_keys())
+                                ARCHIVE_BUCKET, KEY_DELIMITER, hot_keys=self.hot_keys())
 
 
 def bench_queries(store):

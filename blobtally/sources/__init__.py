@@ -1,6 +1,7 @@
 """Sources: typed readers of the store's tables and the job outputs, plus derived fixtures."""
 
 from blobtally.sources.cell_store import DirectoryCellStore, put_cells, read_cell_store, read_manifest
+from blobtally.sources.listing import list_tree
 from blobtally.sources.tables import (
     list_file_lengths,
     read_blob_index,
@@ -9,6 +10,7 @@ from blobtally.sources.tables import (
     read_file_meta,
     read_file_status,
     read_objects,
+    read_run_file_meta,
     read_run_file_status,
     run_sub_path,
     sample_input_files,
@@ -23,12 +25,14 @@ __all__ = [
     "read_cell_store",
     "read_manifest",
     "list_file_lengths",
+    "list_tree",
     "read_blob_index",
     "read_file_index",
     "read_file_lengths",
     "read_file_meta",
     "read_file_status",
     "read_objects",
+    "read_run_file_meta",
     "read_run_file_status",
     "run_sub_path",
     "sample_input_files",

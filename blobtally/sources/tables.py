@@ -49,19 +49,14 @@ def read_file_lengths(spark: SparkSession, src: Source) -> DataFrame:
 
 
 def list_file_lengths(spark: SparkSession, root: str, strip_scheme: bool = True) -> DataFrame:
-    """File lengths straight from the store (SRC4, listing form).
+    """File lengths straight from the store (SRC4, listing form): every file below ``root``, empty ones too.
 
-    Uses the ``binaryFile`` source; selecting only path and length prunes the content column,
-    so files are listed, not read. Spark's file scans skip zero-length files, so an empty blob
-    file is missing here; use ``stat_file_lengths`` when empty files must count. The listing itself
-    is spread over tasks, but the driver's file index holds one entry per file: for stores of many
-    millions of files use ``with_stat_lengths``, which keeps nothing on the driver.
+    Tasks list the folders (``sources.listing.list_tree``); nothing per file is on the driver.
     ``strip_scheme`` turns ``file:/x`` or ``hdfs://nn/x`` into ``/x`` to match index paths.
     """
-    df = (spark.read.format("binaryFile")
-          .option("recursiveFileLookup", "true")
-          .load(root)
-          .select("path", "length"))
+    from blobtally.sources.listing import list_tree
+
+    df = list_tree(spark, root)
     if strip_scheme:
         df = df.withColumn("path", F.regexp_replace("path", r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", ""))
     return df.select(F.col("path").cast("string"), F.col("length").cast("bigint"))
@@ -139,8 +134,7 @@ def with_stat_lengths(files: DataFrame, path_col: str = "path", wanted: str | No
 def stat_file_lengths(paths: DataFrame, path_col: str = "path", default_fs: str | None = None) -> DataFrame:
     """File lengths by path lookup (SRC4, lookup form): path, length for exactly the given paths.
 
-    Sees zero-length files (which Spark's file scans skip) and returns a null length for a
-    missing file; see ``with_stat_lengths``.
+    Sees zero-length files and returns a null length for a missing file; see ``with_stat_lengths``.
     """
     return with_stat_lengths(paths.select(F.col(path_col).cast("string").alias("path")), default_fs=default_fs)
 
@@ -203,5 +197,14 @@ def run_sub_path(base_folder: str, sub_folder: str) -> str:
 
 
 def read_run_file_status(spark: SparkSession, base_folder: str, sub_folder: str) -> DataFrame:
-    """File status of a chosen run: base folder + sub folder."""
-    return read_file_status(spark, run_sub_path(base_folder, sub_folder))
+    """File status of a chosen, committed run: base folder + sub folder."""
+    from blobtally.plans.layout import committed_output
+
+    return read_file_status(spark, committed_output(spark, run_sub_path(base_folder, sub_folder)))
+
+
+def read_run_file_meta(spark: SparkSession, base_folder: str, sub_folder: str) -> DataFrame:
+    """File meta of a chosen, committed run: base folder + sub folder."""
+    from blobtally.plans.layout import committed_output
+
+    return read_file_meta(spark, committed_output(spark, run_sub_path(base_folder, sub_folder)))

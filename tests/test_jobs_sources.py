@@ -9,7 +9,7 @@ from blobtally import schemas
 from blobtally.operators import refs, status
 from blobtally.plans import jobs
 from blobtally.plans.layout import catalog_runs
-from blobtally.sources import list_file_lengths, read_file_status, stat_file_lengths
+from blobtally.sources import list_file_lengths, list_tree, read_file_status, read_run_file_meta, read_run_file_status, stat_file_lengths
 
 WHEN = datetime(2017, 9, 17, 15, 18, 34, tzinfo=timezone.utc)
 
@@ -82,8 +82,9 @@ def test_list_file_lengths(spark, tmp_dir):
         with open(os.path.join(store, name), "wb") as fh:
             fh.write(b"x" * size)
     got = {r.path: r.length for r in list_file_lengths(spark, store).collect()}
-    # Spark's file scans skip empty files, so the listing form misses sub/f2.
-    assert got == {f"{store}/f1": 10, f"{store}/sub/f3": 1234}
+    assert got == {f"{store}/f1": 10, f"{store}/sub/f2": 0, f"{store}/sub/f3": 1234}
+    assert list_tree(spark, f"{store}/sub").count() == 2 and list_tree(spark, f"{store}/nowhere").count() == 0
+    assert {r.path for r in list_tree(spark, f"file:{store}/").collect()} == {f"file:{p}" for p in got}
     wanted = spark.createDataFrame([(f"{store}/f1",), (f"{store}/sub/f2",), (f"file:{store}/sub/f3",),
                                     (f"{store}/missing",)], "path string")
     got = {r.path: r.length for r in stat_file_lengths(wanted).collect()}
@@ -103,17 +104,85 @@ def test_status_roundtrip_keeps_names_and_types(spark, fx, tmp_dir):
          ("deleted", "boolean")]
 
 
-def test_catalog_runs_lists_every_run(spark, tmp_dir):
+def _commit(spark, base, day, ts, df, attempt_only=False):
+    from blobtally.plans.layout import Publication, RunPaths
+
+    run_dir = f"{base}aggregator/{day}/{ts}"
+    run = Publication(spark, RunPaths(day, ts, f"{run_dir}/file_status", f"{run_dir}/file_meta"))
+    for kind in ("file_status", "file_meta"):
+        df.write.parquet(run.staged(kind))
+    run.commit({"rows": df.count()})
+    if not attempt_only:
+        run.settle()
+
+
+def test_catalog_runs_lists_every_committed_run(spark, tmp_dir):
+    from blobtally.plans.layout import read_commit
+
+    base = tmp_dir.rstrip("/") + "/"
+    df = spark.createDataFrame([(1, 0, 0, "/a", False)], schemas.FILE_STATUS).coalesce(1)
+    _commit(spark, base, "2017-09-17", 1505661514000, df)
+    _commit(spark, base, "2017-09-18", 1505747914000, df, attempt_only=True)  # cut off before it was moved
+    df.write.parquet(f"{base}aggregator/2017-09-18/latest/file_status")  # no run: it has no record
+    df.write.parquet(f"{base}aggregator/2017-09-19/1505834314000/file_status")
+    runs = {(r.day, r.run_ts, r.kind, r.n_files) for r in catalog_runs(spark, base).collect()}
+    assert runs == {(day, ts, kind, 1) for day, ts in (("2017-09-17", 1505661514000), ("2017-09-18", 1505747914000))
+                    for kind in ("file_status", "file_meta")}
+    for day, ts in (("2017-09-17", 1505661514000), ("2017-09-18", 1505747914000)):
+        assert read_run_file_status(spark, base, f"aggregator/{day}/{ts}/file_status").count() == 1
+        assert read_commit(spark, f"{base}aggregator/{day}/{ts}") == {"rows": 1}
+
+
+def test_a_killed_run_leaves_the_old_one_readable(spark, tmp_dir, monkeypatch):
+    import pytest
+
+    from blobtally.plans import layout, sinks
+
+    raw, blobs, index = _store_of_files(spark, tmp_dir)
     base = tmp_dir.rstrip("/") + "/"
-    df = spark.createDataFrame([(1, 0, 0, "/a", False)], schemas.FILE_STATUS)
-    for ts, day in [(1505661514000, "2017-09-17"), (1505747914000, "2017-09-18")]:
-        for kind in ["file_status", "file_meta"]:
-            df.write.parquet(f"{base}aggregator/{day}/{ts}/{kind}")
-    df.write.parquet(f"{base}aggregator/2017-09-18/latest/file_status")  # not a run folder
-    runs = {(r.day, r.run_ts, r.kind) for r in catalog_runs(spark, base).collect()}
-    assert runs == {("2017-09-17", 1505661514000, "file_status"), ("2017-09-17", 1505661514000, "file_meta"),
-                    ("2017-09-18", 1505747914000, "file_status"), ("2017-09-18", 1505747914000, "file_meta"),
-                    ("2017-09-18", None, "file_status")}
+    sub = "aggregator/2017-09-17/1505661514000/"
+
+    def run(objects):
+        return jobs.run_aggregate(spark, objects, blobs, index, None, base, WHEN, archive_bucket="archive")
+
+    def seen():
+        return (sorted(r.file_id for r in read_run_file_status(spark, base, sub + "file_status").collect()),
+                sorted(r.objectKey for r in read_run_file_meta(spark, base, sub + "file_meta").collect()))
+
+    with monkeypatch.context() as m:  # the very first run dies between its two writes: there is no run
+        m.setattr(sinks, "write_file_meta", lambda *a: (_ for _ in ()).throw(KeyboardInterrupt()))
+        with pytest.raises(KeyboardInterrupt):
+            run(raw)
+    assert catalog_runs(spark, base).count() == 0
+    with pytest.raises(FileNotFoundError):
+        read_run_file_status(spark, base, sub + "file_status")
+    assert run(raw).exit_code == 0
+    old = seen()
+    assert old == ([1, 2, 6], ["photos/1", "photos/2"])
+    less = raw.where("decode(uri, 'UTF-8') = 'u1'")
+    with monkeypatch.context() as m:
+        m.setattr(sinks, "write_file_meta", lambda *a: (_ for _ in ()).throw(KeyboardInterrupt()))
+        with pytest.raises(KeyboardInterrupt):
+            run(less)
+    assert seen() == old
+    with monkeypatch.context() as m:  # publishing fails: the exit code says so, the old run stays
+        m.setattr(layout.Publication, "commit", lambda *a: (_ for _ in ()).throw(OSError("no rename")))
+        res = run(less)
+    assert (res.exit_code, res.error) == (-1, "no rename") and seen() == old
+    settle = layout.Publication.settle
+
+    def half(self):  # killed after the first of the two moves
+        fs, at = layout._fs(self.spark, self.run_dir)
+        fs.delete(at(f"{self.run_dir}/file_status"), True)
+        fs.rename(at(self.staged("file_status")), at(f"{self.run_dir}/file_status"))
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as m:
+        m.setattr(layout.Publication, "settle", half)
+        with pytest.raises(KeyboardInterrupt):
+            run(less)
+    assert seen() == ([1], ["photos/1"])  # committed, so both outputs are the new ones
+    assert run(raw).exit_code == 0 and seen() == old and layout.Publication.settle is settle
 
 
 def test_sample_input_files_with_a_space_in_the_path(spark, tmp_dir):
@@ -177,6 +246,33 @@ def test_aggregate_looks_lengths_up_in_the_store(spark, tmp_dir):
                             "files_no_length": 1}
 
 
+def test_null_keys_in_the_lookup_sources_pass(spark, tmp_dir):
+    raw, blobs, index = _store_of_files(spark, tmp_dir)
+    nulls = spark.createDataFrame([(None, "/x"), (None, "/y")], "file_id bigint, path string")
+    none = spark.createDataFrame([(None, 1, "b", 0, 1)] * 2, "uri string, file_id bigint, blob_id string, start bigint, length bigint")
+    res = jobs.run_aggregate(spark, raw, blobs.unionByName(none), index.unionByName(nulls), None, tmp_dir.rstrip("/") + "/", WHEN,
+                             archive_bucket="archive")
+    assert res.exit_code == 0 and res.counters["files"] == 3
+
+
+def test_hot_uris_and_sampled_references_through_the_job(spark, tmp_dir):
+    raw, blobs, index = _store_of_files(spark, tmp_dir)
+    more = spark.range(200).selectExpr("encode(concat('photos/h', id), 'UTF-8') AS row_key", "encode('u1,u2', 'UTF-8') AS uri",
+                                       "unhex('0000000000000007') AS size")
+    def run(base, **given):
+        res = jobs.run_aggregate(spark, raw.unionByName(more), blobs, index, None, f"{tmp_dir}/{base}/", WHEN, archive_bucket="archive", **given)
+        st = {r.file_id: r.remainSize for r in read_file_status(spark, res.status_path).collect()}
+        meta = sorted(map(tuple, spark.read.parquet(res.meta_path).collect()))
+        return res, st, meta
+    _, st, meta = run("plain", skew_rows=None)
+    _, hot_st, hot_meta = run("hot", skew_rows=100)
+    assert (st, meta) == (hot_st, hot_meta) and len(meta) == 402
+    res, thin_st, thin_meta = run("thin", ref_fraction=0.25, skew_rows=100)
+    assert res.counters["hits"] == 406  # lookups are counted before the sample
+    per_file = {i: 100 * sum(m[0].startswith(f"{i}_") for m in thin_meta) for i in (1, 2)}
+    assert 20 < len(thin_meta) < 190 and {k: v for k, v in thin_st.items() if k in (1, 2)} == per_file
+
+
 def test_aggregate_counts_dropped_files_with_a_length_table(spark, tmp_dir):
     raw, blobs, index = _store_of_files(spark, tmp_dir)
     lengths = index.filter("file_id <= 2").selectExpr("path", "1000L AS length")

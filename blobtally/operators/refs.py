@@ -175,6 +175,6 @@ def nest_refs(resolved: DataFrame) -> DataFrame:
                            F.struct("file_id", "blob_id", "start", "length").alias("blob_info"))
 
 
-def flatten_refs(nested: DataFrame) -> DataFrame:
-    """Nested object info -> flat columns."""
-    return nested.select("object_key", "size", "blob_info.*")
+def flatten_refs(nested: DataFrame, *carry: str) -> DataFrame:
+    """Nested object info -> flat columns, with the columns ``carry``."""
+    return nested.select("object_key", "size", *carry, "blob_info.*")

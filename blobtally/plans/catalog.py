@@ -7,6 +7,7 @@ matching text in ``blobtally.plans.oracle``.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,9 +23,11 @@ from blobtally.functions.columns import (
 )
 from blobtally.operators import cells as cell_ops
 from blobtally.operators import compact, refs, status, table_splits
-from blobtally.plans import sinks
+from blobtally.plans import jobs, sinks
+from blobtally.plans.layout import catalog_runs
 from blobtally.session import scratch_path
-from blobtally.sources import DirectoryCellStore, put_cells, read_cell_store, read_manifest, tables
+from blobtally.sources import DirectoryCellStore, list_tree, put_cells, read_cell_store, read_manifest, tables
+from blobtally.sources.cell_store import local_path
 from blobtally.sources.fixtures import (
     ARCHIVE_BUCKET,
     CELL_FAMILY,
@@ -41,6 +44,10 @@ from blobtally.sources.fixtures import (
 SAMPLE_FRACTION = 0.01
 DELETE_MIN_EMPTY_PERCENT = 90
 RUN_BASE = "/data/blobstore/"
+LIST_ROWS = 5
+REF_FRACTION = 0.375
+HOT_ROWS = 40
+RUN_AT = datetime(2017, 9, 17, 15, 18, 34, tzinfo=timezone.utc)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -178,12 +185,25 @@ def q_file_meta_lists(spark, sf_dir):
     return status.file_meta_lists(_meta(_fx(spark, sf_dir)), KEY_DELIMITER)
 
 
+def _lists(fx: Fixtures) -> DataFrame:
+    return status.meta_lists(_meta(fx), LIST_ROWS, KEY_DELIMITER)
+
+
+def q_file_meta_numbered(spark, sf_dir):
+    # The lists themselves, each written out as text in its own order.
+    return _lists(_fx(spark, sf_dir)).select(
+        "file_id", "list_no", F.size("rows").cast("bigint").alias("n_rows"),
+        F.array_join(F.transform("rows", lambda r: F.concat(r["meatRowKey"], F.lit("="), r["objectKey"])), ",").alias("listed"))
+
+
 def q_file_meta_flat(spark, sf_dir):
-    return status.flatten_meta(_meta(_fx(spark, sf_dir)), KEY_DELIMITER)
+    return status.flatten_lists(_lists(_fx(spark, sf_dir)))
 
 
 def q_nested_objects(spark, sf_dir):
-    return refs.flatten_refs(refs.nest_refs(_resolved(_fx(spark, sf_dir))))
+    # The nested form as text, and its fields taken out of it again.
+    nested = refs.nest_refs(_resolved(_fx(spark, sf_dir)))
+    return refs.flatten_refs(nested.select("*", F.to_json("blob_info").alias("nested")), "nested")
 
 
 def q_status_roundtrip(spark, sf_dir):
@@ -338,6 +358,96 @@ def q_bulk_load(spark, sf_dir):
         F.sum("n").cast("bigint").alias("n_cells"), F.hex(F.min("low")).alias("first_hex"), F.hex(F.max("high")).alias("last_hex"), wrong.alias("wrong_entries"))
 
 
+def _shared_refs(fx: Fixtures) -> DataFrame:
+    """References of every object to one of five blobs that all share, beside its own."""
+    own = _refs(fx)
+    number = F.substring_index("object_key", "/", -1).cast("bigint")
+    shared = fx.objects.select("object_key", F.concat((number % 5 * 32 + 1).cast("string"), F.lit("-1")).alias("uri"),
+                               F.lit(1).cast("bigint").alias("size"))
+    return own.unionByName(shared)
+
+
+def q_hot_refs(spark, sf_dir):
+    # Uris with many references take the broadcast of their index rows; the sketch finds them.
+    fx = _fx(spark, sf_dir)
+    return refs.resolve_refs(_shared_refs(fx), fx.blob_index, skew_rows=HOT_ROWS) \
+        .groupBy("uri", "file_id", "blob_id").agg(F.count(F.lit(1)).alias("n_refs"), F.min("object_key").alias("first_object"),
+                                                  F.max("object_key").alias("last_object"))
+
+
+def _reference_digest():
+    return F.md5(F.concat_ws("|", "object_key", F.col("ref_no").cast("string"), "uri"))
+
+
+def q_thinned_totals(spark, sf_dir):
+    fx = _fx(spark, sf_dir)
+    marked = refs.mark_sample(refs.object_refs(tables.read_objects(spark, fx.objects_raw), numbered=True), REF_FRACTION, _reference_digest())
+    return status.file_totals(marked, fx.blob_index, ARCHIVE_BUCKET).select("file_id", "n_refs", "n_live", "remain_size", "all_archived")
+
+
+def _run_job(spark, sf_dir, **options):
+    """The aggregate job over written store tables, whose indexes also hold rows with null keys."""
+    fx, store = _fx(spark, sf_dir), scratch_path(spark, "store")
+    no_uri = fx.blob_index.limit(2).withColumn("uri", F.lit(None).cast("string"))
+    no_id = fx.file_index.limit(2).withColumn("file_id", F.lit(None).cast("bigint"))
+    inputs = {"objects": fx.objects_raw, "blobs": fx.blob_index.unionByName(no_uri), "files": fx.file_index.unionByName(no_id),
+              "lengths": fx.file_lengths}
+    for name, df in inputs.items():
+        df.write.parquet(f"{store}/{name}")
+    base = scratch_path(spark, "runs") + "/"
+    done = jobs.run_aggregate(spark, *(f"{store}/{name}" for name in inputs), base, RUN_AT, archive_bucket=ARCHIVE_BUCKET,
+                              key_delimiter=KEY_DELIMITER, **options)
+    return base, done
+
+
+def q_job_status(spark, sf_dir):
+    base, done = _run_job(spark, sf_dir)
+    # The status rows read back from the run's place, with what the catalogue of runs says of that run.
+    rows = tables.read_run_file_status(spark, base, done.status_path[len(base):]) \
+        .withColumn("run_ts", run_timestamp(F.lit(done.status_path)))
+    return rows.join(catalog_runs(spark, base).groupBy("run_ts", "day").agg(F.count(F.lit(1)).alias("n_outputs")), "run_ts")
+
+
+def q_job_meta(spark, sf_dir):
+    base, done = _run_job(spark, sf_dir, skew_rows=2, ref_fraction=REF_FRACTION, ref_digest=_reference_digest())
+    return tables.read_run_file_meta(spark, base, done.meta_path[len(base):])
+
+
+def q_job_counters(spark, sf_dir):
+    _, done = _run_job(spark, sf_dir)
+    names = ["hits", "misses", "files", "files_no_entry", "files_no_path", "files_no_length"]
+    row = [done.exit_code, *(done.counters[n] for n in names)]
+    return spark.createDataFrame([row], "exit_code int, " + ", ".join(f"{n} bigint" for n in names))
+
+
+def q_job_splits(spark, sf_dir):
+    base, done = _run_job(spark, sf_dir)
+    compacted = jobs.run_compact(spark, base, done.status_path[len(base):], scratch_path(spark, "plan"), max_bytes=MAX_BYTES,
+                                 files_per_group=FILES_PER_GROUP, merge_tails=True, groups_per_tail=GROUPS_PER_TAIL)
+    splits = spark.read.parquet(compacted.splits_path)
+    return compact.split_summary(splits).withColumn("run_ts", F.lit(compacted.run_ts).cast("bigint"))
+
+
+def q_listed_files(spark, sf_dir):
+    # Blob files written as a tree of folders, as many bytes as the file has blobs (some have none), and listed.
+    fx, root = _fx(spark, sf_dir), local_path(scratch_path(spark, "tree"))
+    sized = fx.blob_index.groupBy("file_id").agg(F.when(F.col("file_id") % 9 == 4, 0).otherwise(F.count(F.lit(1))).cast("bigint").alias("n"))
+
+    def write(batches):
+        import os
+
+        for batch in batches:
+            for file_id, n in zip(batch.column("file_id").to_pylist(), batch.column("n").to_pylist()):
+                folder = f"{root}/d{file_id % 7}/e{file_id % 3}"
+                os.makedirs(folder, exist_ok=True)
+                with open(f"{folder}/f{file_id}", "wb") as out:
+                    out.write(b"x" * n)
+            yield batch
+
+    sized.mapInArrow(write, sized.schema).write.format("noop").mode("overwrite").save()
+    return list_tree(spark, root).select(F.substring("path", len(root) + 2, 1000).alias("file"), "length")
+
+
 QUERIES: dict[str, Query] = {
     "object_scan": q_object_scan,
     "valid_objects": q_valid_objects,
@@ -358,6 +468,7 @@ QUERIES: dict[str, Query] = {
     "file_meta": q_file_meta,
     "file_meta_lists": q_file_meta_lists,
     "file_meta_flat": q_file_meta_flat,
+    "file_meta_numbered": q_file_meta_numbered,
     "nested_objects": q_nested_objects,
     "status_roundtrip": q_status_roundtrip,
     "status_row_count": q_status_row_count,
@@ -379,4 +490,11 @@ QUERIES: dict[str, Query] = {
     "split_checks": q_split_checks,
     "put_cells": q_put_cells,
     "bulk_load": q_bulk_load,
+    "hot_refs": q_hot_refs,
+    "thinned_totals": q_thinned_totals,
+    "job_status": q_job_status,
+    "job_meta": q_job_meta,
+    "job_counters": q_job_counters,
+    "job_splits": q_job_splits,
+    "listed_files": q_listed_files,
 }

@@ -117,6 +117,29 @@ ox_fold AS (
          CASE WHEN p.cur >= {MAX_BYTES} THEN o.remain ELSE p.cur + o.remain END
   FROM ox_fold p JOIN ox_all o ON o.rn = p.rn + 1)"""
 
+# Meta rows of a file in order, in lists of five.
+LIST_CTES = """
+ox_placed AS (
+  SELECT CAST(split_part("meatRowKey", '_', 1) AS BIGINT) AS file_id, "meatRowKey", "objectKey", start, length,
+         row_number() OVER (PARTITION BY split_part("meatRowKey", '_', 1) ORDER BY start, "meatRowKey", "objectKey") - 1 AS n FROM ox_meta),
+ox_listed AS (SELECT *, CAST(n // 5 AS BIGINT) AS list_no, n % 5 AS place FROM ox_placed)"""
+
+# References kept by the md5 of (object, place in its list, uri): 0.375 = 0x6/16.
+THIN_CTES = """
+ox_numbered AS (
+  SELECT object_key, unnest(string_split(uri, ',')) AS uri, generate_subscripts(string_split(uri, ','), 1) - 1 AS ref_no, size FROM ox_valid),
+ox_kept AS (
+  SELECT r.object_key, b.file_id, b.blob_id, b.start, b.length, NOT starts_with(r.object_key, 'archive/') AS live
+  FROM ox_numbered r JOIN fx_blob_index b ON b.uri = r.uri
+  WHERE r.uri <> '' AND r.size <> 0 AND md5(concat_ws('|', r.object_key, r.ref_no, r.uri)) < '6'),
+ox_thin AS (
+  SELECT file_id, count(*) AS n_refs, count(*) FILTER (WHERE live) AS n_live,
+         CAST(coalesce(sum(length) FILTER (WHERE live), 0) AS BIGINT) AS remain_size, bool_and(NOT live) AS all_archived
+  FROM ox_kept GROUP BY file_id),
+ox_thin_files AS (
+  SELECT t.file_id FROM ox_thin t JOIN fx_file_index f ON f.file_id = t.file_id LEFT JOIN fx_file_lengths l ON l.path = f.path
+  WHERE f.path IS NOT NULL AND (t.all_archived OR l.length IS NOT NULL))"""
+
 CELL_CTES = """
 ox_cells AS (
   SELECT encode(lpad(CAST(c_custkey AS VARCHAR), 9, '0')) AS rk, encode('f') AS fam, encode('name') AS qual,
@@ -187,8 +210,15 @@ ORACLE_SQL: dict[str, str] = {
         'SELECT CAST(split_part("meatRowKey", \'_\', 1) AS BIGINT) AS file_id, count(*) AS n_meta,'
         ' CAST(coalesce(sum(length), 0) AS BIGINT) AS meta_length,'
         ' min("meatRowKey") AS first_key, max("meatRowKey") AS last_key FROM ox_meta GROUP BY 1'),
-    "file_meta_flat": _with('SELECT "meatRowKey", "objectKey", start, length FROM ox_meta'),
-    "nested_objects": _with("SELECT object_key, size, file_id, blob_id, start, length FROM ox_resolved"),
+    "file_meta_numbered": _with(
+        "SELECT file_id, list_no, count(*) AS n_rows,"
+        " string_agg(concat(\"meatRowKey\", '=', \"objectKey\"), ',' ORDER BY place) AS listed FROM ox_listed GROUP BY file_id, list_no",
+        LIST_CTES),
+    "file_meta_flat": _with(
+        'SELECT file_id, list_no, CAST(place AS INTEGER) AS place, "meatRowKey", "objectKey", start, length FROM ox_listed', LIST_CTES),
+    "nested_objects": _with(
+        "SELECT object_key, size, file_id, blob_id, start, length, concat('{\"file_id\":', file_id, ',\"blob_id\":\"', blob_id,"
+        " '\",\"start\":', start, ',\"length\":', length, '}') AS nested FROM ox_resolved"),
     "status_roundtrip": _with('SELECT file_id, "emptyPercent", "remainSize", path, deleted FROM ox_status'),
     "status_row_count": _with("SELECT count(*) AS n_rows FROM ox_status"),
     "run_path_columns": _with("SELECT o_orderkey, status_path, meta_path FROM ox_run_paths", RUN_CTES),
@@ -251,6 +281,29 @@ ORACLE_SQL: dict[str, str] = {
     "bulk_load": _with(
         "SELECT region, count(*) AS n_cells, hex(min(rk)) AS first_hex, hex(max(rk)) AS last_hex,"
         " CAST(0 AS BIGINT) AS wrong_entries FROM ox_regions GROUP BY region", CELL_CTES, START_KEY_CTES),
+    "hot_refs": _with(
+        "SELECT b.uri, b.file_id, b.blob_id, count(*) AS n_refs, min(r.object_key) AS first_object, max(r.object_key) AS last_object"
+        " FROM (SELECT object_key, uri FROM ox_refs UNION ALL"
+        " SELECT object_key, concat(CAST(split_part(object_key, '/', 2) AS BIGINT) % 5 * 32 + 1, '-1') FROM fx_objects) r"
+        " JOIN fx_blob_index b ON b.uri = r.uri GROUP BY 1, 2, 3"),
+    "thinned_totals": _with("SELECT file_id, n_refs, n_live, remain_size, all_archived FROM ox_thin", THIN_CTES),
+    "job_status": _with(
+        'SELECT file_id, "emptyPercent", "remainSize", path, deleted, CAST(1505661514000 AS BIGINT) AS run_ts,'
+        " '2017-09-17' AS day, CAST(2 AS BIGINT) AS n_outputs FROM ox_status"),
+    "job_meta": _with(
+        "SELECT concat(CAST(file_id AS VARCHAR), '_', blob_id) AS \"meatRowKey\", object_key AS \"objectKey\", start, length"
+        " FROM ox_kept WHERE live AND file_id IN (SELECT file_id FROM ox_thin_files)", THIN_CTES),
+    "job_counters": _with(
+        "SELECT CAST(0 AS INTEGER) AS exit_code, (SELECT count(*) FROM ox_resolved) AS hits,"
+        " (SELECT count(*) FROM ox_refs r WHERE NOT EXISTS (SELECT 1 FROM fx_blob_index b WHERE b.uri = r.uri)) AS misses,"
+        " count(*) FILTER (WHERE f.path IS NOT NULL AND (t.all_archived OR l.length IS NOT NULL)) AS files,"
+        " count(*) FILTER (WHERE f.file_id IS NULL) AS files_no_entry,"
+        " count(*) FILTER (WHERE f.file_id IS NOT NULL AND f.path IS NULL) AS files_no_path,"
+        " count(*) FILTER (WHERE f.path IS NOT NULL AND NOT t.all_archived AND l.length IS NULL) AS files_no_length"
+        " FROM ox_totals t LEFT JOIN fx_file_index f ON f.file_id = t.file_id LEFT JOIN fx_file_lengths l ON l.path = f.path"),
+    "listed_files": _with(
+        "SELECT concat('d', file_id % 7, '/e', file_id % 3, '/f', file_id) AS file,"
+        " CAST(CASE WHEN file_id % 9 = 4 THEN 0 ELSE count(*) END AS BIGINT) AS length FROM fx_blob_index GROUP BY file_id"),
 }
 
 # The relocation plan again, summed up by split in the order of the new file.
@@ -259,3 +312,11 @@ ORACLE_SQL["split_checks"] = ORACLE_SQL["relocation_plan"].replace("SELECT p.g A
     " CAST(sum(n * length) AS BIGINT) AS ordered_sum, max_by(blob_id, n) AS last_blob FROM ("
     "SELECT *, row_number() OVER (PARTITION BY pack_group, split_id ORDER BY new_start, file_id, start, blob_id) AS n FROM ("
     "SELECT p.g AS pack_group", 1) + ") r) s GROUP BY pack_group, split_id"
+
+# The compact job's splits: the merged tails, summed up by split.
+ORACLE_SQL["job_splits"] = _with(
+    f"SELECT pack_group, CAST(split_id AS INTEGER) AS split_id, CAST(least(sum(CAST(remain AS HUGEINT)), {LONG_MAX}) AS BIGINT) AS size,"
+    " count(*) AS n_files, CAST(1505661514000 AS BIGINT) AS run_ts FROM ("
+    "SELECT p.g AS pack_group, p.split_id, p.remain FROM ox_pack p"
+    " WHERE NOT EXISTS (SELECT 1 FROM ox_tails t WHERE t.g = p.g AND t.split_id = p.split_id)"
+    " UNION ALL SELECT g, split_id, remain FROM ox_tail_pack) s GROUP BY pack_group, split_id", SPLIT_CTES, TAIL_CTES, recursive=True)

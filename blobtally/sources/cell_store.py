@@ -98,9 +98,14 @@ def put_cells(cells: DataFrame, store: CellStore) -> None:
     cells.write.format(name).mode("append").save()
 
 
+def local_path(path: str) -> str:
+    """The path of a ``file:`` URI; any other path as it is."""
+    return re.sub(r"^file:(//)?(?=/)", "", path)
+
+
 def _filesystem(path: str) -> tuple[pafs.FileSystem, str]:
-    local = re.match(r"^(?:file:(?://)?)?(/.*)$", path)
-    return (pafs.LocalFileSystem(), local[1]) if local else pafs.FileSystem.from_uri(path)
+    path = local_path(path)
+    return (pafs.LocalFileSystem(), path) if path.startswith("/") else pafs.FileSystem.from_uri(path)
 
 
 class _Files:

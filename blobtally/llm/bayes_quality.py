@@ -10,6 +10,7 @@ sparse groups say little. Posterior log-odds are prior plus evidence.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -72,13 +73,26 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(f), pa.array(c), pa.array(total[c, f])], names=["feature", "class", "n"])
 
 
-def score(text: bytes | None, weights: np.ndarray) -> np.ndarray:
+class Model(NamedTuple):
+    """Features with a weight, in order, and their weights under the two models (2 x features)."""
+
+    known: np.ndarray
+    weights: np.ndarray
+
+    def of(self, features_: np.ndarray) -> np.ndarray:
+        if not len(self.known):
+            return np.zeros((2, len(features_)))
+        at = np.minimum(np.searchsorted(self.known, features_), len(self.known) - 1)
+        return np.where(self.known[at] == features_, self.weights[:, at], 0.0)
+
+
+def score(text: bytes | None, model: Model) -> np.ndarray:
     """Log-likelihood ratios of one text under the models of ``fit``."""
     first, second, style = features(text)
-    a, b = weights[:, first], weights[:, second]
+    a, b = model.of(first), model.of(second)
     words = np.where(a * b > 0, np.where(np.abs(a) < np.abs(b), a, b), 0.0)
     # The style of a short text is mostly chance.
-    return words.sum(axis=1) + weights[:, style].sum(axis=1) * min(1.0, len(text or b"") / STYLE_BYTES)
+    return words.sum(axis=1) + model.of(style).sum(axis=1) * min(1.0, len(text or b"") / STYLE_BYTES)
 
 
 def _family(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -99,18 +113,28 @@ def _one_of_a_family(labelled: DataFrame) -> DataFrame:
     return labelled.join(small_side(first, first.count()), "doc_id", "left_semi")
 
 
-def fit(labelled: DataFrame) -> np.ndarray:
-    """Weights (2 x features) for good against bad and toxic against not.
+def fit(labelled: DataFrame) -> Model:
+    """Weights of the features for good against bad and toxic against not.
 
-    ``labelled(text, quality, toxic)``. The sums over a bounded number of features reach the
-    driver, never rows.
+    ``labelled(text, quality, toxic)``. The style's counts reach the driver, and those of words that are
+    common enough to count: each is in a share MIN_SUPPORT of a class's documents, so they are at most
+    1 / MIN_SUPPORT times a document's mean number of words, however many rows there are.
     """
+    by_class = [F.sum(F.when(F.col("class") == c, F.col("n")).otherwise(0)).alias(f"n{c}") for c in range(4)]
     sums = labelled.select(F.col("text").cast("binary"), F.col("quality").cast("long"), F.col("toxic").cast("long")) \
-        .mapInArrow(_count, "feature long, class long, n long").groupBy("feature", "class").agg(F.sum("n").alias("n")).toPandas()
-    n = np.zeros((4, _SIZE))
-    n[sums["class"].to_numpy(), sums["feature"].to_numpy()] = sums["n"].to_numpy()
-    docs = n[:, 2 * WORD_BUCKETS:2 * WORD_BUCKETS + _STYLE_BINS].sum(axis=1)  # each has one bin of a style feature
-    weights = np.zeros((2, _SIZE))
+        .mapInArrow(_count, "feature long, class long, n long").groupBy("feature").agg(*by_class)
+    sums = materialise(sums, "features")
+    # Every document has one bin of the first style feature.
+    docs = sums.where(F.col("feature").between(2 * WORD_BUCKETS, 2 * WORD_BUCKETS + _STYLE_BINS - 1)) \
+        .agg(*[F.coalesce(F.sum(f"n{c}"), F.lit(0)) for c in range(4)]).first()
+    docs = np.array(docs, float)
+    common = (F.col("n0") + F.col("n1") >= F.lit(float(MIN_SUPPORT * (docs[0] + docs[1])))) \
+        | (F.col("n1") + F.col("n3") >= F.lit(float(MIN_SUPPORT * (docs[1] + docs[3]))))
+    rows = {r["feature"]: r for r in sums.where(common | (F.col("feature") >= 2 * WORD_BUCKETS)).collect()}
+    known = np.array(sorted({*rows, *range(2 * WORD_BUCKETS, _SIZE)}), np.int64)
+    n = np.array([[rows[f][f"n{c}"] if f in rows else 0 for f in known.tolist()] for c in range(4)], float)
+    weights = np.zeros((2, len(known)))
+    words = known < 2 * WORD_BUCKETS
     # Words speak one way only, for bad and for toxic: their absence, or words of a language that
     # has more good documents, say nothing. Style speaks both ways, on quality.
     for k, (yes, no, side) in enumerate((([2, 3], [0, 1], -1), ([1, 3], [0, 2], 1))):
@@ -120,19 +144,19 @@ def fit(labelled: DataFrame) -> np.ndarray:
             share = (a + b + 1) / (na + nb + 2)
             p, q = (a + share) / (na + 1), (b + share) / (nb + 1)
             w = np.log(p) - np.log(q)
-            words = np.arange(_SIZE) < 2 * WORD_BUCKETS
             hits, base = (a, na) if side > 0 else (b, nb)
             even = (a + b) * base / (na + nb)
             telling = (hits - even >= MIN_Z * np.sqrt(even + 1)) & (side * w >= MIN_WEIGHT) & (hits >= MIN_SUPPORT * base)
             weights[k] = np.where(telling if side > 0 else telling | ~words, w, 0.0)
-            weights[k, 2 * WORD_BUCKETS:] *= side < 0
-    return weights
+            weights[k, ~words] *= side < 0
+    used = np.any(weights != 0, axis=0)
+    return Model(known[used], weights[:, used])
 
 
-def _evidence(weights, text: str) -> Column:
+def _evidence(model: Model, text: str) -> Column:
     @F.pandas_udf("good double, toxic double")
     def of(texts: pd.Series) -> pd.DataFrame:
-        out = np.array([score(t, weights.value) for t in texts]).reshape(-1, 2)
+        out = np.array([score(t, model) for t in texts]).reshape(-1, 2)
         return pd.DataFrame(out, columns=["good", "toxic"])
 
     return of(F.col(text).cast("binary"))
@@ -181,7 +205,6 @@ def classify(docs: DataFrame, labels: DataFrame, carry: list[str] | None = None)
     scored each. Empty in, empty out.
     """
     carry = ["doc_id"] if carry is None else carry
-    spark = docs.sparkSession
     rows = docs.select(F.struct(*[docs[c] for c in carry]).alias("row"), "doc_id", "text", "source", "lang")
     marks = labels.where("doc_id is not null and quality is not null and toxic is not null").groupBy("doc_id") \
         .agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
@@ -190,7 +213,7 @@ def classify(docs: DataFrame, labels: DataFrame, carry: list[str] | None = None)
     step = max(1, -(-n // MAX_TRAIN))
     train = marks.where(F.pmod(F.xxhash64("doc_id"), F.lit(step)) == 0)
     labelled = rows.join(small_side(train, min(n, MAX_TRAIN)), "doc_id").select("doc_id", "text", "quality", "toxic")
-    weights = spark.sparkContext.broadcast(fit(_one_of_a_family(labelled)))
+    model = fit(_one_of_a_family(labelled))
 
     paths = rows.select("doc_id", "source", "lang").join(marks, "doc_id", "left")
     seen = F.col("quality").isNotNull()
@@ -199,7 +222,7 @@ def classify(docs: DataFrame, labels: DataFrame, carry: list[str] | None = None)
         F.count(F.when(F.col("toxic") == 1, 1)).alias("toxic"))
     counts = materialise(counts, "path_counts")
     priors = materialise(site_priors(counts).withColumnsRenamed({"source": "of", "lang": "in"}), "path_priors")
-    scored = rows.withColumn("e", _evidence(weights, "text")).drop("text")
+    scored = rows.withColumn("e", _evidence(model, "text")).drop("text")
     out = scored.join(small_side(priors, priors.count(), BROADCAST_ROWS),
                       scored["source"].eqNullSafe(F.col("of")) & scored["lang"].eqNullSafe(F.col("in")))
 

@@ -49,7 +49,9 @@ def solve_exponent(sources: DataFrame, target_flattening: float = TARGET_FLATTEN
         return [(math.log(row[f"z{i}"]) - a * row[f"s{i}"] / row[f"z{i}"], row[f"m{i}"] / row[f"z{i}"] * budget)
                 for i, a in enumerate(points)]
 
-    (flat, _), (natural, _) = at([0.0, 1.0])
+    (flat, _), (natural, least) = at([0.0, 1.0])
+    if least > max_repeats * (1 + 1e-9):  # equal use of all is the least there is
+        raise ValueError(f"a budget of {budget:.0f} words repeats {total} words more than {max_repeats} times")
     target = natural + target_flattening * (flat - natural)
     lo, hi = 0.0, 1.0
     for _ in range(_STEPS):
@@ -75,11 +77,17 @@ def mixture(docs: DataFrame, target_flattening: float = TARGET_FLATTENING, max_r
     in every column each count. An empty table gives an empty result.
     """
     carry = docs.columns if carry is None else carry
-    row = F.struct(*[docs[c] for c in carry])
-    base = docs.select(row.alias("row"), docs["source"].alias("source"),
+
+    def ordered(df: DataFrame) -> DataFrame:
+        # A permutation is the order of a hash of document, pass and seed; the low bits tell equal rows apart.
+        mixed = F.xxhash64("who", "epoch", F.lit(seed))
+        tie = F.xxhash64("nth", "epoch").bitwiseAND(F.lit((1 << 16) - 1))
+        return df.withColumn("order", F.shiftleft(F.shiftrightunsigned(mixed, 17), 16).bitwiseOR(tie))
+
+    rows = docs.select(F.struct(*[docs[c] for c in carry]).alias("row"), docs["source"].alias("source"),
                        F.size(words(docs["text"])).cast("long").alias("n_tokens"),
-                       F.xxhash64(docs["doc_id"], docs["text"]).alias("who"))
-    base = materialise(base, "mixing_documents")
+                       F.xxhash64(docs["doc_id"], docs["text"]).alias("who"), F.monotonically_increasing_id().alias("nth"))
+    base = materialise(rows.drop("row"), "mixing_sizes")  # all that is dealt and sorted below
     sources = base.groupBy("source").agg(F.sum("n_tokens").alias("size"), F.count(F.lit(1)).alias("rows"))
     sources = materialise(sources, "mixing_sources")
     n_sources = sources.count()
@@ -95,32 +103,42 @@ def mixture(docs: DataFrame, target_flattening: float = TARGET_FLATTENING, max_r
     plan = plan.withColumn("epochs", F.when(F.col("size") > 0, F.ceil(F.col("part") / F.col("size"))).otherwise(1).cast("long"))
     plan = materialise(plan, "mixing_plan")
 
-    used = base.join(small_side(plan, n_sources), F.col("source").eqNullSafe(F.col("of")))
-    used = used.select("row", "source", "n_tokens", "who", "size", "part", "buckets",
-                       F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("epochs") - 1, F.lit(0)))).alias("epoch"))
-    # A permutation is the order of a hash of document, pass and seed; buckets are its pieces.
-    used = used.withColumn("order", F.xxhash64("who", "epoch", F.lit(seed)))
-    used = used.withColumn("bucket", F.floor((F.shiftrightunsigned("order", 33) / F.lit(float(1 << 31))) * F.col("buckets")).cast("long")) \
-        .withColumn("order", F.shiftrightunsigned("order", 1))
+    def uses(df: DataFrame) -> DataFrame:
+        planned = df.join(small_side(plan, n_sources), F.col("source").eqNullSafe(F.col("of"))).drop("of")
+        return ordered(planned.withColumn("epoch", F.explode(
+            F.sequence(F.lit(0).cast("long"), F.greatest(F.col("epochs") - 1, F.lit(0))))))
+
+    # Words ahead of a use: those of the buckets before its own, and those inside its bucket. The bucket is
+    # the top of the order, so what is ahead grows with the order.
+    used = uses(base).withColumn("bucket", F.floor((F.shiftrightunsigned("order", 32) / F.lit(float(1 << 31))) * F.col("buckets")).cast("long"))
     sums = used.groupBy("source", "epoch", "bucket").agg(F.sum("n_tokens").alias("words"))
     before = Window.partitionBy("source", "epoch").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = sums.withColumn("start", F.coalesce(F.sum("words").over(before), F.lit(0))) \
         .select(F.col("source").alias("of"), F.col("epoch").alias("in_epoch"), F.col("bucket").alias("in_bucket"), "start")
     starts = materialise(starts, "mixing_buckets")
-    inside = Window.partitionBy("source", "epoch", "bucket").orderBy("order", "who") \
-        .rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("source", "epoch", "bucket").orderBy("order").rowsBetween(Window.unboundedPreceding, -1)
     placed = used.withColumn("ahead", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)))
     placed = placed.join(small_side(starts, starts.count()),
                          F.col("source").eqNullSafe(F.col("of")) & (F.col("epoch") == F.col("in_epoch"))
                          & (F.col("bucket") == F.col("in_bucket")))
     first = F.col("epoch") * F.col("size") + F.col("start") + F.col("ahead")
+    placed = placed.withColumn("first", first).where((F.col("part") > 0) & (F.col("first") < F.col("part")))
+    block = F.least(F.floor(F.col("first") / F.col("part") * n_blocks), F.lit(n_blocks - 1)).cast("long")
+    # Where each block of a pass begins and the pass ends, in the order: at most n_blocks entries for a source
+    # and pass. With them every document finds its own places where it lies, and no text is dealt.
+    edges = placed.groupBy("source", "epoch", block.alias("block")).agg(F.min("order").alias("from"), F.max("order").alias("to"))
+    edges = edges.groupBy(F.col("source").alias("of"), F.col("epoch").alias("in_epoch")).agg(
+        F.sort_array(F.collect_list(F.struct("from", "block"))).alias("edges"), F.max("to").alias("end"))
+    edges = materialise(edges, "mixing_edges")
+    out = uses(rows).join(small_side(edges, edges.count() * (n_blocks // 8 + 1)),
+                          F.col("source").eqNullSafe(F.col("of")) & (F.col("epoch") == F.col("in_epoch")), "left")
     wordless = (F.col("n_tokens") == 0) & (F.col("epoch") == 0)
-    placed = placed.withColumn("first", first).where((F.col("first") < F.col("part")) | wordless)
-    block = F.when(F.col("part") > 0, F.least(F.floor(F.col("first") / F.col("part") * n_blocks), F.lit(n_blocks - 1))) \
-        .otherwise(F.pmod("order", F.lit(n_blocks)))
-    return placed.select(*[F.col("row")[c].alias(c) for c in carry if c not in ("n_tokens", "epoch", "block", "place")],
-                         "n_tokens", "epoch", block.cast("long").alias("block"),
-                         F.col("order").alias("place"))
+    out = out.where((F.col("order") <= F.col("end")) | wordless)
+    passed = F.filter("edges", lambda e: e["from"] <= F.col("order"))
+    at = F.when(F.col("edges").isNull(), F.pmod("order", F.lit(n_blocks))) \
+        .otherwise(F.coalesce(F.get(passed, F.size(passed) - 1)["block"], F.get("edges", F.lit(0))["block"]))
+    return out.select(*[F.col("row")[c].alias(c) for c in carry if c not in ("n_tokens", "epoch", "block", "place")],
+                      "n_tokens", "epoch", at.cast("long").alias("block"), F.col("order").alias("place"))
 
 
 def mix(docs: DataFrame) -> DataFrame:

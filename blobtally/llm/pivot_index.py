@@ -1,8 +1,8 @@
 """Embedding near-duplicates through a pivot-permutation index.
 
 Each vector is described by its nearest pivots in order. Inverted lists hold, for every pivot,
-the vectors that name it; two vectors are candidates if they share enough pivots, and a
-candidate pair is verified by its cosine in double precision. The pivots come from a bounded
+the vectors that name it; two vectors are candidates if the lists show that they share enough
+pivots, and a candidate pair is verified by its cosine in double precision. The pivots come from a bounded
 sample; every vector is indexed and every vector is a query.
 """
 
@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from blobtally.llm.common import BROADCAST_ROWS, Forest, by_key, components, materialise, small_side
@@ -46,11 +46,17 @@ def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
 
 
 def choose_pivots(distinct: DataFrame, n: int) -> dict[int, np.ndarray]:
-    """Pivots for each dimension: spread-out members of a sample in hash order (bounded)."""
+    """Pivots for each dimension: spread-out members of a sample by hash (bounded)."""
     want = int(min(max(PIVOTS[0], 4 * math.isqrt(n)), PIVOTS[1]))
-    order = Window.partitionBy("dim").orderBy("k1", "k2")
-    sample = distinct.withColumn("dim", F.size("v")).withColumn("place", F.row_number().over(order)) \
-        .where(F.col("place") <= 8 * want).select("dim", "v").collect()
+    # About eight times as many rows as are wanted, taken where they lie.
+    sizes = {r["dim"]: r["n"] for r in distinct.groupBy(F.size("v").alias("dim")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    below = {d: min(int(8 * want / m * (1 << 63)), (1 << 63) - 1) for d, m in sizes.items()}
+    if not below:
+        return {}
+    limit = F.get(F.map_values(F.map_filter(F.create_map(*[F.lit(x) for d in below.items() for x in d]),
+                                            lambda k, _: k == F.col("dim"))), F.lit(0))
+    sample = distinct.select(F.size("v").alias("dim"), "k1", "k2", "v").where(F.shiftrightunsigned("k1", 1) <= limit).collect()
+    sample = [(r["dim"], r["v"]) for r in sorted(sample, key=lambda r: (r["k1"], r["k2"]))]
     by_dim: dict[int, list] = {}
     for dim, v in sample:
         by_dim.setdefault(dim, []).append(v)
@@ -85,6 +91,68 @@ def _describe(pivots: dict[int, np.ndarray]):
     return run
 
 
+def _pairs(starts: np.ndarray, counts: np.ndarray, most: int = 500_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(i, j) for every i and the ``counts[i]`` places j from ``starts[i]`` on, in pieces."""
+    at = 0
+    ends = np.cumsum(counts)
+    while at < len(counts):
+        stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + most, "right")))
+        n = counts[at:stop]
+        i = np.repeat(np.arange(at, stop), n)
+        yield i, np.repeat(starts[at:stop] - (np.cumsum(n) - n), n) + np.arange(len(i))
+        at = stop
+
+
+def candidates(sig: np.ndarray, a: np.ndarray, b: np.ndarray, single: bool, pivot: int, need: int
+               ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows (one of ``a``, one of ``b``) of the list of ``pivot`` that share at least ``need`` pivots,
+    this one being the least of them, each pair once.
+
+    The other pivots' postings inside the block are counted: pair by pair along their lists, or, where
+    many pairs share many pivots, by products of the rows' indicators.
+    """
+    k = sig.shape[1]
+    if need > 1:
+        rows_a, rows_b = np.repeat(a, k), np.repeat(b, k)
+        qa, qb = sig[a].ravel(), sig[b].ravel()
+        oa, ob = np.flatnonzero(qa > pivot), np.flatnonzero(qb > pivot)
+        oa, ob = oa[np.argsort(qa[oa], kind="stable")], ob[np.argsort(qb[ob], kind="stable")]
+        qa, qb, ra, rb = qa[oa], qb[ob], rows_a[oa], rows_b[ob]
+        starts, stops = np.searchsorted(qb, qa, "left"), np.searchsorted(qb, qa, "right")
+        if single:
+            starts = np.arange(len(qa)) + 1
+        pivots = np.unique(sig[np.concatenate([a, b])])
+        if (stops - starts).sum() * 150 <= len(a) * len(b) * len(pivots) * 0.2:
+            for i, j in _pairs(starts, np.maximum(stops - starts, 0)):
+                x, y, q = ra[i], rb[j], qa[i]
+                same = (sig[x][:, :, None] == sig[y][:, None, :]).any(axis=2)
+                # Found under the least pivot after this one, with none before it.
+                lower = (same & (sig[x] < q[:, None]) & (sig[x] != pivot)).any(axis=1)
+                ok = ~lower & (same.sum(axis=1) >= need)
+                x, y = x[ok], y[ok]
+                yield np.minimum(x, y) if single else x, np.maximum(x, y) if single else y
+            return
+    pivots = np.unique(sig)
+    low, high = pivots[pivots < pivot], pivots[pivots > pivot]
+
+    def indicator(rows: np.ndarray, of: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(rows), len(of)), np.float32)
+        at = np.searchsorted(of, sig[rows]) if len(of) else np.zeros((len(rows), k), np.int64)
+        hit = (of[np.minimum(at, len(of) - 1)] == sig[rows]) if len(of) else np.zeros((len(rows), k), bool)
+        r, c = np.nonzero(hit)
+        out[r, at[r, c]] = 1
+        return out
+
+    low_b, high_b = indicator(b, low), indicator(b, high)
+    for at in range(0, len(a), 512):
+        rows = a[at:at + 512]
+        x, y = np.nonzero((indicator(rows, high) @ high_b.T >= need - 1) & (indicator(rows, low) @ low_b.T == 0))
+        x, y = rows[x], b[y]
+        if single:
+            x, y = x[x < y], y[x < y]
+        yield x, y
+
+
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for _, parts in by_key(batches, "cell"):
         t = pa.concat_tables(list(parts))  # at most two blocks
@@ -95,21 +163,10 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         single = t.column("bi")[0].as_py() == t.column("bj")[0].as_py()
         a = np.arange(len(nid)) if single else np.flatnonzero(~right)
         b = a if single else np.flatnonzero(right)
-        small, forest, links = u.astype(np.float32), Forest(len(nid)), np.zeros(len(nid), np.int64)
-        for at in range(0, len(a), 512):
-            rows = a[at:at + 512]
-            # The product in single precision leaves out what cannot pass; what may pass must
-            # share pivots and is measured in double precision.
-            x, y = np.nonzero(small[rows] @ small[b].T >= MIN_COSINE - 1e-4)
-            x, y = rows[x], b[y]
-            if single:
-                x, y = x[x < y], y[x < y]
-            for k in range(0, len(x), 100_000):
-                i, j = x[k:k + 100_000], y[k:k + 100_000]
-                same = (sig[i][:, :, None] == sig[j][:, None, :]).any(axis=2)
-                least = np.where(same, sig[i], np.iinfo(np.int32).max).min(axis=1)
-                ok = (same.sum(axis=1) >= need) & (least == pivot)  # a pair counts in one list
-                i, j = i[ok], j[ok]
+        forest, links = Forest(len(nid)), np.zeros(len(nid), np.int64)
+        for x, y in candidates(sig, a, b, single, pivot, need):
+            for at in range(0, len(x), 100_000):
+                i, j = x[at:at + 100_000], y[at:at + 100_000]
                 ok = np.einsum("ij,ij->i", u[i], u[j]) >= MIN_COSINE
                 i, j = i[ok], j[ok]
                 np.add.at(links, i, mult[j])
@@ -133,7 +190,7 @@ def near_vectors(vectors: DataFrame, id_column: str = "vec_id", vector: str = "e
     v = vectors[vector].cast("array<double>")
     rows = vectors.select(vectors[id_column].alias("vec_id"), vectors[vector].alias("v"), _usable(v).alias("ok"))
     rows = rows.select("vec_id", "v", "ok", F.when(F.col("ok"), F.xxhash64("v")).alias("k1"),
-                       F.when(F.col("ok"), F.xxhash64("v", F.lit(1))).alias("k2"))
+                       F.when(F.col("ok"), F.xxhash64(F.lit(1), "v")).alias("k2"))
     nodes = rows.where("ok").groupBy("k1", "k2").agg(
         F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("n"), F.first("v").alias("v"))
     nodes = materialise(nodes.withColumn("nid", F.monotonically_increasing_id()), "vectors")

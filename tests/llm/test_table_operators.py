@@ -4,6 +4,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -61,6 +62,51 @@ def test_near_vectors(spark, monkeypatch):
     assert pi.near_vectors(spark.createDataFrame([], schema)).count() == 0
 
 
+def test_candidates_are_counted_postings():
+    """Both ways of counting give the pairs that share enough pivots, each once over all lists."""
+    rng = np.random.default_rng(6)
+    for n, pool in ((60, 200), (60, 14)):  # few and many shared pivots
+        sig = np.array([rng.permutation(pool)[:12] for _ in range(n)], np.int32)
+        shared = np.array([[len(set(x) & set(y)) for y in sig.tolist()] for x in sig.tolist()])
+        want = {(i, j) for i in range(n) for j in range(i + 1, n) if shared[i, j] >= 2}
+        for blocks in (1, 2):
+            got = Counter()
+            for pivot in range(pool):
+                rows = np.flatnonzero((sig == pivot).any(axis=1))
+                half = [rows[rows % blocks == k] for k in range(blocks)]
+                for p in range(blocks):
+                    for q in range(p, blocks):
+                        for x, y in pi.candidates(sig, half[p], half[q], p == q, pivot, 2):
+                            got.update((min(i, j), max(i, j)) for i, j in zip(x.tolist(), y.tolist()))
+            assert set(got) == want and set(got.values()) <= {1}
+
+
+def test_links_close_to_the_threshold(spark):
+    """Pairs at 0.90 to 0.92, and no link below: recall against all pairs."""
+    rng = np.random.default_rng(9)
+    v = rng.normal(size=(600, 64))
+    v /= np.linalg.norm(v, axis=1)[:, None]
+    other = rng.normal(size=(600, 64))
+    other -= (other * v).sum(1)[:, None] * v
+    other /= np.linalg.norm(other, axis=1)[:, None]
+    c = rng.uniform(0.88, 0.92, 600)[:, None]
+    every = np.concatenate([v, c * v + np.sqrt(1 - c * c) * other])
+    df = spark.createDataFrame([(i, [float(y) for y in x]) for i, x in enumerate(every)], "vec_id long, embedding array<double>")
+    u = np.array([[float(y) for y in x] for x in every])
+    u /= np.linalg.norm(u, axis=1)[:, None]
+    link = u @ u.T >= 0.9
+    np.fill_diagonal(link, False)
+    got = np.array([r["n_links"] for r in sorted(pi.near_vectors(df).collect(), key=lambda r: r["vec_id"])])
+    assert 500 < link.sum() and (got <= link.sum(1)).all() and got.sum() >= 0.98 * link.sum()
+
+
+def test_pivots_come_without_a_single_task(spark):
+    rows = spark.range(3000).select(F.array(F.rand(1), F.rand(2), F.rand(3)).alias("v"), F.xxhash64("id").alias("k1"), F.xxhash64(F.lit(1), "id").alias("k2"))
+    assert len(pi.choose_pivots(rows, 3000)[3]) > 2
+    plan = rows.groupBy(F.size("v").alias("dim")).agg(F.count(F.lit(1)))._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan and pi.choose_pivots(rows.limit(0), 0) == {}
+
+
 def test_packing(make_docs, prose):
     rows = ODD + [(100 + i, prose(i % 70, 5 + 13 * (i % 40)), "en", f"s{min(i % 9, 3)}") for i in range(300)]
     docs = make_docs(rows, extra=["shard", "cluster", "copy"])
@@ -121,6 +167,16 @@ def test_mixture(make_docs, prose, monkeypatch):
     have = Counter((i, t) for i, t, *_ in rows)
     assert all(n <= have[k[:2]] for k, n in times.items())
     assert tm.mix(docs).columns == docs.columns and tm.mixture(docs.limit(0)).count() == 0
+    with pytest.raises(ValueError, match="repeats"):
+        tm.mixture(docs, budget=10.0 * total)
+    # Blocks and cuts are those of the exact running sums in the order of each pass.
+    for s in {r["source"] for r in out}:
+        for e in {r["epoch"] for r in out if r["source"] == s}:
+            part = sorted((r for r in out if r["source"] == s and r["epoch"] == e and r["n_tokens"]), key=lambda r: r["place"])
+            assert [r["block"] for r in part] == sorted(r["block"] for r in part)
+            first = [e * sizes[s] + sum(x["n_tokens"] for x in part[:k]) for k in range(len(part))]
+            whole = dict(zip((s_ for s_, v in sizes.items() if v), w * total))[s]
+            assert all(min(int(f / whole * 100), 99) == r["block"] for f, r in zip(first, part))
 
 
 def test_extract(spark):
@@ -184,10 +240,37 @@ def test_sharding(make_docs, prose, monkeypatch):
     assert {r["law"] for r in out} == {"rows"} and {r["grown_shard"] for r in out} == {None}
     where = {r["doc_id"]: r["shard"] for r in out}
     split = sum(len({where[100 + 4 * g + k] for k in range(4)}) > 1 for g in range(50))
-    assert split <= 10  # only groups on one of the cuts
+    assert split <= 10  # only groups that the quotas or the last step parted
     assert ls.shard_documents(docs.limit(0), 10).count() == 0
 
 
+def test_rounds_decide_the_shards(make_docs, prose, monkeypatch):
+    """More rounds cut fewer groups, none hardly any chance; the same rows in other files go to the same shards."""
+    rows = [(i, prose(i // 5 if i < 600 else i, 9)) for i in range(1500)]
+    docs = make_docs(rows)
+
+    def cut(out):
+        where = {r["doc_id"]: r["shard"] for r in out}
+        return sum(len({where[5 * g + k] for k in range(5)}) > 1 for g in range(120)), where
+
+    found = {}
+    for rounds in (0, 1, ls.ROUNDS):
+        keyed = docs.select(F.md5("text").alias("grp"), F.xxhash64("doc_id", F.md5("text")).alias("who"), F.col("doc_id").alias("id"), "doc_id")
+        out = ls.balanced_shards(keyed, 10, rounds).join(keyed.select("id", "doc_id"), "id").collect()
+        n = Counter(r["shard"] for r in out)
+        assert len(out) == 1500 and max(n.values()) - min(n.values()) <= 1
+        found[rounds] = cut(out)[0]
+    assert found[0] > 110 and found[1] < found[0] / 3 and found[ls.ROUNDS] <= min(found[1], 12), found
+    # The last step moves only the rows above the even size.
+    keyed = docs.select(F.md5("text").alias("grp"), F.xxhash64("doc_id", F.md5("text")).alias("who"), F.col("doc_id").alias("id"))
+    labels = {r["id"]: r["shard"] for r in ls.propagate(keyed, 10).collect()}
+    final = {r["id"]: r["shard"] for r in ls.balanced_shards(keyed, 10).collect()}
+    n = Counter(labels.values())
+    assert sum(labels[i] != final[i] for i in labels) == sum(max(0, v - 150) for v in n.values())
+    where = [cut(ls.shard_documents(d, 10).collect())[1] for d in (docs.repartition(3), docs.repartition(7, "text"))]
+    assert where[0] == where[1]
+
+
 def test_classifier_on_held_out(make_docs, prose):
     rude = ["idiot", "moron", "trash"]
     rows, labels = list(ODD), [(None, 1, 0), (3, None, 1), (100, 1, 0)]

@@ -1,7 +1,7 @@
 """Quality rules by distribution divergence, with DataFrame functions only.
 
-A document's character classes and its most common short words are two histograms. Each is
-compared with the reference of the document's language, which is the mean over all documents of
+A document's character classes and its most common short words are two histograms, the latter also
+with all common words in one bin. Each is compared with the reference of the document's language, which is the mean over all documents of
 that language (so one long document weighs no more than another), by the Jensen-Shannon distance
 (base 2, so 0 to 1). Base rules on length and repetition come first.
 """
@@ -16,17 +16,20 @@ from blobtally.llm.common import WORD, materialise, small_side, spaced, spaced_w
 #: Common words have at most this many code points; a language's reference holds so many of them.
 SHORT, N_COMMON = 4, 24
 #: Largest distances of a kept document.
-MAX_CLASS_DISTANCE, MAX_WORD_DISTANCE = 0.28, 0.42
+MAX_CLASS_DISTANCE, MAX_WORD_DISTANCE, MAX_COVERAGE_DISTANCE = 0.30, 0.42, 0.28
 #: Below these lengths a histogram is too thin to be compared, and its test is passed.
 MIN_CLASS_CHARS, MIN_COMMON_WORDS = 200, 50
-#: A language with fewer words than this in the whole corpus is compared with the mean of all.
+#: A language with fewer words than this in the whole corpus is compared with all languages together.
 MIN_REFERENCE_WORDS = 2000
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 
 SYMBOLS = r"[#*$%&|<>]"
 UPPER, DIGIT, PUNCT = r"[A-Z]", r"[0-9]", r"[.,;:!?'\"()\-]"
-#: Runs of these are left out before capitals, digits, punctuation and symbols are counted.
-_PLAIN = r"[a-z\x20\x09-\x0D\x80-\x{10FFFF}]+"
+OPERATOR, CONTROL, FOREIGN = r"[{}\[\]=/@_~^+`\\]", r"[\x00-\x08\x0E-\x1F\x7F]", r"[\x80-\x{10FFFF}]"
+#: Classes of characters: white space, those above, symbols, and the lower-case letters a to z.
+N_CLASSES = 9
+#: Runs of these are left out before the other classes are counted.
+_PLAIN = r"[a-z\x20\x09-\x0D]+"
 
 
 def _distance(p: Column, q: Column) -> Column:
@@ -47,17 +50,32 @@ def _distance(p: Column, q: Column) -> Column:
     return F.when((total(p) > 0) & (total(q) > 0), F.get(F.transform(one, divergence), F.lit(0)))
 
 
-def _common_words(docs: DataFrame) -> DataFrame:
-    """(lang, common array<string>): the most frequent short words, ties by the word."""
-    short = docs.select("lang", F.explode(spaced_words(spaced(F.coalesce("text", F.lit(""))))).alias("word")) \
-        .where(F.length("word") <= SHORT)
-    n = short.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
+def _word_counts(docs: DataFrame) -> DataFrame:
+    """(lang, word, n): how often each short word occurs in a language; one row with null for all others."""
+    every = docs.select("lang", F.explode(spaced_words(spaced(F.coalesce("text", F.lit(""))))).alias("word"))
+    return every.select("lang", F.when(F.length("word") <= SHORT, F.col("word")).alias("word")) \
+        .groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _common_words(counts: DataFrame) -> DataFrame:
+    """(lang, common array<string>): the most frequent short words of languages with text enough, ties by the word."""
+    thick = counts.where(F.col("lang").isNotNull()).groupBy("lang").agg(F.sum("n").alias("words")) \
+        .where(F.col("words") >= MIN_REFERENCE_WORDS).select("lang")
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
-    top = n.withColumn("place", F.row_number().over(order)).where(F.col("place") <= N_COMMON)
+    top = counts.where(F.col("word").isNotNull()).join(thick, "lang") \
+        .withColumn("place", F.row_number().over(order)).where(F.col("place") <= N_COMMON)
     return top.groupBy("lang").agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "word"))),
                                                lambda x: x["word"]).alias("common"))
 
 
+def _of_all_languages(counts: DataFrame) -> tuple[list[str], list[float] | None]:
+    """The most frequent short words of the whole corpus, and their counts with that of all other words."""
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    top = counts.where(F.col("word").isNotNull()).groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(N_COMMON).collect()
+    seen = [float(r["n"]) for r in top]
+    return [r["word"] for r in top], [*seen, total - sum(seen)] if total >= MIN_REFERENCE_WORDS else None
+
+
 def base_columns(df: DataFrame) -> DataFrame:
     """Add n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words for the column ``text``."""
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -86,9 +104,9 @@ def base_columns(df: DataFrame) -> DataFrame:
 
 
 def _histograms(df: DataFrame) -> DataFrame:
-    """Add __classes (six counts) and __seen (a count for each common word, then the rest)."""
+    """Add __classes (counts of N_CLASSES) and __seen (a count for each common word, then the rest)."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    classes = [F.col("__space"), *[F.regexp_count("__odd", F.lit(c)) for c in (UPPER, DIGIT, PUNCT)],
+    classes = [F.col("__space"), *[F.regexp_count("__odd", F.lit(c)) for c in (UPPER, DIGIT, PUNCT, OPERATOR, CONTROL, FOREIGN)],
                F.col("n_symbols")]
     df = with_values(df, __c=F.array(*[c.cast("double") for c in classes]),
                      __s=F.filter("__w", lambda w: F.length(w) <= SHORT))
@@ -109,21 +127,33 @@ def _sum_shares(column: str, n: int) -> Column:
     return F.array(*[F.sum(F.when(size > 0, F.coalesce(F.get(column, F.lit(i)), F.lit(0.0)) / size).otherwise(0.0)) for i in range(n)])
 
 
+def _coverage(seen: str) -> Column:
+    """The word histogram in two bins: common words, and the rest."""
+    rest = F.element_at(seen, -1)
+    return F.array(F.aggregate(seen, F.lit(0.0), lambda s, x: s + x) - rest, rest)
+
+
 def quality_rules(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
     """Score every document; returns its columns ``carry`` (all by default) and the verdict.
 
     Added: n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words (long), class_distance,
-    word_distance (double, null if not compared), base_failed, kept (boolean). ``docs`` needs
+    word_distance, coverage_distance (double, null if not compared: too few characters or words), base_failed,
+    kept (boolean). Coverage is the word histogram in two bins, common words and the rest: a text
+    without any common word differs from every reference there. ``docs`` needs
     ``text`` and ``lang``; a carried column with an added column's name is replaced.
 
-    Null or empty text: zero counts, base_failed. Null lang: compared with the mean of
-    all languages, as is a language with too few words. Ties among common words go by the word.
+    Null or empty text: zero counts, base_failed. Null lang, and a language with too few words: characters
+    are compared with the mean over all documents, words with the most common ones of the whole
+    corpus. Ties among common words go by the word.
     Repeated rows are scored each on their own. An empty table gives an empty result.
     """
     carry = docs.columns if carry is None else carry
     base = docs.select(F.struct(*[docs[c] for c in carry]).alias("__row"), docs["text"], docs["lang"])
-    common = materialise(_common_words(base), "common_words")
-    counted = base.join(small_side(common.withColumnRenamed("common", "__common"), common.count()), "lang", "left")
+    counts = materialise(_word_counts(base), "word_counts")
+    common = materialise(_common_words(counts), "common_words")
+    every_word, every_seen = _of_all_languages(counts)
+    counted = base.join(small_side(common.withColumnRenamed("common", "__common"), common.count()), "lang", "left") \
+        .withColumn("__common", F.coalesce("__common", F.array(*[F.lit(w) for w in every_word]).cast("array<string>")))
     counted = _histograms(base_columns(counted)).drop("text", "__common")
     scored = materialise(counted, "quality_profile")
 
@@ -133,8 +163,8 @@ def quality_rules(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
                               F.slice("__seen", F.lit(1), F.size("__seen") - 1), F.array_repeat(F.lit(0.0), N_COMMON + 1 - F.size("__seen")),
                               F.slice("__seen", F.lit(-1), F.lit(1)))).alias("__seen"))
     per = thick.groupBy("lang").agg(F.sum("n_words").alias("n"), F.max("width").alias("width"),
-                                    _sum_shares("__classes", 6).alias("ref_classes"), _sum_shares("__seen", N_COMMON + 1).alias("ref_seen"))
-    every = thick.agg(_sum_shares("__classes", 6))
+                                    _sum_shares("__classes", N_CLASSES).alias("ref_classes"), _sum_shares("__seen", N_COMMON + 1).alias("ref_seen"))
+    every = thick.agg(_sum_shares("__classes", N_CLASSES))
     # One row for each language that has text enough; __seen of a language has one width.
     ref = per.where(F.col("lang").isNotNull() & (F.col("n") >= MIN_REFERENCE_WORDS)).select(
         "lang", "ref_classes", F.concat(F.slice("ref_seen", F.lit(1), F.col("width") - 1),
@@ -143,23 +173,27 @@ def quality_rules(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
     whole = every.first()[0]
     out = scored.join(small_side(ref, ref.count()), "lang", "left")
     of_all = F.array(*[F.lit(float(x or 0)) for x in whole])
+    out = out.withColumn("ref_seen", F.coalesce("ref_seen", F.array(*[F.lit(x) for x in every_seen]))) if every_seen else out
     chars = F.aggregate("__classes", F.lit(0.0), lambda s, x: s + x)
     out = with_values(
         out,
         class_distance=F.when(chars >= MIN_CLASS_CHARS, _distance(F.col("__classes"), F.coalesce("ref_classes", of_all))),
         word_distance=F.when(F.col("n_words") >= MIN_COMMON_WORDS, _distance(F.col("__seen"), F.col("ref_seen"))),
+        coverage_distance=F.when(F.col("n_words") >= MIN_COMMON_WORDS, _distance(_coverage("__seen"), _coverage("ref_seen"))),
         base_failed=(F.col("n_words") < MIN_WORDS)
         | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")))
     kept = ~F.col("base_failed") & (F.coalesce("class_distance", F.lit(0.0)) <= MAX_CLASS_DISTANCE) \
-        & (F.coalesce("word_distance", F.lit(0.0)) <= MAX_WORD_DISTANCE)
+        & (F.coalesce("word_distance", F.lit(0.0)) <= MAX_WORD_DISTANCE) \
+        & (F.coalesce("coverage_distance", F.lit(0.0)) <= MAX_COVERAGE_DISTANCE)
     added = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-             "class_distance", "word_distance", "base_failed"]
+             "class_distance", "word_distance", "coverage_distance", "base_failed"]
     return out.select(*[F.col("__row")[c].alias(c) for c in carry if c not in [*added, "kept"]],
                       *added, kept.alias("kept"))
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The documents that the rules keep, with the columns they came with."""
+    """The documents that the rules keep, with the columns they came with. Null and empty texts go; an empty
+    table gives an empty result."""
     held = docs.select(F.struct(*docs.columns).alias("doc"), "text", "lang")
     kept = quality_rules(held, carry=["doc"]).where("kept")
     return kept.select(*[F.col("doc")[c].alias(c) for c in docs.columns])

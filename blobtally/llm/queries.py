@@ -31,7 +31,7 @@ def op1_pivot_permutation(spark, sf_dir):
 def op2_distribution_divergence(spark, sf_dir):
     out = rules.quality_rules(_table(spark, sf_dir, "documents"), carry=["doc_id"])
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                      "base_failed", "kept", "class_distance", "word_distance")
+                      "base_failed", "kept", "class_distance", "word_distance", "coverage_distance")
 
 
 def op10_vantage_point_trees(spark, sf_dir):

@@ -35,6 +35,8 @@ MAX_GAP = 10
 #: Runs of shingles (before the minimum, length) that group open windows again, besides those of
 #: the length of the shortest passage; lengths are powers of two.
 _CONTEXTS = ((0, 8), (7, 8), (8, 16))
+#: A run of 16 shingles or more over a minimum holds one of this length that ends or starts there.
+_NEAR = 8
 _BLOCK_WORDS = 200_000
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                  0xA0761D6478BD642F], np.uint64)
@@ -79,24 +81,36 @@ def compact_windows(x: np.ndarray, barrier: np.ndarray, seed: np.uint64, width:
     return v[inner][wide], c[wide], l[wide], r[wide]
 
 
-def _folded(key: np.ndarray, uid: np.ndarray, at: np.ndarray, reach: np.ndarray, names: list[str]) -> pa.RecordBatch:
+def _folded(key: np.ndarray, own: list[np.ndarray], names: list[str]) -> pa.RecordBatch:
     """Rows of one key within a block point to the first of them here, and only that one takes
     part in the shuffle by key (with what its document has of that key besides): a frequent
-    passage arrives once for each block. Such rows are dealt at random and keep their key."""
-    order = np.lexsort((at, uid, key))
-    key, uid, at, reach = key[order], uid[order], at[order], reach[order]
+    passage arrives once for each block. Such rows are dealt at random and keep their key.
+    ``own`` holds uid, at, and what else a row carries."""
+    order = np.lexsort((own[1], own[0], key))
+    key, own = key[order], [z[order] for z in own]
+    uid, at = own[:2]
     edges = runs(key)
     first = np.repeat(edges[:-1], np.diff(edges))
     rest = uid[first] != uid
     slot = np.where(rest, mix64((uid ^ at).view(np.uint64)).view(np.int64), key)
-    cols = [pa.array(slot), pa.array(uid), pa.array(at), pa.array(reach)]
-    cols += [pa.array(z[first], mask=~rest) for z in (uid, at, reach)]
+    cols = [pa.array(slot), *map(pa.array, own)]
+    cols += [pa.array(z[first], mask=~rest) for z in own]
     cols += [pa.array(key, mask=~rest)]
     return pa.RecordBatch.from_arrays(cols, names=names)
 
 
+def _around(near: np.ndarray, c: np.ndarray, l: np.ndarray, r: np.ndarray) -> np.ndarray:
+    """32 bits each of the runs of shingles that end and that start at the minima; 0 for a run
+    that leaves its window."""
+    out = np.zeros(len(c), np.uint64)
+    for start, shift in ((c - _NEAR + 1, 32), (c, 0)):
+        ok = (start >= l) & (start + _NEAR - 1 <= r)
+        out[ok] |= (near[start[ok]] >> np.uint64(32) | np.uint64(1)) << np.uint64(shift)
+    return out.view(np.int64)
+
+
 def _windows(width: int):
-    names = ["slot", "uid", "at", "reach", "rep_uid", "rep_at", "rep_reach", "key"]
+    names = ["slot", "uid", "at", "reach", "around", "rep_uid", "rep_at", "rep_reach", "rep_around", "key"]
 
     def block(ids: list[int], parts: list[np.ndarray]) -> pa.RecordBatch:
         gap = np.zeros(1, np.uint64)
@@ -106,14 +120,15 @@ def _windows(width: int):
         barrier = np.zeros(len(x), bool)
         barrier[0] = True
         barrier[np.cumsum(sizes)] = True
+        near = _run_hashes(x, set(), _NEAR)[_NEAR]
         got = []
         for f in range(N_HASHES):
             key, c, l, r = compact_windows(x, barrier, _SEEDS[f], width)
             doc = np.searchsorted(starts, c, "right") - 1
             got.append((key.view(np.int64), np.asarray(ids, np.int64)[doc],
-                        (c - starts[doc]) * 64 + f, ((c - l) << 32) + (r - c)))
-        key, uid, at, reach = (np.concatenate(z) for z in zip(*got))
-        return _folded(key, uid, at, reach, names)
+                        (c - starts[doc]) * 64 + f, ((c - l) << 32) + (r - c), _around(near, c, l, r)))
+        key, *own = (np.concatenate(z) for z in zip(*got))
+        return _folded(key, own, names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids: list[int] = []
@@ -137,33 +152,40 @@ def _windows(width: int):
 
 
 _ROW = "slot long, uid long, at long, reach long, rep_uid long, rep_at long, rep_reach long, key long"
-_PAIR = "uid long, at long, reach long, rep_uid long, rep_at long, rep_reach long, key long"
+_PAIR = _ROW.removeprefix("slot long, ")
+_WINDOW_ROW = "slot long, uid long, at long, reach long, around long, " \
+              "rep_uid long, rep_at long, rep_reach long, rep_around long, key long"
+_WINDOW_PAIR = _WINDOW_ROW.removeprefix("slot long, ")
 
 
 def _pair_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (slot, uid, at): each one with the first row of its slot."""
+    """Rows sorted by (slot, uid, at): each one but the first of its slot with that first one.
+
+    Rows of the first one's own document are paired too.
+    """
     head = None
     for batch in batches:
         if not batch.num_rows:
             continue
-        slot, uid, at, reach = (batch.column(i).to_numpy() for i in range(4))
-        known = batch.column(4).is_valid().to_numpy(zero_copy_only=False)
-        rep = [batch.column(i).fill_null(0).to_numpy() for i in (4, 5, 6)]
+        n = (batch.num_columns - 2) // 2
+        slot, *own = (batch.column(i).to_numpy() for i in range(n + 1))
+        known = batch.column(n + 1).is_valid().to_numpy(zero_copy_only=False)
+        rep = [batch.column(n + 1 + i).fill_null(0).to_numpy() for i in range(n)]
         edges = runs(slot)
         first = np.repeat(edges[:-1], np.diff(edges))
-        mine = [z[first] for z in (uid, at, reach)]
+        mine = [z[first] for z in own]
+        keep = known | (first != np.arange(len(slot)))
         if head is not None and slot[0] == head[0]:
             mine = [np.where(first == 0, h, m) for h, m in zip(head[1:], mine)]
+            keep[0] = True
         else:
             head = None
         last = edges[-2]
         if last > 0 or head is None:
-            head = (slot[last], uid[last], at[last], reach[last])
+            head = (slot[last], *(z[last] for z in own))
         cols = [np.where(known, r, m) for r, m in zip(rep, mine)]
-        cols.append(np.where(known, batch.column(7).fill_null(0).to_numpy(), slot))
-        keep = cols[0] != uid
-        yield pa.RecordBatch.from_arrays([pa.array(z[keep]) for z in (uid, at, reach, *cols)],
-                                         names=["uid", "at", "reach", "rep_uid", "rep_at", "rep_reach", "key"])
+        cols.append(np.where(known, batch.column(2 * n + 1).fill_null(0).to_numpy(), slot))
+        yield pa.RecordBatch.from_arrays([pa.array(z[keep]) for z in (*own, *cols)], names=batch.schema.names[1:])
 
 
 def _run_hashes(x: np.ndarray, lengths: set[int], width: int) -> dict[int, np.ndarray]:
@@ -205,6 +227,10 @@ def _open_rows(width: int):
         key, l, r = np.concatenate(got, axis=1)
         return np.stack([key, np.full(len(key), uid), l, r])
 
+    def folded(held: list[np.ndarray]) -> pa.RecordBatch:
+        key, *own = np.concatenate(held, axis=1)
+        return _folded(key, own, names)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
         size = 0
@@ -214,10 +240,10 @@ def _open_rows(width: int):
                 held.append(keyed(uid, at, reach, text.as_py()))
                 size += held[-1].shape[1]
                 if size >= _BLOCK_WORDS:
-                    yield _folded(*np.concatenate(held, axis=1), names)
+                    yield folded(held)
                     held, size = [], 0
         if held:
-            yield _folded(*np.concatenate(held, axis=1), names)
+            yield folded(held)
 
     return run
 
@@ -238,25 +264,31 @@ def _regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for a, s in ((at, reach), (rep_at, rep_reach)):
             c = a // 64
             ends.append((c, c - (s >> 32), c + (s & 0xFFFFFFFF)))
-        # Whoever overlaps stands near in this order, in which each function comes in turn.
+        # Every window goes back through those before it, as far as it reaches to the left.
         found = [np.zeros((6, 0), np.int64)]
         votes = [np.zeros((3, 0), np.int64)]
-        row = np.arange(len(uid))
-        for step in range(1, min(4 * N_HASHES, len(uid) - 1) + 1):
-            i, j = row[:-step], row[step:]
-            ok = (uid[i] == uid[j]) & (f[i] != f[j])
-            same = rep[i] == rep[j]
+        c, l = ends[0][:2]
+        j, step = np.arange(len(uid)), 0
+        while len(j):
+            step += 1
+            j = j[j >= step]
+            j = j[(uid[j - step] == uid[j]) & (c[j - step] >= l[j])]
+            b, a = j[f[j - step] != f[j]], j[f[j - step] != f[j]] - step
+            ok = np.ones(len(a), bool)
+            same = rep[a] == rep[b]
             boxes = []
-            for n, (c, l, r) in enumerate(ends):
-                lo, hi = np.maximum(l[i], l[j]), np.minimum(r[i], r[j])
-                over = (lo <= np.minimum(c[i], c[j])) & (np.maximum(c[i], c[j]) <= hi)
+            for n, (mid, left, right) in enumerate(ends):
+                lo, hi = np.maximum(left[a], left[b]), np.minimum(right[a], right[b])
+                over = (lo <= np.minimum(mid[a], mid[b])) & (np.maximum(mid[a], mid[b]) <= hi)
                 ok &= over | ~same if n else over
                 boxes.append((lo, hi))
-            for one, other in ((i, j), (j, i)):
+            if not ok.any():
+                continue
+            _, left, right = ends[1]
+            for one, other in ((a, b), (b, a)):
                 votes.append(np.stack([one, f[other], one])[:, ok])
-                _, l, r = ends[1]
-                found.append(np.stack([uid[one], *boxes[0], rep[one], np.where(same, boxes[1][0], l[one]),
-                                       np.where(same, boxes[1][1], r[one])])[:, ok])
+                found.append(np.stack([uid[one], *boxes[0], rep[one], np.where(same, boxes[1][0], left[one]),
+                                       np.where(same, boxes[1][1], right[one])])[:, ok])
         z, votes = np.concatenate(found, axis=1), np.concatenate(votes, axis=1)
         # A window counts if it and the functions that support it are enough.
         support = np.bincount(np.unique(votes[0] * 64 + votes[1]) // 64, minlength=len(uid)) + 1
@@ -369,13 +401,37 @@ def verified(a: list[bytes], b: list[bytes]) -> Iterator[tuple[int, int, int, in
                     yield s + p, s + q + SHINGLE - 1, best[0], best[1] + SHINGLE - 1, best[2]
 
 
+def _split_once():
+    """A function of (uid, text) that gives the words; the last document's are kept."""
+    last: list = [None, []]
+
+    def split(uid: int, text: pa.BinaryScalar) -> list[bytes]:
+        if last[0] != uid:
+            last[:] = uid, text.as_py().lower().split()
+        return last[1]
+
+    return split
+
+
+def _cut_source(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Candidates with the source's text, in its order, to candidates with the words in question."""
+    split = _split_once()
+    for batch in batches:
+        meta = [batch.column(n).to_pylist() for n in ("rep_uid", "rep_lo", "rep_hi")]
+        part = [b" ".join(split(uid, text)[s:e + SHINGLE]) for uid, s, e, text in zip(*meta, batch.column("text"))]
+        kept = ["uid", "lo", "hi", "rep_uid", "rep_lo"]
+        yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in kept), pa.array(part, pa.binary())],
+                                         names=[*kept, "source"])
+
+
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    fields = ["uid", "lo", "rep_uid", "rep_lo"]
+    fields = ["uid", "lo", "hi", "rep_uid", "rep_lo"]
+    split = _split_once()
     for batch in batches:
         out = []
         meta = [batch.column(n).to_pylist() for n in fields]
-        for uid, lo, rep, rep_lo, a, b in zip(*meta, batch.column("a"), batch.column("b")):
-            for s, e, u, v, j in verified(a.as_py().split(), b.as_py().split()):
+        for uid, lo, hi, rep, rep_lo, source, text in zip(*meta, batch.column("source"), batch.column("text")):
+            for s, e, u, v, j in verified(split(uid, text)[lo:hi + SHINGLE], source.as_py().split()):
                 out.append((uid, rep, lo + s, lo + e, rep_lo + u, rep_lo + v, j))
         cols = list(zip(*out)) or [[]] * 7
         types = [pa.int64()] * 6 + [pa.float64()]
@@ -395,14 +451,12 @@ def _with_uid(docs: DataFrame) -> DataFrame:
 def _passages(base: DataFrame) -> DataFrame:
     """Verified passages between rows of ``base(uid, text)``, a written table."""
     width = MIN_WORDS - SHINGLE + 1
-    raw = base.where(F.col("text").isNotNull()).select("uid", F.col("text").cast("binary"))
-    windows = raw.mapInArrow(_windows(width), _ROW)
-    pairs = windows.repartition("slot").sortWithinPartitions("slot", "uid", "at").mapInArrow(_pair_up, _PAIR)
-
-    # Of equal texts the least uid stands for all; whole copies are reported from here.
-    copies = base.where(F.col("text").isNotNull()).groupBy(F.md5("text").alias("digest")) \
+    # Of equal texts the least uid stands for all; whole copies are reported from here, and only
+    # one of them goes on.
+    given = base.where(F.col("text").isNotNull())
+    copies = given.groupBy(F.md5("text").alias("digest")) \
         .agg(F.min("uid").alias("rep_uid"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    copies = base.where(F.col("text").isNotNull()).select("uid", F.md5("text").alias("digest")) \
+    copies = given.select("uid", F.md5("text").alias("digest")) \
         .join(copies, "digest").where(F.col("uid") != F.col("rep_uid")).select("uid", "rep_uid")
     copies = materialise(copies, "copies")
     n_copies = copies.count()
@@ -411,36 +465,57 @@ def _passages(base: DataFrame) -> DataFrame:
     whole = whole.select("uid", "rep_uid", F.lit(0).cast("long").alias("start_word"), F.col("n").alias("end_word"),
                          F.lit(0).cast("long").alias("source_start"), F.col("n").alias("source_end"),
                          F.lit(1.0).alias("similarity"))
-
-    copied = small_side(copies.select("uid"), n_copies)
-    pairs = materialise(pairs.join(copied, "uid", "left_anti"), "window_pairs")
-    regions = pairs.drop("key").repartition("uid").sortWithinPartitions("uid", "at") \
+    texts = given.join(small_side(copies.select("uid"), n_copies), "uid", "left_anti") \
+        .select("uid", F.col("text").cast("binary").alias("text"))
+
+    windows = texts.mapInArrow(_windows(width), _WINDOW_ROW)
+    pairs = windows.repartition("slot").sortWithinPartitions("slot", "uid", "at").mapInArrow(_pair_up, _WINDOW_PAIR)
+    pairs = materialise(pairs, "window_pairs")
+    linked = pairs.where(F.col("uid") != F.col("rep_uid"))
+    regions = linked.select("uid", "at", "reach", "rep_uid", "rep_at", "rep_reach") \
+        .repartition("uid").sortWithinPartitions("uid", "at") \
         .mapInArrow(_regions, "uid long, lo long, hi long, rep_uid long, rep_lo long, rep_hi long")
-    found = materialise(_checked(base, regions), "passages_of_first")
+    found = materialise(_checked(texts, regions), "passages_of_first")
 
     # Windows whose minimum lies in no passage found: all that have their hash, the firsts and
     # those in passages too, are grouped again by what stands around it.
     inside = found.select(F.col("uid").alias("in_uid"), "start_word", "end_word")
     c = F.expr("at div 64")
-    still = pairs.join(inside, (F.col("uid") == F.col("in_uid")) & (c >= F.col("start_word"))
-                       & (c + SHINGLE <= F.col("end_word")), "left_anti")
+    still = linked.select("uid", "at", "key").join(inside, (F.col("uid") == F.col("in_uid")) & (c >= F.col("start_word"))
+                                                   & (c + SHINGLE <= F.col("end_word")), "left_anti")
     still = materialise(still.select("key").distinct(), "open_keys")
     n_open = still.count()
     if n_open:
-        again = windows.withColumn("key", F.coalesce("key", "slot")).select("key", "uid", "at", "reach")
-        again = again.join(small_side(still, n_open), "key", "left_semi").join(copied, "uid", "left_anti")
-        again = materialise(again.groupBy("uid").agg(F.collect_set(F.struct("at", "reach")).alias("windows")), "open_windows")
+        again = _open_windows(pairs.join(small_side(still, n_open), "key", "left_semi"))
         n_windows = again.agg(F.sum(F.size("windows"))).first()[0] or 0
-        rows = raw.join(small_side(again, n_windows), "uid").select("uid", "windows", "text").mapInArrow(_open_rows(width), _ROW)
-        pairs = rows.repartition("slot").sortWithinPartitions("slot", "uid", "at").mapInArrow(_pair_up, _PAIR)
-        regions = pairs.groupBy("uid", "rep_uid").agg(
+        rows = texts.join(small_side(again, n_windows), "uid").select("uid", "windows", "text").mapInArrow(_open_rows(width), _ROW)
+        more = rows.repartition("slot").sortWithinPartitions("slot", "uid", "at").mapInArrow(_pair_up, _PAIR)
+        regions = more.where(F.col("uid") != F.col("rep_uid")).groupBy("uid", "rep_uid").agg(
             F.min("at").alias("lo"), F.max("reach").alias("hi"),
             F.min("rep_at").alias("rep_lo"), F.max("rep_reach").alias("rep_hi"))
-        more = _checked(base, regions.select("uid", "lo", "hi", "rep_uid", "rep_lo", "rep_hi"))
+        more = _checked(texts, regions.select("uid", "lo", "hi", "rep_uid", "rep_lo", "rep_hi"))
         found = _widest(materialise(found.union(more), "passages_of_all"))
     return materialise(whole.union(found).distinct(), "passages")
 
 
+def _open_windows(pairs: DataFrame) -> DataFrame:
+    """(uid, windows) of the windows in ``pairs`` that a second grouping could pair.
+
+    Every run it looks at holds the eight shingles that end or start at the minimum. Windows
+    that share neither of the two with another one of their hash have nothing to be paired by.
+    """
+    names = ["uid", "at", "reach", "around"]
+    rows = pairs.select("key", *names).union(
+        pairs.select("key", *[F.col(f"rep_{n}").alias(n) for n in names]).distinct())
+    sides = F.array(*[F.when(part != 0, F.xxhash64("key", F.lit(i), part)) for i, part in enumerate(
+        (F.shiftrightunsigned("around", 32), F.col("around").bitwiseAND(0xFFFFFFFF)))])
+    rows = rows.select("uid", "at", "reach", F.explode(sides).alias("side")).where(F.col("side").isNotNull())
+    rows = materialise(rows, "open_sides")
+    shared = materialise(rows.groupBy("side").count().where("count > 1").select("side"), "shared_sides")
+    rows = rows.join(small_side(shared, shared.count()), "side", "left_semi")
+    return materialise(rows.groupBy("uid").agg(F.collect_set(F.struct("at", "reach")).alias("windows")), "open_windows")
+
+
 def _widest(found: DataFrame) -> DataFrame:
     """Of passages of one pair of documents, those that lie in no longer one, each once."""
     source = F.struct("similarity", "source_start", "source_end")
@@ -454,22 +529,17 @@ def _widest(found: DataFrame) -> DataFrame:
     return one.join(wide, inside, "left_anti")
 
 
-def _checked(base: DataFrame, regions: DataFrame) -> DataFrame:
-    """Verified passages in candidate ``regions(uid, lo, hi, rep_uid, rep_lo, rep_hi)``."""
-    regions = materialise(regions.withColumn("rid", F.monotonically_increasing_id()), "passage_candidates")
-
-    sides = F.array(F.struct(F.col("uid"), F.lit(0).alias("side"), F.col("lo").alias("s"), F.col("hi").alias("e")),
-                    F.struct(F.col("rep_uid").alias("uid"), F.lit(1).alias("side"),
-                             F.col("rep_lo").alias("s"), F.col("rep_hi").alias("e")))
-    needs = regions.select("rid", F.inline(sides))
-    # Always dealt by the document: the same plan at every size, and a document that many need is
-    # split by the skew handling of the join.
-    texts = base.join(needs.hint("merge"), "uid")
-    cut = texts.select("rid", "side", F.array_join(F.slice(
-        words(F.lower("text")), (F.col("s") + 1).cast("int"), (F.col("e") - F.col("s") + SHINGLE).cast("int")), " ").alias("part"))
-    both = cut.groupBy("rid").agg(F.max(F.when(F.col("side") == 0, F.col("part"))).alias("a"),
-                                  F.max(F.when(F.col("side") == 1, F.col("part"))).alias("b"))
-    ready = regions.join(both, "rid").select("uid", "lo", "rep_uid", "rep_lo", F.col("a").cast("binary"), F.col("b").cast("binary"))
+def _checked(texts: DataFrame, regions: DataFrame) -> DataFrame:
+    """Verified passages in candidate ``regions(uid, lo, hi, rep_uid, rep_lo, rep_hi)``.
+
+    The words in question of the source go to the later document, whose text stays whole. Both
+    joins deal by the document, so texts are dealt once; a document that many need is split by
+    the skew handling of the join.
+    """
+    by_source = texts.withColumnRenamed("uid", "rep_uid").join(regions.hint("merge"), "rep_uid")
+    cut = by_source.select("uid", "lo", "hi", "rep_uid", "rep_lo", "rep_hi", "text") \
+        .mapInArrow(_cut_source, "uid long, lo long, hi long, rep_uid long, rep_lo long, source binary")
+    ready = texts.join(cut.hint("merge"), "uid").select("uid", "lo", "hi", "rep_uid", "rep_lo", "source", "text")
     return ready.mapInArrow(_verify, "uid long, rep_uid long, start_word long, end_word long, "
                                       "source_start long, source_end long, similarity double")
 
@@ -514,11 +584,12 @@ def drop_repeats(docs: DataFrame) -> DataFrame:
     ``text`` loses the passages and ``n_chars``, if there is one, follows it. A document of
     which no word is left goes; one that had no word to begin with stays.
     """
-    full = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text")
-    base = materialise(_with_uid(full), "documents_by_uid")
+    full = docs.select(F.struct(*docs.columns).alias("row"), "doc_id")
+    base = materialise(_with_uid(full).select("row", "uid"), "documents_by_uid").withColumn("text", F.col("row")["text"])
     found = _passages(base.select("uid", "text"))
     spans = materialise(found.groupBy("uid").agg(F.collect_set(F.struct("start_word", "end_word")).alias("spans")), "repeats")
-    cut = base.join(small_side(spans, spans.count()), "uid", "left")
+    n_spans = spans.agg(F.sum(F.size("spans"))).first()[0] or 0
+    cut = base.join(small_side(spans, n_spans), "uid", "left")
 
     @F.pandas_udf("string")
     def without(text: pd.Series, spans: pd.Series) -> pd.Series:

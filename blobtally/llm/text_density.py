@@ -11,6 +11,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections.abc import Iterable
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -28,6 +29,7 @@ HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 CLOSES_P = {"address", "article", "aside", "blockquote", "details", "div", "dl", "fieldset", "figcaption", "figure",
             "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "main", "menu", "nav", "ol", "p",
             "pre", "section", "table", "ul"}
+KEEPS_P = ("button", "td", "th", "div", "article", "section")
 CLOSES_SELF = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"),
                "th": ("tr", "table"), "option": ("select",)}
 # Words of class, id and role names of what is often no part of an article. Inside
@@ -68,11 +70,36 @@ def _named_notice(tag: str, attrs: str) -> bool:
         for w in _SPLIT.split(value.strip("\"'")))
 
 
+class _Open:
+    """The open elements of a page, with the places of each tag name among them."""
+
+    def __init__(self, root: Node):
+        self.path, self.places = [root], {}
+
+    def push(self, node: Node) -> None:
+        self.places.setdefault(node.tag, []).append(len(self.path))
+        self.path.append(node)
+
+    def nearest(self, names: Iterable[str]) -> int:
+        """Place of the innermost open element with one of the names; 0 if there is none."""
+        return max((at[-1] for at in map(self.places.get, names) if at), default=0)
+
+    def close(self, place: int) -> None:
+        """Close the element at a place and all inside it; the root stays open."""
+        while 0 < place < len(self.path):
+            self.places[self.path.pop().tag].pop()
+
+
 def parse(page: str) -> Node:
-    """Tree of a page; unclosed and stray tags are taken as a browser would in the common cases."""
-    root = at = Node("html", None, False)
+    """Tree of a page; unclosed and stray tags are taken as a browser would in the common cases.
+
+    Takes time in proportion to the page, however deep or broken its markup is.
+    """
+    root = Node("html", None, False)
+    opened = _Open(root)
     pos, n = 0, len(page)
     while pos < n:
+        at = opened.path[-1]
         lt = page.find("<", pos)
         if lt < 0:
             lt = n
@@ -90,26 +117,16 @@ def parse(page: str) -> Node:
             continue
         tag, attrs = m.group(2).lower(), m.group(3)
         if m.group(1):
-            up = at
-            while up is not None and up.tag != tag:
-                up = up.parent
-            if up is not None and up.parent is not None:
-                at = up.parent
+            opened.close(opened.nearest((tag,)))
             continue
         if tag in ("html", "body"):
             continue
-        if tag in CLOSES_P:
-            up = at
-            while up.parent is not None and up.tag not in ("p", "button", "td", "th", "div", "article", "section"):
-                up = up.parent
-            if up.tag == "p" and up.parent is not None:
-                at = up.parent
-        elif tag in CLOSES_SELF:
-            up, stop = at, CLOSES_SELF[tag]
-            while up.parent is not None and up.tag != tag and up.tag not in stop:
-                up = up.parent
-            if up.tag == tag and up.parent is not None:
-                at = up.parent
+        ends, stops = ("p", KEEPS_P) if tag in CLOSES_P else (tag, CLOSES_SELF.get(tag))
+        if stops is not None:
+            place = opened.nearest((ends, *stops))
+            if opened.path[place].tag == ends:
+                opened.close(place)
+        at = opened.path[-1]
         node = Node(tag, at, _unwanted(tag, attrs), _named_notice(tag, attrs))
         at.kids.append(node)
         if tag in VOID or attrs.endswith("/") and tag not in ("p", "div", "a"):
@@ -118,7 +135,7 @@ def parse(page: str) -> Node:
             end = re.compile(rf"</{re.escape(tag)}\b[^>]*>?", re.I).search(page, pos)
             pos = end.end() if end else n
             continue
-        at = node
+        opened.push(node)
     return root
 
 
@@ -200,10 +217,12 @@ def _least_density(node: Node) -> float:
     return least
 
 
-def _holds(node: Node, inner: Node) -> bool:
-    while inner is not None and inner is not node:
-        inner = inner.parent
-    return inner is node
+def _nodes(root: Node, skipped: bool = False) -> list[Node]:
+    """All elements of a subtree, parents first; those in skipped ones only if asked for."""
+    out = [root]
+    for x in out:
+        out += [k for k in x.kids if isinstance(k, Node) and (skipped or not k.skip)]
+    return out
 
 
 def main_text(page: str | None) -> str:
@@ -211,18 +230,15 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     root = parse(page)
-    notices, todo = [], [(root, ())]
-    while todo:
-        x, above = todo.pop()
-        if x.tag in ("article", "main"):  # what holds the article is no notice
-            for up in above:
-                up.notice = False
-        if x.notice:
-            notices.append(x)
-            above = (*above, x)
-        todo += [(k, above) for k in x.kids if isinstance(k, Node) and not k.skip]
+    nodes = _nodes(root)
+    holders: set[Node] = set()
+    for x in reversed(nodes):
+        if x.parent is not None and (x in holders or x.tag in ("article", "main")):
+            holders.add(x.parent)
+    # What holds the article is no notice.
+    notices = [x for x in nodes if x.notice and x not in holders]
     for x in notices:
-        x.skip = x.notice
+        x.skip = True
     best, threshold = _select(root)
     # The least density on the path is the threshold. Where the page marks its article, that is
     # taken; else the nodes around the best one, without those parts of them below the threshold.
@@ -237,7 +253,8 @@ def main_text(page: str | None) -> str:
                     k.skip = k.skip or k.density < threshold
         top = top.parent
     # Inside the article a name alone does not count.
-    inside = [x for x in notices if x.notice and _holds(top if marked else best, x)]
+    article = set(_nodes(top if marked else best, skipped=True))
+    inside = [x for x in notices if x in article]
     if inside:
         for x in inside:
             x.skip = False

@@ -1,5 +1,6 @@
 """Pivot index, packing, mixing, extraction, sharding, classifier, components and the pipeline."""
 
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -196,6 +197,14 @@ def test_extract(spark):
     assert td.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_broken_markup_takes_time_in_proportion():
+    n = 100_000
+    for page in ("<b>" * n + "</i>" * n + "<p>end", "<div class=ad>" * n + "<ul>" * n + "end", "<p><button>" + "<ul>" * n + "<li>" * n + "end"):
+        began = time.monotonic()
+        td.main_text(page)
+        assert time.monotonic() - began < 30
+
+
 def test_extract_takes_the_article_of_every_page(spark, sf_dir):
     import html
     import re

@@ -30,9 +30,14 @@ class Bins:
         self.open: dict[int, dict[int, list[int]]] = {}
         self.room: list[int] = []
         self.full_sources: list[int] = []  # a bitmap for each bin
-        self.clusters: list[set[int]] = []
+        self.held: list[int] = []  # a bitmap of clusters for each bin
         self.counts: list[dict[int, int]] = []
 
+    @property
+    def clusters(self) -> list[set[int]]:
+        """The clusters in each bin."""
+        return [{c for c in range(bits.bit_length()) if bits >> c & 1} for bits in self.held]
+
     def _file(self, b: int) -> None:
         room = self.room[b]
         if room <= 0:
@@ -52,7 +57,7 @@ class Bins:
                     continue
                 for k in range(len(bins) - 1, -1, -1):
                     b = bins[k]
-                    if cluster is None or cluster not in self.clusters[b]:
+                    if cluster is None or not self.held[b] >> cluster & 1:
                         bins.pop(k)
                         if not bins:
                             del groups[bitmap]
@@ -69,7 +74,7 @@ class Bins:
             b = len(self.room)
             self.room.append(self.capacity)
             self.full_sources.append(0)
-            self.clusters.append(set())
+            self.held.append(0)
             self.counts.append({})
         offset = self.capacity - self.room[b]
         self.room[b] -= need
@@ -77,7 +82,7 @@ class Bins:
         if n >= self.quota:
             self.full_sources[b] |= 1 << source
         if cluster is not None:
-            self.clusters[b].add(cluster)
+            self.held[b] |= 1 << cluster
         self._file(b)
         return b, offset
 
@@ -87,11 +92,13 @@ def _pack(capacity: int, quota: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard, parts in by_key(batches, "shard"):
-            bins, sources, rows = Bins(capacity, quota), {}, []
+            bins, sources, clusters, rows = Bins(capacity, quota), {}, {}, []
             for part in parts:  # longest first
                 cols = [part.column(n).to_pylist() for n in ("who", "copy", "n_words", "source", "cluster")]
                 for who, copy, n, source, cluster in zip(*cols):
                     source = sources.setdefault(source, len(sources))
+                    if cluster is not None:
+                        cluster = clusters.setdefault(cluster, len(clusters))
                     at = piece = 0
                     while n - at > 0 or piece == 0:
                         take = min(capacity, n - at)

@@ -38,6 +38,8 @@ _CONTEXTS = ((0, 8), (7, 8), (8, 16))
 #: A run of 16 shingles or more over a minimum holds one of this length that ends or starts there.
 _NEAR = 8
 _BLOCK_WORDS = 200_000
+#: Pairs of windows that a sweep looks at together.
+_BLOCK_PAIRS = 500_000
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                  0xA0761D6478BD642F], np.uint64)
 _SEEDS = mix64(np.arange(1, 65, dtype=np.uint64) * _ODD[0])
@@ -100,13 +102,13 @@ def _folded(key: np.ndarray, own: list[np.ndarray], names: list[str]) -> pa.Reco
 
 
 def _around(near: np.ndarray, c: np.ndarray, l: np.ndarray, r: np.ndarray) -> np.ndarray:
-    """32 bits each of the runs of shingles that end and that start at the minima; 0 for a run
+    """16 bits each of the runs of shingles that end and that start at the minima; 0 for a run
     that leaves its window."""
-    out = np.zeros(len(c), np.uint64)
-    for start, shift in ((c - _NEAR + 1, 32), (c, 0)):
+    out = np.zeros(len(c), np.uint32)
+    for start, shift in ((c - _NEAR + 1, 16), (c, 0)):
         ok = (start >= l) & (start + _NEAR - 1 <= r)
-        out[ok] |= (near[start[ok]] >> np.uint64(32) | np.uint64(1)) << np.uint64(shift)
-    return out.view(np.int64)
+        out[ok] |= (near[start[ok]] >> np.uint64(48) | np.uint64(1)).astype(np.uint32) << np.uint32(shift)
+    return out.view(np.int32)
 
 
 def _windows(width: int):
@@ -153,8 +155,8 @@ def _windows(width: int):
 
 _ROW = "slot long, uid long, at long, reach long, rep_uid long, rep_at long, rep_reach long, key long"
 _PAIR = _ROW.removeprefix("slot long, ")
-_WINDOW_ROW = "slot long, uid long, at long, reach long, around long, " \
-              "rep_uid long, rep_at long, rep_reach long, rep_around long, key long"
+_WINDOW_ROW = "slot long, uid long, at long, reach long, around int, " \
+              "rep_uid long, rep_at long, rep_reach long, rep_around int, key long"
 _WINDOW_PAIR = _WINDOW_ROW.removeprefix("slot long, ")
 
 
@@ -267,23 +269,25 @@ def _regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Every window goes back through those before it, as far as it reaches to the left.
         found = [np.zeros((6, 0), np.int64)]
         votes = [np.zeros((3, 0), np.int64)]
-        c, l = ends[0][:2]
-        j, step = np.arange(len(uid)), 0
-        while len(j):
-            step += 1
-            j = j[j >= step]
-            j = j[(uid[j - step] == uid[j]) & (c[j - step] >= l[j])]
-            b, a = j[f[j - step] != f[j]], j[f[j - step] != f[j]] - step
+        c, l, r = ends[0]
+        doc = np.cumsum(np.concatenate([[0], uid[1:] != uid[:-1]])) << 40
+        row = np.arange(len(uid))
+        n = row - np.searchsorted(doc + c, doc + l)
+        total = np.cumsum(n)
+        cuts = np.unique(np.searchsorted(total, np.arange(0, total[-1] + _BLOCK_PAIRS, _BLOCK_PAIRS), "right"))
+        for s, e in zip([0, *cuts], [*cuts, len(uid)]):
+            b = np.repeat(row[s:e], n[s:e])
+            a = b - 1 - (np.arange(len(b)) - np.repeat(total[s:e] - n[s:e] - (total[s] - n[s] if e > s else 0), n[s:e]))
+            hit = (f[a] != f[b]) & (c[b] <= r[a])
+            a, b = a[hit], b[hit]
             ok = np.ones(len(a), bool)
             same = rep[a] == rep[b]
             boxes = []
-            for n, (mid, left, right) in enumerate(ends):
+            for side, (mid, left, right) in enumerate(ends):
                 lo, hi = np.maximum(left[a], left[b]), np.minimum(right[a], right[b])
                 over = (lo <= np.minimum(mid[a], mid[b])) & (np.maximum(mid[a], mid[b]) <= hi)
-                ok &= over | ~same if n else over
+                ok &= over | ~same if side else over
                 boxes.append((lo, hi))
-            if not ok.any():
-                continue
             _, left, right = ends[1]
             for one, other in ((a, b), (b, a)):
                 votes.append(np.stack([one, f[other], one])[:, ok])
@@ -508,7 +512,7 @@ def _open_windows(pairs: DataFrame) -> DataFrame:
     rows = pairs.select("key", *names).union(
         pairs.select("key", *[F.col(f"rep_{n}").alias(n) for n in names]).distinct())
     sides = F.array(*[F.when(part != 0, F.xxhash64("key", F.lit(i), part)) for i, part in enumerate(
-        (F.shiftrightunsigned("around", 32), F.col("around").bitwiseAND(0xFFFFFFFF)))])
+        (F.shiftrightunsigned("around", 16), F.col("around").bitwiseAND(0xFFFF)))])
     rows = rows.select("uid", "at", "reach", F.explode(sides).alias("side")).where(F.col("side").isNotNull())
     rows = materialise(rows, "open_sides")
     shared = materialise(rows.groupBy("side").count().where("count > 1").select("side"), "shared_sides")

@@ -247,10 +247,12 @@ def main_text(page: str | None) -> str:
         marked = marked.parent
     while top.parent is not None and top.tag not in ("article", "main") and top.parent.tag in ("article", "main", "section", "div") \
             and not top.parent.skip:
-        if marked is None:  # what stands beside the best node must be dense enough by itself
+        if marked is None:  # a part beside the best node must be dense enough by itself
             for k in top.parent.kids:
                 if isinstance(k, Node) and k is not top and k.tag not in INLINE and k.tag not in HEADINGS:
-                    k.skip = k.skip or k.density < threshold
+                    # A short paragraph has few characters a tag, but belongs to its neighbours.
+                    part = k.tag in HOLDERS or k.tag == "section" or k.link_chars > 0.5 * k.chars
+                    k.skip = k.skip or part and k.density < threshold
         top = top.parent
     # Inside the article a name alone does not count.
     article = set(_nodes(top if marked else best, skipped=True))

@@ -214,6 +214,20 @@ def test_extract_takes_the_article_of_every_page(spark, sf_dir):
         assert r["text"] == re.sub(r"\s+", " ", html.unescape(re.sub(r"<[^>]*>", " ", inside))).strip()
 
 
+def test_article_is_found_without_its_tag(spark):
+    import html
+    import re
+    right = {"div": 0, "bare": 0}
+    rows = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()
+    for r in rows:
+        inside = re.search(r"<article>(.*?)</article>", r["html"], re.S).group(1)
+        want = re.sub(r"\s+", " ", html.unescape(re.sub(r"<[^>]*>", " ", inside))).strip()
+        page = re.sub(r"<(/?)article\b", r"<\1div", r["html"])
+        right["div"] += td.main_text(page) == want
+        right["bare"] += td.main_text(re.sub(r"""\s(class|id|role)\s*=\s*("[^"]*"|'[^']*')""", "", page)) == want
+    assert right["div"] >= 0.99 * len(rows) and right["bare"] >= 0.98 * len(rows)
+
+
 def test_unmarked_sidebars_go(prose):
     paragraphs = [prose(i, 60) for i in range(8)]
     body = "".join(f"<p>{x}</p>" for x in paragraphs[:5])

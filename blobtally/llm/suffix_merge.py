@@ -3,22 +3,28 @@
 Not every suffix has to be sorted. The minimum of the hashes in a window picks sample positions
 (anchors) that depend on content alone, so two equal strings of the sought length hold an anchor
 at the same place. Anchors whose context occurs but once drop out by a count. The suffixes at the
-others are sorted in each task into a run, cut at common splitters, and exchanged front-coded:
-each as the length of the prefix it shares with its predecessor, and the rest. A loser tree
-merges the runs of a range; it compares known common prefixes first and bytes only beyond them.
-Neighbours in the merged order then tell, with their common prefixes to the right of the anchor
-and to the left, which strings of the sought length occur again.
+others are sorted in each task into runs, cut by the hash of their first bytes into ranges, and
+exchanged front-coded: each as the length of the prefix it shares with its predecessor, and the
+rest. A loser tree merges the runs of a range; it compares known common prefixes first and bytes
+only beyond them. Neighbours in the merged order then tell, with their common prefixes to the
+right of the anchor and to the left, which strings of the sought length occur again.
+
+A band of an anchor is the strings that begin from ``shift`` to ``shift + reach`` bytes left of
+it. All strings of a band hold the LENGTH - reach bytes from there on, its key, so equal strings
+have equal keys. The whole band's key is the anchor's gram. Where more anchors share a key than a
+range should hold, the band is halved: its halves have longer keys, which few anchors share unless
+all they cover is equal, and of those one stands for all.
 """
 
 from __future__ import annotations
 
 import hashlib
-from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,7 +33,6 @@ from blobtally.llm.common import by_key, materialise, mix64, small_side, window_
 LENGTH, GRAM = 200, 32
 #: Suffixes in a run of a task (a 16-bit count), and aimed at in a range of the merge.
 RUN_SIZE, RANGE_SIZE = 20_000, 20_000
-MAX_SPLITTER_SAMPLE = 20_000
 _CHUNK = 1 << 18
 _REACH = LENGTH - GRAM  # how far left of its anchor a string may begin
 
@@ -88,7 +93,7 @@ def _find_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         if ids:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate(ids)), pa.array(np.concatenate(at)), pa.array(np.concatenate(grams).view(np.int64))],
-                names=["uid", "at", "gram"])
+                names=["uid", "at", "key"])
 
 
 def common_prefix(a: bytes, b: bytes, known: int = 0) -> int:
@@ -183,7 +188,7 @@ def repeated_offsets(right: list[bytes], lcp: np.ndarray, left: list[bytes]) ->
     len_l = np.fromiter(map(len, left), np.int64, n)
     lo, hi = np.full(n, -1), np.full(n, -1)
     group = np.empty(n, np.int64)
-    for o in range(_REACH + 1):
+    for o in range(int(len_l.max(initial=0)) + 1):
         live = np.flatnonzero((len_l >= o) & (len_r >= LENGTH - o))
         if len(live) < 2:
             continue
@@ -200,62 +205,85 @@ def repeated_offsets(right: list[bytes], lcp: np.ndarray, left: list[bytes]) ->
 _PIECE = "range long, uid long, start long, stop long, run binary"
 
 
-def _sort_runs(splitters: list[bytes]):
-    """Rows (uid, positions, text) to sorted, front-coded runs, one row for each run and range."""
+def _halve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (uid, bands of (at, shift, reach), text) to the halves of every band.
+
+    Each with its key, the digest of all bytes its strings cover, and their span.
+    """
+    for batch in batches:
+        rows = []
+        for uid, bands, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+            t = text.as_py()
+            for band in bands:
+                at, low, top = band["at"], band["shift"], band["shift"] + band["reach"]
+                half = (low + top) // 2
+                for first, last in ((low, half), (half + 1, top)):
+                    # Some string of the band must lie inside the text.
+                    if first <= at and at + LENGTH - last <= len(t):
+                        key = xxhash.xxh64_intdigest(t[at - first:at + LENGTH - last], first)
+                        start, stop = at - min(at, last), min(at + LENGTH - first, len(t))
+                        here = hashlib.md5(b"%d " % (at - start) + t[start:stop]).digest()
+                        rows.append((uid, at, first, last - first, key - (1 << 63), here, start, stop))
+        cols = list(zip(*rows)) or [()] * 8
+        types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.int64(), pa.int64()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, x) for c, x in zip(cols, types)],
+                                         names=["uid", "at", "shift", "reach", "key", "covered", "start", "stop"])
+
+
+def _sort_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (uid, bands of (range, at, shift, reach), text) to sorted, front-coded runs, one row for each run and range."""
     names = ["range", "uid", "start", "stop", "run"]
 
-    def encode(items: list[tuple[bytes, bytes, int, int]]) -> Iterator[tuple]:
+    def encode(items: list[tuple[int, bytes, bytes, int, int, int]]) -> Iterator[tuple]:
         items.sort()
         # Of anchors with the same two contexts one goes on, marked as repeated; the others are
         # known to repeat with all strings over them.
         kept, done = [], []
         i = 0
         while i < len(items):
-            r, l, uid, at = items[i]
+            number, r, l, reach, uid, at = items[i]
             j = i + 1
-            while j < len(items) and items[j][0] == r and items[j][1] == l:
+            while j < len(items) and items[j][:4] == items[i][:4]:
                 j += 1
-            kept.append((r, l, uid, at, j - i > 1))
+            kept.append((number, r, l, uid, at, j - i > 1))
             if j - i > 1:
-                first, last = max(0, LENGTH - len(r)), min(len(l), _REACH)
+                first, last = max(0, LENGTH - len(r)), len(l)
                 if first <= last:
-                    done += [(uid_, at_ - last, at_ - first + LENGTH) for _, _, uid_, at_ in items[i:j]]
+                    done += [(uid_, at_ - last, at_ - first + LENGTH) for *_, uid_, at_ in items[i:j]]
             i = j
         for uid, start, stop in done:
             yield -1 - (uid & 0xFFFF), uid, start, stop, None
-        ranges = [bisect_right(splitters, r[:GRAM]) for r, *_ in kept]
         a = 0
         while a < len(kept):
             b = a
-            while b < len(kept) and ranges[b] == ranges[a]:
+            while b < len(kept) and kept[b][0] == kept[a][0]:
                 b += 1
             part = kept[a:b]
-            shared = neighbours([x[0] for x in part])
-            head = np.array([[len(part), 0, 0, 0]] + [[n, len(x[0]) - n, len(x[1]), int(x[4])] for n, x in zip(shared, part)], np.uint16)
-            where = np.array([[x[2], x[3]] for x in part], np.int64)
-            body = b"".join(x[0][n:] + x[1] for n, x in zip(shared, part))
-            yield ranges[a], 0, 0, 0, head.tobytes() + where.tobytes() + body
+            shared = neighbours([x[1] for x in part])
+            head = np.array([[len(part), 0, 0, 0]] + [[n, len(x[1]) - n, len(x[2]), int(x[5])] for n, x in zip(shared, part)], np.uint16)
+            where = np.array([[x[3], x[4]] for x in part], np.int64)
+            body = b"".join(x[1][n:] + x[2] for n, x in zip(shared, part))
+            yield part[0][0], 0, 0, 0, head.tobytes() + where.tobytes() + body
             a = b
 
     def out(rows: list[tuple]) -> pa.RecordBatch:
         cols = list(zip(*rows))
         return pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols[:4]), pa.array(cols[4], pa.binary())], names=names)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items: list[tuple[bytes, bytes, int, int]] = []
-        for batch in batches:
-            for uid, positions, text in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
-                t = text.as_py()
-                for at in positions.values.to_numpy().tolist():
-                    items.append((t[at:at + LENGTH], t[max(0, at - _REACH):at][::-1], uid, at))
-                    if len(items) >= RUN_SIZE:
-                        yield out(list(encode(items)))
-                        items = []
-        rows = list(encode(items))
-        if rows:
-            yield out(rows)
-
-    return run
+    items: list[tuple[int, bytes, bytes, int, int, int]] = []
+    for batch in batches:
+        for uid, bands, text in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+            t = text.as_py()
+            fields = [bands.values.field(c).to_numpy().tolist() for c in ("range", "at", "shift", "reach")]
+            for number, at, shift, reach in zip(*fields):
+                at -= shift
+                items.append((number, t[at:at + LENGTH], t[max(0, at - reach):at][::-1], reach, uid, at))
+                if len(items) >= RUN_SIZE:
+                    yield out(list(encode(items)))
+                    items = []
+    rows = list(encode(items))
+    if rows:
+        yield out(rows)
 
 
 def _decode(run: bytes) -> tuple[list[bytes], list[int], list[bytes], list[bool], np.ndarray]:
@@ -296,7 +324,7 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lo, hi = repeated_offsets(right, np.array(lcp, np.int64), left)
         many = np.array(multi)
         len_r = np.fromiter(map(len, right), np.int64, len(right))
-        len_l = np.minimum(np.fromiter(map(len, left), np.int64, len(right)), _REACH)
+        len_l = np.fromiter(map(len, left), np.int64, len(right))
         first = np.maximum(0, LENGTH - len_r)
         whole = many & (first <= len_l)
         lo, hi = np.where(whole, first, lo), np.where(whole, len_l, hi)
@@ -306,35 +334,62 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                           pa.array(where[hit, 1] - lo[hit] + LENGTH)], names=names)
 
 
+def _shared_bands(texts: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """(uid, at, shift, reach, key) of bands whose key occurs again, and spans known to repeat.
+
+    A key of more than RANGE_SIZE bands is halved until its bands hold one string each. Halves
+    that cover the same bytes repeat as a whole, and one of them stands for all from there on.
+    """
+    found = texts.mapInArrow(_find_anchors, "uid long, at long, key long") \
+        .withColumns({"shift": F.lit(0), "reach": F.lit(_REACH)}).select("uid", "at", "shift", "reach", "key")
+    found = materialise(found, "anchors")
+    band = ["shift", "reach", "key"]
+    out = spans = None
+    while True:
+        # Written, so that the joins below have both sides dealt for them and split a frequent key.
+        often = found.groupBy(*band).agg(F.count(F.lit(1)).alias("n")).where("n > 1") \
+            .select(*band, ((F.col("n") > RANGE_SIZE) & (F.col("reach") > 0)).alias("hot"))
+        often = materialise(often, "keys")
+        usual = found.join(often.where("not hot").drop("hot"), band, "left_semi").select("uid", "at", *band)
+        out = usual if out is None else out.union(usual)
+        n_hot = often.where("hot").count()
+        if not n_hot:
+            return out, spans
+        hot = found.join(small_side(often.where("hot").drop("hot"), n_hot), band, "left_semi")
+        hot = hot.groupBy("uid").agg(F.collect_list(F.struct("at", "shift", "reach")).alias("bands"))
+        halves = texts.join(materialise(hot, "hot_anchors").hint("merge"), "uid").select("uid", "bands", "text") \
+            .mapInArrow(_halve, "uid long, at long, shift int, reach int, key long, covered binary, start long, stop long")
+        halves = materialise(halves, "halves")
+        alike = halves.groupBy("shift", "reach", "key", "covered") \
+            .agg(F.min(F.struct("uid", "at")).alias("one"), F.count(F.lit(1)).alias("n"))
+        alike = materialise(alike, "covered")
+        found = alike.select("one.uid", "one.at", *band)
+        again = alike.where("n > 1").select("shift", "covered")
+        known = halves.join(small_side(again, again.count()), ["shift", "covered"], "left_semi").select("uid", "start", "stop")
+        spans = known if spans is None else spans.union(known)
+
+
 def repeated_spans(texts: DataFrame) -> DataFrame:
     """(uid, start, stop): bytes of ``texts(uid long, text binary)`` in strings that occur again.
 
     The spans of one uid may overlap. ``texts`` must give the same rows each time it is read.
+    A range of the merge holds about RANGE_SIZE suffixes, a few times as many at most; those
+    that share a key meet in one range, and suffixes of different bands never do.
     """
     spark = texts.sparkSession
-    found = texts.mapInArrow(_find_anchors, "uid long, at long, gram long")
-    found = materialise(found, "anchors")
-    # Written, so that the join below has both sides dealt for it and splits a frequent gram.
-    often = materialise(found.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram"), "grams")
-    kept = found.join(often, "gram", "left_semi").select("uid", "at", "gram")
-    kept = materialise(kept.groupBy("uid").agg(F.sort_array(F.collect_list("at")).alias("positions")), "kept_anchors")
-    total = kept.agg(F.sum(F.size("positions"))).first()[0]
-    joined = texts.join(kept.hint("merge"), "uid").select("uid", "positions", "text")
-    n_ranges = max(1, -(-(total or 0) // RANGE_SIZE))
-    # Splitters are heads of sampled suffixes: a bounded sample, which decides only where the
-    # ranges are cut. Suffixes that share the head stay together.
-    share = min(1.0, min(50 * n_ranges, MAX_SPLITTER_SAMPLE) / max(total or 1, 1))
-    heads = []
-    if n_ranges > 1:
-        picked = kept.select("uid", F.explode("positions").alias("at")) \
-            .where(F.pmod(F.xxhash64("uid", "at"), F.lit(1_000_000)) < int(share * 1_000_000) + 1)
-        sampled = texts.join(small_side(picked, int(share * total) + 1), "uid") \
-            .select(F.substring("text", F.col("at").cast("int") + 1, F.lit(GRAM)).alias("head"))
-        heads = sorted(bytes(r[0]) for r in sampled.collect())
-    splitters = sorted({heads[len(heads) * i // n_ranges] for i in range(1, n_ranges)}) if heads else []
+    shared, known = _shared_bands(texts)
+    kept = materialise(shared, "bands")
+    n_ranges = max(1, -(-kept.count() // RANGE_SIZE))
+    # A shift and a reach tell a band: 169 numbers of each at most.
+    band = F.col("shift") * LENGTH + F.col("reach")
+    ranged = F.pmod(F.xxhash64("key"), F.lit(n_ranges)) * LENGTH * LENGTH + band
+    grouped = kept.groupBy("uid").agg(F.sort_array(F.collect_list(F.struct(
+        "at", "shift", "reach", ranged.alias("range")))).alias("bands"))
+    joined = texts.join(materialise(grouped, "kept_anchors").hint("merge"), "uid").select("uid", "bands", "text")
     parts = max(n_ranges, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return joined.mapInArrow(_sort_runs(splitters), _PIECE) \
+    spans = joined.mapInArrow(_sort_runs, _PIECE) \
         .repartition(parts, "range").sortWithinPartitions("range").mapInArrow(_merge, "uid long, start long, stop long")
+    return spans if known is None else spans.union(known)
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:

@@ -8,6 +8,8 @@ import numpy as np
 import pytest
 import xxhash
 
+from pyspark.sql import functions as F
+
 from blobtally.llm import compact_windows as cw
 from blobtally.llm import quality_rules as qr
 from blobtally.llm import simhash_vptree as sv
@@ -208,6 +210,11 @@ def test_repeated_bytes_against_all_windows(make_docs, prose, monkeypatch):
     rows = ODD + [(100 + i, prose(10 + i, 60) + shared[i:] + prose(90 + i, 20 + 10 * i)) for i in range(12)]
     rows += [(200, "ab" * 400), (201, "é" * 150 + "x" + "é" * 99), (202, rows[-1][1]), (203, rows[-1][1][:199])]
     docs = make_docs(rows, extra=["digest", "copied", "text_"])
+    _check_removed(docs, rows)
+    assert sm.remove_repeats(docs.limit(0)).count() == 0
+
+
+def _check_removed(docs, rows):
     out = sm.remove_repeats(docs).collect()
     texts = [(t or "").encode() for _, t, *_ in rows]
     seen = Counter(b[i:i + 200] for b in texts for i in range(len(b) - 199))
@@ -221,4 +228,23 @@ def test_repeated_bytes_against_all_windows(make_docs, prose, monkeypatch):
         left = bytes(x for x, m in zip(b, mark) if not m)
         want.append((i, len(b), sum(mark), spans, hashlib.sha256(left).hexdigest()))
     assert Counter(tuple(r) for r in out) == Counter(want)
-    assert sm.remove_repeats(docs.limit(0)).count() == 0
+
+
+def test_a_frequent_line_is_spread_over_ranges(spark, make_docs, prose, monkeypatch):
+    """A line in every document, some with the same surroundings, and a text longer than a chunk of bytes."""
+    monkeypatch.setattr(sm, "RUN_SIZE", 100)
+    monkeypatch.setattr(sm, "RANGE_SIZE", 60)
+    line = "All rights reserved by the authors of the text. "
+    around = [prose(500 + i, 40) for i in range(5)]
+    rows = [(i, f"{prose(i, 30)} {line}{prose(1000 + i, 30)}") for i in range(400)]
+    rows += [(1000 + i, f"{prose(2000 + i, 10)}{around[i % 5][i:]}{line}{around[i % 3][:200 - i]}{prose(3000 + i, 10)}") for i in range(100)]
+    rows += [(3000 + i, f"{i} {around[0]}{line}{around[1]}{i}") for i in range(150)]
+    long = prose(9, 60_000)
+    rows += [(5000, long), (5001, prose(8, 100) + long[250_000:290_000] + prose(7, 100))]
+    assert len(long) > 1 << 18
+    docs = make_docs(rows)
+    _check_removed(docs, rows)
+    texts = docs.select(F.col("doc_id").alias("uid"), F.col("text").cast("binary").alias("text"))
+    held = sm._shared_bands(texts)[0].groupBy("shift", "reach", "key").count()
+    assert held.where("reach > 0").agg(F.max("count")).first()[0] <= 60
+    assert held.where(f"reach < {sm._REACH}").count() > 0

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from blobtally.llm.common import by_key, materialise, mix64, small_side, window_minima
+from blobtally.llm.common import BROADCAST_ROWS, by_key, materialise, mix64, small_side, window_minima
 
 LENGTH, GRAM = 200, 32
 #: Suffixes in a run of a task (a 16-bit count), and aimed at in a range of the merge.
@@ -63,37 +63,38 @@ def anchors(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     return p, h[first]
 
 
+def _text_anchors(batch: pa.RecordBatch) -> Iterator[tuple[list[tuple[int, bytes]], np.ndarray, np.ndarray, np.ndarray]]:
+    """Texts (uid, bytes) of a batch with their anchors: (number of the text, position, gram hash)."""
+    # Short texts side by side, so that a call of numpy has many bytes to work on.
+    held, size = [], 0
+
+    def found():
+        sizes = np.array([len(t) for _, t in held])
+        starts = np.cumsum(sizes) - sizes
+        p, h = anchors(b"".join(t for _, t in held))
+        doc = np.searchsorted(starts, p, "right") - 1
+        inside = p + GRAM <= starts[doc] + sizes[doc]
+        return held, doc[inside], (p - starts[doc])[inside], h[inside]
+
+    for uid, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+        t = text.as_py()
+        if t is None or len(t) < LENGTH:
+            continue
+        held.append((uid, t))
+        size += len(t)
+        if size >= _CHUNK:
+            yield found()
+            held, size = [], 0
+    if held:
+        yield found()
+
+
 def _find_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        # Short texts side by side, so that a call of numpy has many bytes to work on.
-        ids, at, grams, held, size = [], [], [], [], 0
-
-        def flush():
-            if not held:
-                return
-            sizes = np.array([len(t) for _, t in held])
-            starts = np.cumsum(sizes) - sizes
-            p, h = anchors(b"".join(t for _, t in held))
-            doc = np.searchsorted(starts, p, "right") - 1
-            inside = p + GRAM <= starts[doc] + sizes[doc]
-            ids.append(np.array([i for i, _ in held], np.int64)[doc[inside]])
-            at.append((p - starts[doc])[inside])
-            grams.append(h[inside])
-
-        for uid, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            t = text.as_py()
-            if t is None or len(t) < LENGTH:
-                continue
-            held.append((uid, t))
-            size += len(t)
-            if size >= _CHUNK:
-                flush()
-                held, size = [], 0
-        flush()
-        if ids:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(ids)), pa.array(np.concatenate(at)), pa.array(np.concatenate(grams).view(np.int64))],
-                names=["uid", "at", "key"])
+        for held, doc, at, gram in _text_anchors(batch):
+            uids = np.array([i for i, _ in held], np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(uids[doc]), pa.array(at), pa.array(gram.view(np.int64))],
+                                             names=["uid", "at", "key"])
 
 
 def common_prefix(a: bytes, b: bytes, known: int = 0) -> int:
@@ -205,33 +206,57 @@ def repeated_offsets(right: list[bytes], lcp: np.ndarray, left: list[bytes]) ->
 _PIECE = "range long, uid long, start long, stop long, run binary"
 
 
-def _halve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (uid, bands of (at, shift, reach), text) to the halves of every band.
+_HALF = "uid long, at long, shift int, reach int, key long, covered binary, start long, stop long"
 
-    Each with its key, the digest of all bytes its strings cover, and their span.
-    """
+
+def _halves(t: bytes, at: int, shift: int, reach: int) -> Iterator[tuple]:
+    """The halves of a band: (at, shift, reach, key, digest of all bytes its strings cover, their span)."""
+    half = shift + reach // 2
+    for low, top in ((shift, half), (half + 1, shift + reach)):
+        # Some string of the band must lie inside the text.
+        if low <= at and at + LENGTH - top <= len(t):
+            name = low * LENGTH + top
+            key = xxhash.xxh64_intdigest(t[at - low:at + LENGTH - top], name) - (1 << 63)
+            start, stop = at - min(at, top), min(at + LENGTH - low, len(t))
+            yield at, low, top - low, key, hashlib.md5(b"%d %d " % (name, at - start) + t[start:stop]).digest(), start, stop
+
+
+def _half_rows(rows: list[tuple]) -> pa.RecordBatch:
+    cols = list(zip(*rows)) or [()] * 8
+    types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.int64(), pa.int64()]
+    return pa.RecordBatch.from_arrays([pa.array(c, x) for c, x in zip(cols, types)],
+                                      names=["uid", "at", "shift", "reach", "key", "covered", "start", "stop"])
+
+
+def _halve_joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (uid, bands of (at, shift, reach), text) to the halves of the bands."""
     for batch in batches:
-        rows = []
-        for uid, bands, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-            t = text.as_py()
-            for band in bands:
-                at, low, top = band["at"], band["shift"], band["shift"] + band["reach"]
-                half = (low + top) // 2
-                for first, last in ((low, half), (half + 1, top)):
-                    # Some string of the band must lie inside the text.
-                    if first <= at and at + LENGTH - last <= len(t):
-                        key = xxhash.xxh64_intdigest(t[at - first:at + LENGTH - last], first)
-                        start, stop = at - min(at, last), min(at + LENGTH - first, len(t))
-                        here = hashlib.md5(b"%d " % (at - start) + t[start:stop]).digest()
-                        rows.append((uid, at, first, last - first, key - (1 << 63), here, start, stop))
-        cols = list(zip(*rows)) or [()] * 8
-        types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.int64(), pa.int64()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, x) for c, x in zip(cols, types)],
-                                         names=["uid", "at", "shift", "reach", "key", "covered", "start", "stop"])
+        yield _half_rows([(uid, *half) for uid, bands, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2))
+                          for b in bands for half in _halves(text.as_py(), b["at"], b["shift"], b["reach"])])
+
+
+def _halve_found(levels: list[np.ndarray]):
+    """Rows (uid, text) to the halves of the bands whose keys are frequent, level by level."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        grams, *deeper = levels
+        deeper = [set(x.tolist()) for x in deeper]
+        for batch in batches:
+            for held, doc, at, gram in _text_anchors(batch):
+                hot = np.isin(gram.view(np.int64), grams)
+                rows = []
+                for d, p in zip(doc[hot].tolist(), at[hot].tolist()):
+                    uid, t = held[d]
+                    bands = list(_halves(t, p, 0, _REACH))
+                    for keys in deeper:
+                        bands = [half for b in bands if b[3] in keys for half in _halves(t, *b[:3])]
+                    rows += [(uid, *b) for b in bands]
+                yield _half_rows(rows)
+
+    return run
 
 
 def _sort_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (uid, bands of (range, at, shift, reach), text) to sorted, front-coded runs, one row for each run and range."""
+    """Rows (uid, codes of bands, their ranges, text) to sorted, front-coded runs, one row for each run and range."""
     names = ["range", "uid", "start", "stop", "run"]
 
     def encode(items: list[tuple[int, bytes, bytes, int, int, int]]) -> Iterator[tuple]:
@@ -272,11 +297,11 @@ def _sort_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     items: list[tuple[int, bytes, bytes, int, int, int]] = []
     for batch in batches:
-        for uid, bands, text in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
-            t = text.as_py()
-            fields = [bands.values.field(c).to_numpy().tolist() for c in ("range", "at", "shift", "reach")]
-            for number, at, shift, reach in zip(*fields):
-                at -= shift
+        for uid, codes, ranges, text in zip(*(batch.column(i) for i in range(4))):
+            uid, t = uid.as_py(), text.as_py()
+            for code, number in zip(codes.values.to_numpy().tolist(), ranges.values.to_numpy().tolist()):
+                reach = code & 255
+                at = (code >> 16) - (code >> 8 & 255)
                 items.append((number, t[at:at + LENGTH], t[max(0, at - reach):at][::-1], reach, uid, at))
                 if len(items) >= RUN_SIZE:
                     yield out(list(encode(items)))
@@ -339,33 +364,41 @@ def _shared_bands(texts: DataFrame) -> tuple[DataFrame, DataFrame | None]:
 
     A key of more than RANGE_SIZE bands is halved until its bands hold one string each. Halves
     that cover the same bytes repeat as a whole, and one of them stands for all from there on.
+    Few frequent keys (their number is counted) are sought in a second pass over the texts where
+    they lie; beyond BROADCAST_ROWS the texts are joined with their bands.
     """
-    found = texts.mapInArrow(_find_anchors, "uid long, at long, key long") \
-        .withColumns({"shift": F.lit(0), "reach": F.lit(_REACH)}).select("uid", "at", "shift", "reach", "key")
-    found = materialise(found, "anchors")
-    band = ["shift", "reach", "key"]
+    found = materialise(texts.mapInArrow(_find_anchors, "uid long, at long, key long"), "anchors")
+    band = [F.lit(0).alias("shift"), F.lit(_REACH).alias("reach")]
     out = spans = None
+    levels: list[np.ndarray] | None = []
     while True:
         # Written, so that the joins below have both sides dealt for them and split a frequent key.
-        often = found.groupBy(*band).agg(F.count(F.lit(1)).alias("n")).where("n > 1") \
-            .select(*band, ((F.col("n") > RANGE_SIZE) & (F.col("reach") > 0)).alias("hot"))
+        often = found.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max(band[1]).alias("reach")).where("n > 1") \
+            .select("key", ((F.col("n") > RANGE_SIZE) & (F.col("reach") > 0)).alias("hot"))
         often = materialise(often, "keys")
-        usual = found.join(often.where("not hot").drop("hot"), band, "left_semi").select("uid", "at", *band)
+        usual = found.join(often.where("not hot").select("key"), "key", "left_semi").select("uid", "at", *band, "key")
         out = usual if out is None else out.union(usual)
-        n_hot = often.where("hot").count()
+        hot = often.where("hot").select("key")
+        n_hot = hot.count()
         if not n_hot:
             return out, spans
-        hot = found.join(small_side(often.where("hot").drop("hot"), n_hot), band, "left_semi")
-        hot = hot.groupBy("uid").agg(F.collect_list(F.struct("at", "shift", "reach")).alias("bands"))
-        halves = texts.join(materialise(hot, "hot_anchors").hint("merge"), "uid").select("uid", "bands", "text") \
-            .mapInArrow(_halve, "uid long, at long, shift int, reach int, key long, covered binary, start long, stop long")
+        if levels is not None and n_hot <= BROADCAST_ROWS:
+            levels.append(np.array([r[0] for r in hot.collect()], np.int64))
+            halves = texts.select("uid", "text").mapInArrow(_halve_found(list(levels)), _HALF)
+        else:
+            levels = None
+            bands = found.join(small_side(hot, n_hot), "key", "left_semi").select("uid", "at", *band) \
+                .groupBy("uid").agg(F.collect_list(F.struct("at", "shift", "reach")).alias("bands"))
+            halves = texts.join(materialise(bands, "hot_anchors").hint("merge"), "uid").select("uid", "bands", "text") \
+                .mapInArrow(_halve_joined, _HALF)
         halves = materialise(halves, "halves")
-        alike = halves.groupBy("shift", "reach", "key", "covered") \
-            .agg(F.min(F.struct("uid", "at")).alias("one"), F.count(F.lit(1)).alias("n"))
+        alike = halves.groupBy("covered").agg(F.min(F.struct("uid", "at", "shift", "reach", "key")).alias("one"),
+                                              F.count(F.lit(1)).alias("n"))
         alike = materialise(alike, "covered")
-        found = alike.select("one.uid", "one.at", *band)
-        again = alike.where("n > 1").select("shift", "covered")
-        known = halves.join(small_side(again, again.count()), ["shift", "covered"], "left_semi").select("uid", "start", "stop")
+        found = alike.select("one.*")
+        band = [F.col("shift"), F.col("reach")]
+        again = alike.where("n > 1").select("covered")
+        known = halves.join(small_side(again, again.count()), "covered", "left_semi").select("uid", "start", "stop")
         spans = known if spans is None else spans.union(known)
 
 
@@ -380,12 +413,12 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     shared, known = _shared_bands(texts)
     kept = materialise(shared, "bands")
     n_ranges = max(1, -(-kept.count() // RANGE_SIZE))
-    # A shift and a reach tell a band: 169 numbers of each at most.
-    band = F.col("shift") * LENGTH + F.col("reach")
-    ranged = F.pmod(F.xxhash64("key"), F.lit(n_ranges)) * LENGTH * LENGTH + band
-    grouped = kept.groupBy("uid").agg(F.sort_array(F.collect_list(F.struct(
-        "at", "shift", "reach", ranged.alias("range")))).alias("bands"))
-    joined = texts.join(materialise(grouped, "kept_anchors").hint("merge"), "uid").select("uid", "bands", "text")
+    # Suffixes of different bands never meet in a range: one position may be an anchor of several.
+    ranged = F.pmod(F.xxhash64("key"), F.lit(n_ranges)) * LENGTH * LENGTH + F.col("shift") * LENGTH + F.col("reach")
+    code = F.col("at") * 65536 + F.col("shift") * 256 + F.col("reach")
+    # Two lists of one aggregation hold its rows in the same order.
+    grouped = kept.groupBy("uid").agg(F.collect_list(code).alias("codes"), F.collect_list(ranged).alias("ranges"))
+    joined = texts.join(materialise(grouped, "kept_anchors").hint("merge"), "uid").select("uid", "codes", "ranges", "text")
     parts = max(n_ranges, int(spark.conf.get("spark.sql.shuffle.partitions")))
     spans = joined.mapInArrow(_sort_runs, _PIECE) \
         .repartition(parts, "range").sortWithinPartitions("range").mapInArrow(_merge, "uid long, start long, stop long")

@@ -230,8 +230,10 @@ def _check_removed(docs, rows):
     assert Counter(tuple(r) for r in out) == Counter(want)
 
 
-def test_a_frequent_line_is_spread_over_ranges(spark, make_docs, prose, monkeypatch):
+@pytest.mark.parametrize("keys", [300_000, 3])
+def test_a_frequent_line_is_spread_over_ranges(make_docs, prose, monkeypatch, keys):
     """A line in every document, some with the same surroundings, and a text longer than a chunk of bytes."""
+    monkeypatch.setattr(sm, "BROADCAST_ROWS", keys)
     monkeypatch.setattr(sm, "RUN_SIZE", 100)
     monkeypatch.setattr(sm, "RANGE_SIZE", 60)
     line = "All rights reserved by the authors of the text. "

@@ -24,6 +24,7 @@ from blobtally.operators.refs import (
     object_refs,
     observe_lookups,
     ref_count,
+    refs_beside_index,
     refs_per_uri,
     resolve_refs,
     sample_refs,
@@ -53,7 +54,7 @@ __all__ = [
     "apply_to_splits", "mark_deleted", "plan_relocation", "plan_splits", "plan_table_splits", "split_summary",
     "assert_unique", "find_hot_keys", "hot_key_sketch", "lookup_join", "unique_rows",
     "decode_objects", "explode_refs", "flatten_refs", "lookup_counters", "mark_sample", "nest_refs", "object_refs",
-    "observe_lookups", "ref_count", "refs_per_uri", "resolve_refs", "sample_refs", "unresolved_refs",
+    "observe_lookups", "ref_count", "refs_beside_index", "refs_per_uri", "resolve_refs", "sample_refs", "unresolved_refs",
     "valid_objects",
     "archived_flag", "file_lengths_join", "file_meta", "file_meta_lists", "file_outcomes", "file_paths",
     "file_status", "file_totals", "flatten_lists", "flatten_meta", "live_refs", "meta_lists", "outcome_counts", "status_columns",

@@ -98,6 +98,29 @@ def refs_per_uri(refs: DataFrame, archived: Column | None = None) -> DataFrame:
     return refs.groupBy("uri").agg(*aggs)
 
 
+def refs_beside_index(refs: DataFrame, blob_index: DataFrame, archived: Column, sampled: Column | None = None) -> DataFrame:
+    """Every referenced uri once: n_refs, n_live (and n_kept, see ``refs_per_uri``) beside its index row's file_id, length
+    and ``sampled`` (a predicate over the index row), which are null where the uri is not in the index.
+
+    References and index rows are one bag, aggregated by uri: a task holds one map of its uris, where a join of two
+    aggregates holds two maps and two sorts. A uri that the index holds twice fails the run, referenced or
+    not; index rows with a null uri are left out.
+    """
+    kept = F.col("kept") if "kept" in refs.columns else F.lit(True)
+    absent = F.lit(None)
+    asked = refs.select("uri", F.lit(1).alias("_ref"), kept.alias("_kept"), (kept & ~archived).alias("_live"),
+                        absent.cast("bigint").alias("file_id"), absent.cast("bigint").alias("length"), absent.cast("boolean").alias("sampled"))
+    held = blob_index.where(F.col("uri").isNotNull()).select(
+        "uri", F.lit(0).alias("_ref"), F.lit(False).alias("_kept"), F.lit(False).alias("_live"), "file_id", "length",
+        (F.lit(True) if sampled is None else sampled).alias("sampled"))
+    counts = [F.count_if(F.col("_ref") == 1).alias("n_refs"), F.count_if("_live").alias("n_live"), F.count_if(F.col("_ref") == 0).alias("_rows")]
+    if "kept" in refs.columns:
+        counts.append(F.count_if("_kept").alias("n_kept"))
+    totals = asked.unionByName(held).groupBy("uri").agg(*counts, *[F.max(c).alias(c) for c in ("file_id", "length", "sampled")])
+    repeated = F.raise_error(F.concat(F.lit("uri is not unique in the index: "), F.col("uri")))
+    return totals.filter(F.when(F.col("_rows") > 1, repeated.cast("boolean")).otherwise(F.col("n_refs") > 0)).drop("_rows")
+
+
 def lookup_counters(refs: DataFrame, blob_index: DataFrame) -> DataFrame:
     """One row: how many references resolve (hits) and how many do not (misses)."""
     per_uri = refs_per_uri(refs)

@@ -3,7 +3,8 @@
 Plan of ``file_status`` (one Catalyst plan, three shuffles on small-to-large keys):
 
 1. references -> partial+final aggregation per uri (n_refs, n_live): hot uris collapse map-side;
-2. join with the blob index on uri (both sides now unique per uri);
+2. join with the blob index on uri (both sides now unique per uri); the aggregate job does 1 and 2 as one
+   aggregation of references and index rows, unless the index lies bucketed by uri (``co_located``);
 3. aggregation per file_id: remaining bytes = sum(n_live * length), all-archived = no live ref;
 4. join the file index (path not null) on file_id, then the file lengths on path (left join:
    all-archived files need no length), both after aggregation, i.e. one row per file.
@@ -11,14 +12,14 @@ Plan of ``file_status`` (one Catalyst plan, three shuffles on small-to-large key
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from blobtally import schemas
 from blobtally.functions.columns import empty_percent, is_archived, meta_row_key
 from blobtally.operators.joins import hot_key_sketch, lookup_join
 from blobtally.operators.ordered import with_sort_position
-from blobtally.operators.refs import blob_sample_filter, observe_lookups, refs_per_uri
+from blobtally.operators.refs import blob_sample_filter, observe_lookups, refs_beside_index, refs_per_uri
 from blobtally.sources.tables import with_stat_lengths
 
 
@@ -33,7 +34,9 @@ def live_refs(resolved: DataFrame, archive_bucket: str) -> DataFrame:
 
 
 def _uri_totals(refs: DataFrame, blob_index: DataFrame, archive_bucket: str,
-                observe: bool = False):
+                observe: bool = False, sampled: Column | None = None):
+    if observe and sampled is not None:
+        return observe_lookups(refs_beside_index(refs, blob_index, is_archived("object_key", archive_bucket), sampled), weight="n_refs")
     per_uri = refs_per_uri(refs, is_archived("object_key", archive_bucket))
     # blob_id is only read when sampling; otherwise column pruning drops it from the scan.
     index = blob_index.select("uri", "file_id", "length", "blob_id")
@@ -44,18 +47,23 @@ def _uri_totals(refs: DataFrame, blob_index: DataFrame, archive_bucket: str,
 
 
 def file_totals(refs: DataFrame, blob_index: DataFrame, archive_bucket: str,
-                observe: bool = False, sample_fraction: float = 1.0):
+                observe: bool = False, sample_fraction: float = 1.0, co_located: bool = True):
     """Per blob file: n_refs, n_live, remain_size (bytes of live references), all_archived.
 
     Bag semantics: every reference counts, so a blob listed twice counts twice.
     With ``observe=True`` returns ``(frame, Observation)`` carrying lookup hits and misses.
     ``sample_fraction`` < 1 keeps a reproducible per-blob sample of the resolved references; references
     with a mark ``kept`` (``refs.mark_sample``) are sampled singly. Hits and misses count all.
+    Observed and not ``co_located``, references and index rows are aggregated together (``refs.refs_beside_index``,
+    which also checks that the index holds a uri once) and not joined.
     """
-    resolved, obs = _uri_totals(refs, blob_index, archive_bucket, observe)
+    merged = observe and not co_located
+    resolved, obs = _uri_totals(refs, blob_index, archive_bucket, observe, blob_sample_filter(sample_fraction) if merged else None)
+    if merged:
+        resolved = resolved.filter(F.col("file_id").isNotNull() & F.col("sampled"))
     if "n_kept" in resolved.columns:
         resolved = resolved.filter(F.col("n_kept") > 0).withColumn("n_refs", F.col("n_kept"))
-    if sample_fraction < 1.0:
+    if sample_fraction < 1.0 and not merged:
         # Per blob, so all references to one blob are kept or dropped together and the per-uri
         # pre-aggregation stays valid.
         resolved = resolved.filter(blob_sample_filter(sample_fraction))
@@ -147,7 +155,7 @@ def status_columns(df: DataFrame) -> DataFrame:
 
 def file_status(refs: DataFrame, blob_index: DataFrame, file_index: DataFrame,
                 file_lengths: DataFrame | None, archive_bucket: str, sample_fraction: float = 1.0,
-                observe: bool = False, sketch_hot_keys: bool = False):
+                observe: bool = False, sketch_hot_keys: bool = False, co_located: bool = True):
     """File status of every blob file that has references, an index path and (unless all
     archived) a stored length. Columns: file_id, emptyPercent, remainSize, path, deleted.
 
@@ -155,7 +163,7 @@ def file_status(refs: DataFrame, blob_index: DataFrame, file_index: DataFrame,
     ``observe=True`` returns ``(frame, [Observation, ...])``: lookup hits and misses, and the
     number of files by outcome (``files``, ``files_no_entry``, ``files_no_path``, ``files_no_length``).
     ``sketch_hot_keys`` adds an Observation whose ``hot_keys`` is the heavy-hitter sketch of the uris,
-    filled in the same pass.
+    filled in the same pass. ``co_located`` as in ``file_totals``.
     """
     if not observe and file_lengths is not None:
         totals = file_totals(refs, blob_index, archive_bucket, sample_fraction=sample_fraction)
@@ -164,7 +172,8 @@ def file_status(refs: DataFrame, blob_index: DataFrame, file_index: DataFrame,
     if sketch_hot_keys:
         sketch = [Observation("hot_keys")]
         refs = refs.observe(sketch[0], hot_key_sketch("uri").alias("hot_keys"))
-    totals, lookups = file_totals(refs, blob_index, archive_bucket, observe=True, sample_fraction=sample_fraction)
+    totals, lookups = file_totals(refs, blob_index, archive_bucket, observe=True, sample_fraction=sample_fraction,
+                                  co_located=co_located)
     files = Observation("files")
     counted = {KEPT: "files", NO_ENTRY: "files_no_entry", NO_PATH: "files_no_path", NO_LENGTH: "files_no_length"}
     outcomes = file_outcomes(totals, file_index, file_lengths) \

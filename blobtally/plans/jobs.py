@@ -52,7 +52,7 @@ def run_aggregate(spark: SparkSession, objects, blob_index, file_index, file_len
                   key_delimiter: str = schemas.DEFAULT_KEY_DELIMITER,
                   sample_fraction: float = 1.0, ref_fraction: float = 1.0, ref_digest: Column | None = None,
                   skew_rows: int | None = DEFAULT_SKEW_ROWS,
-                  broadcast_files: int | None = DEFAULT_BROADCAST_FILES) -> AggregateResult:
+                  broadcast_files: int | None = DEFAULT_BROADCAST_FILES, co_located: bool = False) -> AggregateResult:
     """JOB1: object table + indexes -> file status and file meta under the run's folder.
 
     Inputs are paths or DataFrames with the schemas in ``blobtally.schemas`` (the object table
@@ -61,7 +61,9 @@ def run_aggregate(spark: SparkSession, objects, blob_index, file_index, file_len
     ``ref_fraction`` < 1 one of single references (``refs.mark_sample``; ``ref_digest`` replaces its hash);
     status and meta keep the same ones (the original always sampled 1 % of the references).
     ``file_lengths=None`` looks the lengths up in the store, for files that are not all archived;
-    paths without scheme belong to the configured default filesystem.
+    paths without scheme belong to the configured default filesystem. ``co_located`` says that the blob index is a
+    table bucketed by uri (``sources.write_bucketed``), which the status pass then joins where it lies; else it
+    aggregates references and index rows together, which takes less memory a task.
 
     Both outputs are staged and published together by one commit record (``plans.layout``), so readers see
     the old run's or the new run's. Returns exit code 0 with the two paths, the lookup counters (hits, misses),
@@ -76,10 +78,10 @@ def run_aggregate(spark: SparkSession, objects, blob_index, file_index, file_len
     blobs = tables.read_blob_index(spark, blob_index)
     # A repeated key in a lookup source would multiply references, so it fails the run.
     lengths = None if file_lengths is None else unique_rows(tables.read_file_lengths(spark, file_lengths), "path")
-    status, observed = file_status(refs, unique_rows(blobs, "uri"),
+    status, observed = file_status(refs, unique_rows(blobs, "uri") if co_located else blobs,
                                    unique_rows(tables.read_file_index(spark, file_index), "file_id"), lengths,
                                    archive_bucket, sample_fraction=sample_fraction, observe=True,
-                                   sketch_hot_keys=skew_rows is not None)
+                                   sketch_hot_keys=skew_rows is not None, co_located=co_located)
     sinks.write_file_status(status, run.staged("file_status"))
     counters = {name: n for obs in observed for name, n in obs.get.items()}
     # The status pass has counted the references and sketched their hot uris on the way.

@@ -288,3 +288,42 @@ def test_sampling_granularity_is_checked(spark):
     assert 1600 < kept < 2400
     near_all = blobs.filter(refs.blob_sample_filter(0.9999)).count()
     assert 19_980 < near_all < 20_000
+
+
+def _plan_text(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_references_aggregate_beside_the_index_without_a_join(spark):
+    import pytest
+
+    r = refs.mark_sample(spark.createDataFrame(
+        [(f"{b}/{i}", i, u, 1) for i, (b, u) in enumerate([("archive", "a"), ("photos", "a"), ("photos", "a"), ("photos", "b"), ("archive", "c"),
+                                                          ("photos", "lost")] * 7)], "object_key string, ref_no int, uri string, size bigint"), 0.5)
+    idx = index(spark, [("a", 1, "x", 0, 10), ("b", 1, "y", 10, None), ("c", 2, "z", 0, 5), ("unused", 3, "w", 0, 7)])
+    idx = idx.unionByName(idx.limit(2).withColumn("uri", F.lit(None).cast("string")))
+    for kept in (r, r.drop("kept")):
+        for fraction in (1.0, 0.6):
+            seen = []
+            for co_located in (True, False):
+                side = joins.unique_rows(idx, "uri") if co_located else idx
+                totals, obs = status.file_totals(kept, side, "archive", observe=True, sample_fraction=fraction, co_located=co_located)
+                seen.append((sorted(tuple(x) for x in totals.collect()), obs.get))
+            assert seen[0] == seen[1] and seen[0][1] == {"hits": 35, "misses": 7}
+    plan = _plan_text(refs.refs_beside_index(r, idx, F.lit(False)))
+    assert "Join" not in plan and "Sort" not in plan and plan.count("Exchange hashpartitioning(uri") == 1
+    twice = idx.unionByName(index(spark, [("unused", 5, "q", 0, 1)]))  # no reference names it
+    with pytest.raises(Exception, match="uri is not unique in the index: unused"):
+        status.file_totals(r, twice, "archive", observe=True, co_located=False)[0].collect()
+
+
+def test_the_job_holds_no_join_by_uri_in_its_status_pass(spark, fx, tmp_dir, monkeypatch):
+    from blobtally.plans import jobs, sinks
+
+    plans, write = [], sinks.write_file_status
+    monkeypatch.setattr(sinks, "write_file_status", lambda df, path: plans.append(_plan_text(df)) or write(df, path))
+    args = (spark, fx.objects_raw, fx.blob_index, fx.file_index, fx.file_lengths)
+    done = [jobs.run_aggregate(*args, f"{tmp_dir}/{n}/", archive_bucket="archive", **o) for n, o in (("a", {}), ("b", {"co_located": True}))]
+    assert "Join [uri" not in plans[0] and "Join [uri" in plans[1] and done[0].counters == done[1].counters
+    rows = [sorted(tuple(x) for x in spark.read.parquet(d.status_path).collect()) for d in done]
+    assert rows[0] == rows[1] and rows[0]

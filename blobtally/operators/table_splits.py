@@ -116,7 +116,7 @@ def plan_table_splits(status: DataFrame, max_bytes: int, files_per_block: int =
     totals = files.groupBy("block").agg(F.sum(F.col("size").cast(_WIDE)).alias("total"))
     offsets = materialise(totals.select("block", F.coalesce(F.sum("total").over(Window.orderBy("block").rowsBetween(
         Window.unboundedPreceding, -1)), F.lit(0)).cast(_WIDE).alias("offset")), "offsets")
-    nodes = local.join(offsets, "block").select(
+    nodes = local.join(offsets.hint("merge"), "block").select(
         "block", "class", "starts", *[(F.col(c) + F.col("offset")).cast(_WIDE).alias(c) for c in ("upto", "leaves", "last")])
     end = nodes.agg(F.max("last")).first()[0]
     if end is None:
@@ -134,23 +134,24 @@ def plan_table_splits(status: DataFrame, max_bytes: int, files_per_block: int =
     n = 1
     while True:
         hops = jumps.select(F.col("from").alias("node"), F.col("node").alias("to"), F.col("entered").alias("at"), "starts")
-        more = chain.join(hops, "node").select(F.col("to").alias("node"), F.col("at").alias("entered"),
+        # Merged at every size: a broadcast would send the rows through the driver once a round.
+        more = chain.join(hops.hint("merge"), "node").select(F.col("to").alias("node"), F.col("at").alias("entered"),
                                                (F.col("split") + F.col("starts")).alias("split"))
         chain = materialise(chain.unionByName(more), "chain")
         was, n = n, chain.count()
         if n == was:
             break
         second = jumps.select(F.col("from").alias("mid"), F.col("node").alias("to"), F.col("entered").alias("at"), F.col("starts").alias("more"))
-        jumps = materialise(jumps.join(second, jumps["node"] == second["mid"])
+        jumps = materialise(jumps.join(second.hint("merge"), jumps["node"] == second["mid"])
                             .select("from", F.col("to").alias("node"), F.col("at").alias("entered"),
                                     (F.col("starts") + F.col("more")).alias("starts")), "jumps")
     # Each block takes the next place on the chain at or after its first file; one row for each block.
-    entered = offsets.join(chain.select(F.col("node.block").alias("block"), "entered", "split"), "block", "left")
+    entered = offsets.join(chain.select(F.col("node.block").alias("block"), "entered", "split").hint("merge"), "block", "left")
     ahead = Window.orderBy("block").rowsBetween(0, Window.unboundedFollowing)
-    starts = local.select("block", F.lit(1).alias("one")).distinct().join(entered, "block")
+    starts = local.select("block", F.lit(1).alias("one")).distinct().join(entered.hint("merge"), "block")
     opened = starts.select("block", "offset", F.first("entered", ignorenulls=True).over(ahead).alias("entered"),
                            F.first("split", ignorenulls=True).over(ahead).alias("split"))
-    last = chain.join(nodes.select(F.struct("block", "class").alias("node"), "starts"), "node") \
+    last = chain.join(nodes.select(F.struct("block", "class").alias("node"), "starts").hint("merge"), "node") \
         .agg(F.max(F.col("split") + F.col("starts"))).first()[0]
     head = opened.select("block", F.lit(0).alias("kind"), F.lit(None).cast("bigint").alias("file_id"),
                          F.lit(None).cast("bigint").alias("remainSize"), F.lit(None).cast("bigint").alias("size"),

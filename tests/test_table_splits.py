@@ -60,3 +60,25 @@ def test_empty_and_bad_input(spark):
             ts.plan_table_splits(spark.createDataFrame([(7, bad)], "file_id bigint, remainSize bigint"), 100).collect()
     with pytest.raises(ValueError):
         ts.plan_table_splits(status_df(spark, [(1, 5)]), 1 << 60)
+
+
+def test_rounds_send_no_classes_through_the_driver(spark, monkeypatch):
+    rnd = random.Random(3)
+    sizes = [(fid, rnd.choice([0, 7, 30, 99, 130])) for fid in range(600)]
+    seen, write = [], ts.materialise
+
+    def kept(df, name):
+        seen.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return write(df, name)
+
+    monkeypatch.setattr(ts, "materialise", kept)
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")  # Spark's own default
+    try:
+        out = ts.plan_table_splits(status_df(spark, sizes).repartition(3), 100, 20)
+        plans = [p for n, p in seen if n == "chain"][1:] + [p for n, p in seen if n == "jumps"][1:]
+        plans.append(out._jdf.queryExecution().executedPlan().toString())
+        assert len(plans) > 6 and not any("BroadcastHashJoin" in p for p in plans)
+        assert {r.file_id: r.split_id for r in out.collect()} == fold(sizes, 100)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)

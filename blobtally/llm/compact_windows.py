@@ -57,6 +57,19 @@ def shingle_hashes(words_: list[bytes], size: int = SHINGLE) -> np.ndarray:
     return x
 
 
+def shingle_ids(words_: list[bytes], size: int = SHINGLE) -> np.ndarray:
+    """64-bit numbers of all runs of ``size`` words that tell them apart, in a quarter of the steps of
+    ``shingle_hashes``; their order says nothing, so they are for comparing only."""
+    n = len(words_) - size + 1
+    if n <= 0:
+        return np.zeros(0, np.uint64)
+    w = np.fromiter(map(xxhash.xxh3_64_intdigest, words_), np.uint64, len(words_))
+    x = w[:n] * _ODD[0]
+    for i in range(1, size):
+        x += w[i:i + n] * _ODD[i % len(_ODD)]
+    return x
+
+
 def compact_windows(x: np.ndarray, barrier: np.ndarray, seed: np.uint64, width: int):
     """(hash, c, l, r) of all compact windows of at least ``width`` shingles.
 
@@ -327,6 +340,19 @@ def _regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield complete(np.concatenate(held, axis=1))
 
 
+def _distinct(x: np.ndarray) -> np.ndarray:
+    """The distinct values in order; on short arrays a plain sort beats ``np.unique``."""
+    x = np.sort(x)
+    return x[np.concatenate([[True], x[1:] != x[:-1]])] if len(x) else x
+
+
+def _among(x: np.ndarray, ordered: np.ndarray) -> np.ndarray:
+    """Which entries of ``x`` are in ``ordered``, a sorted array."""
+    if not len(ordered):
+        return np.zeros(len(x), bool)
+    return ordered[np.minimum(np.searchsorted(ordered, x), len(ordered) - 1)] == x
+
+
 def verified(a: list[bytes], b: list[bytes]) -> Iterator[tuple[int, int, int, int, float]]:
     """Passages (start, end, start in b, end in b, similarity) of ``a`` that ``b`` has too.
 
@@ -338,7 +364,7 @@ def verified(a: list[bytes], b: list[bytes]) -> Iterator[tuple[int, int, int, in
         if len(a) >= MIN_WORDS:
             yield 0, len(a), 0, len(b), 1.0
         return
-    xa, xb = shingle_hashes(a), shingle_hashes(b)
+    xa, xb = shingle_ids(a), shingle_ids(b)
 
     def spans(hit: np.ndarray, gap: int) -> list[tuple[int, int]]:
         p = np.flatnonzero(hit)
@@ -346,17 +372,17 @@ def verified(a: list[bytes], b: list[bytes]) -> Iterator[tuple[int, int, int, in
         return list(zip(p[np.concatenate([[0], cuts + 1])].tolist(), (p[np.concatenate([cuts, [len(p) - 1]])] + 1).tolist())) \
             if len(p) else []
 
-    hit = np.isin(xa, xb)
+    hit = _among(xa, np.sort(xb))
     need = MIN_WORDS - SHINGLE + 1
 
     def partner(s: int, e: int, gap: int):
-        mine = np.unique(xa[s:e])
+        mine = _distinct(xa[s:e])
         best = None
-        for u, v in spans(np.isin(xb, mine), gap):
+        for u, v in spans(_among(xb, mine), gap):
             if v - u < need:
                 continue
-            other = np.unique(xb[u:v])
-            both = len(np.intersect1d(mine, other, assume_unique=True))
+            other = _distinct(xb[u:v])
+            both = np.count_nonzero(_among(other, mine))
             j = both / (len(mine) + len(other) - both)
             if best is None or j > best[2]:
                 best = (u, v, j)
@@ -368,11 +394,11 @@ def verified(a: list[bytes], b: list[bytes]) -> Iterator[tuple[int, int, int, in
         todo, seen = [(s, e, 0, len(xb))], set()
         while todo:
             s, e, u, v = todo.pop()
-            for p, q in spans(np.isin(xa[s:e], xb[u:v]), MAX_GAP):
+            for p, q in spans(_among(xa[s:e], np.sort(xb[u:v])), MAX_GAP):
                 if q - p < need:
                     continue
-                mine = xa[s + p:s + q]
-                for y, z in spans(np.isin(xb[u:v], mine), MAX_GAP):
+                mine = _distinct(xa[s + p:s + q])
+                for y, z in spans(_among(xb[u:v], mine), MAX_GAP):
                     pair = (s + p, s + q, u + y, u + z)
                     if z - y < need:
                         continue
@@ -381,9 +407,9 @@ def verified(a: list[bytes], b: list[bytes]) -> Iterator[tuple[int, int, int, in
                             seen.add(pair)
                             todo.append(pair)
                         continue
-                    one, other = np.unique(mine), np.unique(xb[u:v])
-                    both = len(np.intersect1d(one, other, assume_unique=True))
-                    j = both / (len(one) + len(other) - both)
+                    other = _distinct(xb[u:v])
+                    both = np.count_nonzero(_among(other, mine))
+                    j = both / (len(mine) + len(other) - both)
                     if j >= MIN_SIMILARITY and ((s, e) not in out or j > out[s, e][2]):
                         out[s, e] = (u, v, j)
         return out

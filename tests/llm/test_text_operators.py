@@ -250,3 +250,13 @@ def test_a_frequent_line_is_spread_over_ranges(make_docs, prose, monkeypatch, ke
     held = sm._shared_bands(texts)[0].groupBy("shift", "reach", "key").count()
     assert held.where("reach > 0").agg(F.max("count")).first()[0] <= 60
     assert held.where(f"reach < {sm._REACH}").count() > 0
+
+
+def test_checks_compare_shingles_by_sorted_numbers():
+    rnd = np.random.default_rng(4)
+    for n in (0, 1, 5, 40, 300):
+        words = [b"w%d" % i for i in rnd.integers(0, 6, n)]
+        ids, hashes = cw.shingle_ids(words), cw.shingle_hashes(words)
+        assert len(ids) == len(hashes) and np.array_equal(ids[:, None] == ids, hashes[:, None] == hashes)
+        x, y = rnd.integers(0, 50, n).astype(np.uint64), rnd.integers(0, 50, n // 2).astype(np.uint64)
+        assert np.array_equal(cw._distinct(x), np.unique(x)) and np.array_equal(cw._among(x, np.sort(y)), np.isin(x, y))

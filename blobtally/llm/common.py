@@ -17,6 +17,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]"
 #: A side of a join is broadcast only below this many rows, which are counted first.
 BROADCAST_ROWS = 300_000
+_DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 _scopes: list[list[str]] = []
@@ -45,12 +46,19 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back.
 
     This cuts the lineage with a copy every executor can read, so a lost executor costs the
-    tasks that were running and nothing before them.
+    tasks that were running and nothing before them. The shuffle files of the write go as it ends;
+    else they stay until the driver happens to collect its garbage.
     """
     path = scratch_path(df.sparkSession, name)
     for tables in _scopes:
         tables.append(path)
-    df.write.parquet(path)
+    conf = df.sparkSession.conf
+    before = conf.get(_DROP_SHUFFLES)
+    conf.set(_DROP_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set(_DROP_SHUFFLES, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

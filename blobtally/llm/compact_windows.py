@@ -14,16 +14,16 @@ therefore grouped again, by the shingles around them and by each run of 50 words
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from blobtally.llm.common import WORD, materialise, mix64, runs, small_side, window_minima, words
+from blobtally.llm.common import WORD, collect_tables, drop_tables, materialise, mix64, runs, small_side, window_minima, words
 
 SHINGLE, MIN_WORDS, MIN_SIMILARITY = 5, 50, 0.8
 #: Hash functions, and how many of them must agree on a passage before it is verified. A passage
@@ -78,8 +78,9 @@ def compact_windows(x: np.ndarray, barrier: np.ndarray, seed: np.uint64, width:
     """
     h = mix64(x ^ seed) | np.uint64(1)
     h[barrier] = 0
-    at = window_minima(h, width)
-    at = np.union1d(at, np.flatnonzero(barrier))
+    least = barrier.copy()
+    least[window_minima(h, width)] = True
+    at = np.flatnonzero(least)
     v = h[at]
     left, right = np.arange(len(at)) - 1, np.arange(len(at)) + 1
     inner = np.flatnonzero(v)
@@ -101,10 +102,13 @@ def _folded(key: np.ndarray, own: list[np.ndarray], names: list[str]) -> pa.Reco
     part in the shuffle by key (with what its document has of that key besides): a frequent
     passage arrives once for each block. Such rows are dealt at random and keep their key.
     ``own`` holds uid, at, and what else a row carries."""
-    order = np.lexsort((own[1], own[0], key))
+    order = np.argsort(key)
+    edges = runs(key[order])
+    many = np.repeat(np.diff(edges) > 1, np.diff(edges))
+    tied = order[many]
+    order[many] = tied[np.lexsort((own[1][tied], own[0][tied], key[tied]))]
     key, own = key[order], [z[order] for z in own]
     uid, at = own[:2]
-    edges = runs(key)
     first = np.repeat(edges[:-1], np.diff(edges))
     rest = uid[first] != uid
     slot = np.where(rest, mix64((uid ^ at).view(np.uint64)).view(np.int64), key)
@@ -167,40 +171,24 @@ def _windows(width: int):
 
 
 _ROW = "slot long, uid long, at long, reach long, rep_uid long, rep_at long, rep_reach long, key long"
-_PAIR = _ROW.removeprefix("slot long, ")
 _WINDOW_ROW = "slot long, uid long, at long, reach long, around int, " \
               "rep_uid long, rep_at long, rep_reach long, rep_around int, key long"
-_WINDOW_PAIR = _WINDOW_ROW.removeprefix("slot long, ")
 
 
-def _pair_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (slot, uid, at): each one but the first of its slot with that first one.
+def _paired(rows: DataFrame) -> DataFrame:
+    """Each row but the first of its slot, by uid and place, with that first one; rows that know
+    theirs keep it.
 
     Rows of the first one's own document are paired too.
     """
-    head = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        n = (batch.num_columns - 2) // 2
-        slot, *own = (batch.column(i).to_numpy() for i in range(n + 1))
-        known = batch.column(n + 1).is_valid().to_numpy(zero_copy_only=False)
-        rep = [batch.column(n + 1 + i).fill_null(0).to_numpy() for i in range(n)]
-        edges = runs(slot)
-        first = np.repeat(edges[:-1], np.diff(edges))
-        mine = [z[first] for z in own]
-        keep = known | (first != np.arange(len(slot)))
-        if head is not None and slot[0] == head[0]:
-            mine = [np.where(first == 0, h, m) for h, m in zip(head[1:], mine)]
-            keep[0] = True
-        else:
-            head = None
-        last = edges[-2]
-        if last > 0 or head is None:
-            head = (slot[last], *(z[last] for z in own))
-        cols = [np.where(known, r, m) for r, m in zip(rep, mine)]
-        cols.append(np.where(known, batch.column(2 * n + 1).fill_null(0).to_numpy(), slot))
-        yield pa.RecordBatch.from_arrays([pa.array(z[keep]) for z in (*own, *cols)], names=batch.schema.names[1:])
+    own = [c.removeprefix("rep_") for c in rows.columns if c.startswith("rep_")]
+    slot = Window.partitionBy("slot").orderBy("uid", "at")
+    led = rows.select("*", *[F.first(c).over(slot).alias(f"first_{c}") for c in own])
+    known = F.col("rep_uid").isNotNull()
+    later = (F.col("uid") != F.col("first_uid")) | (F.col("at") != F.col("first_at"))
+    return led.where(known | later).select(
+        *own, *[F.when(known, F.col(f"rep_{c}")).otherwise(F.col(f"first_{c}")).alias(f"rep_{c}") for c in own],
+        F.when(known, F.col("key")).otherwise(F.col("slot")).alias("key"))
 
 
 def _run_hashes(x: np.ndarray, lengths: set[int], width: int) -> dict[int, np.ndarray]:
@@ -360,30 +348,45 @@ def verified(a: list[bytes], b: list[bytes]) -> Iterator[tuple[int, int, int, in
     passage; if that is not similar enough, it is cut where its partner is, on both sides in turn,
     and each pair of parts is compared; last, its unbroken parts are tried.
     """
-    if a == b:
-        if len(a) >= MIN_WORDS:
-            yield 0, len(a), 0, len(b), 1.0
-        return
-    xa, xb = shingle_ids(a), shingle_ids(b)
+    return _alike(shingle_ids(a), shingle_ids(b))
 
-    def spans(hit: np.ndarray, gap: int) -> list[tuple[int, int]]:
-        p = np.flatnonzero(hit)
-        cuts = np.flatnonzero(np.diff(p) > gap)
-        return list(zip(p[np.concatenate([[0], cuts + 1])].tolist(), (p[np.concatenate([cuts, [len(p) - 1]])] + 1).tolist())) \
-            if len(p) else []
 
-    hit = _among(xa, np.sort(xb))
+def _spans(hit: np.ndarray, gap: int, least: int) -> list[tuple[int, int]]:
+    """Stretches of ``least`` entries or more whose hits stand no further apart than ``gap``."""
+    p = hit.nonzero()[0]
+    if not len(p):
+        return []
+    cuts = (p[1:] - p[:-1] > gap).nonzero()[0]
+    starts, ends = [int(p[0]), *p[cuts + 1].tolist()], [*p[cuts].tolist(), int(p[-1])]
+    return [(s, e + 1) for s, e in zip(starts, ends) if e + 1 - s >= least]
+
+
+def _alike(xa: np.ndarray, xb: np.ndarray) -> Iterator[tuple[int, int, int, int, float]]:
+    """``verified`` on the numbers of the shingles."""
     need = MIN_WORDS - SHINGLE + 1
+    if np.array_equal(xa, xb):
+        if len(xa) >= need:
+            yield 0, len(xa) + SHINGLE - 1, 0, len(xb) + SHINGLE - 1, 1.0
+        return
+    # The shingles are numbered from 0, so that sets of them are marks in an array.
+    known = _distinct(np.concatenate([xa, xb]))
+    xa, xb = np.searchsorted(known, xa), np.searchsorted(known, xb)
+
+    def marks(x: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(known), bool)
+        out[x] = True
+        return out
+
+    def likeness(mine: np.ndarray, n: int, x: np.ndarray) -> float:
+        other = marks(x)
+        both = np.count_nonzero(other & mine)
+        return both / (n + np.count_nonzero(other) - both)
 
     def partner(s: int, e: int, gap: int):
-        mine = _distinct(xa[s:e])
-        best = None
-        for u, v in spans(_among(xb, mine), gap):
-            if v - u < need:
-                continue
-            other = _distinct(xb[u:v])
-            both = np.count_nonzero(_among(other, mine))
-            j = both / (len(mine) + len(other) - both)
+        mine = marks(xa[s:e])
+        n, best = np.count_nonzero(mine), None
+        for u, v in _spans(mine[xb], gap, need):
+            j = likeness(mine, n, xb[u:v])
             if best is None or j > best[2]:
                 best = (u, v, j)
         return best
@@ -394,29 +397,22 @@ def verified(a: list[bytes], b: list[bytes]) -> Iterator[tuple[int, int, int, in
         todo, seen = [(s, e, 0, len(xb))], set()
         while todo:
             s, e, u, v = todo.pop()
-            for p, q in spans(_among(xa[s:e], np.sort(xb[u:v])), MAX_GAP):
-                if q - p < need:
-                    continue
-                mine = _distinct(xa[s + p:s + q])
-                for y, z in spans(_among(xb[u:v], mine), MAX_GAP):
+            for p, q in _spans(marks(xb[u:v])[xa[s:e]], MAX_GAP, need):
+                mine = marks(xa[s + p:s + q])
+                for y, z in _spans(mine[xb[u:v]], MAX_GAP, need):
                     pair = (s + p, s + q, u + y, u + z)
-                    if z - y < need:
-                        continue
                     if pair != (s, e, u, v):
                         if pair not in seen:
                             seen.add(pair)
                             todo.append(pair)
                         continue
-                    other = _distinct(xb[u:v])
-                    both = np.count_nonzero(_among(other, mine))
-                    j = both / (len(mine) + len(other) - both)
+                    j = likeness(mine, np.count_nonzero(mine), xb[u:v])
                     if j >= MIN_SIMILARITY and ((s, e) not in out or j > out[s, e][2]):
                         out[s, e] = (u, v, j)
         return out
 
-    for s, e in spans(hit, MAX_GAP):
-        if e - s < need:
-            continue
+    hit = marks(xb)[xa]
+    for s, e in _spans(hit, MAX_GAP, need):
         best = partner(s, e, MAX_GAP)
         if best and best[2] >= MIN_SIMILARITY:
             yield s, e + SHINGLE - 1, best[0], best[1] + SHINGLE - 1, best[2]
@@ -424,28 +420,29 @@ def verified(a: list[bytes], b: list[bytes]) -> Iterator[tuple[int, int, int, in
         parts = aligned(s, e)
         for (p, q), (u, v, j) in sorted(parts.items()):
             yield p, q + SHINGLE - 1, u, v + SHINGLE - 1, j
-        for p, q in spans(hit[s:e], 1):
-            if q - p >= need and not any(u <= s + p and s + q <= v for u, v in parts):
+        for p, q in _spans(hit[s:e], 1, need):
+            if not any(u <= s + p and s + q <= v for u, v in parts):
                 best = partner(s + p, s + q, 1)
                 if best and best[2] >= MIN_SIMILARITY:
                     yield s + p, s + q + SHINGLE - 1, best[0], best[1] + SHINGLE - 1, best[2]
 
 
-def _split_once():
-    """A function of (uid, text) that gives the words; the last document's are kept."""
+def _once(made: Callable[[list[bytes]], Sequence]):
+    """A function of (uid, text) that gives what ``made`` makes of the words; the last document's
+    is kept."""
     last: list = [None, []]
 
-    def split(uid: int, text: pa.BinaryScalar) -> list[bytes]:
+    def get(uid: int, text: pa.BinaryScalar) -> Sequence:
         if last[0] != uid:
-            last[:] = uid, text.as_py().lower().split()
+            last[:] = uid, made(text.as_py().lower().split())
         return last[1]
 
-    return split
+    return get
 
 
 def _cut_source(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Candidates with the source's text, in its order, to candidates with the words in question."""
-    split = _split_once()
+    split = _once(list)
     for batch in batches:
         meta = [batch.column(n).to_pylist() for n in ("rep_uid", "rep_lo", "rep_hi")]
         part = [b" ".join(split(uid, text)[s:e + SHINGLE]) for uid, s, e, text in zip(*meta, batch.column("text"))]
@@ -456,12 +453,12 @@ def _cut_source(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     fields = ["uid", "lo", "hi", "rep_uid", "rep_lo"]
-    split = _split_once()
+    numbered = _once(shingle_ids)
     for batch in batches:
         out = []
         meta = [batch.column(n).to_pylist() for n in fields]
         for uid, lo, hi, rep, rep_lo, source, text in zip(*meta, batch.column("source"), batch.column("text")):
-            for s, e, u, v, j in verified(split(uid, text)[lo:hi + SHINGLE], source.as_py().split()):
+            for s, e, u, v, j in _alike(numbered(uid, text)[lo:hi + 1], shingle_ids(source.as_py().split())):
                 out.append((uid, rep, lo + s, lo + e, rep_lo + u, rep_lo + v, j))
         cols = list(zip(*out)) or [[]] * 7
         types = [pa.int64()] * 6 + [pa.float64()]
@@ -478,15 +475,19 @@ def _with_uid(docs: DataFrame) -> DataFrame:
     return marked.withColumn("uid", F.when(F.col("is_bad"), fresh).otherwise(F.col("doc_id"))).drop("bad", "is_bad")
 
 
+def _digest():
+    return F.unhex(F.md5("text")).alias("digest")
+
+
 def _passages(base: DataFrame) -> DataFrame:
-    """Verified passages between rows of ``base(uid, text)``, a written table."""
+    """Verified passages between rows of ``base(uid, text, digest)``, a written table."""
     width = MIN_WORDS - SHINGLE + 1
     # Of equal texts the least uid stands for all; whole copies are reported from here, and only
     # one of them goes on.
-    given = base.where(F.col("text").isNotNull())
-    copies = given.groupBy(F.md5("text").alias("digest")) \
+    given = base.where(F.col("digest").isNotNull())
+    copies = given.groupBy("digest") \
         .agg(F.min("uid").alias("rep_uid"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    copies = given.select("uid", F.md5("text").alias("digest")) \
+    copies = given.select("uid", "digest") \
         .join(copies, "digest").where(F.col("uid") != F.col("rep_uid")).select("uid", "rep_uid")
     copies = materialise(copies, "copies")
     n_copies = copies.count()
@@ -499,8 +500,8 @@ def _passages(base: DataFrame) -> DataFrame:
         .select("uid", F.col("text").cast("binary").alias("text"))
 
     windows = texts.mapInArrow(_windows(width), _WINDOW_ROW)
-    pairs = windows.repartition("slot").sortWithinPartitions("slot", "uid", "at").mapInArrow(_pair_up, _WINDOW_PAIR)
-    pairs = materialise(pairs, "window_pairs")
+    with collect_tables() as tables:
+        pairs = materialise(_paired(windows), "window_pairs")
     linked = pairs.where(F.col("uid") != F.col("rep_uid"))
     regions = linked.select("uid", "at", "reach", "rep_uid", "rep_at", "rep_reach") \
         .repartition("uid").sortWithinPartitions("uid", "at") \
@@ -517,13 +518,14 @@ def _passages(base: DataFrame) -> DataFrame:
     n_open = still.count()
     if n_open:
         again = _open_windows(pairs.join(small_side(still, n_open), "key", "left_semi"))
+        drop_tables(base.sparkSession, tables)
         n_windows = again.agg(F.sum(F.size("windows"))).first()[0] or 0
         rows = texts.join(small_side(again, n_windows), "uid").select("uid", "windows", "text").mapInArrow(_open_rows(width), _ROW)
-        more = rows.repartition("slot").sortWithinPartitions("slot", "uid", "at").mapInArrow(_pair_up, _PAIR)
-        regions = more.where(F.col("uid") != F.col("rep_uid")).groupBy("uid", "rep_uid").agg(
+        regions = _paired(rows).where(F.col("uid") != F.col("rep_uid")).groupBy("uid", "rep_uid").agg(
             F.min("at").alias("lo"), F.max("reach").alias("hi"),
             F.min("rep_at").alias("rep_lo"), F.max("rep_reach").alias("rep_hi"))
-        more = _checked(texts, regions.select("uid", "lo", "hi", "rep_uid", "rep_lo", "rep_hi"))
+        regions = materialise(regions.select("uid", "lo", "hi", "rep_uid", "rep_lo", "rep_hi"), "regions_of_all")
+        more = _checked(texts, regions)
         found = _widest(materialise(found.union(more), "passages_of_all"))
     return materialise(whole.union(found).distinct(), "passages")
 
@@ -540,10 +542,13 @@ def _open_windows(pairs: DataFrame) -> DataFrame:
     sides = F.array(*[F.when(part != 0, F.xxhash64("key", F.lit(i), part)) for i, part in enumerate(
         (F.shiftrightunsigned("around", 16), F.col("around").bitwiseAND(0xFFFF)))])
     rows = rows.select("uid", "at", "reach", F.explode(sides).alias("side")).where(F.col("side").isNotNull())
-    rows = materialise(rows, "open_sides")
+    with collect_tables() as tables:
+        rows = materialise(rows, "open_sides")
     shared = materialise(rows.groupBy("side").count().where("count > 1").select("side"), "shared_sides")
     rows = rows.join(small_side(shared, shared.count()), "side", "left_semi")
-    return materialise(rows.groupBy("uid").agg(F.collect_set(F.struct("at", "reach")).alias("windows")), "open_windows")
+    out = materialise(rows.groupBy("uid").agg(F.collect_set(F.struct("at", "reach")).alias("windows")), "open_windows")
+    drop_tables(pairs.sparkSession, tables)
+    return out
 
 
 def _widest(found: DataFrame) -> DataFrame:
@@ -564,11 +569,13 @@ def _checked(texts: DataFrame, regions: DataFrame) -> DataFrame:
 
     The words in question of the source go to the later document, whose text stays whole. Both
     joins deal by the document, so texts are dealt once; a document that many need is split by
-    the skew handling of the join.
+    the skew handling of the join. What the first one cuts is written, so that the texts dealt for
+    it are off the disk before the second one deals them.
     """
     by_source = texts.withColumnRenamed("uid", "rep_uid").join(regions.hint("merge"), "rep_uid")
     cut = by_source.select("uid", "lo", "hi", "rep_uid", "rep_lo", "rep_hi", "text") \
         .mapInArrow(_cut_source, "uid long, lo long, hi long, rep_uid long, rep_lo long, source binary")
+    cut = materialise(cut, "source_words")
     ready = texts.join(cut.hint("merge"), "uid").select("uid", "lo", "hi", "rep_uid", "rep_lo", "source", "text")
     return ready.mapInArrow(_verify, "uid long, rep_uid long, start_word long, end_word long, "
                                       "source_start long, source_end long, similarity double")
@@ -584,8 +591,8 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     short texts have no passage. Documents whose doc_id is null or repeated come before the
     others, in any order, and are reported by that doc_id.
     """
-    base = materialise(_with_uid(docs.select("doc_id", "text")), "documents_by_uid")
-    found = _passages(base.select("uid", "text"))
+    base = materialise(_with_uid(docs.select("doc_id", "text")).select("*", _digest()), "documents_by_uid")
+    found = _passages(base.select("uid", "text", "digest"))
     odd = base.where(F.col("uid") < 0).select("uid", "doc_id")
     out = found
     for key, name in (("uid", "doc_id"), ("rep_uid", "source_doc_id")):
@@ -615,8 +622,9 @@ def drop_repeats(docs: DataFrame) -> DataFrame:
     which no word is left goes; one that had no word to begin with stays.
     """
     full = docs.select(F.struct(*docs.columns).alias("row"), "doc_id")
-    base = materialise(_with_uid(full).select("row", "uid"), "documents_by_uid").withColumn("text", F.col("row")["text"])
-    found = _passages(base.select("uid", "text"))
+    base = _with_uid(full).withColumn("text", F.col("row")["text"]).select("row", "uid", _digest())
+    base = materialise(base, "documents_by_uid").withColumn("text", F.col("row")["text"])
+    found = _passages(base.select("uid", "text", "digest"))
     spans = materialise(found.groupBy("uid").agg(F.collect_set(F.struct("start_word", "end_word")).alias("spans")), "repeats")
     n_spans = spans.agg(F.sum(F.size("spans"))).first()[0] or 0
     cut = base.join(small_side(spans, n_spans), "uid", "left")

@@ -23,7 +23,18 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from blobtally.llm.common import WORD, collect_tables, drop_tables, materialise, mix64, runs, small_side, window_minima, words
+from blobtally.llm.common import (
+    WORD,
+    collect_tables,
+    drop_tables,
+    materialise,
+    mix64,
+    runs,
+    small_side,
+    window_minima,
+    with_values,
+    words,
+)
 
 SHINGLE, MIN_WORDS, MIN_SIMILARITY = 5, 50, 0.8
 #: Hash functions, and how many of them must agree on a passage before it is verified. A passage
@@ -45,12 +56,19 @@ _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD
 _SEEDS = mix64(np.arange(1, 65, dtype=np.uint64) * _ODD[0])
 
 
+def _word_hashes(words_: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words_), np.uint64, len(words_))
+
+
 def shingle_hashes(words_: list[bytes], size: int = SHINGLE) -> np.ndarray:
     """64-bit hashes of all runs of ``size`` words."""
-    n = len(words_) - size + 1
+    return _hashes_of_runs(_word_hashes(words_), size)
+
+
+def _hashes_of_runs(w: np.ndarray, size: int = SHINGLE) -> np.ndarray:
+    n = len(w) - size + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    w = np.fromiter(map(xxhash.xxh3_64_intdigest, words_), np.uint64, len(words_))
     x = np.zeros(n, np.uint64)
     for i in range(size):
         x = mix64(x + w[i:i + n] * _ODD[i % len(_ODD)])
@@ -63,13 +81,29 @@ def shingle_ids(words_: list[bytes], size: int = SHINGLE) -> np.ndarray:
     n = len(words_) - size + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    w = np.fromiter(map(xxhash.xxh3_64_intdigest, words_), np.uint64, len(words_))
+    w = _word_hashes(words_)
     x = w[:n] * _ODD[0]
     for i in range(1, size):
         x += w[i:i + n] * _ODD[i % len(_ODD)]
     return x
 
 
+def _in_a_row(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The shingle hashes of documents (given as word hashes) with an entry before, between and behind
+    them, where each document starts, and which entries are such barriers."""
+    sizes = np.array([len(p) for p in parts])
+    ends = np.cumsum(sizes)
+    x = np.concatenate([np.zeros(1, np.uint64), _hashes_of_runs(np.concatenate(parts)), np.zeros(SHINGLE - 1, np.uint64)])
+    barrier, keep = np.zeros(len(x), bool), np.ones(len(x), bool)
+    barrier[0] = True
+    barrier[ends - SHINGLE + 2] = True
+    x[barrier] = 0
+    for i in range(SHINGLE - 2):  # shingles that run on into the next document
+        keep[ends - i] = False
+    starts = 1 + np.cumsum(sizes - SHINGLE + 2) - (sizes - SHINGLE + 2)
+    return x[keep], starts, barrier[keep]
+
+
 def compact_windows(x: np.ndarray, barrier: np.ndarray, seed: np.uint64, width: int):
     """(hash, c, l, r) of all compact windows of at least ``width`` shingles.
 
@@ -112,10 +146,9 @@ def _folded(key: np.ndarray, own: list[np.ndarray], names: list[str]) -> pa.Reco
     first = np.repeat(edges[:-1], np.diff(edges))
     rest = uid[first] != uid
     slot = np.where(rest, mix64((uid ^ at).view(np.uint64)).view(np.int64), key)
-    cols = [pa.array(slot), *map(pa.array, own)]
-    cols += [pa.array(z[first], mask=~rest) for z in own]
-    cols += [pa.array(key, mask=~rest)]
-    return pa.RecordBatch.from_arrays(cols, names=names)
+    rep = pa.StructArray.from_arrays([*(pa.array(z[first]) for z in own), pa.array(key)],
+                                     [*names, "key"], mask=pa.array(~rest))
+    return pa.RecordBatch.from_arrays([pa.array(slot), *map(pa.array, own), rep], names=["slot", *names, "rep"])
 
 
 def _around(near: np.ndarray, c: np.ndarray, l: np.ndarray, r: np.ndarray) -> np.ndarray:
@@ -129,16 +162,8 @@ def _around(near: np.ndarray, c: np.ndarray, l: np.ndarray, r: np.ndarray) -> np
 
 
 def _windows(width: int):
-    names = ["slot", "uid", "at", "reach", "around", "rep_uid", "rep_at", "rep_reach", "rep_around", "key"]
-
     def block(ids: list[int], parts: list[np.ndarray]) -> pa.RecordBatch:
-        gap = np.zeros(1, np.uint64)
-        x = np.concatenate([gap, *[y for p in parts for y in (p, gap)]])
-        sizes = np.array([len(p) + 1 for p in parts])
-        starts = np.concatenate([[1], 1 + np.cumsum(sizes)[:-1]])
-        barrier = np.zeros(len(x), bool)
-        barrier[0] = True
-        barrier[np.cumsum(sizes)] = True
+        x, starts, barrier = _in_a_row(parts)
         near = _run_hashes(x, set(), _NEAR)[_NEAR]
         got = []
         for f in range(N_HASHES):
@@ -147,7 +172,7 @@ def _windows(width: int):
             got.append((key.view(np.int64), np.asarray(ids, np.int64)[doc],
                         (c - starts[doc]) * 64 + f, ((c - l) << 32) + (r - c), _around(near, c, l, r)))
         key, *own = (np.concatenate(z) for z in zip(*got))
-        return _folded(key, own, names)
+        return _folded(key, own, ["uid", "at", "reach", "around"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids: list[int] = []
@@ -155,12 +180,13 @@ def _windows(width: int):
         held = 0
         for batch in batches:
             for uid, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                x = shingle_hashes((text.as_py() or b"").lower().split())
-                if len(x) < width:
+                split = (text.as_py() or b"").lower().split()
+                n = len(split) - SHINGLE + 1
+                if n < width:
                     continue
                 ids.append(uid)
-                parts.append(x)
-                held += len(x)
+                parts.append(_word_hashes(split))
+                held += n
                 if held >= _BLOCK_WORDS:
                     yield block(ids, parts)
                     ids, parts, held = [], [], 0
@@ -170,9 +196,9 @@ def _windows(width: int):
     return run
 
 
-_ROW = "slot long, uid long, at long, reach long, rep_uid long, rep_at long, rep_reach long, key long"
+_ROW = "slot long, uid long, at long, reach long, rep struct<uid: long, at: long, reach: long, key: long>"
 _WINDOW_ROW = "slot long, uid long, at long, reach long, around int, " \
-              "rep_uid long, rep_at long, rep_reach long, rep_around int, key long"
+              "rep struct<uid: long, at: long, reach: long, around: int, key: long>"
 
 
 def _paired(rows: DataFrame) -> DataFrame:
@@ -181,14 +207,14 @@ def _paired(rows: DataFrame) -> DataFrame:
 
     Rows of the first one's own document are paired too.
     """
-    own = [c.removeprefix("rep_") for c in rows.columns if c.startswith("rep_")]
-    slot = Window.partitionBy("slot").orderBy("uid", "at")
+    own = [c for c in rows.columns if c not in ("slot", "rep")]
+    slot = Window.partitionBy("slot").orderBy("uid", "at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     led = rows.select("*", *[F.first(c).over(slot).alias(f"first_{c}") for c in own])
-    known = F.col("rep_uid").isNotNull()
+    known = F.col("rep").isNotNull()
     later = (F.col("uid") != F.col("first_uid")) | (F.col("at") != F.col("first_at"))
     return led.where(known | later).select(
-        *own, *[F.when(known, F.col(f"rep_{c}")).otherwise(F.col(f"first_{c}")).alias(f"rep_{c}") for c in own],
-        F.when(known, F.col("key")).otherwise(F.col("slot")).alias("key"))
+        *own, *[F.when(known, F.col("rep")[c]).otherwise(F.col(f"first_{c}")).alias(f"rep_{c}") for c in own],
+        F.when(known, F.col("rep")["key"]).otherwise(F.col("slot")).alias("key"))
 
 
 def _run_hashes(x: np.ndarray, lengths: set[int], width: int) -> dict[int, np.ndarray]:
@@ -207,45 +233,66 @@ def _run_hashes(x: np.ndarray, lengths: set[int], width: int) -> dict[int, np.nd
 def _open_rows(width: int):
     """Rows (uid, windows (at, reach), text) to rows keyed by the runs of shingles around the
     minima; ``at`` and ``reach`` become the first and the last shingle of the window."""
-    names = ["slot", "uid", "at", "reach", "rep_uid", "rep_at", "rep_reach", "key"]
+    functions = mix64(np.arange(64, dtype=np.uint64))
 
-    def keyed(uid: int, at: np.ndarray, reach: np.ndarray, text: bytes) -> np.ndarray:
-        x = shingle_hashes(text.lower().split())
+    def keyed(ids: list[int], windows: list[pa.StructArray], parts: list[np.ndarray]) -> tuple[np.ndarray, list[int]]:
+        """The rows in the order of the documents, and where those of each one end."""
+        x, starts, _ = _in_a_row(parts)
         runs_ = _run_hashes(x, {n for _, n in _CONTEXTS}, width)
-        c, f = at // 64, (at % 64).astype(np.uint64)
+        doc = np.repeat(np.arange(len(ids)), [len(w) for w in windows])
+        at, reach = (np.concatenate([w.field(i).to_numpy() for w in windows]) for i in (0, 1))
+        c, f = at // 64 + starts[doc], at % 64
         l, r = c - (reach >> 32), c + (reach & 0xFFFFFFFF)
         got = []
         for kind, (before, n) in enumerate(_CONTEXTS):
             s = c - before
             ok = (s >= l) & (s + n - 1 <= r)
-            k = mix64(runs_[n][s[ok]] ^ _SEEDS[8 + kind] ^ mix64(f[ok]))
-            got.append(np.stack([k.view(np.int64), l[ok], r[ok]]))
+            k = mix64(runs_[n][s[ok]] ^ _SEEDS[8 + kind] ^ functions[f[ok]])
+            got.append(np.stack([k.view(np.int64), doc[ok], l[ok], r[ok]]))
         # Every run of the shortest length over a minimum. A run has one minimum under each function,
         # and equal runs have it at the same place, so one function brings them all.
-        c, l, r = c[f == 0], l[f == 0], r[f == 0]
+        doc, c, l, r = doc[f == 0], c[f == 0], l[f == 0], r[f == 0]
         lo, hi = np.maximum(l, c - width + 1), np.minimum(c, r - width + 1)
         n = hi - lo + 1
         s = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        got.append(np.stack([runs_[width][s].view(np.int64), np.repeat(l, n), np.repeat(r, n)]))
-        key, l, r = np.concatenate(got, axis=1)
-        return np.stack([key, np.full(len(key), uid), l, r])
+        got.append(np.stack([runs_[width][s].view(np.int64), np.repeat(doc, n), np.repeat(l, n), np.repeat(r, n)]))
+        got = np.concatenate(got, axis=1)
+        key, doc, l, r = got[:, np.argsort(got[1], kind="stable")]
+        ends = np.cumsum(np.bincount(doc, minlength=len(ids))).tolist()
+        return np.stack([key, np.asarray(ids, np.int64)[doc], l - starts[doc], r - starts[doc]]), ends
 
     def folded(held: list[np.ndarray]) -> pa.RecordBatch:
         key, *own = np.concatenate(held, axis=1)
-        return _folded(key, own, names)
+        return _folded(key, own, ["uid", "at", "reach"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-        size = 0
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list, list]]:
+        docs: tuple[list, list, list] = [], [], []
+        held = 0
         for batch in batches:
             for uid, windows, text in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
-                at, reach = (windows.values.field(i).to_numpy() for i in (0, 1))
-                held.append(keyed(uid, at, reach, text.as_py()))
-                size += held[-1].shape[1]
-                if size >= _BLOCK_WORDS:
-                    yield folded(held)
-                    held, size = [], 0
+                docs[0].append(uid)
+                docs[1].append(windows.values)
+                docs[2].append(_word_hashes(text.as_py().lower().split()))
+                held += len(docs[2][-1])
+                if held >= _BLOCK_WORDS // 8:
+                    yield docs
+                    docs, held = ([], [], []), 0
         if held:
+            yield docs
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        size = 0
+        for docs in blocks(batches):
+            rows, ends = keyed(*docs)
+            start = 0
+            for end in ends:
+                if size + end - start >= _BLOCK_WORDS:
+                    yield folded([*held, rows[:, start:end]])
+                    held, size, start = [], 0, end
+            held.append(rows[:, start:])
+            size += ends[-1] - start
+        if size:
             yield folded(held)
 
     return run
@@ -491,8 +538,9 @@ def _passages(base: DataFrame) -> DataFrame:
         .join(copies, "digest").where(F.col("uid") != F.col("rep_uid")).select("uid", "rep_uid")
     copies = materialise(copies, "copies")
     n_copies = copies.count()
-    whole = base.join(small_side(copies, n_copies), "uid").select(
-        "uid", "rep_uid", F.size(words(F.col("text"))).cast("long").alias("n")).where(F.col("n") >= MIN_WORDS)
+    # Words are counted behind the join: a plain filter by them would be moved below it, to all texts.
+    whole = with_values(base.join(small_side(copies, n_copies), "uid").select("uid", "rep_uid", "text"),
+                        n=F.size(words(F.col("text"))).cast("long")).where(F.col("n") >= MIN_WORDS)
     whole = whole.select("uid", "rep_uid", F.lit(0).cast("long").alias("start_word"), F.col("n").alias("end_word"),
                          F.lit(0).cast("long").alias("source_start"), F.col("n").alias("source_end"),
                          F.lit(1.0).alias("similarity"))

@@ -82,3 +82,50 @@ def test_rounds_send_no_classes_through_the_driver(spark, monkeypatch):
         assert {r.file_id: r.split_id for r in out.collect()} == fold(sizes, 100)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+
+
+def test_run_classes_follow_the_chain_over_pieces():
+    rnd = random.Random(8)
+    for _ in range(200):
+        sizes = np.array([rnd.choice([0, 0, 1, 3, 10, 25]) for _ in range(rnd.randint(1, 60))])
+        run, at = ts.RunClasses(25), 0
+        while at < len(sizes):
+            n = rnd.randint(1, 12)
+            run.extend(sizes[at:at + n])
+            at += n
+        before = np.cumsum(sizes) - sizes
+        assert (run.bytes, run.last) == (sizes.sum(), before[-1])
+        for place in range(int(min(25, before[-1])) + 1):  # what a split from before the run can end at
+            i, n = int(np.searchsorted(before, place)), 1
+            while (j := int(np.searchsorted(before, before[i] + 25))) < len(sizes):
+                i, n = j, n + 1
+            k = int(np.searchsorted(run.upto, place))
+            leaves = int(run.leaves[k])
+            assert leaves > run.last and (leaves, run.starts[k]) == (before[i] + 25, n)
+
+
+@pytest.mark.parametrize("cap, sizes", [(100, [0, 1, 7, 30, 99, 130]), (5000, [0, 1, 2]), (1 << 57, [M, 1 << 56, (1 << 57) - 1, 5])])
+def test_cut_runs_equal_the_sequential_fold(spark, monkeypatch, cap, sizes):
+    monkeypatch.setattr(ts, "_RUN_CLASSES", 4)
+    monkeypatch.setattr(ts, "_PIECE_FILES", 9)
+    rnd = random.Random(11)
+    files = [(fid, rnd.choice(sizes)) for fid in rnd.sample([*range(900), *range(10**12, 10**12 + 900)], 400)]
+    got = {r.file_id: r.split_id for r in ts.plan_table_splits(status_df(spark, files).repartition(5), cap, 16).collect()}
+    assert got == fold([(fid, min(size, cap)) for fid, size in files], cap)
+
+
+def test_rounds_work_on_runs_of_blocks(spark, monkeypatch):
+    rnd = random.Random(4)
+    sizes = [(fid, rnd.choice([0, 7, 30, 99, 130])) for fid in range(3000)]
+    seen, write = [], ts.materialise
+
+    def kept(df, name):
+        out = write(df, name)
+        seen.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(ts, "materialise", kept)
+    out = ts.plan_table_splits(status_df(spark, sizes).repartition(3), 100, 10)  # 300 blocks
+    assert max(n for name, n in seen if name in ("classes", "jumps", "chain")) < 150
+    assert sum(name == "jumps" for name, _ in seen) <= 6
+    assert {r.file_id: r.split_id for r in out.collect()} == fold(sizes, 100)
